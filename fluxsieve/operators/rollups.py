@@ -22,7 +22,8 @@ def keep_first_hours(hours: DataFrame) -> DataFrame:
     """
     payload = ["price", "state", "contingent", "kind", "month", "ord"]
     first = F.min_by(F.struct(*payload), F.col("ord")).alias("_r")
-    return hours.groupBy(*HOUR_KEY).agg(first).select(*HOUR_KEY, "_r.*")
+    # a leading hash makes the aggregation's sort compare one long instead of four texts
+    return hours.groupBy(F.xxhash64(*HOUR_KEY).alias("_h"), *HOUR_KEY).agg(first).select(*HOUR_KEY, "_r.*")
 
 
 def duplicate_hours(hours: DataFrame) -> DataFrame:
@@ -57,16 +58,18 @@ def flowgate_hours(kept: DataFrame) -> DataFrame:
 def flowgate_texts(kept: DataFrame) -> DataFrame:
     """Most frequent monitored element, contingent facility and constraint type per flowgate."""
     keys = ["name", "contingency"]
-    combos = kept.groupBy(*keys, "monitored", "contingent", "kind").agg(
-        F.count(F.lit(1)).alias("_n"))
-
-    def mode(col):
-        counts = combos.groupBy(*keys, col).agg(F.sum("_n").alias("_c"))
-        first = F.min(F.struct((-F.col("_c")).alias("c"), F.col(col).alias("v")))
-        return counts.groupBy(*keys).agg(first.alias("_m"), F.count(F.lit(1)).alias(f"n_{col}")) \
-            .select(*keys, F.col("_m.v").alias(col), f"n_{col}")
-
-    return mode("monitored").join(mode("contingent"), keys).join(mode("kind"), keys)
+    fields = ["monitored", "contingent", "kind"]
+    spelled = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("field"), F.col(c).alias("value")) for i, c in enumerate(fields)]))
+    counts = (
+        kept.groupBy(*keys, *fields).agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, "_n", spelled.alias("s")).groupBy(*keys, "s.field", "s.value")
+        .agg(F.sum("_n").alias("_n")))
+    best = F.struct((-F.col("_n")).alias("c"), F.col("value").alias("v"))
+    return counts.groupBy(*keys).agg(
+        *[F.min(F.when(F.col("field") == i, best)).alias(f"_{c}") for i, c in enumerate(fields)],
+        *[F.count_if(F.col("field") == i).alias(f"n_{c}") for i, c in enumerate(fields)]
+    ).select(*keys, *[F.col(f"_{c}.v").alias(c) for c in fields], *[f"n_{c}" for c in fields])
 
 
 def constraint_type(element: Column) -> Column:

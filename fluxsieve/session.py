@@ -13,8 +13,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # let AQE split a hot join key even where that costs another exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # replace very long generated expressions' code early instead of failing to compile
-    "spark.sql.codegen.hugeMethodLimit": "65535",
 }
 
 

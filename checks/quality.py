@@ -445,15 +445,28 @@ WHERE COALESCE(days_covered, 0) = 0 OR hours_binding > 24 * days_covered + 1""")
 
 def footprint_contract(spark, folder):
     f = view(spark, folder, "v_footprint")
-    return validation.footprint_violations(f).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
-
-
-FOOTPRINT_CONTRACT = duck(["v_footprint"], """
+    n = F.substring("element_id", 6, 20).cast("bigint")
+    planted = (
+        f.withColumn("evidence", F.when(F.pmod(n, F.lit(7)) == 1, " ").otherwise(F.col("evidence")))
+        .withColumn("reviewed_on", F.when((F.col("reviewed_on") != "") & (F.pmod(n, F.lit(11)) == 2), "2025-3-4")
+                    .otherwise(F.col("reviewed_on")))
+        .withColumn("corridor_id", F.when((F.col("corridor_id") != "") & (F.pmod(n, F.lit(13)) == 3), "OTHER")
+                    .otherwise(F.col("corridor_id")))
+        .withColumn("element_kind", F.when(F.pmod(n, F.lit(17)) == 4, "planet").otherwise(F.col("element_kind"))))
+    return validation.footprint_violations(planted).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+FOOTPRINT_CONTRACT = duck(["v_footprint"], """, raw AS (
+  SELECT *, CAST(substr(element_id, 6) AS BIGINT) AS k FROM v_footprint), f AS (
+  SELECT k, element_kind, constraint_id, match_status, reviewed_by, reviewed_on, k % 7 = 1 AS no_evidence,
+         CASE WHEN corridor_id <> '' AND k % 13 = 3 THEN 'OTHER' ELSE corridor_id END AS corridor_id FROM raw)
 SELECT 'several_corridors' AS rule, COUNT(*) AS n FROM (
-  SELECT constraint_id FROM v_footprint WHERE match_status = 'verified' AND corridor_id <> ''
+  SELECT constraint_id FROM f WHERE match_status = 'verified' AND corridor_id <> ''
   GROUP BY 1 HAVING COUNT(DISTINCT corridor_id) > 1) HAVING COUNT(*) > 0
-UNION ALL SELECT 'verified_without_evidence', COUNT(*) FROM v_footprint WHERE match_status = 'verified'
-  AND (constraint_id = '' OR evidence = '' OR reviewed_by = '' OR reviewed_on = '') HAVING COUNT(*) > 0""")
+UNION ALL SELECT 'element_kind', COUNT(*) FROM f WHERE k % 17 = 4 HAVING COUNT(*) > 0
+UNION ALL SELECT 'reviewed_on', COUNT(*) FROM f WHERE match_status = 'verified' AND k % 11 = 2 HAVING COUNT(*) > 0
+UNION ALL SELECT 'uncertain_without_evidence', COUNT(*) FROM f WHERE match_status = 'uncertain' AND no_evidence HAVING COUNT(*) > 0
+UNION ALL SELECT 'verified_without_evidence', COUNT(*) FROM f WHERE match_status = 'verified' AND no_evidence HAVING COUNT(*) > 0""")
 
 QUERIES = {
     "provider_readings": (provider_readings, READINGS),

@@ -109,7 +109,8 @@ def ordered_range(rng: Column) -> Column:
 def forward_share(predictor: str, months: Column) -> Column:
     if predictor == "annual":
         return F.lit(1.0)
-    return F.coalesce(F.least(F.greatest(months, F.lit(0)), F.lit(12)) / F.lit(12.0), F.lit(1.0))
+    held = F.least(F.greatest(months, F.lit(0)), F.lit(12)) / F.lit(12.0)
+    return F.when(months.isNotNull(), held).otherwise(F.lit(1.0))
 
 
 def interpolate(u: Column, points: list[tuple[float, float]]) -> Column:

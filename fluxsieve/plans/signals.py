@@ -35,7 +35,8 @@ def congestion_ranges(rows: DataFrame) -> DataFrame:
         price = col("shadow_price_sum")
         rent = rent.otherwise(numeric.range_of(
             price * (lo * low_mw / 1e6), price * (mid_mw / 1e6), price * (hi * high_mw / 1e6)))
-    recurring = F.greatest(observed - largest, F.lit(0.0))
+    # greatest() skips nulls, so a missing month must be tested before it
+    recurring = F.when(observed.isNotNull() & largest.isNotNull(), F.greatest(observed - largest, F.lit(0.0)))
     return rows.select(
         "constraint_id", rent.cast(RANGE).alias("rent"),
         numeric.band(col("hours_binding"), *fixed.HOURS_BAND).alias("hours"),

@@ -218,8 +218,8 @@ JOIN_DOLLARS = duck(["v_hours", "v_dollars"], KEPT + ONCE + f""", money AS (
     (SELECT DISTINCT name, contingency, {element_key_sql('monitored')} AS k FROM kept) b
     ON a.name = b.name AND a.contingency = b.contingency AND a.k = b.k)
 SELECT f.name || '|' || f.contingency AS constraint_id,
-       CASE WHEN s.name IS NOT NULL AND rent IS NOT NULL THEN round_even(CAST(rent AS DOUBLE) / 1e6, 6) END AS rent_musd,
-       CASE WHEN s.name IS NOT NULL AND rent IS NOT NULL THEN round_even(CAST(top AS DOUBLE) / 1e6, 6) END AS max_month_cost_musd,
+       CASE WHEN s.name IS NOT NULL AND rent IS NOT NULL THEN round_even(CAST(rent AS DOUBLE), 0) / 1e6 END AS rent_musd,
+       CASE WHEN s.name IS NOT NULL AND rent IS NOT NULL THEN round_even(CAST(top AS DOUBLE), 0) / 1e6 END AS max_month_cost_musd,
        CASE WHEN s.name IS NOT NULL AND rent IS NOT NULL THEN 'spp_congestion_by_constraint' END AS rent_basis,
        concat_ws(';', CASE WHEN m.name IS NOT NULL AND s.name IS NULL THEN 'cbc_monitored_mismatch' END,
                  CASE WHEN neg > 0 THEN 'cbc_negative_rent_months=' || neg END) AS flags

@@ -49,13 +49,13 @@ def without_loops(spark, folder):
 def queue_near(spark, folder):
     queue = view(spark, folder, "v_poi").select(
         F.pmod(F.substring("request_id", 2, 20).cast("bigint"), F.lit(1000)).alias("near_bus"), "mw")
-    return graph.queue_near(view(spark, folder, "v_lines"), queue).withColumn("mw", F.round("mw", 4))
+    return graph.queue_near(view(spark, folder, "v_lines"), queue)
 
 
 QUEUE_NEAR = duck(["v_lines", "v_poi"], DEGREE + """, reach AS (
   SELECT line_id, bus FROM ends UNION SELECT e.line_id, n.far FROM ends e JOIN ends n ON e.bus = n.bus), q AS (
   SELECT CAST(substr(request_id, 2) AS BIGINT) % 1000 AS bus, SUM(CAST(mw AS DECIMAL(20, 6))) AS mw, COUNT(*) AS n FROM v_poi GROUP BY 1)
-SELECT l.line_id, ROUND(COALESCE(CAST(SUM(q.mw) AS DOUBLE), 0), 4) AS mw, CAST(COALESCE(SUM(q.n), 0) AS BIGINT) AS requests
+SELECT l.line_id, COALESCE(CAST(SUM(q.mw) AS DOUBLE), 0) AS mw, CAST(COALESCE(SUM(q.n), 0) AS BIGINT) AS requests
 FROM v_lines l LEFT JOIN reach r ON l.line_id = r.line_id LEFT JOIN q ON r.bus = q.bus GROUP BY 1""")
 
 
@@ -297,11 +297,11 @@ def base_flows(spark, folder):
 def bus_map(spark, folder):
     queue = view(spark, folder, "v_poi").select(
         F.pmod(F.substring("request_id", 2, 20).cast("bigint"), F.lit(60)).cast("string").alias("near_bus"), "mw")
-    return corridors.bus_map_rows(view(spark, folder, "v_buses"), queue).withColumn("queue_mw", F.round("queue_mw", 4))
+    return corridors.bus_map_rows(view(spark, folder, "v_buses"), queue)
 
 
 BUS_MAP = duck(["v_buses", "v_poi"], """
-SELECT b.bus_id, lat, lon, gen_mw, ROUND(COALESCE(q.mw, 0), 4) AS queue_mw, COALESCE(q.n, 0) AS requests
+SELECT b.bus_id, lat, lon, gen_mw, COALESCE(q.mw, 0) AS queue_mw, COALESCE(q.n, 0) AS requests
 FROM v_buses b LEFT JOIN (SELECT CAST(CAST(substr(request_id, 2) AS BIGINT) % 60 AS VARCHAR) AS bus, CAST(SUM(CAST(mw AS DECIMAL(20, 6))) AS DOUBLE) AS mw,
   COUNT(*) AS n FROM v_poi GROUP BY 1) q ON b.bus_id = q.bus WHERE gen_mw > 0 OR q.mw > 0""")
 

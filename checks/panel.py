@@ -313,7 +313,7 @@ def number_functions(spark, folder):
 
 NUMBERS = duck(["v_history"], """
 SELECT constraint_id, market, strftime(period, '%Y-%m') AS period,
-       ROUND(ROUND(shadow_price_mean / p4) * p4, 6) AS sig4, ROUND(ROUND(shadow_price_mean / p3) * p3 / 1e9, 9) AS sig3,
+       ROUND(round_even(shadow_price_mean / p4, 0) * p4, 6) AS sig4, ROUND(round_even(shadow_price_mean / p3, 0) * p3 / 1e9, 9) AS sig3,
        greatest(1, CAST(round_even(hours_binding * 0.05, 0) AS BIGINT)) AS k, least(hours_binding, 12) / 12 AS share,
        ROUND(CASE WHEN hours_binding >= 30 THEN 4.0 WHEN hours_binding >= 15 THEN 0.8 + (hours_binding / 30 - 0.5) * 6.4
                   WHEN hours_binding >= 7.5 THEN 0.2 + (hours_binding / 30 - 0.25) * 2.4 ELSE hours_binding / 30 * 0.8 END, 9) AS ratio,

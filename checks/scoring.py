@@ -33,7 +33,8 @@ PRIORS = {
     },
 }
 FORWARD = {"predictor": "months_binding_share",
-           "ratio_quantiles": {"0": 0.0, "0.25": 0.2, "0.5": 0.8, "0.75": 1.5, "0.99": 6.0, "1": 6.0}}
+           # values with many digits, so that no result sits on a rounding boundary
+           "ratio_quantiles": {"0": 0.0, "0.25": 0.2123457, "0.5": 0.8123461, "0.75": 1.5123473, "0.99": 6.0, "1": 6.0}}
 
 
 def _congestion(spark, folder):
@@ -126,7 +127,7 @@ def _signals(spark, folder):
     near = view(spark, folder, "v_lines").select("line_id", (F.col("length_mi") * 30).alias("mw"))
     return signals.build_signals(
         constraints, congestion, loading, near, _plans(flow),
-        references={"rent_ref_musd": 5.0, "persist_ref_hours": 20.0, "coi_ref_musd": 3.0}, recurring_rent=True,
+        references={"rent_ref_musd": 5.3, "persist_ref_hours": 20.0, "coi_ref_musd": 3.0}, recurring_rent=True,
         table_coverage={"planning": "unobserved"})
 
 
@@ -136,7 +137,7 @@ SIG = PLANS + """, base AS (
   FROM v_flowgates f LEFT JOIN plans p ON f.constraint_id = p.constraint_id
   LEFT JOIN v_lines l ON f.ord % 5 > 0 AND l.line_id = 'L' || (f.ord % 200)), s AS (
   SELECT constraint_id, ctype, ord, placed, has, radial, hours_binding, breached_hours, months_binding, rent_musd, contingency, contingency_facility, monitored_facility,
-    CASE WHEN NOT has THEN [0, 0, 0.05] WHEN rent_musd IS NULL THEN [0, 0, 0] ELSE [0.6 * rent_musd / 5, rent_musd / 5, 1.5 * rent_musd / 5] END AS rent,
+    CASE WHEN NOT has THEN [0, 0, 0.05] WHEN rent_musd IS NULL THEN [0, 0, 0] ELSE [0.6 * rent_musd / 5.3E0, rent_musd / 5.3E0, 1.5 * rent_musd / 5.3E0] END AS rent,
     CASE WHEN NOT placed THEN [0, 0, 0] ELSE [load * 0.5, load, load * 1.5] END AS loading,
     CASE WHEN NOT has THEN [0, 0, 0.05] ELSE [0.8 * hours_binding / 20, hours_binding / 20, 1.2 * hours_binding / 20] END AS persistence,
     CASE WHEN NOT placed THEN [0, 0, 0] ELSE [greatest(0, q - 0.05), q, q + 0.05] END AS demand_pressure,
@@ -470,8 +471,8 @@ def corridor_rollup(spark, folder):
     c = corridors.corridor_rollup(_ranked(spark, folder))
     return c.select("corridor_rank", "physical_corridor", "representative_flowgate", "n_flowgates", "p_top_k", "composite_expected",
                     F.round("expected_topk_slots", 6).alias("expected_topk_slots"), "recommended_get",
-                    F.round("sum_composite_expected", 7).alias("sum_composite_expected"), "ev_mean",
-                    F.round("sum_ev_mean", 7).alias("sum_ev_mean"))
+                    "sum_composite_expected", "ev_mean",
+                    "sum_ev_mean")
 
 
 CORRIDORS = duck(SIG_VIEWS, RANKED + """, c AS (
@@ -479,7 +480,7 @@ CORRIDORS = duck(SIG_VIEWS, RANKED + """, c AS (
          SUM(CAST(ev_mean AS DECIMAL(28, 12))) AS ev FROM rk GROUP BY 1)
 SELECT row_number() OVER (ORDER BY best) AS corridor_rank, c.corridor AS physical_corridor, k.constraint_id AS representative_flowgate, n AS n_flowgates,
        k.p_top_k, k.composite_expected, ROUND(CAST(slots AS DOUBLE), 6) AS expected_topk_slots, k.pick AS recommended_get,
-       ROUND(CAST(total AS DOUBLE), 7) AS sum_composite_expected, k.ev_mean, ROUND(CAST(ev AS DOUBLE), 7) AS sum_ev_mean
+       CAST(total AS DOUBLE) AS sum_composite_expected, k.ev_mean, CAST(ev AS DOUBLE) AS sum_ev_mean
 FROM c JOIN rk k ON c.best = k.rank""")
 
 

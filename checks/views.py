@@ -250,9 +250,9 @@ def definitions(d: Dialect) -> dict[str, tuple[tuple[str, ...], str]]:
                    CAST(SUM(CASE WHEN state = 'BREACHED' THEN 1 ELSE 0 END) AS DOUBLE) AS breached_hours,
                    CAST(COUNT(DISTINCT EXTRACT(MONTH FROM month)) AS INT) AS months_binding,
                    CASE WHEN MIN(ord) % 10 = 0 THEN NULL
-                        ELSE CAST(SUM(CAST(ABS(price) AS DECIMAL(20, 4))) AS DOUBLE) / 100000 END AS rent_musd,
+                        ELSE CAST(FLOOR(SUM(CAST(ABS(price) AS DECIMAL(20, 4)))) AS DOUBLE) / 100000 END AS rent_musd,
                    CASE WHEN MIN(ord) % 10 < 2 THEN NULL
-                        ELSE CAST(MAX(CAST(ABS(price) AS DECIMAL(20, 4))) AS DOUBLE) / 100000 END AS max_month_cost_musd,
+                        ELSE CAST(FLOOR(MAX(CAST(ABS(price) AS DECIMAL(20, 4)))) AS DOUBLE) / 100000 END AS max_month_cost_musd,
                    CASE WHEN MIN(ord) % 7 = 0 THEN TRUE WHEN MIN(ord) % 7 = 1 THEN NULL ELSE FALSE END AS radial,
                    MIN(ord) AS ord
             FROM v_hours GROUP BY name, contingency"""),

@@ -312,8 +312,12 @@ VALUED = JUDGED + f""", e AS (
 SPLIT = [f"p_best_{s}" for s in fixed.REMEDY_SLUG.values()] + [f"ev_from_{s}" for s in list(fixed.REMEDY_SLUG.values())[1:]]
 
 
+def _elements(judged):
+    return judged.select("constraint_id", F.col("corridor").alias("element"), "evidence", "rent", "months_binding")
+
+
 def _decidable(spark, folder):
-    return _judged(spark, folder).select("constraint_id", F.col("corridor").alias("element"), "evidence", "rent", "months_binding")
+    return _elements(_judged(spark, folder))
 
 
 def decide(spark, folder):
@@ -445,8 +449,8 @@ MEANS = QUANTILES.replace("SELECT predictor, p, ROUND(CAST(printf", "SELECT pred
 
 def _ranked(spark, folder):
     """Flowgates ranked by exact decision value with the composite's expectation as stability."""
-    judged = _judged(spark, folder)
-    value = decision.decide(_decidable(spark, folder), PRIORS, FORWARD).drop(
+    judged = cut(_judged(spark, folder))
+    value = decision.decide(_elements(judged), PRIORS, FORWARD).drop(
         "element", "evidence", "rent", "months_binding", "q0", "q1", "q2", "mu1", "mu2", "mu3", "mu4")
     total = sum((F.lit(w) * F.col(f"sig_{n}.expected") for n, w in fixed.DEFAULT_WEIGHTS.items()), F.lit(0.0))
     scored = judged.join(value, "constraint_id", "left").withColumn("composite_expected", F.round(total, 9)).withColumn(

@@ -30,6 +30,17 @@ def derive_references(congestion: DataFrame, quantile: float = 0.99,
         "name", numeric.significant(F.col("x"), 4).alias("value"), "n")
 
 
+def spread_for_draws(flowgates: DataFrame) -> DataFrame:
+    """Flowgates hashed over a fixed number of partitions before draws multiply their rows.
+
+    The count is explicit because AQE would fold these few rows into one partition, and each
+    of them is about to become thousands. A later aggregation per flowgate needs no exchange.
+    """
+    parts = max(int(flowgates.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                flowgates.sparkSession.sparkContext.defaultParallelism)
+    return flowgates.repartition(parts, "constraint_id")
+
+
 def composite_draws(signals: DataFrame, *, weights: dict[str, float] | None = None, draws: int,
                     seed: int, portable: bool = False) -> DataFrame:
     """(constraint_id, draw, composite): every draw of every flowgate, one expression each.
@@ -40,7 +51,7 @@ def composite_draws(signals: DataFrame, *, weights: dict[str, float] | None = No
     """
     weights = weights or fixed.DEFAULT_WEIGHTS
     names = list(weights)
-    rows = signals.select("constraint_id", *[f"sig_{n}" for n in names]).repartition("constraint_id")
+    rows = spread_for_draws(signals.select("constraint_id", *[f"sig_{n}" for n in names]))
     rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     if portable:
         blocks = (len(names) + sampling.PER_DIGEST - 1) // sampling.PER_DIGEST

@@ -18,7 +18,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _trimmed(df: DataFrame) -> DataFrame:
-    return df.select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    """Trimmed cells; a blank cell is the empty text, so that blanks group and join as equals."""
+    return df.select(*[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in df.columns])
 
 
 def binding_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -92,11 +93,14 @@ def queue_file(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     The preamble is the first line; the header is the second and may be followed by quoted
     cells with line breaks, so the rest is parsed as one multi-line CSV.
     """
-    first = spark.read.text(path).limit(1).first()
-    cells = [c.strip().strip('"') for c in (first["value"] if first else "").lstrip("﻿").split(",")]
+    head = [r["value"] for r in spark.read.text(path).limit(2).collect()]
+    cells = [c.strip().strip('"') for c in (head[0] if head else "").lstrip("\ufeff").split(",")]
     if len(cells) < 2 or cells[0] != "Last Updated On":
         raise Refused(f"{path} does not start with a 'Last Updated On' line")
-    body = spark.read.options(header=False, multiLine=True, escape='"', nullValue="\x00", emptyValue="").csv(path)
+    if len(head) < 2:
+        raise Refused(f"{path} has no header line")
+    wide = ", ".join(f"_c{i} string" for i in range(head[1].count(",") + 1))
+    body = spark.read.options(header=False, multiLine=True, escape='"', nullValue="\x00", emptyValue="").schema(wide).csv(path)
     numbered = body.withColumn("_row", F.monotonically_increasing_id())
     header_row = numbered.where(F.lower(F.trim("_c0")) == "generation interconnection number").orderBy("_row").first()
     if header_row is None:

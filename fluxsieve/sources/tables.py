@@ -18,7 +18,7 @@ MANIFEST_SCHEMA = (
 
 
 def read_text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header, every cell text; quoted line breaks and blank cells are kept."""
+    """CSV with a header, every cell text; quoted line breaks are kept, a blank cell is null."""
     return spark.read.options(header=True, multiLine=True, escape='"', nullValue="\x00",
                               emptyValue="", inferSchema=False).csv(path)
 

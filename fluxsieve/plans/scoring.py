@@ -72,12 +72,19 @@ def composite_draws(signals: DataFrame, *, weights: dict[str, float] | None = No
     return rows.select("constraint_id", "draw", total.alias("composite"))
 
 
-def percentile_band(draws: DataFrame, value: str) -> DataFrame:
-    """p5, p50 and p95 per flowgate; a group holds exactly one value per draw."""
-    return draws.groupBy("constraint_id").agg(
-        F.percentile(value, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("_p")).select(
-        "constraint_id", F.col("_p")[0].alias("lo"), F.col("_p")[1].alias("expected"),
-        F.col("_p")[2].alias("hi"))
+def percentile_band(draws: DataFrame, value: str, total: int) -> DataFrame:
+    """p5, p50 and p95 per flowgate, linear. A group holds exactly ``total`` values, one per
+    draw, so the sorted array it becomes has a size the settings fix."""
+    held = draws.groupBy("constraint_id").agg(F.sort_array(F.collect_list(value)).alias("_v"))
+    return held.select("constraint_id", *[
+        _linear(F.col("_v"), total, p).alias(n) for n, p in (("lo", 0.05), ("expected", 0.5), ("hi", 0.95))])
+
+
+def _linear(sorted_values: Column, total: int, p: float) -> Column:
+    at = p * (total - 1)
+    low, share = int(at), at - int(at)
+    a = F.get(sorted_values, F.lit(low))
+    return a if share == 0 else a + (F.get(sorted_values, F.lit(low + 1)) - a) * F.lit(share)
 
 
 def top_share(draws: DataFrame, value: str, k: int, total: int, positive_only: bool = False) -> DataFrame:
@@ -93,15 +100,41 @@ def top_share(draws: DataFrame, value: str, k: int, total: int, positive_only: b
     return best.groupBy("constraint_id").agg((F.count(F.lit(1)) / F.lit(float(total))).alias("p_top_k"))
 
 
+ACCURACY = 10_000  # rank error of the approximate percentile is at most rows / ACCURACY
+
+
+def contenders(signals: DataFrame, weights: dict[str, float], top_fraction: float) -> DataFrame:
+    """Flowgates that can be among the top k of some draw; the others provably never are.
+
+    A composite lies between the weighted sums of its ranges' ends. At least k flowgates have
+    a lower end at or above a bound taken well below the k-th largest lower end, so a
+    flowgate whose upper end is below that bound cannot enter. The bound comes from a
+    mergeable sketch, with a margin far above its error.
+    """
+    rank = 1.0 - 1.25 * top_fraction - 2.0 / signals.count() - 10.0 / ACCURACY
+    if rank <= 0:
+        return signals
+
+    def end(k):
+        return sum((F.lit(float(w)) * F.col(f"sig_{n}.{k}") for n, w in weights.items()), F.lit(0.0))
+
+    bound = signals.agg(F.percentile_approx(end("lo"), F.lit(rank), F.lit(ACCURACY))).scalar()
+    return signals.where(end("hi") >= bound - 1e-9)
+
+
 def rank_stability(signals: DataFrame, *, weights: dict[str, float] | None = None,
                    draws: int = fixed.DEFAULT_DRAWS, top_fraction: float = fixed.DEFAULT_TOP_FRACTION,
                    seed: int = fixed.DEFAULT_SEED, portable: bool = False) -> DataFrame:
     """P(in the top k) and the composite's p5, p50, p95 for every flowgate."""
-    fixed_signals = cut(signals.select("constraint_id", *[f"sig_{n}" for n in (weights or fixed.DEFAULT_WEIGHTS)]))
-    k = top_k(fixed_signals.count(), top_fraction)
-    sampled = composite_draws(fixed_signals, weights=weights, draws=draws, seed=seed, portable=portable)
-    share = top_share(sampled, "composite", k, draws)
-    return percentile_band(sampled, "composite").join(share, "constraint_id", "left").select(
+    weights = weights or fixed.DEFAULT_WEIGHTS
+    kept = cut(signals.select("constraint_id", *[f"sig_{n}" for n in weights]))
+    k = top_k(kept.count(), top_fraction)
+    rivals = contenders(kept, weights, top_fraction)
+    share = top_share(composite_draws(rivals, weights=weights, draws=draws, seed=seed, portable=portable),
+                      "composite", k, draws)
+    band = percentile_band(
+        composite_draws(kept, weights=weights, draws=draws, seed=seed, portable=portable), "composite", draws)
+    return band.join(share, "constraint_id", "left").select(
         "constraint_id", F.coalesce("p_top_k", F.lit(0.0)).alias("p_top_k"),
         F.col("lo").alias("composite_lo"), F.col("expected").alias("composite_expected"),
         F.col("hi").alias("composite_hi"))

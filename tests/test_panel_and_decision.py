@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,22 @@ def test_contingency_tri_states(spark):
     base = remedies.base_case(F.col("name"), F.col("facility"), F.col("line"))
     got = [tuple(r) for r in df.select(base.alias("b"), remedies.branch_outage(base, F.col("facility"), F.col("line")).alias("o")).collect()]
     assert got == [(True, None), (None, None), (False, True), (False, True), (False, False), (False, True)]
+
+
+def test_pruned_rivals_and_bands_equal_all_draws(spark):
+    rng = random.Random(8)
+    rows = [(f"F{i}", rng.uniform(0, 1) ** 3, rng.uniform(0, 0.4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "constraint_id string, x double, y double")
+    df = df.select("constraint_id", *[numeric.spread(F.col("x") * F.lit(1 + i), 0.05 + 0.01 * i).alias(f"sig_{n}")
+                                      for i, n in enumerate(fixed.SIGNALS)])
+    draws = 60
+    got = {r["constraint_id"]: r for r in scoring.rank_stability(df, draws=draws, top_fraction=0.05, seed=4).collect()}
+    d = scoring.composite_draws(df, draws=draws, seed=4).toPandas()
+    share = {r["constraint_id"]: r["p_top_k"] for r in scoring.top_share(
+        scoring.composite_draws(df, draws=draws, seed=4), "composite", 20, draws).collect()}
+    assert scoring.contenders(df, fixed.DEFAULT_WEIGHTS, 0.05).count() < 200
+    for cid, values in d.groupby("constraint_id")["composite"]:
+        mine = got[cid]
+        assert mine["p_top_k"] == pytest.approx(share.get(cid, 0.0))
+        for k, p in (("lo", 5), ("expected", 50), ("hi", 95)):
+            assert mine[f"composite_{k}"] == pytest.approx(np.percentile(values, p), abs=1e-12)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fluxsieve.llm import exact_dedup, warc
+from fluxsieve.llm import decontaminate, exact_dedup, simhash, warc
 from fluxsieve.llm.common import shared_path, table
 
 #: The white space of the contracts, as DuckDB spells it.
@@ -47,7 +47,43 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM o
 """
 
+def op8_decontamination(spark, folder):
+    """Words of every document that lie in a window of a benchmark item."""
+    found = decontaminate.decisions(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes)),
+hit AS (SELECT dw.doc_id, dw.i, dw.k, bw.item_id FROM dw JOIN bw USING (k, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS l FROM hit GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(l), 0) AS n_items,
+       sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op9_simhash_near_dedup(spark, folder):
+    """Fingerprint and component of every document."""
+    return simhash.components(table(spark, folder, "documents"), size=3).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op3_warc_revisits": (op3_warc_revisits, OP3_SQL),
+    "op8_decontamination": (op8_decontamination, OP8_SQL),
+    "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
 }

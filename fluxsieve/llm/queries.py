@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fluxsieve.llm import decontaminate, exact_dedup, simhash, warc
+from fluxsieve.llm import chat, decontaminate, exact_dedup, language, lm_score, secrets, simhash, url_filter, warc
 from fluxsieve.llm.common import shared_path, table
 
 #: The white space of the contracts, as DuckDB spells it.
@@ -26,6 +26,11 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op2_language_id(spark, folder):
+    """Language of every document, learned from labelled documents that are not held out."""
+    return language.predictions(table(spark, folder, "documents"))
+
+
 def op3_warc_revisits(spark, folder):
     """Write one WARC record per page, read the archives back and resolve the revisits."""
     path = shared_path(spark, "warc")
@@ -47,6 +52,63 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM o
 """
 
+def op5_secret_scan(spark, folder):
+    """Secrets of every document: pattern spans, and those the character models add."""
+    found = secrets.spans(table(spark, folder, "documents"))
+    count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS)],
+        F.sha2(secrets.named(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.named(F.col("spans")).alias("spans"))
+
+
+def op6_preference_chat(spark, folder):
+    """Prompt and masked completions of neighbouring conversations."""
+    found = chat.preferences(chat.neighbours(table(spark, folder, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return found.select("pair_id", "chosen_id", "rejected_id", "n_shared", "prompt", "chosen", "rejected",
+                        spans("chosen_mask"), spans("rejected_mask"))
+
+
+OP6_SQL = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role,
+                  replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, conv_id // 2 AS pair_id, conv_id % 2 AS side,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM t),
+sizes AS (SELECT pair_id, max(p) FILTER (side = 0) AS c, max(p) FILTER (side = 1) AS r,
+                 max(conv_id) FILTER (side = 0) AS chosen_id, max(conv_id) FILTER (side = 1) AS rejected_id
+          FROM n GROUP BY 1),
+same AS (SELECT a.pair_id, min(a.p) FILTER (a.role <> b.role OR a.text <> b.text) AS d
+         FROM n a JOIN n b ON a.pair_id = b.pair_id AND a.p = b.p AND a.side = 0 AND b.side = 1 GROUP BY 1),
+k AS (SELECT sizes.*, coalesce(d - 1, least(c, r), 0) AS n_shared
+      FROM sizes LEFT JOIN same USING (pair_id)),
+e AS (SELECT n.*, n_shared, '<|im_start|>' || role || chr(10) AS head, '<|im_end|>' || chr(10) AS tail
+      FROM n JOIN k USING (pair_id)),
+f AS (SELECT *, head || text || tail AS body, sum(CASE WHEN p > n_shared THEN length(head || text || tail) END)
+             OVER (PARTITION BY pair_id, side ORDER BY p) AS stop FROM e),
+m AS (SELECT pair_id,
+             coalesce(string_agg(body, '' ORDER BY p) FILTER (side = 0 AND p <= n_shared), '') AS prompt,
+             string_agg(body, '' ORDER BY p) FILTER (side = 0 AND p > n_shared) AS chosen,
+             string_agg(body, '' ORDER BY p) FILTER (side = 1 AND p > n_shared) AS rejected,
+             string_agg((stop - length(text || tail)) || ':' || stop, ',' ORDER BY p)
+               FILTER (side = 0 AND p > n_shared AND role = 'assistant') AS chosen_mask,
+             string_agg((stop - length(text || tail)) || ':' || stop, ',' ORDER BY p)
+               FILTER (side = 1 AND p > n_shared AND role = 'assistant') AS rejected_mask
+      FROM f GROUP BY 1)
+SELECT pair_id, chosen_id, rejected_id, n_shared, prompt,
+       CASE WHEN c IS NOT NULL THEN coalesce(chosen, '') END AS chosen,
+       CASE WHEN r IS NOT NULL THEN coalesce(rejected, '') END AS rejected,
+       CASE WHEN c IS NOT NULL THEN coalesce(chosen_mask, '') END AS chosen_mask,
+       CASE WHEN r IS NOT NULL THEN coalesce(rejected_mask, '') END AS rejected_mask
+FROM k JOIN m USING (pair_id)
+"""
+
+
+def op7_url_filter(spark, folder):
+    """Verdict on every page's url."""
+    return url_filter.verdicts(table(spark, folder, "pages"))
+
+
 def op8_decontamination(spark, folder):
     """Words of every document that lie in a window of a benchmark item."""
     found = decontaminate.decisions(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -81,9 +143,20 @@ def op9_simhash_near_dedup(spark, folder):
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_cross_entropy_difference(spark, folder):
+    """Score of every document: target loss minus background loss per token."""
+    found = lm_score.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", "target_loss", "background_loss", "score")
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op2_language_id": (op2_language_id, None),
     "op3_warc_revisits": (op3_warc_revisits, OP3_SQL),
+    "op5_secret_scan": (op5_secret_scan, None),
+    "op6_preference_chat": (op6_preference_chat, OP6_SQL),
+    "op7_url_filter": (op7_url_filter, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
+    "op10_cross_entropy_difference": (op10_cross_entropy_difference, None),
 }

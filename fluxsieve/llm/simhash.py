@@ -17,11 +17,9 @@ its ids are null; rows repeated with one id and text come out once; an empty tab
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 

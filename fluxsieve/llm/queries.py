@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fluxsieve.llm import chat, decontaminate, exact_dedup, language, lm_score, secrets, simhash, url_filter, warc
+from fluxsieve.llm import chat, decontaminate, exact_dedup, language, lm_score, pieces, secrets, simhash, url_filter, warc
 from fluxsieve.llm.common import shared_path, table
 
+#: Where the public tokenizers' files are; nothing of them is kept in the repository.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 #: The white space of the contracts, as DuckDB spells it.
 SQL_WHITE = r"'[\x20\x09-\x0D]+'"
 
@@ -52,6 +55,11 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM o
 """
 
+def op4_sentencepiece(spark, folder):
+    """Sampled pieces of every document, decoded again."""
+    return pieces.encoded(table(spark, folder, "documents"), PIECE_MODEL).withColumnRenamed("id", "doc_id")
+
+
 def op5_secret_scan(spark, folder):
     """Secrets of every document: pattern spans, and those the character models add."""
     found = secrets.spans(table(spark, folder, "documents"))
@@ -153,6 +161,7 @@ QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
     "op3_warc_revisits": (op3_warc_revisits, OP3_SQL),
+    "op4_sentencepiece": (op4_sentencepiece, None),
     "op5_secret_scan": (op5_secret_scan, None),
     "op6_preference_chat": (op6_preference_chat, OP6_SQL),
     "op7_url_filter": (op7_url_filter, None),

@@ -11,17 +11,26 @@ their fingerprints names itself and its one-bit neighbours. Two fingerprints nam
 they differ in at most two bits, so linking each to the smallest that named the point gives the same
 components with linear output.
 
+Near copies that are similar rather than almost equal (five-word shingles, similarity of 0.8) differ in about 15%
+of all bits, so no whole byte is guaranteed to survive and two bits are far too few. ``similar`` therefore gives
+every document ``SEEDS`` fingerprints from differently mixed hashes, keeps the index by triples of positional bytes
+(any two similar fingerprints have many chances to share one), links each posting to the first and to the previous
+one of its list, which is linear whatever the list's length, and verifies each link by the tally of shared bytes and
+by the differing bits of all fingerprints together. Its recall is a matter of chance and is measured in the tests.
+
 Defined results: null or blank text has fingerprint zero; null ids never are a component's name unless all
 its ids are null; rows repeated with one id and text come out once; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fluxsieve.llm.common import identity, only
 from fluxsieve.operators.graph import component_labels
@@ -30,39 +39,54 @@ from fluxsieve.session import cut
 DISTANCE = 2
 LEAST_BYTES = 8 - DISTANCE
 LIST = 24
+#: Fingerprints of a document in ``similar``.
+SEEDS = 4
+SALTS = np.array([seed * 0x9E3779B97F4A7C15 % (1 << 64) for seed in range(SEEDS)], np.uint64)
 SLICE = 1 << 16
 BLOCKS = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
 
 
-def fingerprint(text: str | None, size: int) -> int:
-    """Bit i is set if it is set in over half of the shingles' hashes."""
+def fingerprint(text: str | None, size: int, seeds: int = 1) -> list[int]:
+    """Bit i is set if it is set in over half of the shingles' hashes; later seeds mix the hashes anew."""
     import xxhash
 
     words = (text or "").encode().lower().split()  # bytes: only A-Z and ASCII white space count
     if not words:
-        return 0
-    if len(words) < size:
-        return xxhash.xxh64_intdigest(b" ".join(words), seed=42)
-    count, ones = len(words) - size + 1, np.zeros(64, np.int64)
+        return [0] * seeds
+    size = min(size, len(words))
+    count, ones = len(words) - size + 1, np.zeros((seeds, 64), np.int64)
     hashed = map(partial(xxhash.xxh64_intdigest, seed=42), map(b" ".join, zip(*[words[i:] for i in range(size)])))
-    all_hashes = np.fromiter(hashed, np.uint64, count).astype(">u8")
+    all_hashes = np.fromiter(hashed, np.uint64, count)
     for start in range(0, count, SLICE):
-        bits = np.unpackbits(all_hashes[start:start + SLICE].view(np.uint8).reshape(-1, 8), axis=1)
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
+        some = all_hashes[start:start + SLICE]
+        for seed in range(seeds):
+            own = some if seed == 0 else _mixed(some + SALTS[seed])
+            bits = np.unpackbits(own.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            ones[seed] += bits.sum(axis=0, dtype=np.int64)
+    return [int.from_bytes(np.packbits(2 * row > count).tobytes(), "big") for row in ones]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """id, text_key, fp (the fingerprint's 64 bits as a long) of every row."""
+def fingerprints(docs: DataFrame, size: int, seeds: int = 1) -> DataFrame:
+    """id, text_key, fp, fp1, ... (64 bits each, as longs) of every row."""
+    names = ["fp", *[f"fp{i}" for i in range(1, seeds)]]
 
     def run(batches):
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), size) for t in batch.column("text")], np.uint64)
+            found = [fingerprint(t.as_py(), size, seeds) for t in batch.column("text")]
+            table = np.array(found, np.uint64).reshape(-1, seeds).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_key"), pa.array(found.view(np.int64))], ["id", "text_key", "fp"])
+                [batch.column("id"), batch.column("text_key"), *[pa.array(c) for c in table.T]],
+                ["id", "text_key", *names])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select(*identity(), F.col("text")).mapInArrow(run, f"id {kind}, text_key long, fp long")
+    return docs.select(*identity(), F.col("text")).mapInArrow(
+        run, f"id {kind}, text_key long, " + ", ".join(f"{n} long" for n in names))
 
 
 def _block(fp: Column, i: int) -> Column:
@@ -113,12 +137,51 @@ def components(docs: DataFrame, size: int) -> DataFrame:
         "id", "text_key", "fp", "component_id")
 
 
-def survivors(docs: DataFrame, size: int = 5) -> DataFrame:
-    """The rows of ``docs`` that stay: the one with the smallest id of each component."""
-    same = components(docs, size).where(F.col("id").eqNullSafe(F.col("component_id")))
-    kept = same.groupBy("component_id", "id", "text_key", "fp").agg(F.count(F.lit(1)).alias("copies"))
-    null = kept.where("id IS NULL")
-    return only(docs, kept.where("id IS NOT NULL").groupBy("id").agg(
-        F.min(F.struct("text_key", "copies")).alias("k")).select("id", "k.text_key", "k.copies").unionByName(
-        null.groupBy("fp").agg(F.first("id").alias("id"), F.min(F.struct("text_key", "copies")).alias("k")).select(
-            "id", "k.text_key", "k.copies")))
+def _close(points: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes whose fingerprints agree as texts of that similarity would."""
+    cosine = 2 * similarity / (1 + similarity)  # of two sets of equal size with that Jaccard similarity
+    most = SEEDS * 64 * math.acos(cosine) / math.pi
+    names = ["fp", *[f"fp{i}" for i in range(1, SEEDS)]]
+    side = lambda c: points.select(F.col("node").alias(c), *[F.col(n).alias(f"{c}_{n}") for n in names])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = sum((shared_bytes(F.col(f"a_{n}"), F.col(f"b_{n}")) for n in names), F.lit(0))
+    differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
+    return both.where((shared >= 3) & (differing <= most)).select("a", "b")
+
+
+def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """id, text_key, fp, component_id of every row, by links between similar documents."""
+    names = ["fp", *[f"fp{i}" for i in range(1, SEEDS)]]
+    found = cut(fingerprints(docs, size, SEEDS))
+    points = cut(found.groupBy(*names).agg(F.min("id").alias("least")).withColumn(
+        "node", F.monotonically_increasing_id()))
+    triples = np.array(list(combinations(range(8), 3)))
+
+    def post(batches):
+        for batch in batches:
+            table = np.stack([batch.column(n).to_numpy() for n in names], axis=1)
+            own = np.ascontiguousarray(table).view(np.uint8).reshape(len(table), SEEDS, 8).astype(np.int64)
+            keys = own[:, :, triples[:, 0]] << 16 | own[:, :, triples[:, 1]] << 8 | own[:, :, triples[:, 2]]
+            keys |= np.arange(SEEDS * len(triples)).reshape(1, SEEDS, -1) << 24
+            node = np.repeat(batch.column("node").to_numpy(), SEEDS * len(triples))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys.ravel())], ["node", "key"])
+
+    index = points.select("node", *names).mapInArrow(post, "node long, key long")
+    ordered = Window.partitionBy("key").orderBy("node")
+    linked = index.select("node", F.first("node").over(ordered).alias("first"), F.lag("node").over(ordered).alias("last"))
+    pairs = linked.where("last IS NOT NULL").select(
+        F.col("node").alias("b"), F.explode(F.array_distinct(F.array("first", "last"))).alias("a")).distinct()
+    labels = component_labels(_close(points, pairs, similarity))
+    labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    return found.join(labelled.join(least, "label").select(*names, "component_id"), names).select(
+        "id", "text_key", "fp", "component_id")
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component of similar documents the one with the smallest id."""
+    same = similar(docs).where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = same.groupBy("id", "text_key", "fp").agg(F.count(F.lit(1)).alias("copies"))
+    by_id, by_text = kept.where("id IS NOT NULL").groupBy("id"), kept.where("id IS NULL").groupBy("id", "fp")
+    best = F.min(F.struct("text_key", "copies")).alias("k")
+    return only(docs, by_id.agg(best).unionByName(by_text.agg(best).drop("fp")).select("id", "k.text_key", "k.copies"))

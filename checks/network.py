@@ -263,35 +263,67 @@ INJECTIONS = duck(["v_buses", "v_load"], INJECT + """
 SELECT snapshot, bus_id, ROUND(total * (share - (SELECT AVG(share) FROM w)), 6) AS mw FROM s CROSS JOIN w""")
 
 
-def _network(spark, folder):
-    return network.with_reactance(view(spark, folder, "v_ring"))
+SCREENED = """, lines AS (SELECT *, CAST(substr(line_id, 2) AS BIGINT) AS n FROM v_ring), c AS (
+  SELECT 'F_' || line_id AS constraint_id, CASE WHEN n % 6 = 5 THEN NULL ELSE line_id END AS m,
+         CASE WHEN n % 6 = 0 THEN NULL WHEN n % 6 = 1 THEN 'NOWHERE' WHEN n % 6 = 2 THEN line_id
+              ELSE 'X' || (n - n % 5) END AS k FROM lines), limits AS (
+  SELECT line_id, from_bus, to_bus, CASE WHEN n % 11 = 3 THEN NULL ELSE thermal_limit_mw END AS thermal FROM lines)"""
+
+
+def _screened(spark, folder):
+    """Ring lines, some without a limit, and one flowgate per line."""
+    n = F.substring("line_id", 2, 20).cast("bigint")
+    k = F.pmod(n, F.lit(6))
+    ring = view(spark, folder, "v_ring")
+    constraints = ring.select(
+        F.concat(F.lit("F_"), "line_id").alias("constraint_id"), F.when(k != 5, F.col("line_id")).alias("monitored_line"),
+        F.when(k == 1, "NOWHERE").when(k == 2, F.col("line_id"))
+        .when(k != 0, F.concat(F.lit("X"), (n - F.pmod(n, F.lit(5))).cast("string"))).alias("contingency_line"))
+    return constraints, ring.withColumn("thermal_limit_mw", F.when(F.pmod(n, F.lit(11)) != 3, F.col("thermal_limit_mw")))
 
 
 def loading_screen(spark, folder):
-    lines = _network(spark, folder)
-    k = F.pmod(F.substring("line_id", 2, 20).cast("int"), F.lit(6))
-    constraints = lines.select(
-        F.concat(F.lit("F_"), "line_id").alias("constraint_id"),
-        F.when(k == 5, F.lit(None)).otherwise(F.col("line_id")).alias("monitored_line"),
-        F.when(k == 0, F.lit(None)).when(k == 1, "NOWHERE").when(k == 2, F.col("line_id"))
-        .otherwise(F.concat(F.lit("X"), (F.floor(F.substring("line_id", 2, 20).cast("int") / 5) * 5).cast("string")))
-        .alias("contingency_line"))
+    constraints, lines = _screened(spark, folder)
     inject = network.injections(view(spark, folder, "v_buses"), view(spark, folder, "v_load"))
-    return network.screen(constraints, lines, inject).select(
+    return network.screen(constraints, lines, inject, view(spark, folder, "v_ptdf")).select(
         "constraint_id", "status", F.round("loading.lo", 6).alias("lo"), F.round("loading.expected", 6).alias("expected"),
         F.round("loading.hi", 6).alias("hi"), network.over_limit(F.col("loading")).alias("flag"))
 
 
-def sensitivity(spark, folder):
-    lines = _network(spark, folder)
-    return network.sensitivity(lines, view(spark, folder, "v_buses"), "0").withColumn("ptdf", F.round("ptdf", 9))
-
-
 def base_flows(spark, folder):
-    lines = _network(spark, folder)
-    ptdf = network.sensitivity(lines, view(spark, folder, "v_buses"), "0")
     inject = network.injections(view(spark, folder, "v_buses"), view(spark, folder, "v_load"))
-    return network.flows_from_sensitivity(ptdf, inject).withColumn("flow", F.round("flow", 6))
+    return network.base_flows(view(spark, folder, "v_ptdf"), inject).withColumn("flow", F.round("flow", 6))
+
+
+FLOWS = INJECT + """, inj AS (SELECT snapshot, bus_id, total * (share - (SELECT AVG(share) FROM w)) AS mw FROM s CROSS JOIN w),
+flow AS (SELECT snapshot, line_id, SUM(ptdf * mw) AS flow FROM v_ptdf JOIN inj USING (bus_id) GROUP BY 1, 2)"""
+BASE_FLOWS = duck(["v_buses", "v_load", "v_ptdf"], FLOWS + " SELECT snapshot, line_id, ROUND(flow, 6) AS flow FROM flow")
+LOADING_SCREEN = duck(["v_buses", "v_load", "v_ptdf"], FLOWS + SCREENED + """, r AS (
+  SELECT c.*, l.line_id IS NOT NULL AS placed, l.thermal, kl.line_id IS NOT NULL AND EXISTS (SELECT 1 FROM v_ptdf p WHERE p.line_id = c.k) AS ctg,
+         kl.from_bus AS kf, kl.to_bus AS kt FROM c LEFT JOIN limits l ON c.m = l.line_id LEFT JOIN limits kl ON c.k = kl.line_id), h AS (
+  SELECT r.*, COALESCE(mf.ptdf, 0) - COALESCE(mt.ptdf, 0) AS h_mk, COALESCE(of.ptdf, 0) - COALESCE(ot.ptdf, 0) AS h_kk FROM r
+  LEFT JOIN v_ptdf mf ON mf.line_id = m AND mf.bus_id = kf LEFT JOIN v_ptdf mt ON mt.line_id = m AND mt.bus_id = kt
+  LEFT JOIN v_ptdf of ON of.line_id = k AND of.bus_id = kf LEFT JOIN v_ptdf ot ON ot.line_id = k AND ot.bus_id = kt), x AS (
+  SELECT h.*, a.flow AS f_m, ctg AND abs(1 - h_kk) < 1e-9 AS island,
+         CASE WHEN NOT (ctg AND abs(1 - h_kk) < 1e-9) THEN
+           CASE WHEN m = k THEN 0 ELSE a.flow + h_mk / (1 - h_kk) * b.flow END END AS after
+  FROM h LEFT JOIN flow a ON a.line_id = m LEFT JOIN flow b ON b.line_id = k AND b.snapshot = a.snapshot AND ctg), g AS (
+  SELECT constraint_id, any_value(k) AS k, bool_or(placed) AS placed, any_value(thermal) AS thermal, bool_or(ctg) AS ctg,
+         bool_or(island) AS island, COUNT(f_m) AS n, MIN(abs(f_m)) / any_value(thermal) AS b0, AVG(abs(f_m)) / any_value(thermal) AS b1,
+         MAX(abs(f_m)) / any_value(thermal) AS b2, MIN(abs(after)) / any_value(thermal) AS n0, AVG(abs(after)) / any_value(thermal) AS n1,
+         MAX(abs(after)) / any_value(thermal) AS n2 FROM x GROUP BY 1), s2 AS (
+  SELECT *, CASE WHEN NOT placed THEN 'unmapped_monitored' WHEN COALESCE(thermal, 0) = 0 THEN 'no_thermal_limit'
+    WHEN n = 0 THEN 'no_base_flows' WHEN k IS NOT NULL AND NOT ctg THEN 'contingency_unmapped'
+    WHEN k IS NOT NULL AND island THEN 'n1_disconnect' ELSE 'ok' END AS status FROM g), o AS (
+  SELECT constraint_id, status,
+    CASE WHEN status = 'unmapped_monitored' THEN 0 WHEN status IN ('no_thermal_limit', 'no_base_flows') THEN 0
+         WHEN status IN ('contingency_unmapped', 'n1_disconnect') THEN b0 * 0.8 WHEN k IS NULL THEN b0 ELSE n0 END AS lo,
+    CASE WHEN status = 'unmapped_monitored' THEN 0 WHEN status IN ('no_thermal_limit', 'no_base_flows') THEN 1
+         WHEN status IN ('contingency_unmapped', 'n1_disconnect') THEN b1 WHEN k IS NULL THEN b1 ELSE n1 END AS expected,
+    CASE WHEN status = 'unmapped_monitored' THEN 0 WHEN status IN ('no_thermal_limit', 'no_base_flows') THEN 2
+         WHEN status IN ('contingency_unmapped', 'n1_disconnect') THEN b2 * 1.5 WHEN k IS NULL THEN b2 ELSE n2 END AS hi FROM s2)
+SELECT constraint_id, status, ROUND(lo, 6) AS lo, ROUND(expected, 6) AS expected, ROUND(hi, 6) AS hi,
+       CASE WHEN hi > 1 THEN 'binds_under_n1' END AS flag FROM o""")
 
 
 def bus_map(spark, folder):
@@ -338,9 +370,8 @@ SELECT c.ord, ROUND(lon, 6) AS head_lon, ROUND(lon + CASE WHEN c.ord % 3 = 0 THE
     "pair_distances": (pair_distances, PAIRS),
     "impedance": (impedance, IMPEDANCE),
     "injections": (injections, INJECTIONS),
-    "loading_screen": (loading_screen, None),
-    "sensitivity": (sensitivity, None),
-    "base_flows": (base_flows, None),
+    "loading_screen": (loading_screen, LOADING_SCREEN),
+    "base_flows": (base_flows, BASE_FLOWS),
     "bus_map": (bus_map, BUS_MAP),
     "map_centre": (map_centre, duck(["v_points"], " SELECT ROUND(AVG(lat), 9) AS lat, ROUND(AVG(lon), 9) AS lon FROM v_points")),
 }

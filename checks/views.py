@@ -130,6 +130,13 @@ def definitions(d: Dialect) -> dict[str, tuple[tuple[str, ...], str]]:
             SELECT 'X' || CAST(s_suppkey AS STRING), CAST(s_suppkey AS STRING),
                    CAST((s_suppkey + 7) % (SELECT COUNT(*) FROM {supplier}) AS STRING), CAST(20 + s_nationkey AS DOUBLE), 230.0E0, 300.0E0 + s_suppkey
             FROM {supplier} WHERE s_suppkey % 5 = 0"""),
+        # sensitivities of ring lines at the buses near them; every ninth supplier's lines have none
+        "v_ptdf": (("v_ring",), """
+            SELECT line_id, CAST((f + o) % (SELECT COUNT(*) FROM {supplier}) AS STRING) AS bus_id,
+                   CASE WHEN o = 0 AND line_id LIKE 'X%' AND f % 10 = 0 THEN 1.0E0
+                        ELSE CAST((f * 7 + o * 13) % 21 - 10 AS DOUBLE) / 27.0E0 END AS ptdf
+            FROM (SELECT line_id, CAST(from_bus AS BIGINT) AS f FROM v_ring) CROSS JOIN (VALUES (0), (1), (2), (3)) AS near(o)
+            WHERE f % 9 <> 4"""),
         "v_buses": ((), """
             SELECT CAST(s_suppkey AS STRING) AS bus_id, CASE WHEN s_suppkey % 4 = 0 THEN 'gen' ELSE 'load' END AS role,
                    1.0E0 + s_nationkey AS weight, 30.0E0 + s_nationkey AS lat, -100.0E0 + s_suppkey % 11 AS lon,

@@ -1,19 +1,18 @@
-"""DC network tables: impedances, ratings, injections, flows and the N-1 loading screen."""
+"""DC network tables: impedances, ratings, injections, and the N-1 loading screen.
+
+Flows rest on a given table of sensitivities (line_id, bus_id, ptdf): the flow on a line per unit injected at a
+bus and withdrawn at the slack; absent rows are zeros. Only the pairs that constraints name are computed.
+"""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.functions import numeric
-from fluxsieve.operators.graph import component_labels
-from fluxsieve.session import at_most, cut
+from fluxsieve.session import cut
 
-MAX_SHARED_LINES = 200_000   # about 6 MB of (from, to, susceptance): safe to hand to every task
-DENSE_BUSES = 4_000
 ISLANDING = 1e-9
-FLOW_SCHEMA = "case_id string, line_id string, flow double"
 
 
 def reactance(length_mi: Column, kv: Column) -> Column:
@@ -64,236 +63,45 @@ def injections(buses: DataFrame, load: DataFrame) -> DataFrame:
         "snapshot", "bus_id", (F.col("load_mw") * F.col("share")).alias("mw"))
 
 
-def susceptance(lines: DataFrame) -> DataFrame:
-    """(line_id, from_bus, to_bus, b); a non-positive reactance counts as a very stiff line."""
-    x = F.col("reactance.expected")
-    return lines.select("line_id", "from_bus", "to_bus",
-                        (1.0 / F.when(x <= 0, F.lit(1e-6)).otherwise(x)).alias("b"))
-
-
-def transfer_cases(lines: DataFrame, line_ids: DataFrame) -> DataFrame:
-    """One unit transfer case per line: +1 at its from bus, -1 at its to bus."""
-    ends = F.explode(F.array(
-        F.struct(F.col("from_bus").alias("bus_id"), F.lit(1.0).alias("mw")),
-        F.struct(F.col("to_bus").alias("bus_id"), F.lit(-1.0).alias("mw")))).alias("e")
-    return lines.join(line_ids.distinct(), "line_id", "left_semi").select(
-        F.concat(F.lit("line:"), "line_id").alias("case_id"), ends).select("case_id", "e.*")
-
-
-def bus_cases(buses: DataFrame, slack: str) -> DataFrame:
-    """One case per bus, withdrawn at the slack: the columns of the sensitivity table."""
-    ends = F.explode(F.array(
-        F.struct(F.col("bus_id").alias("b"), F.lit(1.0).alias("mw")),
-        F.struct(F.lit(slack).alias("b"), F.lit(-1.0).alias("mw")))).alias("e")
-    return buses.select(F.concat(F.lit("bus:"), "bus_id").alias("case_id"), ends).select(
-        "case_id", F.col("e.b").alias("bus_id"), F.col("e.mw").alias("mw")
-    ).groupBy("case_id", "bus_id").agg(F.sum("mw").alias("mw"))
-
-
-def flows(lines: DataFrame, cases: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """Flow on every wanted line for every injection case.
-
-    ``lines``: susceptance table. ``cases``: case_id, bus_id, mw (sums to zero per case).
-    A network of proven small size is handed to the tasks, which solve blocks of cases in
-    parallel; a larger one is solved by conjugate gradients on DataFrames. A network in
-    several pieces has no balanced flows, so nothing comes out.
-    """
-    if at_most(lines, MAX_SHARED_LINES):
-        return _flows_in_tasks(lines, cases, wanted)
-    pieces = component_labels(lines.select(F.col("from_bus").alias("a"), F.col("to_bus").alias("b")))
-    if not at_most(pieces.select("label").distinct(), 1):
-        return cases.sparkSession.createDataFrame([], FLOW_SCHEMA)
-    return flows_by_iteration(lines, cases, wanted)
-
-
-def _flows_in_tasks(lines, cases, wanted):
-    table = lines.orderBy("line_id").toPandas()
-    names, ends = np.unique(np.concatenate([table["from_bus"], table["to_bus"]]), return_inverse=True)
-    if not len(table) or not _one_piece(len(names), ends[: len(table)], ends[len(table):]):
-        return cases.sparkSession.createDataFrame([], FLOW_SCHEMA)
-    shared = cases.sparkSession.sparkContext.broadcast({
-        "bus": {n: i for i, n in enumerate(names)}, "line": table["line_id"].to_numpy(),
-        "f": ends[: len(table)], "t": ends[len(table):], "b": table["b"].to_numpy(dtype=float)})
-    packed = cases.groupBy("case_id").agg(F.collect_list(F.struct("bus_id", "mw")).alias("rhs"))
-    out = packed.mapInPandas(_solver(shared), FLOW_SCHEMA)
-    return out if wanted is None else out.join(wanted, "line_id", "left_semi")
-
-
-def _solver(shared):
-    import pandas as pd
-
-    def solve(batches):
-        net = shared.value
-        n, f, t, b = len(net["bus"]), net["f"], net["t"], net["b"]
-        order = None
-        for frame in batches:
-            for start in range(0, len(frame), 64):
-                block = frame.iloc[start:start + 64]
-                rhs = np.zeros((n, len(block)))
-                for k, terms in enumerate(block["rhs"]):
-                    for term in terms:
-                        if term["bus_id"] in net["bus"]:
-                            rhs[net["bus"][term["bus_id"]], k] += term["mw"]
-                if n <= DENSE_BUSES:
-                    if order is None:
-                        order = _reduced_inverse(n, f, t, b)
-                    theta = order @ rhs
-                else:
-                    theta = _conjugate_gradient(n, f, t, b, rhs)
-                flow = b[:, None] * (theta[f] - theta[t])
-                yield pd.DataFrame({
-                    "case_id": np.repeat(block["case_id"].to_numpy(), len(b)),
-                    "line_id": np.tile(net["line"], len(block)),
-                    "flow": flow.T.ravel()})
-
-    return solve
-
-
-def _reduced_inverse(n, f, t, b):
-    laplacian = np.zeros((n, n))
-    np.add.at(laplacian, (f, f), b)
-    np.add.at(laplacian, (t, t), b)
-    np.add.at(laplacian, (f, t), -b)
-    np.add.at(laplacian, (t, f), -b)
-    inverse = np.zeros((n, n))
-    inverse[1:, 1:] = np.linalg.inv(laplacian[1:, 1:])
-    return inverse
-
-
-def _one_piece(n, f, t):
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[f], label[t])
-        fresh = label.copy()
-        np.minimum.at(fresh, f, low)
-        np.minimum.at(fresh, t, low)
-        fresh = fresh[fresh]
-        if (fresh == label).all():
-            return not label.any()
-        label = fresh
-
-
-def _conjugate_gradient(n, f, t, b, rhs, tolerance=1e-12):
-    def apply(x):
-        drop = b[:, None] * (x[f] - x[t])
-        y = np.zeros_like(x)
-        np.add.at(y, f, drop)
-        np.add.at(y, t, -drop)
-        return y
-
-    scale = np.zeros(n)
-    np.add.at(scale, f, b)
-    np.add.at(scale, t, b)
-    scale = 1.0 / np.maximum(scale, 1e-300)[:, None]
-    x = np.zeros_like(rhs)
-    r = rhs.copy()
-    z = scale * r
-    p, rz = z.copy(), (r * z).sum(axis=0)
-    goal = tolerance * np.maximum(np.abs(rhs).max(axis=0), 1e-300)
-    for _ in range(20 * n):
-        if (np.abs(r).max(axis=0) <= goal).all():
-            break
-        ap = apply(p)
-        step = rz / np.maximum((p * ap).sum(axis=0), 1e-300)
-        x += step * p
-        r -= step * ap
-        z = scale * r
-        fresh = (r * z).sum(axis=0)
-        p = z + np.where(rz > 0, fresh / np.maximum(rz, 1e-300), 0.0) * p
-        rz = fresh
-    return x
-
-
-def flows_by_iteration(lines: DataFrame, cases: DataFrame, wanted: DataFrame | None = None,
-                       tolerance: float = 1e-10, max_rounds: int | None = None) -> DataFrame:
-    """The same flows by preconditioned conjugate gradients in long form (case, bus).
-
-    Each round is one join with the line table and two aggregations; nothing is held whole in
-    one task. It is meant for networks above the size the tasks may share.
-    """
-    halves = cut(lines.select(F.col("from_bus").alias("bus_id"), F.col("to_bus").alias("far"), "b").unionByName(
-        lines.select(F.col("to_bus").alias("bus_id"), F.col("from_bus").alias("far"), "b")
-    ).groupBy("bus_id", "far").agg(F.sum("b").alias("b")))
-    diagonal = cut(halves.groupBy("bus_id").agg(F.sum("b").alias("d")))
-    keys = ["case_id", "bus_id"]
-    zero = F.lit(0.0)
-    # vectors are sparse: a case starts at its injections and spreads to neighbours
-    state = cut(cases.groupBy(*keys).agg(F.sum("mw").alias("r")).join(diagonal, "bus_id").select(
-        *keys, "d", zero.alias("x"), "r", (F.col("r") / F.col("d")).alias("p")))
-    scalars = cut(state.groupBy("case_id").agg(
-        F.sum(F.col("r") * F.col("r") / F.col("d")).alias("rz"), F.max(F.abs("r")).alias("size")))
-    rounds = max_rounds or 20 * diagonal.count()
-    for _ in range(rounds):
-        neighbour = state.select("case_id", F.col("bus_id").alias("far"), F.col("p").alias("pf"))
-        pulled = neighbour.join(halves, "far").groupBy("case_id", "bus_id").agg(
-            F.sum(F.col("b") * F.col("pf")).alias("pull"))
-        merged = state.select(*keys, "x", "r", "p", zero.alias("pull")).unionByName(
-            pulled.select(*keys, zero.alias("x"), zero.alias("r"), zero.alias("p"), "pull"))
-        applied = cut(
-            merged.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("x", "r", "p", "pull")])
-            .join(diagonal, "bus_id").withColumn("ap", F.col("d") * F.col("p") - F.col("pull")))
-        step = applied.groupBy("case_id").agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
-        step = scalars.join(step, "case_id").withColumn(
-            "alpha", F.when(F.col("pap") > 0, F.col("rz") / F.col("pap")).otherwise(F.lit(0.0)))
-        moved = cut(applied.join(step.select("case_id", "alpha"), "case_id").select(
-            "case_id", "bus_id", "d", (F.col("x") + F.col("alpha") * F.col("p")).alias("x"),
-            (F.col("r") - F.col("alpha") * F.col("ap")).alias("r"), "p"))
-        fresh = cut(moved.groupBy("case_id").agg(
-            F.sum(F.col("r") * F.col("r") / F.col("d")).alias("rz2"), F.max(F.abs("r")).alias("left"))
-            .join(scalars, "case_id"))
-        beta = F.when(F.col("rz") > 0, F.col("rz2") / F.col("rz")).otherwise(F.lit(0.0))
-        state = cut(moved.join(fresh.select("case_id", beta.alias("beta")), "case_id").withColumn(
-            "p", F.col("r") / F.col("d") + F.col("beta") * F.col("p")).drop("beta"))
-        scalars = cut(fresh.select("case_id", F.col("rz2").alias("rz"), "size"))
-        if fresh.where(F.col("left") > F.col("size") * tolerance).isEmpty():
-            break
-    theta = state.select("case_id", "bus_id", "x")
-    used = lines if wanted is None else lines.join(wanted, "line_id", "left_semi")
-    at_from = used.join(theta.withColumnRenamed("bus_id", "from_bus").withColumnRenamed("x", "xf"), "from_bus")
-    both = at_from.join(theta.withColumnRenamed("bus_id", "to_bus").withColumnRenamed("x", "xt"),
-                        ["case_id", "to_bus"])
-    return both.select("case_id", "line_id", (F.col("b") * (F.col("xf") - F.col("xt"))).alias("flow"))
-
-
-def sensitivity(lines: DataFrame, buses: DataFrame, slack: str) -> DataFrame:
-    """(line_id, bus_id, ptdf): flow per unit injected at the bus and withdrawn at the slack."""
-    return flows(susceptance(lines), bus_cases(buses, slack)).select(
-        "line_id", F.substring_index("case_id", ":", -1).alias("bus_id"), F.col("flow").alias("ptdf"))
-
-
-def flows_from_sensitivity(ptdf: DataFrame, inject: DataFrame) -> DataFrame:
-    """Base flows per (snapshot, line) as a join and a sum."""
+def base_flows(ptdf: DataFrame, inject: DataFrame) -> DataFrame:
+    """Base flows per (snapshot, line_id) as a join and a sum."""
     return ptdf.join(inject, "bus_id").groupBy("snapshot", "line_id").agg(
         F.sum(F.col("ptdf") * F.col("mw")).alias("flow"))
 
 
-def screen(constraints: DataFrame, lines: DataFrame, inject: DataFrame) -> DataFrame:
+def transfers(ptdf: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Flow on line m per unit sent from one end of line k to the other: (m, k, h) for each given pair."""
+    ends = F.explode(F.array(F.struct(F.col("from_bus").alias("bus_id"), F.lit(1.0).alias("sign")),
+                             F.struct(F.col("to_bus").alias("bus_id"), F.lit(-1.0).alias("sign")))).alias("e")
+    sent = pairs.distinct().join(lines.select(F.col("line_id").alias("k"), ends).select("k", "e.*"), "k")
+    at = ptdf.select(F.col("line_id").alias("m"), "bus_id", "ptdf")
+    return sent.join(at, ["m", "bus_id"], "left").groupBy("m", "k").agg(
+        F.sum(F.col("sign") * F.coalesce("ptdf", F.lit(0.0))).alias("h"))
+
+
+def screen(constraints: DataFrame, lines: DataFrame, inject: DataFrame, ptdf: DataFrame) -> DataFrame:
     """Loading range and screen status of every flowgate, none dropped.
 
     ``constraints``: constraint_id, monitored_line, contingency_line (null = none).
-    ``lines``: line_id, from_bus, to_bus, reactance, thermal_limit_mw (null = unknown).
+    ``lines``: line_id, from_bus, to_bus, thermal_limit_mw (null = unknown).
+    ``ptdf``: line_id, bus_id, ptdf. A monitored line without sensitivities has no base flows, a contingency
+    line without them counts as unmapped.
     Result: constraint_id, status, loading (lo = min, expected = mean, hi = max).
     """
-    branch = susceptance(lines)
-    rated = lines.select(F.col("line_id").alias("monitored_line"), "thermal_limit_mw",
-                         F.lit(True).alias("placed"))
-    placeable = lines.select(F.col("line_id").alias("contingency_line"), F.lit(True).alias("ctg_placed"))
+    known = ptdf.select("line_id").distinct()
+    rated = lines.select(F.col("line_id").alias("monitored_line"), "thermal_limit_mw", F.lit(True).alias("placed"))
+    placeable = lines.join(known, "line_id", "left_semi").select(
+        F.col("line_id").alias("contingency_line"), F.lit(True).alias("ctg_placed"))
     base = constraints.join(rated, "monitored_line", "left").join(placeable, "contingency_line", "left")
-    watched = base.where("placed").select(F.col("monitored_line").alias("line_id"))
-    outaged = base.where("placed and ctg_placed").select(F.col("contingency_line").alias("line_id"))
-    needed = watched.unionByName(outaged).distinct()
-    cases = inject.select(F.concat(F.lit("snap:"), "snapshot").alias("case_id"), "bus_id", "mw").unionByName(
-        transfer_cases(lines, outaged))
-    flow = cut(flows(branch, cases, needed))
-
-    snap = flow.where(F.col("case_id").startswith("snap:")).select(
-        F.substring(F.col("case_id"), 6, 10_000).alias("snapshot"), "line_id", "flow")
-    move = flow.where(F.col("case_id").startswith("line:")).select(
-        F.substring(F.col("case_id"), 6, 10_000).alias("contingency_line"), "line_id", "flow")
-    own = move.where("contingency_line = line_id").select(
-        "contingency_line", F.col("flow").alias("h_kk"))
-    cross = move.select("contingency_line", F.col("line_id").alias("monitored_line"),
-                        F.col("flow").alias("h_mk"))
+    base = cut(base)
+    both = base.where("placed and ctg_placed").select(
+        F.col("monitored_line").alias("m"), F.col("contingency_line").alias("k")).distinct()
+    moved = cut(transfers(ptdf, lines, both.unionByName(both.select(F.col("k").alias("m"), "k"))))
+    own = moved.where("m = k").select(F.col("k").alias("contingency_line"), F.col("h").alias("h_kk"))
+    cross = moved.select(F.col("k").alias("contingency_line"), F.col("m").alias("monitored_line"), F.col("h").alias("h_mk"))
+    watched = base.where("placed").select(F.col("monitored_line").alias("line_id")).unionByName(
+        both.select(F.col("k").alias("line_id"))).distinct()
+    snap = cut(base_flows(ptdf.join(watched, "line_id", "left_semi"), inject))
     paired = (
         base.join(own, "contingency_line", "left")
         .join(cross, ["contingency_line", "monitored_line"], "left")
@@ -302,7 +110,7 @@ def screen(constraints: DataFrame, lines: DataFrame, inject: DataFrame) -> DataF
         .join(snap.select(F.col("line_id").alias("contingency_line"), "snapshot",
                           F.col("flow").alias("f_k")), ["contingency_line", "snapshot"], "left"))
     islands = F.abs(1 - F.col("h_kk")) < ISLANDING
-    lodf = F.col("h_mk") / (1 - F.col("h_kk"))
+    lodf = F.try_divide(F.col("h_mk"), 1 - F.col("h_kk"))
     after = F.when(F.col("monitored_line") == F.col("contingency_line"), F.lit(0.0)).otherwise(
         F.col("f_m") + lodf * F.col("f_k"))
     ratio = F.when(F.col("thermal_limit_mw") > 0, F.lit(1.0) / F.col("thermal_limit_mw"))

@@ -62,7 +62,8 @@ def rank_region(tables: dict[str, DataFrame], settings: Settings | None = None,
                 table_coverage: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Rank the flowgates of a region.
 
-    ``tables``: the nine normalized text tables, each with an input ordinal ``ord``.
+    ``tables``: the nine normalized text tables, each with an input ordinal ``ord``, and ``sensitivity``
+    (line_id, bus_id, ptdf); flowgates on lines without sensitivities say so in their status.
     Returns flowgates (ranked, with every intermediate column), rows (export form),
     corridors and members.
     """
@@ -82,7 +83,8 @@ def rank_region(tables: dict[str, DataFrame], settings: Settings | None = None,
     constraints = signals.resolve_lines(tables["constraints"], lines).join(
         tables["constraints"].select("constraint_id", "ord"), "constraint_id")
     load = _numbers(tables["load_930"], ["load_mw"])
-    screened = network.screen(constraints, lines, network.injections(buses, load))
+    screened = network.screen(constraints, lines, network.injections(buses, load),
+                              _numbers(tables["sensitivity"], ["ptdf"]).select("line_id", "bus_id", "ptdf"))
     near = graph.queue_near(lines.select("line_id", "from_bus", "to_bus"), _numbers(tables["queue"], ["mw"]))
     plan = signals.planning_items(_numbers(tables["planning"], ["assigned_cost_musd"]))
     built = cut(signals.build_signals(

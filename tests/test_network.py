@@ -1,4 +1,3 @@
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,36 +12,24 @@ def lines_of(spark, rows):
         "line_id string, from_bus string, to_bus string, length_mi double, kv double, thermal_limit_mw double"))
 
 
-def test_two_thirds_of_a_transfer_takes_the_short_way(spark):
-    lines = lines_of(spark, TRIANGLE)
-    cases = spark.createDataFrame([("c", "A", 90.0), ("c", "C", -90.0)], "case_id string, bus_id string, mw double")
-    for solve in (network.flows, network.flows_by_iteration):
-        got = {r["line_id"]: r["flow"] for r in solve(network.susceptance(lines), cases).collect()}
-        assert got["L3"] == pytest.approx(60) and got["L1"] == pytest.approx(30) and got["L2"] == pytest.approx(30)
+# flows of a triangle of equal lines plus a stub: what goes in at a bus and out at C
+PTDF = [("L1", "A", 1 / 3), ("L1", "B", -1 / 3), ("L2", "A", 1 / 3), ("L2", "B", 2 / 3), ("L3", "A", 2 / 3), ("L3", "B", 1 / 3),
+        ("STUB", "D", -1.0)]
 
 
-def test_iteration_equals_a_dense_solve(spark):
-    rng = np.random.default_rng(4)
-    rows = [(f"L{i}", str(i), str((i + 1) % 9)) for i in range(9)] + [("X1", "0", "4"), ("X2", "2", "7")]
-    lines = network.susceptance(lines_of(spark, rows).withColumn(
-        "reactance", F.struct((F.col("length_mi") * (1 + F.length("line_id"))).alias("expected"))))
-    mw = rng.normal(size=9)
-    mw -= mw.mean()
-    cases = spark.createDataFrame([("c", str(i), float(v)) for i, v in enumerate(mw)], "case_id string, bus_id string, mw double")
-    a = {r["line_id"]: r["flow"] for r in network.flows(lines, cases).collect()}
-    b = {r["line_id"]: r["flow"] for r in network.flows_by_iteration(lines, cases).collect()}
-    assert set(a) == set(b)
-    assert all(abs(a[k] - b[k]) < 1e-8 for k in a)
-
-
-def test_screen_reroutes_islands_and_keeps_every_flowgate(spark):
+def screened(spark, rows, ptdf=PTDF):
     lines = lines_of(spark, TRIANGLE + [("STUB", "C", "D")])
     inject = spark.createDataFrame([("s", "A", 90.0), ("s", "C", -60.0), ("s", "D", -30.0)],
                                    "snapshot string, bus_id string, mw double")
+    c = spark.createDataFrame(rows, "constraint_id string, monitored_line string, contingency_line string")
+    table = spark.createDataFrame(ptdf, "line_id string, bus_id string, ptdf double")
+    return {r["constraint_id"]: (r["status"], tuple(r["loading"])) for r in network.screen(c, lines, inject, table).collect()}
+
+
+def test_screen_reroutes_islands_and_keeps_every_flowgate(spark):
     rows = [("base", "L3", None), ("outage", "L3", "L1"), ("own", "L3", "L3"), ("island", "L3", "STUB"),
             ("lost", None, "L1"), ("unknown", "L3", "NOPE")]
-    c = spark.createDataFrame(rows, "constraint_id string, monitored_line string, contingency_line string")
-    got = {r["constraint_id"]: (r["status"], tuple(r["loading"])) for r in network.screen(c, lines, inject).collect()}
+    got = screened(spark, rows)
     assert len(got) == len(rows)
     assert got["base"][0] == "ok" and got["base"][1][1] == pytest.approx(60 / 50)
     assert got["outage"][1][2] == pytest.approx(90 / 50)
@@ -52,17 +39,19 @@ def test_screen_reroutes_islands_and_keeps_every_flowgate(spark):
     assert got["unknown"][0] == "contingency_unmapped"
 
 
-def test_a_network_in_two_pieces_has_no_base_flows(spark):
-    lines = lines_of(spark, [("L1", "A", "B"), ("L2", "C", "D")])
-    inject = spark.createDataFrame([("s", "A", 1.0), ("s", "B", -1.0)], "snapshot string, bus_id string, mw double")
-    c = spark.createDataFrame([("f", "L1", None)], "constraint_id string, monitored_line string, contingency_line string")
-    got = network.screen(c, lines, inject).first()
-    assert got["status"] == "no_base_flows" and tuple(got["loading"]) == (0.0, 1.0, 2.0)
+def test_lines_without_sensitivities_say_so(spark):
+    got = screened(spark, [("f", "L3", None), ("g", "L1", "L3")], [p for p in PTDF if p[0] != "L3"])
+    assert got["f"] == ("no_base_flows", (0.0, 1.0, 2.0)) and got["g"][0] == "contingency_unmapped"
+
+
+def test_only_named_pairs_are_computed_and_ids_stay_whole(spark):
+    lines = lines_of(spark, [("R:1", "R:A", "R:B"), ("R:2", "R:B", "R:C")])
+    ptdf = spark.createDataFrame([("R:1", "R:A", 0.75), ("R:1", "R:B", -0.25)], "line_id string, bus_id string, ptdf double")
+    pairs = spark.createDataFrame([("R:1", "R:2"), ("R:1", "R:1"), ("R:1", "R:2")], "m string, k string")
+    got = {(r["m"], r["k"]): r["h"] for r in network.transfers(ptdf, lines, pairs).collect()}
+    assert got == {("R:1", "R:2"): -0.25, ("R:1", "R:1"): 1.0}
 
 
-def test_a_zero_length_line_is_stiff_not_infinite(spark):
-    lines = network.with_reactance(spark.createDataFrame(
-        [("L", "A", "B", 0.0, 345.0)], "line_id string, from_bus string, to_bus string, length_mi double, kv double"))
-    assert network.susceptance(lines).first()["b"] == pytest.approx(1e6)
+def test_typical_rating_goes_to_the_nearest_voltage(spark):
     near = spark.range(1).select(network.typical_rating(F.lit(253.0)).alias("a"), network.typical_rating(F.lit(92.0)).alias("b")).first()
     assert (near["a"], near["b"]) == (500.0, 70.0)

@@ -176,14 +176,11 @@ def _registry(spark, folder):
 
 def blocked_values(spark, folder):
     nodes, edges = _graph(spark, folder)
-    return lineage.blocked_values(lineage.source_closure(nodes, edges), _registry(spark, folder)).withColumn(
-        "offenders", F.array_join("offenders", ";"))
+    return lineage.blocked_values(lineage.source_closure(nodes, edges), _registry(spark, folder))
 
 
 BLOCKED = duck(["v_cov"], NODES + """
-SELECT node, string_agg(DISTINCT source, ';' ORDER BY source) AS offenders FROM (
-  SELECT node, CASE WHEN source LIKE '__unknown_node__:%' THEN 'unknown' ELSE source END AS source FROM closure
-  WHERE NOT (source IN (SELECT source FROM v_cov) AND source < 'n')) GROUP BY 1""")
+SELECT DISTINCT node, source FROM closure WHERE NOT (source IN (SELECT source FROM v_cov) AND source < 'n')""")
 
 
 def store_gate(spark, folder):

@@ -295,14 +295,7 @@ def duck(names, rest: str) -> str:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table. A file with a single row group reads in one task however many cores
-    there are, so such a table is spread before anything is computed on it; a table of many
-    files already has the partitions it needs and is left alone."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name == "lineitem" and len(df.inputFiles()) < cores:
-        return df.repartition(cores, "l_orderkey")
-    return df
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -104,13 +104,16 @@ def match_filings(kept: DataFrame, lines: DataFrame) -> DataFrame:
     lo, hi = _name_pair(F.replace("_a", F.lit(" "), F.lit("")), F.replace("_b", F.lit(" "), F.lit("")))
     summary = F.arrays_overlap("flags", F.array(*[F.lit(x) for x in fixed.AGGREGATE_FLAGS]))
     empty = (F.col("_a") == "") | (F.col("_b") == "")
-    # rows that are never joined carry no key, so they all stay out of the shuffle's hot spots
-    usable = ~summary & ~empty
-    named = (named.withColumn("_summary", summary).withColumn("_empty", empty)
-             .withColumn("name_lo", F.when(usable, lo)).withColumn("name_hi", F.when(usable, hi)))
-    hit = named.join(index, ["name_lo", "name_hi", "kv_key"], "left")
-    claims = hit.where("candidates = 1").groupBy("only_line").agg(F.count(F.lit(1)).alias("claims"))
-    hit = hit.join(claims, "only_line", "left")
+    named = named.withColumn("_summary", F.coalesce(summary, F.lit(False))).withColumn("_empty", empty)
+    # rows that can have no partner never enter a join: a null key would put all of them into one partition
+    joinable = ~F.col("_summary") & ~F.col("_empty") & F.col("kv_key").isNotNull()
+    met = named.where(joinable).withColumn("name_lo", lo).withColumn("name_hi", hi).join(
+        index, ["name_lo", "name_hi", "kv_key"], "left").drop("name_lo", "name_hi")
+    one = met.where("candidates = 1")
+    claims = one.groupBy("only_line").agg(F.count(F.lit(1)).alias("claims"))
+    hit = one.join(claims, "only_line").unionByName(
+        met.where("candidates IS NULL OR candidates <> 1"), allowMissingColumns=True).unionByName(
+        named.where(~F.coalesce(joinable, F.lit(False))), allowMissingColumns=True)
     key = F.concat("_a", F.lit("|"), "_b", F.lit(" @ "), text.number_text(F.col("kv_key")), F.lit(" kV"))
     many = F.col("candidates") > 1
     shared = F.col("claims") > 1
@@ -356,7 +359,9 @@ def place_requests(requests: DataFrame, buses: DataFrame) -> DataFrame:
     ``requests``: request_id, poi, mw, ...; adds near_bus and match.
     """
     keyed = requests.withColumn("poi_key", F.nullif(text.poi_key(F.col("poi")), F.lit("")))
-    hit = keyed.join(bus_name_index(buses), "poi_key", "left")
+    # requests without a name never enter the join: a null key would put all of them into one partition
+    hit = keyed.where("poi_key IS NOT NULL").join(bus_name_index(buses), "poi_key", "left").unionByName(
+        keyed.where("poi_key IS NULL"), allowMissingColumns=True)
     return hit.select(
         *requests.columns, F.when(F.col("buses") == 1, F.col("bus_id")).alias("near_bus"),
         F.when(F.col("buses") == 1, "exact").when(F.col("buses") > 1, "ambiguous")

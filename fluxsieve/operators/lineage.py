@@ -104,18 +104,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def blocked_values(closure: DataFrame, registry: DataFrame, values: DataFrame | None = None) -> DataFrame:
-    """Values whose sources include one that is unregistered or not publishable.
+    """Values whose sources include one that is unregistered or not publishable: rows (node, source).
 
-    ``registry``: source, publishable. ``values``: node (default: every node).
-    Result: node, offenders (sorted; a registry is a short list, so is the array).
+    ``registry``: source, publishable. ``values``: node (default: every node). An id without a node keeps
+    its name, so each unresolved input can be found.
     """
     asked = closure if values is None else closure.join(values, "node", "left_semi")
-    bad = asked.join(registry.select("source", "publishable"), "source", "left").where(
-        ~F.coalesce("publishable", F.lit(False)))
-    # unknown ids are counted, not listed: there may be any number of them
-    named = F.when(F.col("source").startswith(UNKNOWN), F.lit("unknown")).otherwise(F.col("source"))
-    return bad.groupBy("node", named.alias("source")).agg(F.lit(1).alias("_one")).groupBy("node").agg(
-        F.array_sort(F.collect_list("source")).alias("offenders"))
+    return asked.join(registry.select("source", "publishable"), "source", "left").where(
+        ~F.coalesce("publishable", F.lit(False))).select("node", "source").distinct()
 
 
 def blocked_sources(closure: DataFrame, registry: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def remedy_label(remedies: Column) -> Column:
 
 def same_station(facility: Column) -> Column:
     """A monitored line whose two ends carry the same name."""
-    ends = F.split(F.substring(facility, 4, 100_000), " - ", 2)
+    ends = F.split(F.regexp_replace(facility, "^LN ", ""), " - ", 2)
     return F.coalesce(facility.startswith("LN ") & facility.contains(" - ")
                       & (F.trim(F.get(ends, F.lit(0))) == F.trim(F.get(ends, F.lit(1)))), F.lit(False))
 

@@ -18,6 +18,7 @@ from fluxsieve.session import cut
 LEVELS = 14          # quartering a side 14 times leaves cells below 15 cm
 LEAF_POINTS = 16     # a cell with no more points than this is not split further
 SLACK = 1e-9         # relative slack when a bound, not a distance, decides
+MOST_LEVELS = 52  # halvings of a cell before its side is below the spacing of doubles
 
 
 def _box() -> Column:
@@ -170,7 +171,7 @@ def within_links(points: DataFrame, metres: float) -> DataFrame:
     open_pairs = left.drop("o").join(right, ["bx", "by"])
     limit = math.sin(metres / (2 * fixed.EARTH_RADIUS_M)) ** 2
     decided = []
-    for level in range(1, 42):  # at the last level a cell cannot hold two distinct doubles
+    for level in range(1, MOST_LEVELS):
         low, high = _box_pair_bounds(F.col("abox"), F.col("bbox"))
         single = (F.col("an") == 1) & (F.col("bn") == 1)
         exact = geo.haversine_m(F.col("abox.lat_lo"), F.col("abox.lon_lo"),
@@ -183,6 +184,8 @@ def within_links(points: DataFrame, metres: float) -> DataFrame:
         waiting = judged.where("near is null").join(linked, ["a0", "b0"], "left_anti")
         if waiting.isEmpty():
             break
+        if level == MOST_LEVELS - 1:
+            raise RuntimeError("places closer than doubles can tell apart at this distance; none is decided silently")
         fine = cells(level)
 
         def child(prefix):

@@ -46,8 +46,7 @@ def backtest_places(predictions: DataFrame, top_fraction: float = 0.05) -> DataF
     guessed = ordered_position(
         predictions, [F.col("predicted").desc(), F.col("constraint_id")], GROUP, "place")
     both = ordered_position(guessed, [F.col("held").desc(), F.col("constraint_id")], GROUP, "best_place")
-    # eight rows: two predictors by four splits
-    return both.join(F.broadcast(sized), GROUP)
+    return both.join(sized, GROUP)
 
 
 def backtest_metrics(places: DataFrame) -> DataFrame:

@@ -68,8 +68,7 @@ def panel_cells(footprint: DataFrame, history: DataFrame, coverage: DataFrame, s
         verified(footprint).groupBy("constraint_id").agg(F.lit(1).alias("_one")).drop("_one")
         .withColumn("market", F.explode(_markets(coverage)))
         .withColumn("period", F.explode(window_months(coverage, start, end))))
-    # at most two markets by the months of the window: the calendar bounds this table
-    covered = F.broadcast(coverage.select("market", "period", "days_covered", "days_expected", "raw_refs"))
+    covered = coverage.select("market", "period", "days_covered", "days_expected", "raw_refs")
     seen = history.select("constraint_id", "market", "period", *VALUES, F.lit(True).alias("listed"))
     joined = grid.join(covered, ["market", "period"], "left").join(
         seen, ["constraint_id", "market", "period"], "left")
@@ -221,7 +220,7 @@ def panel_facts(history: DataFrame, coverage: DataFrame, history_stamp: dict, co
         for c, u in units.items()]))
     partial = F.col("_status") == "partial"
     values = (
-        history.join(F.broadcast(coverage.select("market", "period", status.alias("_status"))),
+        history.join(coverage.select("market", "period", status.alias("_status")),
                      ["market", "period"], "left")
         .select("constraint_id", "market", "period", "_status", cells.alias("c")).where("c.value is not null")
         .select(F.concat_ws(":", F.lit("panel"), "market", month, "constraint_id", "c.field").alias("lineage_id"),

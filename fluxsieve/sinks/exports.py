@@ -8,7 +8,10 @@ from fluxsieve import fixed
 from fluxsieve.functions import text
 from fluxsieve.operators import validation
 from fluxsieve.plans import panel
-from fluxsieve.sources.tables import file_digests
+from fluxsieve.sources.tables import file_digests, read_text_table
+
+#: A quote inside a cell is doubled, so cells with quotes, commas and line breaks read back as they were.
+CSV = {"header": True, "escape": '"', "quoteAll": False, "emptyValue": "", "nullValue": ""}
 
 
 def sheet_safe_rows(df: DataFrame) -> DataFrame:
@@ -24,16 +27,15 @@ def write_table(df: DataFrame, root: str, name: str, order: list[str], stamp: di
     """Write a normalized table in key order and append its manifest row.
 
     ``files`` fixes the file count for small tables; large ones keep one file per sorted range.
-    The row count comes from the written files, so the plan runs once.
+    The row count comes from the written files, read as the table is read later, so the plan runs once.
     """
     if coverage not in fixed.COVERAGE_LEVELS:
         raise validation.Refused(f"coverage must be one of {fixed.COVERAGE_LEVELS}")
     spark = df.sparkSession
     target = f"{root}/normalized/{name}"
     laid = df.orderBy(*order)
-    (laid.coalesce(files) if files else laid).write.mode("overwrite").options(
-        header=True, emptyValue="", nullValue="").csv(target)
-    rows = spark.read.option("header", True).schema(df.schema).csv(target).count()
+    (laid.coalesce(files) if files else laid).write.mode("overwrite").options(**CSV).csv(target)
+    rows = read_text_table(spark, target).count()
     if rows == 0 and coverage == "observed":
         coverage = "unobserved"
     append_manifest(spark, root, name, stamp, rows, coverage, note, contributors or [], column_sources or {})
@@ -66,7 +68,7 @@ def export_scores(rows: DataFrame, corridors: DataFrame, members: DataFrame, fol
     """Ranked flowgates as JSON, CSV and Parquet; corridors and their members as JSON."""
     ordered = rows.orderBy("rank")
     ordered.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/scores.json")
-    sheet_safe_rows(ordered).write.mode("overwrite").option("header", True).csv(f"{folder}/scores.csv")
+    sheet_safe_rows(ordered).write.mode("overwrite").options(**CSV).csv(f"{folder}/scores.csv")
     ordered.write.mode("overwrite").parquet(f"{folder}/scores.parquet")
     corridors.orderBy("corridor_rank").write.mode("overwrite").option("ignoreNullFields", False).json(
         f"{folder}/shortlist.json")
@@ -129,8 +131,7 @@ def export_panel(footprint: DataFrame, history: DataFrame, coverage: DataFrame,
              "coverage": panel.coverage_rows(coverage, start, end).orderBy("market", "period"),
              "unresolved": panel.unresolved(footprint)}
     for name, df in parts.items():
-        sheet_safe_rows(df).write.mode("overwrite").options(header=True, emptyValue="", nullValue="").csv(
-            f"{folder}/{name}.csv")
+        sheet_safe_rows(df).write.mode("overwrite").options(**CSV).csv(f"{folder}/{name}.csv")
     summary.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/summary.json")
 
 

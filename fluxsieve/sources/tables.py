@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fluxsieve import fixed
@@ -17,9 +19,12 @@ MANIFEST_SCHEMA = (
     "raw map<string, struct<url:string,path:string,sha256:string,retrieved_at:string,bytes:bigint>>")
 
 
-def read_text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header, every cell text; quoted line breaks are kept, a blank cell is null."""
-    return spark.read.options(header=True, multiLine=True, escape='"', nullValue="\x00",
+def read_text_table(spark: SparkSession, path: str | list[str], line_breaks: bool = True) -> DataFrame:
+    """CSV with a header, every cell text, a blank cell is null.
+
+    ``line_breaks``: cells may hold quoted line breaks; without them large files are split between tasks.
+    """
+    return spark.read.options(header=True, multiLine=line_breaks, escape='"', nullValue="\x00",
                               emptyValue="", inferSchema=False).csv(path)
 
 
@@ -102,17 +107,26 @@ def missing_tables(tables: DataFrame, required=fixed.SNAPSHOT_TABLES) -> DataFra
     return wanted.join(tables.select("table"), "table", "left_anti")
 
 
+def folder_files(spark: SparkSession, root: str) -> DataFrame:
+    """(relative, path) of every file below a folder; contents are not read."""
+    inside = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/") + "/"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    begin = F.locate(inside, F.col("path")) + len(inside)
+    return found.select(F.substring("path", begin, F.length("path")).alias("relative"), "path")
+
+
 def digest_failures(spark: SparkSession, root: str, entries: DataFrame, key: str) -> DataFrame:
-    """Manifest entries whose file is missing or does not hash to the recorded digest.
+    """Manifest entries whose file is missing (found is null) or does not hash to the recorded digest.
 
-    ``entries``: key column, path (relative to root), sha256. A manifest is a short list.
+    ``entries``: key column, path (relative to root), sha256. Entries meet files by their whole relative path.
     """
-    rows = entries.select(key, "path", "sha256").collect()
-    paths = [f"{root.rstrip('/')}/{r['path']}" for r in rows]
-    found = file_digests(spark, paths).select(
-        F.element_at(F.split("path", "/"), -1).alias("_file"), "path", F.col("sha256").alias("found"))
     wanted = entries.select(key, F.col("path").alias("relative"), "sha256")
-    return wanted.join(found, found["path"].endswith(F.concat(F.lit("/"), wanted["relative"])), "left").where(
+    present = wanted.select("relative").distinct().join(folder_files(spark, root), "relative")
+    paths = [r["path"] for r in present.select("path").collect()]  # a manifest is a short list
+    if not paths:
+        return wanted.withColumn("found", F.lit(None).cast("string"))
+    found = present.join(file_digests(spark, paths).select("path", F.col("sha256").alias("found")), "path")
+    return wanted.join(found.select("relative", "found"), "relative", "left").where(
         ~F.col("sha256").eqNullSafe(F.col("found"))).select(key, "relative", "sha256", "found")
 
 

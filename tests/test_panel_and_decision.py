@@ -84,10 +84,16 @@ def test_one_element_shares_its_draws(spark):
     assert joint.where("idle = 2").count() > 0
 
 
-def test_scenarios_change_one_thing_each():
-    made = decision.scenarios(PRIORS)
-    assert made[0][0] == "baseline" and made[-1] == ("forward rent off", PRIORS, False)
-    assert len({n for n, _, _ in made}) == len(made)
+def test_scenarios_change_one_thing_each(spark):
+    moves = spark.range(1).select(decision.prior_settings(PRIORS).alias("p"), F.explode(decision.scenario_array(PRIORS)).alias("s"))
+    made = moves.select("s.*", "p", decision.moved_prior(F.col("p"), F.col("s")).alias("q")).collect()
+    assert {r["scenario"] for r in made} >= {"baseline", "forward rent off"} and len({r["scenario"] for r in made}) == len(made)
+    for r in made:
+        flat = [{(k, c): x for k, v in r[side].asDict(True).items() for c, x in (v if isinstance(v, dict) else {None: v}).items()}
+                for side in ("p", "q")]
+        changed = {k for k in flat[0] if flat[0][k] != flat[1][k]} - {("forward", None)}
+        assert changed <= {(r["target"], r["class"])} and r["forward"] == (r["scenario"] != "forward rent off")
+        assert changed or r["target"] is None or r["class"] is None
     with pytest.raises(ValueError):
         decision.check_priors({**PRIORS, "haircut": {"lo": 0.5, "mode": 0.4, "hi": 0.9}})
 

@@ -181,3 +181,29 @@ def test_table_sinks_check_before_they_write(spark, tmp_path):
     exports.write_table(coverage.limit(0), root, "planning", ["period"], stamp, files=1)
     kinds = {r["table"]: r["coverage"] for r in spark.read.json(f"{root}/manifest").collect()}
     assert kinds == {"constraint_coverage": "observed", "planning": "unobserved"}
+
+
+def test_written_cells_read_back_as_they_were(spark, tmp_path):
+    rows = [("1", 'say "hi", ok'), ("2", "two\nlines, \"quoted\""), ("3", "back\\slash"), ("4", ""), ("5", None)]
+    stamp = {"source": "a", "source_version": "v1", "retrieved_at": "2026-01-02T00:00:00Z"}
+    exports.write_table(spark.createDataFrame(rows, "k string, v string"), str(tmp_path), "cells", ["k"], stamp)
+    got = {r["k"]: r["v"] for r in tables.read_text_table(spark, f"{tmp_path}/normalized/cells").collect()}
+    assert got == {k: v or None for k, v in rows}
+    assert spark.read.json(f"{tmp_path}/manifest").first()["rows"] == len(rows)
+
+
+def test_digests_meet_files_by_their_whole_path(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    bodies = {"x.csv": "one", "sub/x.csv": "two"}
+    for name, body in bodies.items():
+        (tmp_path / name).write_text(body)
+    digest = {n: hashlib.sha256(b.encode()).hexdigest() for n, b in bodies.items()}
+
+    def failures(rows):
+        return {r["t"]: r["found"] for r in tables.digest_failures(
+            spark, str(tmp_path), spark.createDataFrame(rows, "t string, path string, sha256 string"), "t").collect()}
+
+    assert failures([("a", n, d) for n, d in digest.items()][:2]) == {}
+    assert failures([("a", "x.csv", digest["sub/x.csv"]), ("b", "sub/x.csv", digest["sub/x.csv"]), ("c", "gone.csv", "0")]) == {
+        "a": digest["x.csv"], "c": None}
+    assert failures([("c", "gone.csv", "0")]) == {"c": None}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -58,12 +59,64 @@ def observed_lines(tables: dict[str, DataFrame]) -> DataFrame:
     return network.with_rating(network.with_reactance(lines))
 
 
+#: Key column of each table whose cells become facts, and the tables each signal rests on.
+FACT_KEYS = {"constraints": "constraint_id", "congestion": "constraint_id", "planning": "constraint_id",
+             "hifld_lines": "line_id", "eia_lines": "line_id", "ferc1_lines": "line_id", "queue": "request_id"}
+SIGNAL_TABLES = {"rent": ("congestion",), "persistence": ("congestion",), "cost_of_inaction": ("congestion", "planning"),
+                 "planning": ("planning",), "loading": ("hifld_lines", "eia_lines", "ferc1_lines"),
+                 "demand_pressure": ("queue",)}
+
+
+def run_facts(tables: dict[str, DataFrame], stamps: DataFrame) -> DataFrame:
+    """Every non-blank cell of the input tables as a fact with its source: lineage_id, table, key, field, source."""
+    parts = []
+    for name, key in FACT_KEYS.items():
+        fields = [c for c in tables[name].columns if c not in (key, "ord")]
+        parts.append(lineage.cell_facts(tables[name], name, key, fields, stamps).select(
+            "lineage_id", "table", F.col("key").cast("string").alias("key"), "field", "source"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_lineage(tables: dict[str, DataFrame], constraints: DataFrame, lines: DataFrame,
+                stamps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(facts, nodes, edges): a signal cites the facts of its flowgate in each of its tables; a table that holds
+    none for the flowgate is cited itself, with its own stamps. Queue facts are cited through their bus."""
+    facts = cut(run_facts(tables, stamps))
+    cells = facts.select("table", "key", F.col("lineage_id").alias("parent"))
+    ids = constraints.select("constraint_id", "monitored_line")
+    uses = F.explode(F.array(*[F.struct(F.lit(s).alias("signal"), F.lit(t).alias("table"))
+                               for s, own in SIGNAL_TABLES.items() for t in own])).alias("u")
+    wanted = ids.select("constraint_id", "monitored_line", uses).select(
+        F.concat(F.lit("signal:"), "u.signal", F.lit(":"), "constraint_id").alias("child"), "u.table",
+        F.when(F.col("u.table").isin("congestion", "planning"), F.col("constraint_id"))
+        .otherwise(F.col("monitored_line")).alias("key"))
+    direct = wanted.where("table <> 'queue'").join(cells, ["table", "key"]).select("child", "table", "parent")
+    at_bus = tables["queue"].select(F.col("request_id").alias("key"), F.concat(F.lit("bus:"), "near_bus").alias("bus")).where(
+        "bus IS NOT NULL").join(cells.where("table = 'queue'"), "key").select(F.col("bus").alias("child"), "parent")
+    ends = lines.select(F.col("line_id").alias("key"), F.explode(F.array("from_bus", "to_bus")).alias("bus"))
+    near = wanted.where("table = 'queue'").join(ends, "key").select(
+        "child", "table", F.concat(F.lit("bus:"), "bus").alias("parent")).join(
+        at_bus.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi").select("child", "table", "parent")
+    cited = cut(direct.unionByName(near))
+    bare = wanted.select("child", "table").join(cited.select("child", "table").distinct(), ["child", "table"], "left_anti")
+    whole = stamps.where("role in ('table', 'contributor')").select(
+        "table", F.concat(F.lit("table:"), "table", F.lit(":"), "source").alias("id"), "source").distinct()
+    edges = cited.select("child", "parent").unionByName(
+        bare.join(whole, "table").select("child", F.col("id").alias("parent"))).unionByName(at_bus).distinct()
+    nodes = facts.select(F.col("lineage_id").alias("id"), "source").unionByName(whole.select("id", "source")).unionByName(
+        wanted.select(F.col("child").alias("id"), F.lit("signal").alias("source")).distinct()).unionByName(
+        at_bus.select(F.col("child").alias("id"), F.lit("bus").alias("source")).distinct())
+    return facts, cut(nodes), cut(edges)
+
+
 def rank_region(tables: dict[str, DataFrame], settings: Settings | None = None,
-                table_coverage: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                table_coverage: dict[str, str] | None = None, stamps: DataFrame | None = None) -> dict[str, DataFrame]:
     """Rank the flowgates of a region.
 
     ``tables``: the nine normalized text tables, each with an input ordinal ``ord``, and ``sensitivity``
     (line_id, bus_id, ptdf); flowgates on lines without sensitivities say so in their status.
+    ``stamps``: table, role, column, source, source_version, retrieved_at of the tables; with them every score
+    says which sources it rests on, and facts, nodes and edges of the lineage are returned too.
     Returns flowgates (ranked, with every intermediate column), rows (export form),
     corridors and members.
     """
@@ -98,8 +151,14 @@ def rank_region(tables: dict[str, DataFrame], settings: Settings | None = None,
     scored = cut(judged.join(stable, "constraint_id"))
     if cfg.priors:
         scored = cut(with_value(scored, cfg))
+    graph_tables = {}
+    if stamps is not None:
+        facts, nodes, edges = run_lineage(tables, constraints, lines, stamps)
+        trail = source_trail(scored, lineage.source_closure(nodes, edges))
+        scored = cut(scored.drop("provenance").join(trail, "constraint_id"))
+        graph_tables = {"facts": facts, "nodes": nodes, "edges": edges}
     ranked = cut(scoring.with_rank(scored, cfg.by_value))
-    return {"flowgates": ranked, "rows": corridors.export_rows(ranked),
+    return graph_tables | {"flowgates": ranked, "rows": corridors.export_rows(ranked),
             "corridors": corridors.corridor_rollup(ranked.withColumn(
                 "get_shown", remedies.remedy_label(F.col("remedies")))),
             "members": corridors.corridor_members(ranked), "lines": lines, "buses": buses}

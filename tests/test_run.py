@@ -33,7 +33,20 @@ def tables(spark, parts):
 @pytest.fixture(scope="module")
 def runs(spark):
     settings = ranking.Settings(draws=200, by_value=True, priors=PRIORS, forward=FORWARD)
-    return [ranking.rank_region(tables(spark, n), settings) for n in (1, 3)]
+    stamps = spark.createDataFrame([(t, "table", None, f"src_{t}", "v1", "2026-01-01") for t in TABLES]
+                                   + [("congestion", "column", "hours_binding", "src_hours", "v1", "2026-01-01")],
+                                   "table string, role string, column string, source string, source_version string, retrieved_at string")
+    return [ranking.rank_region(tables(spark, n), settings, stamps=stamps) for n in (1, 3)]
+
+
+def test_every_score_names_the_sources_it_rests_on(runs):
+    rows = {r["constraint_id"]: r["provenance"] for r in runs[0]["flowgates"].collect()}
+    # dollars, hours, lines, plan and a request at bus A; F4 has no line, so what lines carry was asked in vain
+    assert rows["F1"].endswith("data=src_congestion,src_eia_lines,src_ferc1_lines,src_hifld_lines,src_hours,src_planning,src_queue")
+    assert rows["F4"].endswith("data=src_congestion,src_hours,src_planning; absent=src_eia_lines,src_ferc1_lines,src_hifld_lines,src_queue")
+    assert "src_hours" not in rows["F3"] and "src_congestion" in rows["F3"]  # the table was asked, its hours cell is not there
+    ids = {r["lineage_id"] for r in runs[0]["facts"].collect()}
+    assert "obs:congestion:F1:monthly_cost_musd" in ids and "obs:ferc1_lines:L3:thermal_limit_mw" not in ids
 
 
 def test_every_flowgate_is_ranked_and_layout_does_not_matter(runs):

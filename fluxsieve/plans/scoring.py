@@ -72,14 +72,6 @@ def composite_draws(signals: DataFrame, *, weights: dict[str, float] | None = No
     return rows.select("constraint_id", "draw", total.alias("composite"))
 
 
-def percentile_band(draws: DataFrame, value: str, total: int) -> DataFrame:
-    """p5, p50 and p95 per flowgate, linear. A group holds exactly ``total`` values, one per
-    draw, so the sorted array it becomes has a size the settings fix."""
-    held = draws.groupBy("constraint_id").agg(F.sort_array(F.collect_list(value)).alias("_v"))
-    return held.select("constraint_id", *[
-        _linear(F.col("_v"), total, p).alias(n) for n, p in (("lo", 0.05), ("expected", 0.5), ("hi", 0.95))])
-
-
 def _linear(sorted_values: Column, total: int, p: float) -> Column:
     at = p * (total - 1)
     low, share = int(at), at - int(at)
@@ -87,39 +79,48 @@ def _linear(sorted_values: Column, total: int, p: float) -> Column:
     return a if share == 0 else a + (F.get(sorted_values, F.lit(low + 1)) - a) * F.lit(share)
 
 
-def top_share(draws: DataFrame, value: str, k: int, total: int, positive_only: bool = False) -> DataFrame:
-    """Share of draws in which a flowgate is among the k largest; ties go to the smaller id.
-
-    One draw holds each flowgate once, so the per-draw groups are all of the same size, and
-    the rank limit prunes them before the shuffle.
-    """
-    order = Window.partitionBy("draw").orderBy(F.col(value).desc(), F.col("constraint_id"))
-    best = draws.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
-    if positive_only:
-        best = best.where(F.col(value) > 0)
-    return best.groupBy("constraint_id").agg((F.count(F.lit(1)) / F.lit(float(total))).alias("p_top_k"))
-
-
-ACCURACY = 10_000  # rank error of the approximate percentile is at most rows / ACCURACY
+#: Where the classes around the shortlist's threshold begin, as multiples of the shortlist's share of all rows.
+CLASS_SHARES = (3.0, 2.0, 1.5, 1.25, 1.1, 1.0, 0.9, 0.75, 0.5)
 
 
-def contenders(signals: DataFrame, weights: dict[str, float], top_fraction: float) -> DataFrame:
-    """Flowgates that can be among the top k of some draw; the others provably never are.
+def band_and_share(draws: DataFrame, value: str, k: int, total: int, positive_only: bool = False) -> DataFrame:
+    """p5, p50, p95 of each flowgate's draws, and the share of draws in which it is among the k largest.
 
-    A composite lies between the weighted sums of its ranges' ends. At least k flowgates have
-    a lower end at or above a bound taken well below the k-th largest lower end, so a
-    flowgate whose upper end is below that bound cannot enter. The bound comes from a
-    mergeable sketch, with a margin far above its error.
+    ``draws``: constraint_id, draw (1 to ``total``), ``value``; made once, and kept as one array per flowgate.
+    Values fall into a few classes around the threshold (their edges only steer the work). Counting classes per
+    draw, combined on the map side, tells which class holds rank k: what lies above it is a hit where it stands,
+    and only that class is shuffled by draw to settle its order. Ties go to the smaller id.
     """
-    rank = 1.0 - 1.25 * top_fraction - 2.0 / signals.count() - 10.0 / ACCURACY
-    if rank <= 0:
-        return signals
-
-    def end(k):
-        return sum((F.lit(float(w)) * F.col(f"sig_{n}.{k}") for n, w in weights.items()), F.lit(0.0))
-
-    bound = signals.agg(F.percentile_approx(end("lo"), F.lit(rank), F.lit(ACCURACY))).scalar()
-    return signals.where(end("hi") >= bound - 1e-9)
+    listed = draws.groupBy("constraint_id").agg(F.array_sort(F.collect_list(F.struct("draw", value))).alias("_v"))
+    held = cut(listed.select("constraint_id", F.transform("_v", lambda x: x[value]).alias("v")))
+    shares = [max(0.0, 1.0 - s * k / max(held.count(), 1)) for s in CLASS_SHARES]
+    edges = held.agg(F.percentile_approx(F.get("v", F.lit(0)), shares)).first()[0] or []
+    each = held.select("constraint_id", F.posexplode("v").alias("draw", "x"))
+    level = F.lit(0)
+    for i, edge in enumerate(sorted(set(edges))):
+        level = F.when(F.col("x") >= edge, i + 1).otherwise(level)
+    each = each.withColumn("class", level)
+    counts = each.groupBy("draw", "class").agg(F.count(F.lit(1)).alias("n"))
+    down = Window.partitionBy("draw").orderBy(F.col("class").desc())  # at most one row per class in a draw
+    reached = counts.withColumn("up_to", F.sum("n").over(down)).where(F.col("up_to") >= k)
+    last = reached.groupBy("draw").agg(F.max_by(F.struct("class", (k - F.col("up_to") + F.col("n")).alias("room")), "class").alias("c"))
+    # one small struct per draw: the settings bound the array
+    limits = cut(last.agg(F.transform(F.array_sort(F.collect_list(F.struct("draw", "c"))), lambda x: x["c"]).alias("limits")))
+    judged = each.withColumn("limit", F.get(limits.scalar(), F.col("draw")))
+    counted = judged.where(F.col("x") > 0) if positive_only else judged
+    sure = counted.where(F.col("class") > F.col("limit.class")).groupBy("constraint_id").agg(F.count(F.lit(1)).alias("hits"))
+    order = Window.partitionBy("draw").orderBy(F.col("x").desc(), "constraint_id")
+    settled = judged.where(F.col("class") == F.col("limit.class")).withColumn("place", F.row_number().over(order)).where(
+        F.col("place") <= F.col("limit.room"))
+    if positive_only:
+        settled = settled.where(F.col("x") > 0)
+    hits = sure.unionByName(settled.groupBy("constraint_id").agg(F.count(F.lit(1)).alias("hits"))).groupBy(
+        "constraint_id").agg(F.sum("hits").alias("hits"))
+    band = held.select("constraint_id", F.sort_array("v").alias("v")).select("constraint_id", *[
+        _linear(F.col("v"), total, p).alias(n) for n, p in (("lo", 0.05), ("expected", 0.5), ("hi", 0.95))])
+    return band.join(hits, "constraint_id", "left").select(
+        "constraint_id", "lo", "expected", "hi",
+        (F.coalesce("hits", F.lit(0)) / F.lit(float(total))).alias("p_top_k"))
 
 
 def rank_stability(signals: DataFrame, *, weights: dict[str, float] | None = None,
@@ -129,14 +130,10 @@ def rank_stability(signals: DataFrame, *, weights: dict[str, float] | None = Non
     weights = weights or fixed.DEFAULT_WEIGHTS
     kept = cut(signals.select("constraint_id", *[f"sig_{n}" for n in weights]))
     k = top_k(kept.count(), top_fraction)
-    rivals = contenders(kept, weights, top_fraction)
-    share = top_share(composite_draws(rivals, weights=weights, draws=draws, seed=seed, portable=portable),
-                      "composite", k, draws)
-    band = percentile_band(
-        composite_draws(kept, weights=weights, draws=draws, seed=seed, portable=portable), "composite", draws)
-    return band.join(share, "constraint_id", "left").select(
-        "constraint_id", F.coalesce("p_top_k", F.lit(0.0)).alias("p_top_k"),
-        F.col("lo").alias("composite_lo"), F.col("expected").alias("composite_expected"),
+    found = band_and_share(
+        composite_draws(kept, weights=weights, draws=draws, seed=seed, portable=portable), "composite", k, draws)
+    return found.select(
+        "constraint_id", "p_top_k", F.col("lo").alias("composite_lo"), F.col("expected").alias("composite_expected"),
         F.col("hi").alias("composite_hi"))
 
 

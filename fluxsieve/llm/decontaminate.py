@@ -70,9 +70,9 @@ def bloom(hashes: DataFrame) -> np.ndarray:
         F.col("h").bitwiseAND(F.lit(BLOOM_BITS - 1)),
         F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(BLOOM_BITS - 1)))).alias("bit"))
     one = F.call_function("shiftleft", F.lit(1), F.col("bit").bitwiseAND(F.lit(7)).cast("int"))
-    held = bits.groupBy(F.shiftright("bit", 3).alias("byte")).agg(F.bit_or(one).alias("bits")).toPandas()
+    held = bits.groupBy(F.shiftright("bit", 3).alias("byte")).agg(F.bit_or(one).alias("bits")).toArrow()
     out = np.zeros(BLOOM_BITS // 8, np.uint8)
-    out[held["byte"].to_numpy(np.int64)] = held["bits"].to_numpy(np.uint8)
+    out[held["byte"].to_numpy()] = held["bits"].to_numpy()
     return out
 
 

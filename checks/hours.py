@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from checks.views import duck, view
 from fluxsieve import fixed
-from fluxsieve.functions import text
+from fluxsieve.functions import numeric, text
 from fluxsieve.operators import rollups
-from fluxsieve.sources.market import month_violations
+from fluxsieve.sources.market import binding_hours, dollar_fields, month_violations, operating_plants, settled_fields
 
 KEPT = """, kept AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY utc, name, monitored, contingency ORDER BY ord) AS rn
@@ -139,15 +139,82 @@ FROM v_hours GROUP BY contingent""")
 
 
 def hour_months(spark, folder):
+    """Rows filed under another month than their hour: every hour is filed under its calendar month here, so
+    those that end at the first midnight of a month are wrong."""
     rows = view(spark, folder, "v_hours").select(
-        F.date_format("utc", fixed.MARKET_TIME).alias("Interval"), F.trunc("utc", "month").alias("file_month"))
+        F.date_format(F.date_trunc("day", "utc"), fixed.MARKET_TIME).alias("Interval"), F.trunc("utc", "month").alias("file_month"))
     return month_violations(rows).groupBy(F.col("file_month").cast("string").alias("file_month")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
 HOUR_MONTHS = duck(HOURS, """
 SELECT CAST(CAST(date_trunc('month', utc) AS DATE) AS VARCHAR) AS file_month, COUNT(*) AS n FROM v_hours
-WHERE month <> CAST(date_trunc('month', utc) AS DATE) GROUP BY 1""")
+WHERE EXTRACT(DAY FROM utc) = 1 GROUP BY 1""")
+
+
+def _hour_text(spark, folder):
+    """The hourly rows as their published text columns."""
+    stamp = F.date_format("utc", fixed.MARKET_TIME)
+    return view(spark, folder, "v_hours").where(numeric.usable_constraint_name(F.col("name"), F.col("contingency"))).select(
+        stamp.alias("Interval"), stamp.alias("GMTIntervalEnd"), F.col("name").alias("Constraint Name"),
+        F.col("kind").alias("Constraint Type"), F.col("state").alias("State"), F.col("price").cast("string").alias("Shadow Price"),
+        F.col("monitored").alias("Monitored Facility"), F.col("contingent").alias("Contingent Facility"),
+        F.col("contingency").alias("Contingency Name"), F.col("month").alias("file_month"))
+
+
+def binding_text(spark, folder):
+    """Published hourly text parsed into binding rows."""
+    return binding_hours(_hour_text(spark, folder)).groupBy("name", "contingency", "month").agg(
+        F.count(F.lit(1)).alias("n"), F.min("utc").alias("first"), F.max("utc").alias("last"),
+        F.sum(F.col("price").cast("decimal(20,4)")).cast("double").alias("price"), F.max("monitored").alias("monitored"),
+        F.max("contingent").alias("contingent"), F.max("kind").alias("kind"), F.max("state").alias("state"))
+
+
+BINDING_TEXT = duck(HOURS, """
+SELECT name, contingency, month, COUNT(*) AS n, MIN(utc) AS first, MAX(utc) AS last, CAST(SUM(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) AS price,
+       MAX(monitored) AS monitored, MAX(contingent) AS contingent, MAX(kind) AS kind, MAX(state) AS state FROM v_hours GROUP BY 1, 2, 3""")
+
+
+def dollar_text(spark, folder):
+    """Published monthly dollars parsed from text."""
+    text_rows = view(spark, folder, "v_dollars").select(
+        F.date_format("month", "yyyyMM").alias("Date"), F.col("name").alias("Constraint Name"),
+        F.col("contingency").alias("Contingency Name"), F.col("monitored").alias("Monitored Facility"),
+        F.col("amount").cast("string").alias("Sum"))
+    return dollar_fields(text_rows).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(20,4)")).cast("double").alias("usd"),
+        F.count_distinct("name").alias("names"))
+
+
+def settled_text(spark, folder):
+    """Settled collections parsed from text."""
+    text_rows = view(spark, folder, "v_settled").select(
+        F.date_format("month", "MM/yyyy").alias("Month"), F.col("collected").cast("string").alias("DA Collected"))
+    return settled_fields(text_rows).groupBy("month").agg(
+        F.sum(F.col("collected").cast("decimal(20,4)")).cast("double").alias("collected"))
+
+
+def plants(spark, folder):
+    """Operating plants of a year: generators from line items, plants from orders."""
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    generators = items.select(
+        F.col("l_orderkey").alias("plant_id_eia"), F.make_date(F.lit(2000) + F.pmod("l_orderkey", F.lit(2)).cast("int"), F.lit(1), F.lit(1)).alias("report_date"),
+        F.when(F.col("l_returnflag") == "N", "OP").otherwise("RE").alias("operational_status_code"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("capacity_mw"))
+    places = orders.where("o_orderkey % 5 <> 0").select(
+        F.col("o_orderkey").alias("plant_id_eia"), F.make_date(F.lit(2000) + F.pmod("o_orderkey", F.lit(2)).cast("int"), F.lit(1), F.lit(1)).alias("report_date"),
+        F.concat(F.lit("P "), "o_orderstatus").alias("plant_name_eia"), F.lit("38.5").alias("latitude"), F.lit("-97.25").alias("longitude"),
+        F.when(F.pmod("o_orderkey", F.lit(3)) == 0, " ").otherwise(F.col("o_orderpriority")).alias("balancing_authority_code_eia"))
+    return operating_plants(generators, places, 2000)
+
+
+PLANTS = """
+WITH g AS (SELECT l_orderkey AS plant_id_eia, CAST(SUM(CAST(l_quantity AS DECIMAL(20, 6))) AS DOUBLE) AS mw, COUNT(*) AS n_generators FROM lineitem
+  WHERE l_orderkey % 2 = 0 AND l_returnflag = 'N' AND l_linenumber <> 3 GROUP BY 1 HAVING SUM(l_quantity) > 0)
+SELECT g.plant_id_eia, 'P ' || o_orderstatus AS plant_name, CASE WHEN o_orderkey IS NOT NULL THEN 38.5 END AS lat, CASE WHEN o_orderkey IS NOT NULL THEN -97.25 END AS lon,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS ba, round_even(mw, 3) AS capacity_mw, n_generators
+FROM g LEFT JOIN orders ON o_orderkey = g.plant_id_eia AND o_orderkey % 5 <> 0"""
 
 
 # --- dollars ---------------------------------------------------------------------------
@@ -284,6 +351,12 @@ QUERIES = {
     "spelling_summary": (spelling_summary, SPELLING),
     "contingency_parts": (contingency_parts, CONTINGENCY_PARTS),
     "hour_ending_months": (hour_months, HOUR_MONTHS),
+    "binding_text": (binding_text, BINDING_TEXT),
+    "dollar_text": (dollar_text, duck(["v_dollars"], """
+SELECT month, COUNT(*) AS n, CAST(SUM(CAST(amount AS DECIMAL(20, 4))) AS DOUBLE) AS usd, COUNT(DISTINCT name) AS names FROM v_dollars GROUP BY 1""")),
+    "settled_text": (settled_text, duck(["v_settled"], """
+SELECT month, CAST(SUM(CAST(collected AS DECIMAL(20, 4))) AS DOUBLE) AS collected FROM v_settled GROUP BY 1""")),
+    "operating_plants": (plants, PLANTS),
     "dollar_duplicates": (dollar_duplicates, DOLLAR_DUPLICATES),
     "flowgate_dollars": (flowgate_dollars, FLOWGATE_DOLLARS),
     "reconcile_months": (reconcile_months, RECONCILE),

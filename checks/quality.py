@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.views import duck, view
+from fluxsieve.session import shared_folder
+from fluxsieve.sinks.exports import write_table
+from fluxsieve.sources.tables import read_text_table
 from fluxsieve import fixed
 from fluxsieve.functions import numeric, text
 from fluxsieve.operators import filings, quality, validation
@@ -468,7 +471,22 @@ UNION ALL SELECT 'reviewed_on', COUNT(*) FROM f WHERE match_status = 'verified'
 UNION ALL SELECT 'uncertain_without_evidence', COUNT(*) FROM f WHERE match_status = 'uncertain' AND no_evidence HAVING COUNT(*) > 0
 UNION ALL SELECT 'verified_without_evidence', COUNT(*) FROM f WHERE match_status = 'verified' AND no_evidence HAVING COUNT(*) > 0""")
 
+def table_round_trip(spark, folder):
+    """Names with quotes, commas and line breaks, written as a table and read back, with the manifest's row count."""
+    root = shared_folder(spark)
+    cells = view(spark, folder, "v_names").select(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit('a "'), "text", F.lit('", b\n\\c')).alias("text"))
+    write_table(cells, root, "names", ["id"], {"source": "s", "source_version": "v", "retrieved_at": "2026-01-01T00:00:00Z"})
+    rows = spark.read.json(f"{root}/manifest").select("rows")
+    return read_text_table(spark, f"{root}/normalized/names").join(rows)
+
+
+ROUND_TRIP = duck(["v_names"], """
+SELECT CAST(id AS VARCHAR) AS id, 'a "' || text || '", b' || chr(10) || chr(92) || 'c' AS text, (SELECT COUNT(*) FROM v_names) AS rows FROM v_names""")
+
+
 QUERIES = {
+    "table_round_trip": (table_round_trip, ROUND_TRIP),
     "provider_readings": (provider_readings, READINGS),
     "provider_join": (provider_join, PROVIDER_JOIN),
     "triangulate_voltage": (triangulate, TRIANGULATE),

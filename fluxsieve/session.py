@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name below spark.checkpoint.dir, which the driver and all executors reach."""
+    _ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,19 +23,35 @@ def _trimmed(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in df.columns])
 
 
+def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files grouped by their header line, read in one job, so that each distinct header needs one reader."""
+    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("row"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "row").alias("head")).collect()  # one row per given file
+    groups: dict[str, list[str]] = {}
+    for r in sorted(heads, key=lambda r: r["file"]):
+        groups.setdefault(r["head"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["file"]))
+    return list(groups.values())
+
+
+def _by_header(spark: SparkSession, paths: list[str], columns) -> DataFrame:
+    """The named columns of all files and the name of each row's file; files may order their columns differently."""
+    parts = []
+    for own in header_groups(spark, paths):
+        df = trimmed_headers(read_text_table(spark, own, line_breaks=False).withColumn(
+            "_file", F.col("_metadata.file_name")))
+        parts.append(_trimmed(require_columns(df, columns, own[0]).select(*columns, "_file")))
+    return _union(parts)
+
+
 def binding_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Hourly binding rows of monthly files named ...yyyyMM.csv, with their file's month.
 
-    Each file's header is trimmed on its own, so files may order their columns differently.
+    Headers are trimmed, and files may order their columns differently.
     """
-    parts = []
-    for path in paths:
-        df = trimmed_headers(read_text_table(spark, path).withColumn("_file", F.col("_metadata.file_name")))
-        require_columns(df, fixed.BINDING_COLUMNS, path)
-        parts.append(_trimmed(df.select(*fixed.BINDING_COLUMNS, "_file")))
     stamp = F.regexp_extract("_file", r"(\d{6})\.csv$", 1)
     month = F.to_date(F.concat(stamp, F.lit("01")), "yyyyMMdd")
-    return _union(parts).withColumn("file_month", month)
+    return _by_header(spark, paths, fixed.BINDING_COLUMNS).withColumn("file_month", month)
 
 
 def month_violations(rows: DataFrame) -> DataFrame:
@@ -64,13 +81,14 @@ def binding_hours(rows: DataFrame) -> DataFrame:
 
 def dollar_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Monthly congestion dollars; a row of another month than its file is refused."""
-    parts = []
-    for path in paths:
-        df = trimmed_headers(read_text_table(spark, path).withColumn("_file", F.col("_metadata.file_name")))
-        parts.append(_trimmed(require_columns(df, fixed.DOLLAR_COLUMNS, path).select(*fixed.DOLLAR_COLUMNS, "_file")))
-    rows = _union(parts)
+    rows = _by_header(spark, paths, fixed.DOLLAR_COLUMNS)
     stamp = F.regexp_extract("_file", r"(\d{6})(?:_sample)?\.csv$", 1)
     require_none(rows.where(F.col("Date") != stamp).select("Date", "_file"), "dollars of another month")
+    return dollar_fields(rows)
+
+
+def dollar_fields(rows: DataFrame) -> DataFrame:
+    """Typed dollars from text columns."""
     return rows.select(
         F.to_date(F.concat("Date", F.lit("01")), "yyyyMMdd").alias("month"),
         F.col("Constraint Name").alias("name"), F.col("Contingency Name").alias("contingency"),
@@ -80,9 +98,12 @@ def dollar_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def settled_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Settled monthly collections: month, collected."""
-    parts = [_trimmed(require_columns(trimmed_headers(read_text_table(spark, p)), fixed.SETTLED_COLUMNS, p)
-                      .select(*fixed.SETTLED_COLUMNS)) for p in paths]
-    return _union(parts).select(
+    return settled_fields(_by_header(spark, paths, fixed.SETTLED_COLUMNS))
+
+
+def settled_fields(rows: DataFrame) -> DataFrame:
+    """Typed collections from text columns."""
+    return rows.select(
         F.to_date(F.concat(F.lit("01/"), "Month"), "dd/MM/yyyy").alias("month"),
         F.col("DA Collected").cast("double").alias("collected"))
 
@@ -119,11 +140,16 @@ def queue_file(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
 def authority_rows(spark: SparkSession, paths: list[str], authority: str, year: int) -> DataFrame:
     """Hourly rows of one authority and year over half-year files whose columns differ."""
     parts = []
-    for path in paths:
-        df = trimmed_headers(read_text_table(spark, path))
+    for own in header_groups(spark, paths):
+        df = trimmed_headers(read_text_table(spark, own, line_breaks=False))
         parts.append(require_columns(df, ("Balancing Authority", "UTC Time at End of Hour", "Data Date",
-                                          "Demand (MW)"), path))
-    rows = _union(parts).where(
+                                          "Demand (MW)"), own[0]))
+    return authority_year(_union(parts), authority, year)
+
+
+def authority_year(rows: DataFrame, authority: str, year: int) -> DataFrame:
+    """Hours of one authority and year from published text columns; a repeated hour is refused."""
+    rows = rows.where(
         (F.trim("Balancing Authority") == authority)
         & (F.year(F.to_date(F.trim("Data Date"), "MM/dd/yyyy")) == year))
     hours = rows.withColumn("ba", F.lit(authority)).withColumn(

@@ -70,6 +70,42 @@ def op5_secret_scan(spark, folder):
         secrets.named(F.col("spans")).alias("spans"))
 
 
+def _sql_spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {rank} AS rank, s AS start, s + length(w) AS stop, w FROM (
+    SELECT doc_id, w, v, sum(length(piece)) OVER o + coalesce(sum(length(w)) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+    FROM (SELECT doc_id, i, whole[i] AS w, part[i] AS v, between[i] AS piece FROM (
+      SELECT doc_id, whole, part, between, unnest(range(1, len(whole) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(text, '{quoted}', 0) AS whole, regexp_extract_all(text, '{quoted}', {group}) AS part,
+               regexp_split_to_array(text, '{quoted}') AS between FROM d)))
+    WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE length(v) >= {least}"""
+
+
+_BASE = "\n  UNION ALL ".join(_sql_spans(k, i, secrets.PATTERNS[k], 2 if k == "assign" else 0, secrets.LEAST[k])
+                               for i, k in enumerate(secrets.KINDS))
+_NAMED = ("string_agg(['assign', 'access', 'hex', 'markov'][rank + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' "
+          "ORDER BY start, rank)")
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({_BASE}),
+run AS (SELECT r.*, EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop) AS labelled
+        FROM ({_sql_spans("run", len(secrets.KINDS), secrets.RUN, 0, 0)}) r),
+pair AS (SELECT doc_id, start, labelled, substr(w, i, 2) AS p FROM (SELECT *, unnest(range(1, length(w))) AS i FROM run)),
+seen AS (SELECT p, count(*) FILTER (labelled) AS c1, count(*) FILTER (NOT labelled) AS c0 FROM pair GROUP BY 1),
+total AS (SELECT p, c1, c0, sum(c1) OVER a AS t1, sum(c0) OVER a AS t0, sum(c1) OVER () AS any1 FROM seen WINDOW a AS (PARTITION BY substr(p, 1, 1))),
+ratio AS (SELECT p, CASE WHEN any1 = 0 THEN 0 ELSE round(1000 * ln(((c1 + 1) / (t1 + {secrets._SIZE})) / ((c0 + 1) / (t0 + {secrets._SIZE})))) END AS r FROM total),
+added AS (SELECT doc_id, start FROM pair JOIN ratio USING (p) WHERE NOT labelled GROUP BY 1, 2
+          HAVING sum(r) >= {secrets.LEAST_RATIO} * count(*)),
+every AS (SELECT doc_id, rank, start, stop FROM base UNION ALL
+          SELECT r.doc_id, r.rank, r.start, r.stop FROM run r JOIN added a ON r.doc_id = a.doc_id AND r.start = a.start),
+out AS (SELECT doc_id, {_NAMED} AS spans, {_NAMED} FILTER (rank < 3) AS base, count(*) FILTER (rank = 0) AS n_assign,
+               count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex FROM every GROUP BY 1)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN out USING (doc_id)
+"""
+
+
 def op6_preference_chat(spark, folder):
     """Prompt and masked completions of neighbouring conversations."""
     found = chat.preferences(chat.neighbours(table(spark, folder, "conversations")))
@@ -114,7 +150,50 @@ FROM k JOIN m USING (pair_id)
 
 def op7_url_filter(spark, folder):
     """Verdict on every page's url."""
-    return url_filter.verdicts(table(spark, folder, "pages"))
+    return url_filter.verdicts(table(spark, folder, "pages")).withColumn("share", F.round("share", 9))
+
+
+def _sql_rule(column: str) -> str:
+    cases = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p if column == 'rule' else d}'"
+             for d, h, p in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))]
+    return "CASE " + " ".join(cases) + " END"
+
+
+def _sql_level(i: int) -> str:
+    m = url_filter.SMOOTHING
+    return f"""
+a{i} AS (SELECT *, template[{i + 1}] AS segment FROM t{i}),
+b{i} AS (SELECT host, merged, segment, sum(labelled) AS li, sum(blocked) AS bi FROM a{i} WHERE segment IS NOT NULL GROUP BY ALL),
+n{i} AS (SELECT *, sum(li) OVER w AS n, sum(bi) OVER w AS b, count(*) OVER w AS branches FROM b{i} WINDOW w AS (PARTITION BY host, merged)),
+m{i} AS (SELECT host, merged, segment, n, b, CASE WHEN branches = 1 OR coalesce(
+           abs(bi / nullif(li, 0) - (b - bi) / nullif(n - li, 0)) > {url_filter.Z} * sqrt(
+             b / nullif(n, 0) * (1 - b / nullif(n, 0)) * (1 / nullif(li, 0) + 1 / nullif(n - li, 0))), false)
+           THEN segment ELSE '*' END AS branch FROM n{i}),
+g{i} AS (SELECT a.host, a.template, labelled, blocked, share, n, b, branch,
+                CASE WHEN branch IS NULL THEN a.merged ELSE list_append(a.merged, branch) END AS merged
+         FROM a{i} a LEFT JOIN m{i} m ON a.host = m.host AND a.merged = m.merged AND a.segment = m.segment),
+t{i + 1} AS (SELECT host, template, labelled, blocked, merged,
+                CASE WHEN branch IS NULL OR (sum(labelled) OVER w = n AND sum(blocked) OVER w = b) THEN share
+                     ELSE (sum(blocked) OVER w + {m} * share) / (sum(labelled) OVER w + {m}) END AS share
+             FROM g{i} WINDOW w AS (PARTITION BY host, merged, branch IS NULL))"""
+
+
+OP7_SQL = f"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+v AS (SELECT *, {_sql_rule("rule")} AS rule, {_sql_rule("verdict")} AS ruling, list_filter(string_split(path, '/'), lambda x: x <> '') AS own FROM u),
+p AS (SELECT page_id, host, path, rule, ruling, list_concat(list_transform(own[1:{url_filter.DEPTH}],
+        lambda x: CASE WHEN regexp_matches(x, '{url_filter.VARIABLE}') THEN '*' ELSE x END),
+        CASE WHEN len(own) > {url_filter.DEPTH} THEN ['**'] ELSE [] END) AS template FROM v),
+leaves AS (SELECT host, template, count(ruling) AS labelled, count(*) FILTER (ruling = 'block') AS blocked FROM p GROUP BY ALL),
+prior AS (SELECT coalesce(sum(blocked) / nullif(sum(labelled), 0), 0) AS prior FROM leaves),
+t0 AS (SELECT host, template, labelled, blocked, []::VARCHAR[] AS merged,
+         (sum(blocked) OVER w + {url_filter.SMOOTHING} * prior) / (sum(labelled) OVER w + {url_filter.SMOOTHING}) AS share
+       FROM leaves, prior WINDOW w AS (PARTITION BY host)),{",".join(_sql_level(i) for i in range(url_filter.DEPTH + 1))}
+SELECT page_id, p.host, path, rule, coalesce(ruling, CASE WHEN share >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+       '/' || array_to_string(merged, '/') AS template, round(share, 9) AS share
+FROM p LEFT JOIN t{url_filter.DEPTH + 1} t ON p.host = t.host AND p.template = t.template
+"""
 
 
 def op8_decontamination(spark, folder):
@@ -154,7 +233,37 @@ def op9_simhash_near_dedup(spark, folder):
 def op10_cross_entropy_difference(spark, folder):
     """Score of every document: target loss minus background loss per token."""
     found = lm_score.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return found.select(F.col("id").alias("doc_id"), "n_tokens", "target_loss", "background_loss", "score")
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", *[
+        F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")])
+
+
+def _sql_model(name: str, where: str) -> str:
+    return f"""
+{name}_pair AS (SELECT prev, sym, count(*) AS c FROM pair {where} GROUP BY ALL),
+{name}_one AS (SELECT sym, sum(c) AS one FROM {name}_pair GROUP BY 1),
+{name}_before AS (SELECT prev, sum(c) AS before FROM {name}_pair GROUP BY 1),
+{name} AS (SELECT a.prev, a.sym, CAST(-ln({lm_score.BIGRAM} * coalesce(before, 0) / (coalesce(before, 0) + {lm_score.ADDED}) * coalesce(c, 0)
+             / greatest(coalesce(before, 0), 1) + (1 - {lm_score.BIGRAM} * coalesce(before, 0) / (coalesce(before, 0) + {lm_score.ADDED}))
+             * (coalesce(one, 0) + {lm_score.ADDED}) / (SELECT coalesce(sum(one), 0) + {lm_score.ADDED} * ((SELECT count(*) FROM word) + 1) FROM {name}_one))
+             AS FLOAT) AS loss
+           FROM (SELECT DISTINCT prev, sym FROM pair) a LEFT JOIN {name}_pair USING (prev, sym)
+           LEFT JOIN {name}_one USING (sym) LEFT JOIN {name}_before USING (prev))"""
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
+each AS (SELECT doc_id, w[i] AS word, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+word AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) + 1 AS sym FROM each GROUP BY word
+         QUALIFY row_number() OVER (ORDER BY count(*) DESC, word) <= {lm_score.WORDS}),
+pair AS (SELECT doc_id, sym, coalesce(lag(sym) OVER (PARTITION BY doc_id ORDER BY i), 0) AS prev
+         FROM (SELECT doc_id, i, coalesce(sym, 1) AS sym FROM each LEFT JOIN word USING (word))),{_sql_model("background", "")},{_sql_model(
+    "target", "WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")},
+score AS (SELECT doc_id, count(*) AS n, avg(t.loss::DOUBLE) AS t, avg(b.loss::DOUBLE) AS b
+          FROM pair JOIN target t USING (prev, sym) JOIN background b USING (prev, sym) GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(t, 0), 6) AS target_loss, round(coalesce(b, 0), 6) AS background_loss,
+       round(coalesce(t - b, 0), 6) AS score FROM d LEFT JOIN score USING (doc_id)
+"""
 
 
 QUERIES = {
@@ -162,10 +271,10 @@ QUERIES = {
     "op2_language_id": (op2_language_id, None),
     "op3_warc_revisits": (op3_warc_revisits, OP3_SQL),
     "op4_sentencepiece": (op4_sentencepiece, None),
-    "op5_secret_scan": (op5_secret_scan, None),
+    "op5_secret_scan": (op5_secret_scan, OP5_SQL),
     "op6_preference_chat": (op6_preference_chat, OP6_SQL),
-    "op7_url_filter": (op7_url_filter, None),
+    "op7_url_filter": (op7_url_filter, OP7_SQL),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
-    "op10_cross_entropy_difference": (op10_cross_entropy_difference, None),
+    "op10_cross_entropy_difference": (op10_cross_entropy_difference, OP10_SQL),
 }

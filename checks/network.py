@@ -9,7 +9,7 @@ from fluxsieve import fixed
 from fluxsieve.functions import geo
 from fluxsieve.operators import filings, graph, network, spatial
 from fluxsieve.operators.ranking import ordered_position
-from fluxsieve.plans import corridors
+from fluxsieve.plans import assembly, corridors
 from fluxsieve.sources.market import parse_geometry
 
 HAVERSINE = """(2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin((radians({b}.lat) - radians({a}.lat)) / 2), 2)
@@ -145,6 +145,54 @@ MEMBER = """CASE WHEN (from_bus % 3 <> 0)::INT + (to_bus % 3 <> 0)::INT = 2 THEN
   WHEN (from_bus % 3 <> 0)::INT + (to_bus % 3 <> 0)::INT = 1 THEN 'seam' ELSE 'foreign' END"""
 
 
+PLACED = ["v_lines", "v_targets"]
+WHERE_BUS = ("ROUND(35 + (node * 37 % 1000) / 100.0E0, 2)", "ROUND(-101 + (node * 61 % 1000) / 125.0E0, 2)")
+
+
+def _assembly(spark, folder):
+    lines = view(spark, folder, "v_lines").select("line_id", "from_bus", "to_bus", "length_mi")
+    lat, lon = WHERE_BUS
+    buses = lines.select(F.explode(F.array("from_bus", "to_bus")).alias("node")).distinct().selectExpr(
+        "node AS bus", f"{lat} AS lat", f"{lon} AS lon")
+    plants = view(spark, folder, "v_targets").withColumn("area", F.when(F.pmod("idx", F.lit(5)) == 0, "OUT").when(
+        F.pmod("idx", F.lit(7)) != 0, "HOME"))
+    return assembly.assemble(lines, buses, plants, "HOME")
+
+
+def assembled_lines(spark, folder):
+    return _assembly(spark, folder).lines.select("line_id", "state")
+
+
+def assembled_buses(spark, folder):
+    return _assembly(spark, folder).buses.select("bus", "bus_id", "area", F.round("metres", 3).alias("metres"))
+
+
+def assembly_counts(spark, folder):
+    return _assembly(spark, folder).counts
+
+
+ASSEMBLY = f""", ends AS (SELECT DISTINCT unnest([from_bus, to_bus]) AS node FROM v_lines),
+bus AS (SELECT node, {WHERE_BUS[0]} AS lat, {WHERE_BUS[1]} AS lon FROM ends),
+pool AS (SELECT *, CASE WHEN idx % 5 = 0 THEN 'OUT' ELSE 'HOME' END AS area FROM v_targets WHERE idx % 5 = 0 OR idx % 7 <> 0),
+label AS (SELECT node, area, m FROM (SELECT b.node, area, {hav('b', 't')} AS m, row_number() OVER (PARTITION BY b.node ORDER BY {hav('b', 't')}, t.idx) AS rn
+  FROM bus b CROSS JOIN pool t) WHERE rn = 1),
+placed AS (SELECT l.*, (a.area = 'HOME')::INT + (b.area = 'HOME')::INT AS n FROM v_lines l JOIN label a ON a.node = from_bus JOIN label b ON b.node = to_bus
+  WHERE from_bus <> to_bus),
+e AS (SELECT from_bus AS a, to_bus AS b FROM placed WHERE n = 2 UNION SELECT to_bus, from_bus FROM placed WHERE n = 2),
+reach AS (WITH RECURSIVE r(node, other) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a) SELECT * FROM r),
+piece AS (SELECT node, MIN(other) AS piece FROM reach GROUP BY 1),
+main AS (SELECT piece FROM piece GROUP BY 1 ORDER BY COUNT(*) DESC, piece LIMIT 1),
+stated AS (SELECT line_id, length_mi, CASE n WHEN 2 THEN CASE WHEN piece = (SELECT piece FROM main) THEN 'kept' ELSE 'island' END
+  WHEN 1 THEN 'seam' ELSE 'foreign' END AS state FROM placed LEFT JOIN piece ON node = from_bus)"""
+ASSEMBLED_BUSES = duck(PLACED, ASSEMBLY + """
+SELECT b.node AS bus, 'B' || row_number() OVER (ORDER BY ROUND(lat, 6), ROUND(lon, 6), b.node) AS bus_id, area, ROUND(m, 3) AS metres
+FROM bus b JOIN piece p ON p.node = b.node AND piece = (SELECT piece FROM main) JOIN label l ON l.node = b.node""")
+ASSEMBLY_COUNTS = duck(PLACED, ASSEMBLY + """, n AS (
+  SELECT CASE WHEN piece = (SELECT piece FROM main) THEN 'kept' ELSE 'island' END AS state, COUNT(*) AS buses FROM piece GROUP BY 1)
+SELECT s.state, COUNT(*) AS lines, COALESCE(ANY_VALUE(buses), 0) AS buses, ROUND(CAST(SUM(CAST(length_mi AS DECIMAL(24, 6))) AS DOUBLE), 1) AS miles
+FROM stated s LEFT JOIN n ON n.state = s.state GROUP BY 1""")
+
+
 def owner_counts(spark, folder):
     labels = view(spark, folder, "v_nodes").select(
         F.col("node").alias("bus"), F.when(F.pmod("node", F.lit(3)) == 0, "OUT").otherwise("HOME").alias("area"))
@@ -355,6 +403,9 @@ QUERIES = {
     "snap_clusters": (snap, duck(["v_points"], CLUSTERS + " SELECT id, cluster FROM label")),
     "cluster_centres": (cluster_centres, CENTRES),
     "attach_generation": (attach_generation, ATTACH),
+    "assembled_lines": (assembled_lines, duck(PLACED, ASSEMBLY + " SELECT line_id, state FROM stated")),
+    "assembled_buses": (assembled_buses, ASSEMBLED_BUSES),
+    "assembly_counts": (assembly_counts, ASSEMBLY_COUNTS),
     "endpoint_footprint": (endpoint_footprint, duck(LINES, f" SELECT line_id, {MEMBER} AS membership FROM v_lines")),
     "owner_counts": (owner_counts, OWNERS),
     "voltage_counts": (voltage_counts, duck(LINES, """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.views import duck, view
 from fluxsieve.functions import numeric, text
-from fluxsieve.operators import lineage
+from fluxsieve.operators import lineage, validation
 from fluxsieve.plans import panel, report
 
 PANEL = ["v_footprint", "v_history", "v_coverage"]
@@ -318,11 +318,70 @@ SELECT constraint_id, market, strftime(period, '%Y-%m') AS period,
 FROM (SELECT *, pow(10.0, FLOOR(log10(shadow_price_mean)) - 3) AS p4, pow(10.0, FLOOR(log10(shadow_price_mean)) - 2) AS p3 FROM v_history)""")
 
 
+MONTHLY_REFS = "raw_refs || CASE WHEN raw_refs = '' THEN '' ELSE ';' END || 'raw:M' || CAST(EXTRACT(MONTH FROM period) AS {text})"
+
+
+def _declared(spark, folder):
+    """Raw inputs by month: coverage lacks each fourth, history has those that leave 0 or 1."""
+    months = view(spark, folder, "v_coverage").select(F.month("period").alias("m"), F.concat(F.lit("raw:"), "market").alias("k")).distinct()
+    month = F.concat(F.lit("raw:M"), F.col("m").cast("string"))
+    return months.where("m % 4 <> 0").select(F.lit("constraint_coverage").alias("table"), month.alias("key")).unionByName(
+        months.select(F.lit("constraint_coverage").alias("table"), F.col("k").alias("key"))).unionByName(
+        months.where("m % 4 < 2").select(F.lit("constraint_history").alias("table"), month.alias("key"))).distinct()
+
+
+DECLARED = """, declared AS (
+  SELECT 'constraint_coverage' AS tab, 'raw:M' || EXTRACT(MONTH FROM period) AS key FROM v_coverage WHERE EXTRACT(MONTH FROM period) % 4 <> 0
+  UNION SELECT 'constraint_coverage', 'raw:' || market FROM v_coverage
+  UNION SELECT 'constraint_history', 'raw:M' || EXTRACT(MONTH FROM period) FROM v_coverage WHERE EXTRACT(MONTH FROM period) % 4 < 2)"""
+
+
+def citation_faults(spark, folder):
+    """Citations nothing declares: of coverage rows, and of the history as a whole."""
+    coverage = view(spark, folder, "v_coverage").withColumn("raw_refs", F.expr(MONTHLY_REFS.format(text="STRING")))
+    declared = _declared(spark, folder)
+    faults = validation.uncited_refs(coverage, declared).select("market", numeric.month_text(F.col("period")).alias("period"), "ref")
+    return faults.unionByName(validation.uncovered_inputs(declared).select(
+        F.lit(None).cast("string").alias("market"), F.lit(None).cast("string").alias("period"), F.col("key").alias("ref")))
+
+
+CITATION_FAULTS = duck(["v_coverage"], DECLARED + f"""
+SELECT market, strftime(period, '%Y-%m') AS period, ref FROM (SELECT market, period, unnest(string_split({MONTHLY_REFS.format(text="VARCHAR")}, ';')) AS ref
+  FROM v_coverage) WHERE ref NOT IN (SELECT key FROM declared WHERE tab = 'constraint_coverage')
+UNION ALL SELECT NULL, NULL, key FROM declared WHERE tab = 'constraint_history' AND key NOT IN (SELECT key FROM declared WHERE tab = 'constraint_coverage')""")
+
+
+def citations(spark, folder):
+    """Stamps and raw inputs a brief cites: one input table per document source."""
+    docs = view(spark, folder, "v_cov")
+    sources = docs.groupBy("source").agg(F.min("doc_id").alias("n"))
+    digest = F.sha2(F.col("source").cast("binary"), 256)
+    stamps = sources.select(F.concat(F.lit("t_"), "source").alias("table"), "source", F.lit("v1").alias("source_version"),
+                            F.concat(F.lit("2026-01-"), F.lpad((F.col("n") % 28 + 1).cast("string"), 2, "0")).alias("retrieved_at"),
+                            digest.alias("sha256"))
+    declared = docs.select(F.concat(F.lit("t_"), "source").alias("table"), F.concat(F.lit("raw:"), "lang").alias("key"))
+    raw = docs.select("lang").distinct().unionByName(docs.limit(0).select("lang")).select(
+        F.concat(F.lit("raw:"), "lang").alias("key"), F.concat(F.lit("x:"), "lang").alias("url"), F.lit("2026-01-02").alias("retrieved_at"),
+        F.sha2(F.col("lang").cast("binary"), 256).alias("sha256"))
+    registry = sources.where("source <> 'src3'").select("source", (F.col("source") < "src5").alias("publishable"), F.lit("terms").alias("basis"))
+    return panel.source_citations(stamps, declared, raw, registry)
+
+
+CITATIONS = duck(["v_cov"], """, s AS (SELECT source, MIN(doc_id) AS n FROM v_cov GROUP BY 1)
+SELECT 'table' AS kind, 't_' || s.source AS name, d.derived_from, s.source, 'v1' AS source_version, NULL AS url,
+       '2026-01-' || lpad(CAST(n % 28 + 1 AS VARCHAR), 2, '0') AS retrieved_at, sha256(s.source) AS sha256,
+       s.source <> 'src3' AND s.source < 'src5' AS publishable, CASE WHEN s.source = 'src3' THEN 'unregistered source' ELSE 'terms' END AS basis
+FROM s LEFT JOIN (SELECT DISTINCT source, 'raw:' || lang AS derived_from FROM v_cov) d ON d.source = s.source
+UNION ALL SELECT DISTINCT 'raw', 'raw:' || lang, NULL, NULL, NULL, 'x:' || lang, '2026-01-02', sha256(lang), NULL, NULL FROM v_cov""")
+
+
 def table_digest(spark, folder):
     return report.table_digest(view(spark, folder, "v_history").drop("period"))
 
 
 QUERIES = {
+    "citation_faults": (citation_faults, CITATION_FAULTS),
+    "source_citations": (citations, CITATIONS),
     "panel_monthly": (panel_monthly, MONTHLY),
     "panel_summary": (panel_summary, SUMMARY),
     "panel_coverage": (panel_coverage, PANEL_COVERAGE),

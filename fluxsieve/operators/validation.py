@@ -149,12 +149,21 @@ def disordered_ranges(df: DataFrame, column: str, id_column: str) -> DataFrame:
     return df.where(~numeric.ordered_range(F.col(column))).select(id_column, column)
 
 
-def uncited_refs(coverage: DataFrame, declared: list[str]) -> DataFrame:
-    """Raw inputs a coverage row cites that the table's manifest entry does not declare."""
+def uncited_refs(coverage: DataFrame, declared: DataFrame) -> DataFrame:
+    """Raw inputs a coverage row cites that its table's manifest entry does not declare: market, period, ref.
+
+    ``declared``: table, key (the raw inputs each table is derived from).
+    """
     refs = F.filter(F.split("raw_refs", ";"), lambda r: r != "")
-    return coverage.select("market", "period", F.explode(refs).alias("ref")).where(
-        ~F.col("ref").isin(*declared)) if declared else coverage.select(
-        "market", "period", F.explode(refs).alias("ref"))
+    own = declared.where("table = 'constraint_coverage'").select(F.col("key").alias("ref")).distinct()
+    return coverage.select("market", "period", F.explode(refs).alias("ref")).join(own, "ref", "left_anti").select(
+        "market", "period", "ref")
+
+
+def uncovered_inputs(declared: DataFrame) -> DataFrame:
+    """Raw inputs the history is derived from that the coverage is not: key."""
+    own = declared.where("table = 'constraint_history'").select("key").distinct()
+    return own.join(declared.where("table = 'constraint_coverage'").select("key"), "key", "left_anti")
 
 
 def digest_mismatches(recorded: DataFrame, found: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.functions import numeric
+from fluxsieve.operators.validation import require_none, uncited_refs, uncovered_inputs
 
 VALUES = ("hours_binding", "shadow_price_max", "shadow_price_mean", "congestion_cost_usd")
 OPTIONAL = VALUES[1:]
@@ -229,3 +230,30 @@ def panel_facts(history: DataFrame, coverage: DataFrame, history_stamp: dict, co
                 F.when(partial, F.array(F.lit("partial_coverage"))).otherwise(none).alias("flags"),
                 *stamped(history_stamp)))
     return days.unionByName(values)
+
+
+def check_citations(coverage: DataFrame, declared: DataFrame) -> None:
+    """Refuse a panel whose history or coverage rests on raw inputs nothing declares."""
+    require_none(uncovered_inputs(declared), "history inputs the coverage does not have")
+    require_none(uncited_refs(coverage, declared), "raw inputs missing from the manifest entry")
+
+
+def source_citations(stamps: DataFrame, declared: DataFrame, raw: DataFrame, registry: DataFrame) -> DataFrame:
+    """What a brief cites, one row each: every table's stamp with the raw inputs behind it, and every raw input.
+
+    ``stamps``: table, source, source_version, retrieved_at, sha256. ``declared``: table, key. ``raw``: key, url,
+    retrieved_at, sha256. ``registry``: source, publishable, basis; an unregistered source is never publishable.
+    Result: kind (table, raw), name, derived_from (null for raw inputs; a row for each), source, source_version,
+    url, retrieved_at, sha256, publishable, basis.
+    """
+    none = F.lit(None).cast("string")
+    tables = stamps.join(registry.select("source", "publishable", "basis"), "source", "left").join(
+        declared.select("table", F.col("key").alias("derived_from")).distinct(), "table", "left").select(
+        F.lit("table").alias("kind"), F.col("table").alias("name"), "derived_from", "source", "source_version",
+        none.alias("url"), "retrieved_at", "sha256", F.coalesce("publishable", F.lit(False)).alias("publishable"),
+        F.coalesce("basis", F.lit("unregistered source")).alias("basis"))
+    used = raw.join(declared.select("key").distinct(), "key", "left_semi").select(
+        F.lit("raw").alias("kind"), F.col("key").alias("name"), none.alias("derived_from"), none.alias("source"),
+        none.alias("source_version"), "url", "retrieved_at", "sha256", F.lit(None).cast("boolean").alias("publishable"),
+        none.alias("basis"))
+    return tables.unionByName(used)

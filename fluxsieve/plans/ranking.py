@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from fluxsieve import fixed
 from fluxsieve.functions import text
 from fluxsieve.operators import graph, lineage, network, quality, remedies
-from fluxsieve.operators.validation import duplicate_keys, negative_recurring_rent, require_none
-from fluxsieve.plans import corridors, decision, scoring, signals
+from fluxsieve.operators.validation import (
+    Refused, calibration_mismatch, duplicate_keys, negative_recurring_rent, require_none)
+from fluxsieve.plans import corridors, decision, report, scoring, signals
 from fluxsieve.session import cut
 
 
@@ -28,6 +29,8 @@ class Settings:
     recurring_rent: bool = False
     priors: dict | None = None
     forward: dict | None = None
+    #: What references or forward rent were derived from: table name to recorded digest (None: by hand).
+    derived_from: dict | None = None
 
     def __post_init__(self):
         if abs(sum(self.weights.values()) - 1.0) > 1e-6:
@@ -110,17 +113,23 @@ def run_lineage(tables: dict[str, DataFrame], constraints: DataFrame, lines: Dat
 
 
 def rank_region(tables: dict[str, DataFrame], settings: Settings | None = None,
-                table_coverage: dict[str, str] | None = None, stamps: DataFrame | None = None) -> dict[str, DataFrame]:
+                table_coverage: dict[str, str] | None = None, stamps: DataFrame | None = None,
+                digests: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Rank the flowgates of a region.
 
     ``tables``: the nine normalized text tables, each with an input ordinal ``ord``, and ``sensitivity``
     (line_id, bus_id, ptdf); flowgates on lines without sensitivities say so in their status.
     ``stamps``: table, role, column, source, source_version, retrieved_at of the tables; with them every score
     says which sources it rests on, and facts, nodes and edges of the lineage are returned too.
+    ``digests``: digest of each input table; settings derived from other inputs are refused.
     Returns flowgates (ranked, with every intermediate column), rows (export form),
     corridors and members.
     """
     cfg = settings or Settings()
+    for name in cfg.derived_from or {}:
+        mismatch = calibration_mismatch(cfg.derived_from, (digests or {}).get(name), name)
+        if mismatch:
+            raise Refused(f"settings do not belong to this {name}: {mismatch}")
     for name, key in (("constraints", "constraint_id"), ("congestion", "constraint_id"),
                       ("queue", "request_id")):
         require_none(duplicate_keys(tables[name], [key]), f"duplicate {key} in {name}")
@@ -223,3 +232,22 @@ def source_trail(flowgates: DataFrame, closure: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     return flowgates.join(sets, "constraint_id", "left").select("constraint_id", lineage.provenance_line(
         F.coalesce("used", none), F.coalesce("asked", none), rent, F.col("status"), F.col("plan")).alias("provenance"))
+
+
+def recompute(recorded: DataFrame, tables: dict[str, DataFrame], settings: Settings, **inputs) -> DataFrame:
+    """Run again from recorded inputs and settings: flowgates whose rank, label or band differs from the record.
+
+    ``recorded``: the record's ``report.fingerprint``. Result: constraint_id, recorded and found (structs, null
+    where one side lacks the flowgate); empty if the run is reproduced.
+    """
+    again = report.fingerprint(rank_region(tables, settings, **inputs)["flowgates"])
+    return fingerprint_changes(recorded, again)
+
+
+def fingerprint_changes(recorded: DataFrame, found: DataFrame) -> DataFrame:
+    """Flowgates on which two fingerprints differ."""
+    def side(df, name):
+        return df.select("constraint_id", F.struct(*[c for c in sorted(df.columns) if c != "constraint_id"]).alias(name))
+
+    return side(recorded, "recorded").join(side(found, "found"), "constraint_id", "full").where(
+        ~F.col("recorded").eqNullSafe(F.col("found")))

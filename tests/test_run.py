@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.scoring import FORWARD, PRIORS
 from fluxsieve import fixed
+from fluxsieve.operators.validation import Refused
 from fluxsieve.plans import corridors, decision, ranking, report
 
 TABLES = {
@@ -85,3 +86,15 @@ def test_sweep_keeps_the_baseline(runs):
     moved = [m for m in decision.knobs(PRIORS) for end in ("low", "high") if m[end] != m["was"]]
     assert len(got) == 2 + len(moved) and "forward rent off" in got and "haircut at lo" in got
     assert got["baseline"]["kept_top10"] == 3 and got["baseline"]["kept_top_k"] == 1
+
+
+def test_settings_of_another_input_are_refused_and_a_run_is_reproduced(spark, runs):
+    settings = ranking.Settings(draws=200, by_value=True, priors=PRIORS, forward=FORWARD, derived_from={"congestion": "abc"})
+    for digests in (None, {"congestion": "xyz"}):
+        with pytest.raises(Refused):
+            ranking.rank_region(tables(spark, 1), settings, digests=digests)
+    recorded = report.fingerprint(runs[0]["flowgates"])
+    assert ranking.recompute(recorded, tables(spark, 2), settings, digests={"congestion": "abc"}).count() == 0
+    other = recorded.withColumn("rank", F.when(F.col("constraint_id") == "F1", 9).otherwise(F.col("rank"))).where("constraint_id <> 'F2'")
+    changed = {r["constraint_id"]: r["recorded"] for r in ranking.fingerprint_changes(other, recorded).collect()}
+    assert set(changed) == {"F1", "F2"} and changed["F2"] is None and changed["F1"]["rank"] == 9

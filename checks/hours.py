@@ -272,8 +272,7 @@ UNION ALL SELECT 'joined_share_below_floor', NULL, 0.9""")
 def join_dollars(spark, folder):
     kept = rollups.keep_first_hours(view(spark, folder, "v_hours"))
     unique = rollups.unique_dollars(view(spark, folder, "v_dollars"))
-    rolled = rollups.flowgates(view(spark, folder, "v_hours"))
-    return rollups.join_dollars(rolled, kept, unique).select(
+    return rollups.join_dollars(rollups.flowgates_of(kept), kept, unique).select(
         "constraint_id", "rent_musd", "max_month_cost_musd", "rent_basis", "flags")
 
 

@@ -85,7 +85,11 @@ def exclusion_reason(element: Column, name: Column) -> Column:
 
 def flowgates(hours: DataFrame) -> DataFrame:
     """All flowgates with roll-up, element class, corridor key and exclusion reason."""
-    kept = keep_first_hours(hours)
+    return flowgates_of(keep_first_hours(hours))
+
+
+def flowgates_of(kept: DataFrame) -> DataFrame:
+    """The same from hours already deduplicated by ``keep_first_hours``."""
     both = flowgate_hours(kept).join(flowgate_texts(kept), ["name", "contingency"])
     element = text.element_class(F.col("monitored"))
     return (

@@ -16,6 +16,8 @@ SHORT = (
     "injections", "panel_monthly", "panel_summary", "store_gate", "attribution", "number_functions",
     "derive_references", "build_signals", "rank_stability", "remedy_rules", "decide", "realized_band",
     "backtest_metrics", "ratio_quantiles", "corridor_rollup", "export_rows", "replay_comparison",
+    "loading_screen", "base_flows", "hour_ending_months", "binding_text", "dollar_text", "settled_text", "operating_plants",
+    "table_round_trip", "assembled_buses", "assembly_counts", "citation_faults", "source_citations", "blocked_values",
 )
 ORACLES = entry.oracle_sql()
 NAMES = sorted(ORACLES) if os.environ.get("FLUXSIEVE_ALL") else SHORT

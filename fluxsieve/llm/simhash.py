@@ -14,8 +14,8 @@ components with linear output.
 Near copies that are similar rather than almost equal (five-word shingles, similarity of 0.8) differ in about 15%
 of all bits, so no whole byte is guaranteed to survive and two bits are far too few. ``similar`` therefore gives
 every document ``SEEDS`` fingerprints from differently mixed hashes, keeps the index by triples of positional bytes
-(any two similar fingerprints have many chances to share one), links each posting to the first and to the previous
-one of its list, which is linear whatever the list's length, and verifies each link by the tally of shared bytes and
+(any two similar fingerprints have many chances to share one), links each posting to the first of its list, which
+is linear whatever the list's length and leaves a document some 200 chances, and verifies each link by the tally of shared bytes and
 by the differing bits of all fingerprints together. Its recall is a matter of chance and is measured in the tests.
 
 Defined results: null or blank text has fingerprint zero; null ids never are a component's name unless all
@@ -168,9 +168,8 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFram
 
     index = points.select("node", *names).mapInArrow(post, "node long, key long")
     ordered = Window.partitionBy("key").orderBy("node")
-    linked = index.select("node", F.first("node").over(ordered).alias("first"), F.lag("node").over(ordered).alias("last"))
-    pairs = linked.where("last IS NOT NULL").select(
-        F.col("node").alias("b"), F.explode(F.array_distinct(F.array("first", "last"))).alias("a")).distinct()
+    head = F.first("node").over(Window.partitionBy("key").orderBy("node"))
+    pairs = index.select(head.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
     labels = component_labels(_close(points, pairs, similarity))
     labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -549,8 +549,19 @@ def corridor_detail(spark, folder):
     return d.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("value").cast("decimal(28,6)")).cast("double"), 3).alias("total"))
 
 
+PAGE_FIELDS = ("rank int, constraint_id string, physical_corridor string, p_top_k double, composite_expected double, rent_musd double, "
+               "get_shown string, ev_mean_musd double")
+
+
 def page_rows(spark, folder):
-    return corridors.page_rows(_export(spark, folder), 30)
+    """The page's JSON rows, read back."""
+    page = corridors.page_rows(_export(spark, folder), 30)
+    return page.select(F.from_json("row_json", PAGE_FIELDS).alias("r")).select("r.*")
+
+
+PAGE_ROWS = f"""
+SELECT rank, constraint_id, physical_corridor, round_even(p_top_k, 3) AS p_top_k, round_even(composite_expected, 3) AS composite_expected,
+       round_even(rent_musd, 2) AS rent_musd, get_shown, round_even(ev_mean_musd, 3) AS ev_mean_musd FROM ({EXPORT}) WHERE rank <= 30"""
 
 
 def signal_coverage(spark, folder):
@@ -571,6 +582,13 @@ def gap_list(spark, folder):
     return report.gap_list(tables, report.signal_coverage(_signals(spark, folder)))
 
 
+GAP_LIST = f"""
+WITH cov AS ({COVERAGE}), w AS (SELECT COALESCE(SUM(weight) FILTER (observed = 0), 0) AS weight, SUM(unobserved) AS gaps FROM cov)
+SELECT 'planning: unobserved — no table' AS gap UNION ALL SELECT 'congestion: partial — some rows'
+UNION ALL SELECT 'composite: ' || printf('%.2f', weight) || ' of the configured weight is unobserved for every flowgate; the ranking rests on the remaining '
+  || printf('%.2f', 1 - weight) || '.' FROM w WHERE gaps > 0"""
+
+
 def mixes(spark, folder):
     return report.mixes(_judged(spark, folder))
 
@@ -635,9 +653,9 @@ QUERIES = {
 AND list_contains(opts, 'Topology Optimization') AND lower(concat_ws(' ', constraint_id, corridor, monitored_facility)) LIKE '%k1%'""")),
     "corridor_segments": (corridor_segments, SEGMENTS),
     "corridor_detail": (corridor_detail, None),
-    "page_rows": (page_rows, None),
+    "page_rows": (page_rows, PAGE_ROWS),
     "signal_coverage": (signal_coverage, COVERAGE),
-    "gap_list": (gap_list, None),
+    "gap_list": (gap_list, GAP_LIST),
     "remedy_mixes": (mixes, MIXES),
     "negative_recurring_rent": (negative_recurring, duck(FLOW, """
 SELECT constraint_id, ROUND(-1.0, 6) AS recurring_musd FROM v_flowgates WHERE ord % 13 = 0 AND rent_musd IS NOT NULL

@@ -549,6 +549,15 @@ def corridor_detail(spark, folder):
     return d.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("value").cast("decimal(28,6)")).cast("double"), 3).alias("total"))
 
 
+_ITEMS = [("signal", n, f"{n}[2]", 4) for n in fixed.SIGNALS] + [("p_best", o, f"x.p_best_{t}", 4) for o, t in fixed.REMEDY_SLUG.items()] + [
+    ("ev_from_musd", o, f"x.ev_from_{t}", 6) for o, t in fixed.REMEDY_SLUG.items() if o != fixed.NO_REMEDY]
+DETAIL = duck(SIG_VIEWS, RANKED + f""", best AS (SELECT * FROM rk QUALIFY row_number() OVER (PARTITION BY corridor ORDER BY rank) = 1), items AS (
+  {" UNION ALL ".join(f"SELECT '{k}' AS kind, '{n}' AS name, round_even({v}, {places}) AS value FROM best LEFT JOIN exact x ON x.constraint_id = best.constraint_id"
+                      for k, n, v, places in _ITEMS)})
+SELECT kind, name, COUNT(*) AS n, ROUND(CAST(SUM(CAST(value AS DECIMAL(28, 6))) AS DOUBLE), 3) AS total FROM items
+WHERE value IS NOT NULL OR kind = 'signal' GROUP BY 1, 2""")
+
+
 PAGE_FIELDS = ("rank int, constraint_id string, physical_corridor string, p_top_k double, composite_expected double, rent_musd double, "
                "get_shown string, ev_mean_musd double")
 
@@ -652,7 +661,7 @@ QUERIES = {
     "filter_rows": (filter_rows, duck(SIG_VIEWS, RANKED + """ SELECT rank, constraint_id, p_top_k FROM rk WHERE p_top_k >= 0.2 AND ev_mean > 0
 AND list_contains(opts, 'Topology Optimization') AND lower(concat_ws(' ', constraint_id, corridor, monitored_facility)) LIKE '%k1%'""")),
     "corridor_segments": (corridor_segments, SEGMENTS),
-    "corridor_detail": (corridor_detail, None),
+    "corridor_detail": (corridor_detail, DETAIL),
     "page_rows": (page_rows, PAGE_ROWS),
     "signal_coverage": (signal_coverage, COVERAGE),
     "gap_list": (gap_list, GAP_LIST),

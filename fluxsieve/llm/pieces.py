@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SHARPNESS, SEED = 1e-3, 42
 #: Largest number of lattice edges a task keeps for units it has met; beyond it the task starts afresh.
-EDGES = 4_000_000
+EDGES = 8_000_000
 MARK = "▁"
 
 
@@ -107,8 +107,8 @@ class Vocabulary:
 class Lattice:
     """Filtered lattices of the units a task has met, as flat arrays of edges sorted by the node they end at.
 
-    The end of a unit after k characters is node first_node[unit] + k - 1. An edge's key is its node plus the
-    chance of the node's edges before it, so that a search for node plus a draw finds the drawn edge.
+    The end of a unit after k characters is node first_node[unit] + k - 1, whose edges begin at first_edge of it. An
+    edge carries the chance of the node's edges before it: a draw takes the last edge whose chance is not above it.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -117,8 +117,8 @@ class Lattice:
 
     def clear(self) -> None:
         self.first_node: dict[str, int] = {}
-        self.key, self.piece, self.back = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.nodes = 0
+        self.before, self.piece, self.back = np.zeros(0, np.float32), np.zeros(0, np.int32), np.zeros(0, np.uint16)
+        self.first_edge, self.nodes = np.zeros(1, np.int64), 0
 
     def learn(self, units: list[str]) -> None:
         """Filter the units not met so far, all of them in step from their starts."""
@@ -147,10 +147,22 @@ class Lattice:
             before[at] = (run - np.repeat(run[heads], width)) / np.repeat(total, width)
             mass[own[heads]] = top + np.log(total)
         by_node = np.lexsort((start, end))
-        key = first + end[by_node] - 1 + np.clip(before[by_node], 0, 1 - 1e-9)
-        self.key = np.concatenate([self.key, key])
+        self.before = np.concatenate([self.before, before[by_node].astype(np.float32)])
         self.piece = np.concatenate([self.piece, piece[by_node].astype(np.int32)])
-        self.back = np.concatenate([self.back, (end - start)[by_node].astype(np.int32)])
+        self.back = np.concatenate([self.back, (end - start)[by_node].astype(np.uint16)])
+        self.first_edge = np.concatenate([self.first_edge, self.first_edge[-1] + np.cumsum(
+            np.bincount(end - 1, minlength=self.nodes - first))])
+
+    def draw(self, node: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        """The edge of each node that a number in [0, 1) falls on."""
+        edge, last = self.first_edge[node], self.first_edge[node + 1] - 1
+        live = np.flatnonzero(edge < last)
+        while len(live):
+            further = edge[live] + 1
+            live = live[self.before[further] <= chance[live]]
+            edge[live] += 1
+            live = live[edge[live] < last[live]]
+        return edge
 
 
 def uniform(key: np.ndarray, position: np.ndarray) -> np.ndarray:
@@ -163,7 +175,7 @@ def uniform(key: np.ndarray, position: np.ndarray) -> np.ndarray:
 
 def sample(texts: list[str], keys: np.ndarray, lattice: Lattice) -> tuple[np.ndarray, np.ndarray]:
     """Sampled piece ids of all texts, one after another, and the number of pieces of each text."""
-    if len(lattice.key) > EDGES:
+    if len(lattice.piece) > EDGES:
         lattice.clear()
     find = lattice.vocabulary.unit.findall
     units, owners = [], []
@@ -181,7 +193,7 @@ def sample(texts: list[str], keys: np.ndarray, lattice: Lattice) -> tuple[np.nda
     while len(live):
         at = node[live] + left[live] - 1
         position = ends[live] - length[live] + left[live] - text_start[owner[live]]
-        edge = np.searchsorted(lattice.key, at + uniform(keys[owner[live]], position), side="right") - 1
+        edge = lattice.draw(at, uniform(keys[owner[live]], position))
         drawn.append((live, lattice.piece[edge]))
         left[live] -= lattice.back[edge]
         live = live[left[live] > 0]

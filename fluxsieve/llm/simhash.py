@@ -13,10 +13,13 @@ components with linear output.
 
 Near copies that are similar rather than almost equal (five-word shingles, similarity of 0.8) differ in about 15%
 of all bits, so no whole byte is guaranteed to survive and two bits are far too few. ``similar`` therefore gives
-every document ``SEEDS`` fingerprints from differently mixed hashes, keeps the index by triples of positional bytes
-(any two similar fingerprints have many chances to share one), links each posting to the first of its list, which
-is linear whatever the list's length and leaves a document some 200 chances, and verifies each link by the tally of shared bytes and
-by the differing bits of all fingerprints together. Its recall is a matter of chance and is measured in the tests.
+every document ``SEEDS`` fingerprints from differently mixed hashes and keeps the index by
+``KEYS`` triples of positional bytes, drawn from the bytes of all fingerprints. First every posting is paired
+with the head of its list, and the links among these give components. Then every pair of a list whose
+components differ is made as well: each posting with those outside the list's largest component. Only a list with
+more than ``LIST`` of these outside is divided first, by each of ``FURTHER`` further positional bytes. So a failed
+check of a head drops no pair, and a group of near copies stays linear.
+Differing bits verify each pair.
 
 Defined results: null or blank text has fingerprint zero; null ids never are a component's name unless all
 its ids are null; rows repeated with one id and text come out once; an empty table gives an empty result.
@@ -24,9 +27,7 @@ its ids are null; rows repeated with one id and text come out once; an empty tab
 
 from __future__ import annotations
 
-import math
-from functools import partial
-from itertools import combinations
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,24 +40,37 @@ from fluxsieve.session import cut
 DISTANCE = 2
 LEAST_BYTES = 8 - DISTANCE
 LIST = 24
-#: Fingerprints of a document in ``similar``.
-SEEDS = 4
+#: Fingerprints of a document in ``similar``, triples of their bytes in the index, and jobs the index is made in.
+SEEDS, KEYS, ROUNDS, FURTHER = 4, 224, 4, 16
+#: A pair of ``similar`` is a link up to this share of differing bits, the mean at a similarity of 0.8.
+BITS = 0.1516
 SALTS = np.array([seed * 0x9E3779B97F4A7C15 % (1 << 64) for seed in range(SEEDS)], np.uint64)
+NAMES = ["fp", *[f"fp{i}" for i in range(1, SEEDS)]]
 SLICE = 1 << 16
 BLOCKS = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
 
 
-def fingerprint(text: str | None, size: int, seeds: int = 1) -> list[int]:
-    """Bit i is set if it is set in over half of the shingles' hashes; later seeds mix the hashes anew."""
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words, or of all words if there are fewer."""
     import xxhash
 
     words = (text or "").encode().lower().split()  # bytes: only A-Z and ASCII white space count
     if not words:
-        return [0] * seeds
+        return np.empty(0, np.uint64)
     size = min(size, len(words))
-    count, ones = len(words) - size + 1, np.zeros((seeds, 64), np.int64)
     hashed = map(partial(xxhash.xxh64_intdigest, seed=42), map(b" ".join, zip(*[words[i:] for i in range(size)])))
-    all_hashes = np.fromiter(hashed, np.uint64, count)
+    return np.fromiter(hashed, np.uint64, len(words) - size + 1)
+
+
+def fingerprint(text: str | None, size: int, seeds: int = 1, once: bool = False) -> list[int]:
+    """Bit i is set if it is set in over half of the shingles' hashes; later seeds mix the hashes anew.
+
+    With ``once``, a repeated shingle counts once.
+    """
+    all_hashes = shingles(text, size)
+    if once:
+        all_hashes = np.unique(all_hashes)
+    count, ones = len(all_hashes), np.zeros((seeds, 64), np.int64)
     for start in range(0, count, SLICE):
         some = all_hashes[start:start + SLICE]
         for seed in range(seeds):
@@ -72,13 +86,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, size: int, seeds: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int, seeds: int = 1, once: bool = False) -> DataFrame:
     """id, text_key, fp, fp1, ... (64 bits each, as longs) of every row."""
     names = ["fp", *[f"fp{i}" for i in range(1, seeds)]]
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t.as_py(), size, seeds) for t in batch.column("text")]
+            found = [fingerprint(t.as_py(), size, seeds, once) for t in batch.column("text")]
             table = np.array(found, np.uint64).reshape(-1, seeds).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_key"), *[pa.array(c) for c in table.T]],
@@ -137,43 +151,104 @@ def components(docs: DataFrame, size: int) -> DataFrame:
         "id", "text_key", "fp", "component_id")
 
 
-def _close(points: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose fingerprints agree as texts of that similarity would."""
-    cosine = 2 * similarity / (1 + similarity)  # of two sets of equal size with that Jaccard similarity
-    most = SEEDS * 64 * math.acos(cosine) / math.pi
-    names = ["fp", *[f"fp{i}" for i in range(1, SEEDS)]]
-    side = lambda c: points.select(F.col("node").alias(c), *[F.col(n).alias(f"{c}_{n}") for n in names])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = sum((shared_bytes(F.col(f"a_{n}"), F.col(f"b_{n}")) for n in names), F.lit(0))
-    differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
-    return both.where((shared >= 3) & (differing <= most)).select("a", "b")
+def _triples() -> np.ndarray:
+    """``KEYS`` different triples of the positional bytes of all fingerprints, the same in every run."""
+    every = np.array([(i, j, k) for i in range(8 * SEEDS) for j in range(i) for k in range(j)])
+    return every[np.random.default_rng(9).choice(len(every), KEYS, replace=False)]
 
 
-def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """id, text_key, fp, component_id of every row, by links between similar documents."""
-    names = ["fp", *[f"fp{i}" for i in range(1, SEEDS)]]
-    found = cut(fingerprints(docs, size, SEEDS))
-    points = cut(found.groupBy(*names).agg(F.min("id").alias("least")).withColumn(
-        "node", F.monotonically_increasing_id()))
-    triples = np.array(list(combinations(range(8), 3)))
+def _bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """The positional bytes of all fingerprints, one row each."""
+    table = np.stack([batch.column(n).to_numpy() for n in NAMES], axis=1)
+    return np.ascontiguousarray(table).view(np.uint8).reshape(len(table), 8 * SEEDS).astype(np.int64)
+
 
-    def post(batches):
+def _index(points: DataFrame, slots: range) -> DataFrame:
+    """node, key of every point and each of these triples."""
+    triples = _triples()[slots.start:slots.stop]
+
+    def run(batches):
         for batch in batches:
-            table = np.stack([batch.column(n).to_numpy() for n in names], axis=1)
-            own = np.ascontiguousarray(table).view(np.uint8).reshape(len(table), SEEDS, 8).astype(np.int64)
-            keys = own[:, :, triples[:, 0]] << 16 | own[:, :, triples[:, 1]] << 8 | own[:, :, triples[:, 2]]
-            keys |= np.arange(SEEDS * len(triples)).reshape(1, SEEDS, -1) << 24
-            node = np.repeat(batch.column("node").to_numpy(), SEEDS * len(triples))
+            own = _bytes(batch)
+            keys = own[:, triples[:, 0]] << 16 | own[:, triples[:, 1]] << 8 | own[:, triples[:, 2]]
+            keys |= np.arange(slots.start, slots.stop)[None, :] << 24
+            node = np.repeat(batch.column("node").to_numpy(), len(triples))
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys.ravel())], ["node", "key"])
 
-    index = points.select("node", *names).mapInArrow(post, "node long, key long")
-    ordered = Window.partitionBy("key").orderBy("node")
-    head = F.first("node").over(Window.partitionBy("key").orderBy("node"))
-    pairs = index.select(head.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
-    labels = component_labels(_close(points, pairs, similarity))
+    return points.select("node", *NAMES).mapInArrow(run, "node long, key long")
+
+
+def _divided(points: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of lists, once for each of ``FURTHER`` bytes outside the list's triple; ``key`` gets the byte."""
+    triples = _triples()
+
+    def run(batches):
+        for batch in batches:
+            own, key = _bytes(batch), batch.column("key").to_numpy()
+            node, label = (np.repeat(batch.column(c).to_numpy(), FURTHER) for c in ("node", "label"))
+            rng = [np.setdiff1d(np.arange(8 * SEEDS), triples[k >> 24])[(k >> 24) % 3::3][:FURTHER] for k in key]
+            places = np.array(rng, np.int64).reshape(len(key), FURTHER)
+            keys = key[:, None] << 16 | places << 8 | np.take_along_axis(own, places, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node), pa.array(label)], ["key", "node", "label"])
+
+    return members.join(points.select("node", *NAMES), "node").select("key", "node", "label", *NAMES).mapInArrow(
+        run, "key long, node long, label long")
+
+
+def _across(points: DataFrame, members: DataFrame, divide: bool = True) -> DataFrame:
+    """All pairs (a, b) of a list's members (key, node, label) whose labels differ."""
+    each = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    tops = cut(each.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("top"),
+                                       (F.sum("c") - F.max("c")).alias("outside")).where("outside > 0"))
+    held = cut(members.join(tops, "key"))
+    short = held.where(F.col("outside") <= LIST) if divide else held
+    outside = short.where("label <> top").select("key", F.col("node").alias("b"), F.col("label").alias("other"))
+    pairs = short.join(outside, "key").where("label <> other AND (label = top OR node < b)").select(
+        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    if not divide:
+        return pairs
+    long = held.where(F.col("outside") > LIST).select("key", "node", "label")
+    return pairs.unionByName(_across(points, cut(_divided(points, long)), False)).distinct()
+
+
+def _near(points: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that few enough bits tell apart."""
+    side = lambda c: points.select(F.col("node").alias(c), *[F.col(n).alias(f"{c}_{n}") for n in NAMES])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in NAMES), F.lit(0))
+    return both.where(differing <= int(BITS * 64 * SEEDS)).select("a", "b")
+
+
+def _postings(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of each posting and its list's head, and the postings (key, node) of lists of three and more."""
+    pairs, longer = [], []
+    for k in range(ROUNDS):
+        index = _index(points, range(k * KEYS // ROUNDS, (k + 1) * KEYS // ROUNDS))
+        lists = cut(index.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1"))
+        held = cut(index.join(lists.where("n > 2").select("key", "a"), "key"))
+        heads = lists.where("n = 2").select("a", "b").unionByName(held.where("node <> a").select("a", F.col("node").alias("b")))
+        pairs.append(cut(_near(points, heads.distinct())))
+        longer.append(held.select("key", "node"))
+        del index, lists, held, heads
+        points.sparkSession.sparkContext._jvm.System.gc()  # Spark then deletes this round's shuffle files
+    return reduce(DataFrame.unionByName, pairs).distinct(), reduce(DataFrame.unionByName, longer)
+
+
+def similar(docs: DataFrame, size: int = 5) -> DataFrame:
+    """id, text_key, fp, component_id of every row, by links between similar documents."""
+    found = cut(fingerprints(docs, size, SEEDS))
+    points = cut(found.groupBy(*NAMES).agg(F.min("id").alias("least")).withColumn(
+        "node", F.monotonically_increasing_id()))
+    heads, longer = _postings(points)
+    links = cut(heads)
+    labels = component_labels(links)
+    members = cut(longer.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+    rest = cut(_near(points, _across(points, members)))
+    labels = component_labels(links.unionByName(rest))
     labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    return found.join(labelled.join(least, "label").select(*names, "component_id"), names).select(
+    return found.join(labelled.join(least, "label").select(*NAMES, "component_id"), NAMES).select(
         "id", "text_key", "fp", "component_id")
 
 

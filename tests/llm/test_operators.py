@@ -459,6 +459,52 @@ def test_similar_documents_leave_one_row(spark):
     assert simhash.survivors(frame.limit(0)).count() == 0
 
 
+def _apart(words, changes, tag):
+    """The words with every k-th one changed, so that each change costs five shingles."""
+    out = list(words)
+    for c in range(changes):
+        out[(2 * c + 1) * len(out) // (2 * changes)] = f"{tag}{c}"
+    return " ".join(out)
+
+
+def _jaccard(a, b):
+    x, y = (set(simhash.shingles(t, 5).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def _linked(spark, rows):
+    got = {r["id"]: r["component_id"] for r in simhash.similar(docs(spark, rows).repartition(5)).collect()}
+    return got, sum(got[i] == got[10_000 + i] for i in got if i < 10_000 and 10_000 + i in got)
+
+
+def test_similar_pairs_survive_unrelated_heads(spark, monkeypatch):
+    """Fingerprints by hand: all lists that a pair shares hold six documents like neither, whose ids vary."""
+    rng, texts, prints = random.Random(31), prose(32, 240, 100), {}
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10_000 + i, _apart(texts[i].split(), 1, f"x{i}n")) for i in range(30)]
+    for i in range(30):
+        both = [rng.getrandbits(63), rng.getrandbits(63)]
+        for k in range(i, 240, 30):  # two fingerprints are the same, and half of all other bits differ
+            prints[k] = both + [rng.getrandbits(63) for _ in range(simhash.SEEDS - 2)]
+        prints[10_000 + i] = both + [p ^ 0x0101010101010101 for p in prints[i][2:]]  # one bit of each byte differs
+    names = ["fp", *[f"fp{i}" for i in range(1, simhash.SEEDS)]]
+    planted = spark.createDataFrame([(i, *p) for i, p in prints.items()], "id long, " + ", ".join(f"{n} long" for n in names))
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_, **__: docs.select(*common.identity()).join(planted, "id"))
+    got, found = _linked(spark, rows)
+    assert found == 30 and len(set(got.values())) == 240
+
+
+def test_pairs_across_crowded_lists_are_all_made(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LIST", 3)
+    rng = np.random.default_rng(33)
+    points = spark.createDataFrame([(i, *map(int, rng.integers(0, 1 << 60, simhash.SEEDS))) for i in range(40)],
+                                   "node long, " + ", ".join(f"{n} long" for n in simhash.NAMES))
+    # key 1: one large component and three others; key 2: two members only, of one component
+    members = [(1, i, 0 if i < 30 else i) for i in range(33)] + [(2, 0, 0), (2, 1, 0)]
+    frame = spark.createDataFrame(members, "key long, node long, label long")
+    got = Counter((r["a"], r["b"]) for r in simhash._across(points, frame).collect())
+    assert got == Counter((a, b) for b in range(30, 33) for a in range(b))
+
+
 # --- 10 scoring
 
 def test_scores_equal_brute_force(spark):

@@ -505,6 +505,16 @@ def test_pairs_across_crowded_lists_are_all_made(spark, monkeypatch):
     assert got == Counter((a, b) for b in range(30, 33) for a in range(b))
 
 
+def test_similar_pairs_at_the_threshold(spark):
+    """Just above 0.8 nearly all pairs are found, and just below none is: sets decide, not bits."""
+    base = prose(34, 300, 220)
+    above = [(10_000 + i, _apart(t.split(), 4, f"x{i}n")) for i, t in enumerate(base[:150])]
+    below = [(10_000 + i, _apart(t.split(), 6, f"x{i}n")) for i, t in enumerate(base) if i >= 150]
+    assert 0.8 < _jaccard(base[0], above[0][1]) < 0.85 and 0.7 < _jaccard(base[150], below[0][1]) < 0.8
+    got, found = _linked(spark, list(enumerate(base)) + above + below)
+    assert 145 <= found <= 150 and all(got[i] != got[10_000 + i] for i in range(150, 300))
+
+
 # --- 10 scoring
 
 def test_scores_equal_brute_force(spark):

@@ -34,12 +34,18 @@ def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     return list(groups.values())
 
 
+def _read_group(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of one header, split between tasks unless a line leaves a quote open, so that a cell goes on in the next."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    open_lines = spark.read.text(paths).where(quotes % 2 == 1)
+    return trimmed_headers(read_text_table(spark, paths, line_breaks=not open_lines.isEmpty()))
+
+
 def _by_header(spark: SparkSession, paths: list[str], columns) -> DataFrame:
     """The named columns of all files and the name of each row's file; files may order their columns differently."""
     parts = []
     for own in header_groups(spark, paths):
-        df = trimmed_headers(read_text_table(spark, own, line_breaks=False).withColumn(
-            "_file", F.col("_metadata.file_name")))
+        df = _read_group(spark, own).withColumn("_file", F.col("_metadata.file_name"))
         parts.append(_trimmed(require_columns(df, columns, own[0]).select(*columns, "_file")))
     return _union(parts)
 
@@ -141,7 +147,7 @@ def authority_rows(spark: SparkSession, paths: list[str], authority: str, year:
     """Hourly rows of one authority and year over half-year files whose columns differ."""
     parts = []
     for own in header_groups(spark, paths):
-        df = trimmed_headers(read_text_table(spark, own, line_breaks=False))
+        df = _read_group(spark, own)
         parts.append(require_columns(df, ("Balancing Authority", "UTC Time at End of Hour", "Data Date",
                                           "Demand (MW)"), own[0]))
     return authority_year(_union(parts), authority, year)

@@ -17,6 +17,24 @@ def test_text_table_keeps_blanks_and_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in df.orderBy("id").collect()] == [("1", "a\nb", None), ("2", " x ", 'say "hi"')]
 
 
+def test_quoted_line_breaks_stay_one_cell_in_grouped_files(spark, tmp_path):
+    head = "Balancing Authority,Data Date,UTC Time at End of Hour,Demand (MW),Note"
+    day, hour = "01/02/2024", "01/02/2024 {:02d}:00:00 AM"
+    (tmp_path / "a.csv").write_text(f'{head}\nXX,{day},{hour.format(1)},5,"one\ntwo"\nXX,{day},{hour.format(2)},6,"say ""hi"""\n')
+    (tmp_path / "b.csv").write_text(f"Extra,{head}\n0,XX,{day},{hour.format(3)},7,plain\n")
+    rows = market.authority_rows(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], "XX", 2024)
+    assert sorted((r["Demand (MW)"], r["Note"]) for r in rows.collect()) == [
+        ("5", "one\ntwo"), ("6", 'say "hi"'), ("7", "plain")]
+
+
+def test_settled_rows_keep_quoted_line_breaks(spark, tmp_path):
+    columns = [c for c in fixed.SETTLED_COLUMNS if c not in ("Month", "DA Collected")]
+    body = ",".join(["Note", "Month", "DA Collected", *columns]) + "\n" + ",".join(['"a\nb"', "02/2024", "5", *columns]) + "\n"
+    (tmp_path / "t.csv").write_text(body)
+    assert [(str(r["month"]), r["collected"]) for r in market.settled_rows(spark, [str(tmp_path / "t.csv")]).collect()] == [
+        ("2024-02-01", 5.0)]
+
+
 def test_exact_contract_refuses_other_columns(spark, tmp_path):
     (tmp_path / "c.csv").write_text("market,period,days_expected,days_covered\nDA,2025-01,31,31\n")
     with pytest.raises(validation.Refused):

@@ -9,7 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from fluxsieve.llm import (chat, common, decontaminate, exact_dedup, language, lm_score, pieces, queries, secrets,
                            simhash, url_filter, warc)
@@ -505,6 +505,14 @@ def test_pairs_across_crowded_lists_are_all_made(spark, monkeypatch):
     assert got == Counter((a, b) for b in range(30, 33) for a in range(b))
 
 
+def test_no_window_in_similar(spark, monkeypatch):
+    """A window brings all postings of a key to one task; heads are minima, combined before they are shuffled."""
+    made, held = [], Window.partitionBy
+    monkeypatch.setattr(Window, "partitionBy", staticmethod(lambda *c: made.append(c) or held(*c)))
+    simhash.similar(docs(spark, list(enumerate(prose(35, 4, 30)))))
+    assert not made
+
+
 def test_similar_pairs_at_the_threshold(spark):
     """Just above 0.8 nearly all pairs are found, and just below none is: sets decide, not bits."""
     base = prose(34, 300, 220)

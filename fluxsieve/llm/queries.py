@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fluxsieve.llm import chat, decontaminate, exact_dedup, language, lm_score, pieces, secrets, simhash, url_filter, warc
+from fluxsieve.llm import (align, centroids, chat, decontaminate, exact_dedup, language, licenses, lm_score, pieces, secrets,
+                           simhash, url_filter, warc)
 from fluxsieve.llm.common import shared_path, table
 
 #: Where the public tokenizers' files are; nothing of them is kept in the repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 
 #: The white space of the contracts, as DuckDB spells it.
 SQL_WHITE = r"'[\x20\x09-\x0D]+'"
@@ -266,6 +268,81 @@ SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(t, 0), 6) AS target_lo
 """
 
 
+def op11_centroid_clustering(spark, folder):
+    """Cluster of every vector, with the sums of distances."""
+    found, _ = centroids.clusters(table(spark, folder, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def _sql_assigned(i: int) -> str:
+    return f"""
+a{i} AS (SELECT vec_id, row, q, cluster, distance FROM (
+  SELECT vec_id, row, q, cluster, list_sum(list_transform(range(1, {centroids.DIMENSIONS + 1}), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) AS distance
+  FROM kept, c{i}) QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1)"""
+
+
+def _sql_moved(i: int) -> str:
+    return f"""
+s{i} AS (SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+  SELECT cluster, unnest(range(1, {centroids.DIMENSIONS + 1})) AS i, unnest(q) AS x FROM a{i}) GROUP BY ALL),
+m{i} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{i} GROUP BY 1),
+c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))"""
+
+
+OP11_SQL = f"""
+WITH kept AS (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS q FROM embeddings
+              WHERE len(embedding) = {centroids.DIMENSIONS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMENSIONS}),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id)) - 1 AS cluster, q AS c FROM kept
+       QUALIFY cluster < {centroids.CLUSTERS}),{",".join(_sql_assigned(i) + "," + _sql_moved(i) for i in range(centroids.ROUNDS))},{_sql_assigned(centroids.ROUNDS)}
+SELECT vec_id, a.cluster, distance, sum(distance) OVER (PARTITION BY a.cluster) AS cluster_inertia, sum(distance) OVER () AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} a JOIN c{centroids.ROUNDS} c ON a.cluster = c.cluster
+"""
+
+
+def op12_tokenizer_alignment(spark, folder):
+    """Groups, links and link counts of two tokenizers' tokens over every document."""
+    return align.aligned(table(spark, folder, "documents"), BYTE_BPE, PIECE_MODEL).withColumnRenamed("id", "doc_id")
+
+
+def op13_license_scan(spark, folder):
+    """Licenses of every document: the required phrases, and what the rules add."""
+    found = licenses.labelled(table(spark, folder, "documents"))
+    base = F.filter("found", lambda d: d["rule"] < len(licenses.BASE))
+    start = F.transform(base, lambda d: d["start"])
+    names = F.array_sort(F.array_distinct(F.transform(base, lambda d: d["label"])))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(start).alias("first_word"),
+        F.array_max(start).alias("last_word"), F.array_join(names, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+_RULES = ",\n".join(
+    f"({i}, '{r.label}', {r.weight}, '{r.keyword}', '{r.pattern}')" for i, r in enumerate(licenses.rules()))
+OP13_SQL = rf"""
+WITH rule(rule, label, weight, keyword, pattern) AS (VALUES {_RULES}),
+d AS (SELECT doc_id, row_number() OVER () AS row, coalesce({_WORDS}, []) AS w FROM documents),
+t AS (SELECT row, ' ' || array_to_string(w, '  ') || ' ' AS t FROM d WHERE len(w) > 0),
+tried AS (SELECT row, rule, t, pattern FROM t JOIN rule ON contains(t, keyword)),
+parts AS (SELECT row, rule, regexp_extract_all(t, pattern) AS whole, regexp_split_to_array(t, pattern) AS between FROM tried),
+each AS (SELECT row, rule, i, whole[i] AS m, between[i] AS b FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM parts)),
+-- each word has two blanks: those before a match, halved, are the words before it
+found AS (SELECT row, rule, (sum(blanks(b)) OVER o + coalesce(sum(blanks(m)) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) // 2 AS s,
+                 blanks(m) // 2 AS n FROM each WINDOW o AS (PARTITION BY row, rule ORDER BY i)),
+kept AS (SELECT f.row, f.rule, f.s, label, weight FROM found f JOIN rule USING (rule) WHERE f.rule < {len(licenses.BASE)} OR NOT EXISTS (
+           SELECT 1 FROM found e WHERE e.row = f.row AND e.rule < f.rule AND e.s <= f.s AND e.s + e.n >= f.s + f.n)),
+out AS (SELECT row, count(*) FILTER (rule < {len(licenses.BASE)}) AS n_base, min(s) FILTER (rule < {len(licenses.BASE)}) AS first_word,
+               max(s) FILTER (rule < {len(licenses.BASE)}) AS last_word, max(weight) AS score,
+               list_sort(list(DISTINCT label) FILTER (rule < {len(licenses.BASE)})) AS base_labels, list_sort(list(DISTINCT label)) AS labels
+        FROM kept GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(array_to_string(base_labels, ','), '') AS base_labels, coalesce(array_to_string(labels, ','), '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score FROM d LEFT JOIN out USING (row)
+"""
+for _text in ("b", "m"):
+    OP13_SQL = OP13_SQL.replace(f"blanks({_text})", f"(length({_text}) - length(replace({_text}, ' ', '')))")
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -277,4 +354,7 @@ QUERIES = {
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_simhash_near_dedup": (op9_simhash_near_dedup, None),
     "op10_cross_entropy_difference": (op10_cross_entropy_difference, OP10_SQL),
+    "op11_centroid_clustering": (op11_centroid_clustering, OP11_SQL),
+    "op12_tokenizer_alignment": (op12_tokenizer_alignment, None),
+    "op13_license_scan": (op13_license_scan, OP13_SQL),
 }

@@ -2,15 +2,16 @@
 
 Every text is encoded by a byte-level BPE (A) and a piece model (B); both token sequences spell the same bytes, so
 each is an array of byte ends. From a common boundary the arrays are compared at the current index shift in blocks of
-1, 2, 4, ... tokens: while blocks are equal the tokens stand one to one and are jumped over; the block that differs
+4, 8, 16, ... tokens: while blocks are equal the tokens stand one to one and are jumped over; the block that differs
 is halved down to the first difference. There the smaller end moves on, side by side, until both ends meet: an
 irregular group, after which the index shift is another. Groups are what lies between common boundaries. Within a
-group ends differ, so each end of the union marks exactly one overlap: a link of an A and a B token.
+group ends differ, so each end of the union marks exactly one overlap: a link of an A and a B token. Texts are aligned
+whole; only the encoding looks at units.
 
 Pair counts cover the whole corpus. A task gathers documents into blocks of ``LINKS`` links, and a block's distinct
 id pairs with their counts are its only rows that are shuffled by pair. The counts come back to the block by its
-number, at the places of its own pair list, and are added up there for each of its documents. A block is bounded by
-``LINKS`` and its last Arrow batch, which ends after one text over 16 MB; a row holds a block.
+number, at the places of its own pair list, and are added up there for each of its documents. A block ends with the
+text that brings it to ``LINKS`` links, so a row is bounded by that and one text.
 
 Defined results: texts that are null, empty, or that the tokens of A or B do not spell byte for byte have no tokens,
 zeros and an empty digest; ids may be null or repeated, each row is aligned on its own; an empty table gives an empty
@@ -22,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -32,8 +34,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from fluxsieve.llm.common import stored
 
-#: Links after which a block ends.
-LINKS = 1 << 20
+#: Links after which a block ends, characters that are encoded at once, and units whose tokens a worker holds.
+LINKS, PORTION, UNITS = 1 << 19, 1 << 19, 1 << 19
+#: Tokens of the first block that is compared.
+PROBE = 4
+#: Where units begin.
+UNIT = re.compile(r"(?<=\S)(?= \S)")
 #: An id pair is one long: the A id above, the B id below this many bits.
 SHIFT = 32
 
@@ -46,7 +52,11 @@ def byte_of_symbol() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers and the bytes of their tokens."""
+    """Both tokenizers, the bytes of their tokens, and the tokens of the units met last.
+
+    A blank between two characters that are no white space starts a token of A, and of B too, as no piece holds a
+    blank after another character. So the units between such blanks are encoded each by itself, once while they are held.
+    """
 
     def __init__(self, bpe: str, pieces: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task uses one core
@@ -57,31 +67,61 @@ class Pair:
         self.a = Tokenizer.from_file(bpe)
         self.a.encode_special_tokens = True
         vocabulary = json.load(open(bpe, encoding="utf-8"))["model"]["vocab"]
-        self.a_bytes = {i: bytes(map(symbol.__getitem__, t)) for t, i in vocabulary.items() if set(t) <= symbol.keys()}
+        a_bytes = {i: bytes(map(symbol.__getitem__, t)) for t, i in vocabulary.items() if set(t) <= symbol.keys()}
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        self.b_bytes = {i: self._piece(i) for i in range(self.b.get_piece_size())}
+        self.spelled = [[a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)],
+                        [self._piece(i) for i in range(self.b.get_piece_size())]]
+        self.length = [np.array(list(map(len, side)), np.int64) for side in self.spelled]
+        self.name = [str(i) for i in range(max(map(len, self.spelled)))]
+        apart = not any(b" " in x.lstrip(b" ") for x in self.spelled[1])
+        self.split = UNIT.split if apart else lambda text: [text]
+        self.clear()
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
-        return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int], list[int], list[int]]]:
-        """Ids and byte ends of A, then of B, for each text; all empty if either does not spell the text."""
+        return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    def clear(self) -> None:
+        self.unit: dict[str, int] = {}
+        self.whole = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def learn(self, units: list[str]) -> None:
+        """Encode the units that are not held yet. A unit begins with the blank that B adds."""
+        new = [u for u in dict.fromkeys(units) if u not in self.unit]
+        if not new:
+            return
         fast = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        first = fast([" " + t for t in texts], add_special_tokens=False)
-        second = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, a, b in zip(texts, first, second):
+        sides = [[x.ids for x in fast(new, add_special_tokens=False)], self.b.encode([u[1:] for u in new], num_threads=1)]
+        spells = np.ones(len(new), bool)
+        for k, (found, spelled) in enumerate(zip(sides, self.spelled)):
+            spells &= [all(parts := [spelled[i] for i in ids]) and b"".join(parts) == u.encode() for ids, u in zip(found, new)]
+            self.ids[k] = np.concatenate([self.ids[k], np.fromiter(chain.from_iterable(found), np.int32)])
+            self.first[k] = np.concatenate([self.first[k], self.first[k][-1] + np.cumsum(list(map(len, found)))])
+        self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new))))
+        self.whole = np.concatenate([self.whole, spells])
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids and byte ends of A, then of B, for each text; all empty if either does not spell the text."""
+        if len(self.unit) > UNITS or max(map(len, self.ids)) > 4 * UNITS:
+            self.clear()
+        split = [self.split(" " + t) if t else [] for t in texts]
+        units = list(chain.from_iterable(split))
+        self.learn(units)
+        at = np.fromiter(map(self.unit.__getitem__, units), np.int64, len(units))
+        stop, out, i = np.cumsum(list(map(len, split))), [], 0
+        for j in stop:
+            own, i = at[i:j], j
+            if not self.whole[own].all():
+                own = own[:0]
             sides = []
-            for ids, spelled in ((a.ids, self.a_bytes), (b, self.b_bytes)):
-                parts = [spelled.get(i, b"") for i in ids]
-                sides.append((ids, parts, b"".join(parts)))
-            whole = b" " + text.encode()
-            if not text or any(joined != whole or b"" in parts for _, parts, joined in sides):
-                out.append(([], [], [], []))
-                continue
-            ends = [np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))).tolist() for _, parts, _ in sides]
-            out.append((sides[0][0], ends[0], sides[1][0], ends[1]))
+            for ids, first, length in zip(self.ids, self.first, self.length):
+                count = first[own + 1] - first[own]
+                end = np.cumsum(count)
+                found = ids[np.repeat(first[own] - end + count, count) + np.arange(end[-1] if len(end) else 0)]
+                sides += [found, np.cumsum(length[found])]
+            out.append(tuple(sides))
         return out
 
 
@@ -90,54 +130,64 @@ def pair(bpe: str, pieces: str) -> Pair:
     return Pair(bpe, pieces)
 
 
-def groups(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Where groups end, as (A tokens, B tokens) so far, of two arrays of ends whose last ends are equal."""
+def runs(a: list[int], b: list[int]) -> list[tuple[int, int, int, int, bool]]:
+    """Stretches (from A, to A, from B, to B, whether one to one) of two arrays of ends whose last ends are equal.
+
+    A stretch that is one to one holds a group for each token; any other is one group.
+    """
     out, i, j, n = [], 0, 0, len(a)
     while i < n:
-        step = 1
-        while i + step <= n and a[i:i + step] == b[j:j + step]:
-            out.extend(zip(range(i + 1, i + step + 1), range(j + 1, j + step + 1)))
-            i, j, step = i + step, j + step, 2 * step
+        p, q, step = i, j, PROBE
+        while p + step <= n and a[p:p + step] == b[q:q + step]:
+            p, q, step = p + step, q + step, 2 * step
         while step > 1:
             step //= 2
-            if i + step <= n and a[i:i + step] == b[j:j + step]:
-                out.extend(zip(range(i + 1, i + step + 1), range(j + 1, j + step + 1)))
-                i, j = i + step, j + step
-        if i == n:
-            break
-        end_a, end_b = a[i], b[j]
+            if p + step <= n and a[p:p + step] == b[q:q + step]:
+                p, q = p + step, q + step
+        if p > i:
+            out.append((i, p, j, q, True))
+            i, j = p, q
+            if i == n:
+                break
+        end_a, end_b = a[p], b[q]
         while end_a != end_b:
             if end_a < end_b:
-                i += 1
-                end_a = a[i]
+                p += 1
+                end_a = a[p]
             else:
-                j += 1
-                end_b = b[j]
-        i, j = i + 1, j + 1
-        out.append((i, j))
+                q += 1
+                end_b = b[q]
+        out.append((i, p + 1, j, q + 1, False))
+        i, j = p + 1, q + 1
     return out
 
 
-def links(a: list[int], b: list[int], stops: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """A and B token numbers of all overlaps: within a group, one for each different end."""
-    in_group = np.array([(0, 0), *stops], np.int64)
-    ends = np.union1d(np.array(a, np.int64), np.array(b, np.int64))
-    assert len(ends) == len(a) + len(b) - len(in_group) + 1
+def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A and B token numbers of all overlaps: ends within a group differ, so each end of the union marks one."""
+    ends = np.union1d(a, b)
     return np.searchsorted(a, ends), np.searchsorted(b, ends)
 
 
-def written(a_ids: list[int], b_ids: list[int], stops: list[tuple[int, int]]) -> str:
+def written(a: list[str], b: list[str], found: list[tuple[int, int, int, int, bool]]) -> str:
     """``a1,a2|b1;a3|b2,b3`` of all groups."""
-    a, b, i, j, out = list(map(str, a_ids)), list(map(str, b_ids)), 0, 0, []
-    for p, q in stops:
-        out.append((a[i] if p == i + 1 else ",".join(a[i:p])) + "|" + (b[j] if q == j + 1 else ",".join(b[j:q])))
-        i, j = p, q
-    return ";".join(out)
+    return ";".join([";".join(map("|".join, zip(a[i:p], b[j:q]))) if plain else ",".join(a[i:p]) + "|" + ",".join(b[j:q])
+                     for i, p, j, q, plain in found])
 
 
 _DOC = "struct<id:{kind},n_a:long,n_b:long,n_groups:long,n_links:long,groups_sha256:string>"
 
 
+def portions(texts: list[str]):
+    """The texts in lists of about ``PORTION`` characters, or of one longer text."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= PORTION:
+            yield texts[start:i + 1]
+            start, held = i + 1, 0
+    yield texts[start:]
+
+
 def blocks(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFrame:
     """block, docs (each document's counts and digest), pairs and counts (distinct id pairs), at (pair of each link)."""
     kind = dict(docs.dtypes)["doc_id"]
@@ -159,21 +209,23 @@ def blocks(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFra
         for batch in batches:
             id_type = batch.column("id").type
             ids = batch.column("id").to_pylist()
-            for i, (a_ids, a, b_ids, b) in zip(ids, both.encode([t or "" for t in batch.column("text").to_pylist()])):
-                if not a_ids:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for i, (a_ids, a, b_ids, b) in zip(ids, chain.from_iterable(map(both.encode, portions(texts)))):
+                if not len(a):
                     held.append((i, 0, 0, 0, 0, ""))
                     continue
-                stops = groups(a, b)
-                of_a, of_b = links(a, b, stops)
-                codes.append(np.array(a_ids, np.int64)[of_a] << SHIFT | np.array(b_ids, np.int64)[of_b])
-                digest = hashlib.sha256(written(a_ids, b_ids, stops).encode()).hexdigest()
-                held.append((i, len(a), len(b), len(stops), len(of_a), digest))
+                found = runs(a.tolist(), b.tolist())
+                of_a, of_b = links(a, b)
+                codes.append(a_ids[of_a].astype(np.int64) << SHIFT | b_ids[of_b])
+                names = [list(map(both.name.__getitem__, side.tolist())) for side in (a_ids, b_ids)]
+                held.append((i, len(a), len(b), sum(p - k if plain else 1 for k, p, _, _, plain in found), len(of_a),
+                             hashlib.sha256(written(*names, found).encode()).hexdigest()))
                 total += len(of_a)
-            if total >= size:
-                yield block()
-                number, total = number + 1, 0
-                held.clear()
-                codes.clear()
+                if total >= size:
+                    yield block()
+                    number, total = number + 1, 0
+                    held.clear()
+                    codes.clear()
         if held:
             yield block()
 

@@ -14,12 +14,15 @@ components with linear output.
 Near copies that are similar rather than almost equal (five-word shingles, similarity of 0.8) differ in about 15%
 of all bits, so no whole byte is guaranteed to survive and two bits are far too few. ``similar`` therefore gives
 every document ``SEEDS`` fingerprints of its distinct shingles from differently mixed hashes and keeps the index by
-``KEYS`` triples of positional bytes, drawn from the bytes of all fingerprints. First every posting is paired
-with the head of its list, and the links among these give components. Then every pair of a list whose
-components differ is made as well: each posting with those outside the list's largest component. Only a list with
-more than ``LIST`` of these outside is divided first, by each of ``FURTHER`` further positional bytes. So a failed
-check of a head drops no pair, and a group of near copies stays linear. Differing bits only filter pairs; the Jaccard
-similarity of the two documents' shingle sets decides each link.
+``KEYS`` triples of positional bytes, drawn from the bytes of all fingerprints. A posting list is first counted, with
+its smallest and largest member, on the map side; these pairs give components. Only lists of three members and more
+are made again, behind a filter of fixed size, and every pair of a list whose components differ is made. A list with
+more than ``LIST`` members outside its largest component is divided first by further positional bytes, again and again.
+So no failed check drops another pair, and a group of near copies stays linear.
+
+A candidate pair's shared positional bytes are tallied: it stays if it reaches ``SHARED``, the least number that a similar
+pair has but for 3 deviations, and if few enough bits differ. Pairs far on the similar side are links; of the others
+those that would join two components are decided by the Jaccard similarity of the two shingle sets.
 
 Defined results: null or blank text has fingerprint zero; null ids never are a component's name unless all
 its ids are null; rows repeated with one id and text come out once; an empty table gives an empty result.
@@ -34,17 +37,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fluxsieve.llm.common import identity, only
+from fluxsieve.llm.decontaminate import bloom, may_hold
 from fluxsieve.operators.graph import component_labels
 from fluxsieve.session import cut
 
 DISTANCE = 2
 LEAST_BYTES = 8 - DISTANCE
 LIST = 24
-#: Fingerprints of a document in ``similar``, triples of their bytes in the index, and jobs the index is made in.
-SEEDS, KEYS, ROUNDS, FURTHER = 8, 672, 8, 16
-#: Pairs of ``similar`` stay for the exact check up to this share of differing bits. At a similarity of 0.8 the mean is
-#: 0.1515 with a deviation of 0.0158 over 512 bits, so this is six deviations above it.
-BITS = 0.25
+#: Fingerprints of a document in ``similar``, triples of their bytes in the index, jobs the index is made in, further
+#: bytes that divide a long list, and how often.
+SEEDS, KEYS, ROUNDS, FURTHER, LEVELS = 8, 315, 5, 16, 3
+#: Shared positional bytes a pair of ``similar`` must reach. At a similarity of 0.8 the mean is 17 of 64, the deviation 3.6.
+SHARED = 6
+#: Pairs of ``similar`` stay for the comparison of their sets up to this share of differing bits. At a similarity of 0.8
+#: the mean is 0.1515 with a deviation of 0.0158 over 512 bits: the bounds are six deviations above it and four below.
+#: Below the second one, documents of that many distinct shingles or more need no comparison.
+BITS, SURE_BITS, SURE_SHINGLES = 0.25, 0.088, 64
 SALTS = np.array([seed * 0x9E3779B97F4A7C15 % (1 << 64) for seed in range(SEEDS)], np.uint64)
 NAMES = ["fp", *[f"fp{i}" for i in range(1, SEEDS)]]
 SLICE = 1 << 16
@@ -69,8 +77,11 @@ def fingerprint(text: str | None, size: int, seeds: int = 1, once: bool = False)
     With ``once``, a repeated shingle counts once.
     """
     all_hashes = shingles(text, size)
-    if once:
-        all_hashes = np.unique(all_hashes)
+    return majority(np.unique(all_hashes) if once else all_hashes, seeds)
+
+
+def majority(all_hashes: np.ndarray, seeds: int) -> list[int]:
+    """Fingerprints of hashes, one for each seed."""
     count, ones = len(all_hashes), np.zeros((seeds, 64), np.int64)
     for start in range(0, count, SLICE):
         some = all_hashes[start:start + SLICE]
@@ -87,17 +98,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, size: int, seeds: int = 1, once: bool = False) -> DataFrame:
-    """id, text_key, fp, fp1, ... (64 bits each, as longs) of every row."""
-    names = ["fp", *[f"fp{i}" for i in range(1, seeds)]]
+def fingerprints(docs: DataFrame, size: int, seeds: int = 1, once: bool = False, counted: bool = False) -> DataFrame:
+    """id, text_key, fp, fp1, ... (64 bits each, as longs) of every row; with ``counted`` the number of ``shingles`` too."""
+    names = ["fp", *[f"fp{i}" for i in range(1, seeds)], *(["shingles"] if counted else [])]
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t.as_py(), size, seeds, once) for t in batch.column("text")]
-            table = np.array(found, np.uint64).reshape(-1, seeds).view(np.int64)
+            table = np.zeros((len(names), batch.num_rows), np.int64)
+            for row, text in enumerate(batch.column("text")):
+                hashes = shingles(text.as_py(), size)
+                hashes = np.unique(hashes) if once else hashes
+                table[:seeds, row] = np.array(majority(hashes, seeds), np.uint64).view(np.int64)
+                table[seeds:, row] = len(hashes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_key"), *[pa.array(c) for c in table.T]],
-                ["id", "text_key", *names])
+                [batch.column("id"), batch.column("text_key"), *map(pa.array, table)], ["id", "text_key", *names])
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select(*identity(), F.col("text")).mapInArrow(
@@ -153,9 +167,10 @@ def components(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _triples() -> np.ndarray:
-    """``KEYS`` different triples of the positional bytes of all fingerprints, the same in every run."""
-    every = np.array([(i, j, k) for i in range(8 * SEEDS) for j in range(i) for k in range(j)])
-    return every[np.random.default_rng(9).choice(len(every), KEYS, replace=False)]
+    """``KEYS`` triples of the positional bytes of all fingerprints, the same in every run; bytes occur equally often."""
+    rng, each = np.random.default_rng(9), 8 * SEEDS // 3
+    drawn = [rng.permutation(8 * SEEDS)[:3 * each].reshape(each, 3) for _ in range(-(-KEYS // each))]
+    return np.concatenate(drawn)[:KEYS].astype(np.int64)
 
 
 def _bytes(batch: pa.RecordBatch) -> np.ndarray:
@@ -164,113 +179,158 @@ def _bytes(batch: pa.RecordBatch) -> np.ndarray:
     return np.ascontiguousarray(table).view(np.uint8).reshape(len(table), 8 * SEEDS).astype(np.int64)
 
 
-def _index(points: DataFrame, slots: range) -> DataFrame:
-    """node, key of every point and each of these triples."""
+def _index(points: DataFrame, slots: range, asked=None) -> DataFrame:
+    """node, key of every point and each of these triples; ``asked`` is a filter of the keys that are wanted."""
     triples = _triples()[slots.start:slots.stop]
 
     def run(batches):
         for batch in batches:
             own = _bytes(batch)
             keys = own[:, triples[:, 0]] << 16 | own[:, triples[:, 1]] << 8 | own[:, triples[:, 2]]
-            keys |= np.arange(slots.start, slots.stop)[None, :] << 24
+            keys = (keys | np.arange(slots.start, slots.stop)[None, :] << 24).ravel()
             node = np.repeat(batch.column("node").to_numpy(), len(triples))
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys.ravel())], ["node", "key"])
+            if asked is not None:
+                wanted = may_hold(asked.value, _mixed(keys.astype(np.uint64)))
+                node, keys = node[wanted], keys[wanted]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys)], ["node", "key"])
 
     return points.select("node", *NAMES).mapInArrow(run, "node long, key long")
 
 
-def _divided(points: DataFrame, members: DataFrame) -> DataFrame:
-    """The members of lists, once for each of ``FURTHER`` bytes outside the list's triple; ``key`` gets the byte."""
+def _divided(points: DataFrame, members: DataFrame, level: int) -> DataFrame:
+    """The members of lists, once for each of ``FURTHER`` bytes outside the list's triple; ``key`` becomes that of the part.
+
+    Each level draws other bytes for a list.
+    """
     triples = _triples()
 
     def run(batches):
         for batch in batches:
-            own, key = _bytes(batch), batch.column("key").to_numpy()
-            node, label = (np.repeat(batch.column(c).to_numpy(), FURTHER) for c in ("node", "label"))
-            rng = [np.setdiff1d(np.arange(8 * SEEDS), triples[k >> 24])[(k >> 24) % 3::3][:FURTHER] for k in key]
-            places = np.array(rng, np.int64).reshape(len(key), FURTHER)
-            keys = key[:, None] << 16 | places << 8 | np.take_along_axis(own, places, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node), pa.array(label)], ["key", "node", "label"])
+            own, key, slot = _bytes(batch), batch.column("key").to_numpy(), batch.column("slot").to_numpy()
+            node, label, slot_out = (np.repeat(batch.column(c).to_numpy(), FURTHER) for c in ("node", "label", "slot"))
+            order = {k: np.random.default_rng([9, k]).permutation(np.setdiff1d(np.arange(8 * SEEDS), triples[k])) for k in np.unique(slot)}
+            places = np.array([order[k][level * FURTHER:(level + 1) * FURTHER] for k in slot], np.int64).reshape(len(slot), FURTHER)
+            part = _mixed(_mixed(key.astype(np.uint64))[:, None] ^ (places << 8 | np.take_along_axis(own, places, 1)).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.ravel().view(np.int64)), pa.array(slot_out), pa.array(node), pa.array(label)], ["key", "slot", "node", "label"])
+
+    return members.join(points.select("node", *NAMES), "node").select("key", "slot", "node", "label", *NAMES).mapInArrow(
+        run, "key long, slot long, node long, label long")
 
-    return members.join(points.select("node", *NAMES), "node").select("key", "node", "label", *NAMES).mapInArrow(
-        run, "key long, node long, label long")
 
+def _across(points: DataFrame, members: DataFrame, level: int = 0) -> DataFrame:
+    """All pairs (a, b) of a list's members (key, node, label; ``slot``, the triple, too beyond level 0) whose labels differ.
 
-def _across(points: DataFrame, members: DataFrame, divide: bool = True) -> DataFrame:
-    """All pairs (a, b) of a list's members (key, node, label) whose labels differ."""
+    A list with more than ``LIST`` members outside its largest component is divided first, ``LEVELS`` times if it has
+    to be; members that share all those bytes too are paired whatever their number.
+    """
     each = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
     tops = cut(each.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("top"),
                                        (F.sum("c") - F.max("c")).alias("outside")).where("outside > 0"))
     held = cut(members.join(tops, "key"))
-    short = held.where(F.col("outside") <= LIST) if divide else held
+    short = held.where(F.col("outside") <= LIST) if level < LEVELS else held
     outside = short.where("label <> top").select("key", F.col("node").alias("b"), F.col("label").alias("other"))
     pairs = short.join(outside, "key").where("label <> other AND (label = top OR node < b)").select(
         F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    if not divide:
+    slot = F.col("slot") if level else F.shiftright("key", 24).alias("slot")
+    long = held.where(F.col("outside") > LIST).select("key", slot, "node", "label")
+    if level == LEVELS or long.isEmpty():
         return pairs
-    long = held.where(F.col("outside") > LIST).select("key", "node", "label")
-    return pairs.unionByName(_across(points, cut(_divided(points, long)), False)).distinct()
+    return pairs.unionByName(_across(points, cut(_divided(points, long, level)), level + 1)).distinct()
 
 
 def _near(points: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that few enough bits tell apart to be checked exactly."""
-    side = lambda c: points.select(F.col("node").alias(c), *[F.col(n).alias(f"{c}_{n}") for n in NAMES])
+    """Pairs (a, b) of nodes that pass the tally of shared positional bytes and the bits, and whether they are ``sure``."""
+    side = lambda c: points.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_shingles"), *[
+        F.col(n).alias(f"{c}_{n}") for n in NAMES])
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    tally = sum((shared_bytes(F.col(f"a_{n}"), F.col(f"b_{n}")) for n in NAMES), F.lit(0))
     differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in NAMES), F.lit(0))
-    return both.where(differing <= int(BITS * 64 * SEEDS)).select("a", "b")
+    sure = (differing <= int(SURE_BITS * 64 * SEEDS)) & (F.least("a_shingles", "b_shingles") >= SURE_SHINGLES)
+    return both.where((tally >= SHARED) & (differing <= int(BITS * 64 * SEEDS))).select("a", "b", sure.alias("sure"))
 
 
 def _alike(docs: DataFrame, points: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose documents' shingle sets have at least that Jaccard similarity."""
+    """Pairs (a, b) of nodes whose documents' shingle sets have at least that Jaccard similarity.
 
-    def run(batches):
+    Sets travel as sorted 32-bit hashes.
+    """
+
+    def sets_of(batches):
         for batch in batches:
-            sets = [np.unique(shingles(t.as_py(), size)).view(np.int64) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "own"])
+            sets = [np.unique(shingles(t.as_py(), size).astype(np.uint32)).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "own"])
+
+    def compare(batches):
+        for batch in batches:
+            alike = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = (np.frombuffer(v.as_py(), np.uint32) for v in (x, y))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                alike.append(common >= similarity * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(points.select("node", "text_key"), "node")
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(nodes, "text_key").groupBy("node").agg(
-        F.first("text").alias("text"))
-    sets = cut(texts.mapInArrow(run, "node long, own array<long>"))
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(nodes, "text_key").mapInArrow(
+        sets_of, "node long, own binary")
+    sets = cut(texts.groupBy("node").agg(F.first("own").alias("own")))
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b")
+    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def _postings(points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of each posting and its list's head, and the postings (key, node) of lists of three and more."""
-    pairs, longer = [], []
-    for k in range(ROUNDS):
-        index = _index(points, range(k * KEYS // ROUNDS, (k + 1) * KEYS // ROUNDS))
-        lists = cut(index.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1"))
-        held = cut(index.join(lists.where("n > 2").select("key", "a"), "key"))
-        heads = lists.where("n = 2").select("a", "b").unionByName(held.where("node <> a").select("a", F.col("node").alias("b")))
-        pairs.append(cut(_near(points, heads.distinct())))
-        longer.append(held.select("key", "node"))
-        del index, lists, held, heads
-        points.sparkSession.sparkContext._jvm.System.gc()  # Spark then deletes this round's shuffle files
-    return reduce(DataFrame.unionByName, pairs).distinct(), reduce(DataFrame.unionByName, longer)
+def _links(docs: DataFrame, points: DataFrame, pairs: DataFrame, known: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``known`` links and those among candidate pairs; only pairs that join two components are compared by their sets."""
+    near = cut(_near(points, pairs))
+    links = cut(known.unionByName(near.where("sure").select("a", "b")))
+    label = component_labels(links)
+    side = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}"))
+    open_pairs = cut(near.where("NOT sure").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
+        F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+    return cut(links.unionByName(_alike(docs, points, open_pairs, size, similarity)))
 
 
 def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """id, text_key, fp, component_id of every row, by links between similar documents."""
-    found = cut(fingerprints(docs, size, SEEDS, once=True))
-    points = cut(found.groupBy(*NAMES).agg(F.min("id").alias("least"), F.min("text_key").alias("text_key")).withColumn(
-        "node", F.monotonically_increasing_id()))
-    heads, longer = _postings(points)
-    links = cut(_alike(docs, points, cut(heads), size, similarity))
-    labels = component_labels(links)
-    members = cut(longer.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
-    rest = cut(_near(points, _across(points, members)))
-    labels = component_labels(links.unionByName(_alike(docs, points, rest, size, similarity)))
-    labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    """id, text_key, fp, component_id of every row, by links between similar documents.
+
+    Equal ids of different texts are different documents, each with its own component; texts of any length count whole.
+    """
+    found = cut(fingerprints(docs, size, SEEDS, once=True, counted=True))
+    if "shingles" not in found.columns:  # fingerprints that come without the count leave every pair to the sets
+        found = found.withColumn("shingles", F.lit(0))
+    points = cut(found.groupBy(*NAMES).agg(F.min("id").alias("least"), F.min(F.struct("text_key", "shingles")).alias("t")).select(
+        *NAMES, "least", "t.*").withColumn("node", F.monotonically_increasing_id()))
+    pairs, longer = [], []
+    for k in range(ROUNDS):
+        lists = cut(_index(points, range(k * KEYS // ROUNDS, (k + 1) * KEYS // ROUNDS)).groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1"))
+        pairs.append(lists.select("a", "b"))
+        longer.append(lists.where("n > 2").select("key"))
+    none = points.sparkSession.createDataFrame([], "a long, b long")
+    links = _links(docs, points, cut(reduce(DataFrame.unionByName, pairs).distinct()), none, size, similarity)
+    keys = reduce(DataFrame.unionByName, longer)
+    label = component_labels(links)
+    asked = docs.sparkSession.sparkContext.broadcast(bloom(_hashed(keys)))
+    members = cut(_index(points, range(KEYS), asked).join(keys, "key").join(label, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label")))
+    links = _links(docs, points, cut(_across(points, members)), links, size, similarity)
+    labelled = points.join(component_labels(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     return found.join(labelled.join(least, "label").select(*NAMES, "component_id"), NAMES).select(
         "id", "text_key", "fp", "component_id")
 
 
+def _hashed(keys: DataFrame) -> DataFrame:
+    """Hashes ``h`` of keys, as the filter takes them."""
+
+    def run(batches):
+        for batch in batches:
+            h = _mixed(batch.column("key").to_numpy().astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
+
+    return keys.mapInArrow(run, "h long")
+
+
 def survivors(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of each component of similar documents the one with the smallest id."""
     same = similar(docs).where(F.col("id").eqNullSafe(F.col("component_id")))

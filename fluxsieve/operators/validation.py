@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.functions import numeric
+from fluxsieve.session import cut
 
 
 class Refused(ValueError):
@@ -19,6 +20,21 @@ def require_none(violations: DataFrame, what: str, show: int = 5) -> None:
         raise Refused(f"{what}: " + "; ".join(str(r.asDict()) for r in found))
 
 
+def settled(df: DataFrame, rules: dict[str, Column], what: str) -> DataFrame:
+    """``df`` written to the shared folder, its broken rules counted in the same pass; refused if any row breaks one.
+
+    A null verdict is a pass, as in ``broken_rules``. A recomputed task may count a row twice, which changes the number in
+    the message but never whether there is one.
+    """
+    counts = Observation()
+    out = cut(df.observe(counts, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(broken).alias(name) for name, broken in rules.items()]))
+    broken = {name: n for name, n in counts.get.items() if name != "rows" and n}
+    if broken:
+        raise Refused(f"{what}: of {counts.get['rows']} rows " + ", ".join(f"{n} break {name}" for name, n in sorted(broken.items())))
+    return out
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
@@ -36,12 +52,12 @@ def bad_number(c: Column, required: bool) -> Column:
     return (wrong | empty) if required else wrong
 
 
-def history_violations(history: DataFrame) -> DataFrame:
-    """Contract of the monthly history table (all columns text)."""
+def history_rules() -> dict[str, Column]:
+    """Rules of a row of the monthly history table (all columns text)."""
     n = {c: F.col(c).try_cast("double") for c in
          ("hours_binding", "shadow_price_max", "shadow_price_mean", "congestion_cost_usd")}
     cid = F.coalesce("constraint_id", F.lit(""))
-    rules = {
+    return {
         "constraint_id": (cid == "") | (cid != F.trim(cid)),
         "market": ~F.coalesce("market", F.lit("")).isin(*fixed.MARKETS),
         "period": ~F.coalesce("period", F.lit("")).rlike(fixed.PERIOD_PATTERN),
@@ -51,18 +67,22 @@ def history_violations(history: DataFrame) -> DataFrame:
         "mean_exceeds_max": n["shadow_price_mean"] > n["shadow_price_max"],
         "congestion_cost_usd": bad_number(F.col("congestion_cost_usd"), False),
     }
+
+
+def history_violations(history: DataFrame) -> DataFrame:
+    """Contract of the monthly history table (all columns text)."""
     keys = ["constraint_id", "market", "period"]
     repeated = duplicate_keys(history, keys).select(*keys, F.lit("repeated").alias("rule"))
-    return broken_rules(history, keys, rules).unionByName(repeated)
+    return broken_rules(history, keys, history_rules()).unionByName(repeated)
 
 
-def coverage_violations(coverage: DataFrame) -> DataFrame:
-    """Contract of the monthly coverage table (all columns text)."""
+def coverage_rules() -> dict[str, Column]:
+    """Rules of a row of the monthly coverage table (all columns text)."""
     expected, covered = (F.col(c).try_cast("int") for c in ("days_expected", "days_covered"))
     refs = F.when(F.coalesce("raw_refs", F.lit("")) != "", F.split("raw_refs", ";")).otherwise(
         F.array().cast("array<string>"))
     start = numeric.month_start(F.col("period"))
-    rules = {
+    return {
         "market": ~F.coalesce("market", F.lit("")).isin(*fixed.MARKETS),
         "period": start.isNull(),
         "days_expected": ~F.coalesce("days_expected", F.lit("")).rlike(fixed.COUNT_PATTERN)
@@ -73,9 +93,13 @@ def coverage_violations(coverage: DataFrame) -> DataFrame:
         | (F.size(F.array_distinct(refs)) != F.size(refs)),
         "uncited": (covered > 0) & (F.size(refs) <= 0),
     }
+
+
+def coverage_violations(coverage: DataFrame) -> DataFrame:
+    """Contract of the monthly coverage table (all columns text)."""
     keys = ["market", "period"]
     repeated = duplicate_keys(coverage, keys).select(*keys, F.lit("repeated").alias("rule"))
-    return broken_rules(coverage, keys, rules).unionByName(repeated)
+    return broken_rules(coverage, keys, coverage_rules()).unionByName(repeated)
 
 
 def consistency_violations(history: DataFrame, coverage: DataFrame) -> DataFrame:

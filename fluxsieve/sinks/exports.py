@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.functions import text
 from fluxsieve.operators import validation
 from fluxsieve.plans import panel
-from fluxsieve.sources.tables import file_digests, read_text_table
+from fluxsieve.sources.tables import file_digests
 
 #: A quote inside a cell is doubled, so cells with quotes, commas and line breaks read back as they were.
 CSV = {"header": True, "escape": '"', "quoteAll": False, "emptyValue": "", "nullValue": ""}
@@ -27,15 +27,16 @@ def write_table(df: DataFrame, root: str, name: str, order: list[str], stamp: di
     """Write a normalized table in key order and append its manifest row.
 
     ``files`` fixes the file count for small tables; large ones keep one file per sorted range.
-    The row count comes from the written files, read as the table is read later, so the plan runs once.
+    Rows are counted while they are written.
     """
     if coverage not in fixed.COVERAGE_LEVELS:
         raise validation.Refused(f"coverage must be one of {fixed.COVERAGE_LEVELS}")
     spark = df.sparkSession
     target = f"{root}/normalized/{name}"
-    laid = df.orderBy(*order)
-    (laid.coalesce(files) if files else laid).write.mode("overwrite").options(**CSV).csv(target)
-    rows = read_text_table(spark, target).count()
+    laid, counted = df.orderBy(*order), Observation()
+    (laid.coalesce(files) if files else laid).observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(
+        "overwrite").options(**CSV).csv(target)
+    rows = counted.get["rows"]
     if rows == 0 and coverage == "observed":
         coverage = "unobserved"
     append_manifest(spark, root, name, stamp, rows, coverage, note, contributors or [], column_sources or {})
@@ -54,14 +55,15 @@ def append_manifest(spark: SparkSession, root: str, name: str, stamp: dict, rows
 
 
 def write_panel_table(df: DataFrame, root: str, name: str, stamp: dict, derived_from: list[str]) -> None:
-    """Panel table sink: the contract is checked before anything is written."""
-    checks = {"constraint_history": (validation.history_violations, ["constraint_id", "market", "period"]),
-              "constraint_coverage": (validation.coverage_violations, ["market", "period"])}
+    """Panel table sink: the contract is checked before anything is written to its place, in one pass over the input."""
+    checks = {"constraint_history": (validation.history_rules, ["constraint_id", "market", "period"]),
+              "constraint_coverage": (validation.coverage_rules, ["market", "period"])}
     if name not in checks or not derived_from:
         raise validation.Refused(f"{name} is not a panel table or names no raw inputs")
-    rule, order = checks[name]
-    validation.require_none(rule(df), name)
-    write_table(df, root, name, order, {**stamp}, note=";".join(derived_from))
+    rules, order = checks[name]
+    held = validation.settled(df, rules(), name)
+    validation.require_none(validation.duplicate_keys(held, order), f"{name}, repeated keys")
+    write_table(held, root, name, order, {**stamp}, note=";".join(derived_from))
 
 
 def export_scores(rows: DataFrame, corridors: DataFrame, members: DataFrame, folder: str) -> None:

@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.functions import numeric, text
 from fluxsieve.operators.filings import queue_requests
-from fluxsieve.operators.validation import Refused, require_none
-from fluxsieve.sources.tables import read_text_table, require_columns, trimmed_headers
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+from fluxsieve.operators.validation import Refused, require_none, settled
+from fluxsieve.session import cut
+from fluxsieve.sources.records import MARK, read_split
 
 
 def _trimmed(df: DataFrame) -> DataFrame:
@@ -23,74 +17,55 @@ def _trimmed(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in df.columns])
 
 
-def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """Files grouped by their header line, read in one job, so that each distinct header needs one reader."""
-    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("row"))
-    heads = lines.groupBy("file").agg(F.min_by("value", "row").alias("head")).collect()  # one row per given file
-    groups: dict[str, list[str]] = {}
-    for r in sorted(heads, key=lambda r: r["file"]):
-        groups.setdefault(r["head"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["file"]))
-    return list(groups.values())
-
-
-def _read_group(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files of one header, split between tasks unless a line leaves a quote open, so that a cell goes on in the next."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    open_lines = spark.read.text(paths).where(quotes % 2 == 1)
-    return trimmed_headers(read_text_table(spark, paths, line_breaks=not open_lines.isEmpty()))
-
+def _by_header(spark: SparkSession, paths: str | list[str], columns, what: str) -> DataFrame:
+    """The named columns of all files in one scan, trimmed, with each row's ``_file`` and place ``_at`` in it.
 
-def _by_header(spark: SparkSession, paths: list[str], columns) -> DataFrame:
-    """The named columns of all files and the name of each row's file; files may order their columns differently."""
-    parts = []
-    for own in header_groups(spark, paths):
-        df = _read_group(spark, own).withColumn("_file", F.col("_metadata.file_name"))
-        parts.append(_trimmed(require_columns(df, columns, own[0]).select(*columns, "_file")))
-    return _union(parts)
+    Files may order their columns differently.
+    """
+    found = read_split(spark, paths, columns, what)
+    return found.select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in columns], "_file", "_at")
 
 
-def binding_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Hourly binding rows of monthly files named ...yyyyMM.csv, with their file's month.
+def binding_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Hourly binding rows of monthly files (or folders of part files) named ...yyyyMM.csv, with their file's month.
 
     Headers are trimmed, and files may order their columns differently.
     """
-    stamp = F.regexp_extract("_file", r"(\d{6})\.csv$", 1)
+    stamp = F.regexp_extract("_file", r"(\d{6})\.csv(/[^/]*)?$", 1)
     month = F.to_date(F.concat(stamp, F.lit("01")), "yyyyMMdd")
-    return _by_header(spark, paths, fixed.BINDING_COLUMNS).withColumn("file_month", month)
+    return _by_header(spark, paths, fixed.BINDING_COLUMNS, "binding rows").withColumn("file_month", month)
 
 
-def month_violations(rows: DataFrame) -> DataFrame:
-    """Rows whose hour-ending interval belongs to another month than their file."""
-    own = numeric.hour_month(numeric.market_time(F.col("Interval")))
-    return rows.where(~own.eqNullSafe(F.col("file_month"))).select("Interval", "file_month")
+def other_month() -> Column:
+    """Whether a row's hour-ending interval belongs to another month than its file."""
+    return ~numeric.hour_month(numeric.market_time(F.col("Interval"))).eqNullSafe(F.col("file_month"))
 
 
-def unusable_names(rows: DataFrame) -> DataFrame:
-    ok = numeric.usable_constraint_name(F.col("Constraint Name"), F.col("Contingency Name"))
-    return rows.where(~ok).select("Constraint Name", "Contingency Name")
+def month_violations(rows: DataFrame) -> DataFrame:
+    """Rows whose hour-ending interval belongs to another month than their file."""
+    return rows.where(other_month()).select("Interval", "file_month")
 
 
 def binding_hours(rows: DataFrame) -> DataFrame:
-    """Binding rows in the shape of ``operators.rollups``, refused when a rule is broken."""
-    require_none(month_violations(rows), "interval in another month")
-    require_none(unusable_names(rows), "unusable constraint name")
-    return rows.select(
+    """Binding rows in the shape of ``operators.rollups``, refused when a rule is broken; one pass does both."""
+    usable = numeric.usable_constraint_name(F.col("Constraint Name"), F.col("Contingency Name"))
+    held = settled(rows, {"interval in another month": other_month(), "unusable constraint name": ~usable}, "binding rows")
+    place = F.col("_at") if "_at" in held.columns else F.monotonically_increasing_id()
+    return held.select(
         F.col("Constraint Name").alias("name"), F.col("Contingency Name").alias("contingency"),
         F.col("Monitored Facility").alias("monitored"), F.col("Contingent Facility").alias("contingent"),
         F.col("Constraint Type").alias("kind"), F.col("State").alias("state"),
         F.col("Shadow Price").cast("double").alias("price"),
         numeric.market_time(F.col("GMTIntervalEnd")).alias("utc"), F.col("file_month").alias("month"),
-        # file order inside a month: the reader numbers rows as it meets them
-        F.struct(F.col("file_month"), F.monotonically_increasing_id().alias("row")).alias("ord"))
+        # file order inside a month; rows that come without a place are numbered as they are met
+        F.struct(F.col("file_month"), place.alias("row")).alias("ord"))
 
 
-def dollar_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+def dollar_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Monthly congestion dollars; a row of another month than its file is refused."""
-    rows = _by_header(spark, paths, fixed.DOLLAR_COLUMNS)
-    stamp = F.regexp_extract("_file", r"(\d{6})(?:_sample)?\.csv$", 1)
-    require_none(rows.where(F.col("Date") != stamp).select("Date", "_file"), "dollars of another month")
-    return dollar_fields(rows)
+    rows = _by_header(spark, paths, fixed.DOLLAR_COLUMNS, "dollars")
+    stamp = F.regexp_extract("_file", r"(\d{6})(?:_sample)?\.csv(/[^/]*)?$", 1)
+    return dollar_fields(settled(rows, {"another month than the file's": F.col("Date") != stamp}, "dollars"))
 
 
 def dollar_fields(rows: DataFrame) -> DataFrame:
@@ -99,12 +74,12 @@ def dollar_fields(rows: DataFrame) -> DataFrame:
         F.to_date(F.concat("Date", F.lit("01")), "yyyyMMdd").alias("month"),
         F.col("Constraint Name").alias("name"), F.col("Contingency Name").alias("contingency"),
         F.col("Monitored Facility").alias("monitored"), F.col("Sum").cast("double").alias("amount"),
-        F.monotonically_increasing_id().alias("ord"))
+        (F.struct("_file", "_at") if "_at" in rows.columns else F.monotonically_increasing_id()).alias("ord"))
 
 
-def settled_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+def settled_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Settled monthly collections: month, collected."""
-    return settled_fields(_by_header(spark, paths, fixed.SETTLED_COLUMNS))
+    return settled_fields(_by_header(spark, paths, fixed.SETTLED_COLUMNS, "settled collections"))
 
 
 def settled_fields(rows: DataFrame) -> DataFrame:
@@ -117,49 +92,37 @@ def settled_fields(rows: DataFrame) -> DataFrame:
 def queue_file(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     """Version date of a queue file's preamble line and its active requests.
 
-    The preamble is the first line; the header is the second and may be followed by quoted
-    cells with line breaks, so the rest is parsed as one multi-line CSV.
+    The preamble is the first line, the header the second. A folder of part files has both in every file, and the
+    same date in all of them.
     """
-    head = [r["value"] for r in spark.read.text(path).limit(2).collect()]
-    cells = [c.strip().strip('"') for c in (head[0] if head else "").lstrip("\ufeff").split(",")]
-    if len(cells) < 2 or cells[0] != "Last Updated On":
-        raise Refused(f"{path} does not start with a 'Last Updated On' line")
-    if len(head) < 2:
-        raise Refused(f"{path} has no header line")
-    wide = ", ".join(f"_c{i} string" for i in range(head[1].count(",") + 1))
-    body = spark.read.options(header=False, multiLine=True, escape='"', nullValue="\x00", emptyValue="").schema(wide).csv(path)
-    numbered = body.withColumn("_row", F.monotonically_increasing_id())
-    header_row = numbered.where(F.lower(F.trim("_c0")) == "generation interconnection number").orderBy("_row").first()
-    if header_row is None:
-        raise Refused(f"{path} has no header line")
-    width = len(body.columns)
-    names = [(header_row[i] or "").strip() or f"_blank{i}" for i in range(width)]
-    rows = numbered.where(F.col("_row") > header_row["_row"]).drop("_row").toDF(*names)
-    require_columns(rows, fixed.QUEUE_COLUMNS, path)
-    day = spark.range(1).select(F.date_format(F.to_date(F.lit(cells[1]), "M/d/yyyy"), "yyyy-MM-dd")).first()[0]
-    active = queue_requests(_trimmed(rows))
+    head = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", MARK, "").alias("value"),
+        F.monotonically_increasing_id().alias("row")).groupBy("file").agg(F.min_by("value", "row").alias("value"))
+    day = F.regexp_extract("value", r'^"?Last Updated On"?\s*,\s*"?([0-9/]+)', 1)
+    days = [r["day"] for r in head.select(day.alias("day")).distinct().limit(2).collect()]
+    if len(days) != 1 or not days[0]:
+        raise Refused(f"{path} does not start with one 'Last Updated On' line")
+    rows = read_split(spark, path, fixed.QUEUE_COLUMNS, path, skip=1)
+    active = cut(queue_requests(_trimmed(rows.select(*fixed.QUEUE_COLUMNS))))
     doubled = active.groupBy("request_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or request_id = ''")
     require_none(doubled, "blank or repeated request id")
-    return f"spp_giq_{day}", active
+    month, of_month, year = (int(x) for x in days[0].split("/"))
+    return f"spp_giq_{year:04d}-{month:02d}-{of_month:02d}", active
 
 
-def authority_rows(spark: SparkSession, paths: list[str], authority: str, year: int) -> DataFrame:
-    """Hourly rows of one authority and year over half-year files whose columns differ."""
-    parts = []
-    for own in header_groups(spark, paths):
-        df = _read_group(spark, own)
-        parts.append(require_columns(df, ("Balancing Authority", "UTC Time at End of Hour", "Data Date",
-                                          "Demand (MW)"), own[0]))
-    return authority_year(_union(parts), authority, year)
+def authority_rows(spark: SparkSession, paths: str | list[str], authority: str, year: int) -> DataFrame:
+    """Hourly rows of one authority and year over half-year files whose columns differ, in one scan."""
+    needed = ("Balancing Authority", "UTC Time at End of Hour", "Data Date", "Demand (MW)")
+    return authority_year(read_split(spark, paths, needed, "authority hours", others=True).drop("_file", "_at"), authority, year)
 
 
 def authority_year(rows: DataFrame, authority: str, year: int) -> DataFrame:
-    """Hours of one authority and year from published text columns; a repeated hour is refused."""
+    """Hours of one authority and year from published text columns; a repeated hour is refused. The input is read once."""
     rows = rows.where(
         (F.trim("Balancing Authority") == authority)
         & (F.year(F.to_date(F.trim("Data Date"), "MM/dd/yyyy")) == year))
-    hours = rows.withColumn("ba", F.lit(authority)).withColumn(
-        "utc", numeric.hourly_time(F.trim("UTC Time at End of Hour")))
+    hours = cut(rows.withColumn("ba", F.lit(authority)).withColumn(
+        "utc", numeric.hourly_time(F.trim("UTC Time at End of Hour"))))
     doubled = hours.groupBy("utc").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     require_none(doubled, f"duplicate hours of {authority}")
     return hours

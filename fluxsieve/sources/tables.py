@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.operators.validation import Refused, require_none
+from fluxsieve.sources.records import MARK, read_split
 
 STAMP = "source string, source_version string, retrieved_at string"
 MANIFEST_SCHEMA = (
@@ -30,7 +31,7 @@ def read_text_table(spark: SparkSession, path: str | list[str], line_breaks: boo
 
 def trimmed_headers(df: DataFrame) -> DataFrame:
     """Column names without byte-order mark and surrounding blanks."""
-    return df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
+    return df.toDF(*[c.lstrip(MARK).strip() for c in df.columns])
 
 
 def require_columns(df: DataFrame, names, what: str) -> DataFrame:
@@ -41,14 +42,8 @@ def require_columns(df: DataFrame, names, what: str) -> DataFrame:
 
 
 def read_exact_table(spark: SparkSession, path: str, names: tuple[str, ...], what: str) -> DataFrame:
-    """CSV that must hold exactly these columns, in any order, on every row."""
-    found = trimmed_headers(read_text_table(spark, path)).columns
-    if len(found) != len(set(found)) or set(found) != set(names):
-        raise Refused(f"{what} must have exactly the columns {names}, has {found}")
-    schema = ", ".join(f"`{n}` string" for n in found)
-    strict = spark.read.options(header=True, multiLine=True, escape='"', nullValue="\x00", emptyValue="",
-                                mode="FAILFAST").schema(schema).csv(path)
-    return strict.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
+    """CSV that must hold exactly these columns, in any order, on every row; files are split whatever their cells hold."""
+    return read_split(spark, path, names, what, exactly=True).select(*names)
 
 
 def read_footprint(spark: SparkSession, path: str) -> DataFrame:

@@ -8,10 +8,12 @@ from fluxsieve import fixed
 from fluxsieve.functions import text
 from fluxsieve.operators import validation
 from fluxsieve.plans import panel
-from fluxsieve.sources.tables import file_digests
+from fluxsieve.session import cut
+from fluxsieve.sources.digests import folder_digests
 
 #: A quote inside a cell is doubled, so cells with quotes, commas and line breaks read back as they were.
-CSV = {"header": True, "escape": '"', "quoteAll": False, "emptyValue": "", "nullValue": ""}
+CSV = {"header": True, "escape": '"', "quoteAll": False, "emptyValue": "", "nullValue": "",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def sheet_safe_rows(df: DataFrame) -> DataFrame:
@@ -68,7 +70,7 @@ def write_panel_table(df: DataFrame, root: str, name: str, stamp: dict, derived_
 
 def export_scores(rows: DataFrame, corridors: DataFrame, members: DataFrame, folder: str) -> None:
     """Ranked flowgates as JSON, CSV and Parquet; corridors and their members as JSON."""
-    ordered = rows.orderBy("rank")
+    ordered = cut(rows.orderBy("rank"))  # worked out once for all outputs
     ordered.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/scores.json")
     sheet_safe_rows(ordered).write.mode("overwrite").options(**CSV).csv(f"{folder}/scores.csv")
     ordered.write.mode("overwrite").parquet(f"{folder}/scores.parquet")
@@ -84,9 +86,9 @@ def json_rows_to_parquet(spark: SparkSession, source: str, schema, target: str)
 
 def output_digests(spark: SparkSession, folder: str, outputs: list[str]) -> DataFrame:
     """(path relative to the folder, sha256) of every part file of the named outputs."""
-    found = file_digests(spark, [f"{folder}/{o}/part-*" for o in outputs])
-    return found.select(F.concat_ws("/", F.element_at(F.split("path", "/"), -2),
-                                    F.element_at(F.split("path", "/"), -1)).alias("path"), "sha256")
+    of = F.split("relative", "/")
+    return folder_digests(spark, folder).where((F.size(of) == 2) & of[0].isin(*outputs) & of[1].startswith("part-")).select(
+        F.col("relative").alias("path"), "sha256")
 
 
 def write_run_manifest(registry: DataFrame, folder: str, outputs: list[str], *, run_label: str, region: str,
@@ -127,8 +129,8 @@ def export_page(rows: DataFrame, k: int, folder: str) -> None:
 def export_panel(footprint: DataFrame, history: DataFrame, coverage: DataFrame, folder: str,
                  start=None, end=None) -> None:
     """Summary, monthly, coverage and unresolved tables as CSV, the summary as JSON too."""
-    cells = panel.panel_cells(footprint, history, coverage, start, end)
-    summary = panel.panel_order(panel.panel_summary(cells, footprint, history))
+    cells = cut(panel.panel_cells(footprint, history, coverage, start, end))  # worked out once for all outputs
+    summary = cut(panel.panel_order(panel.panel_summary(cells, footprint, history)))
     parts = {"summary": summary, "monthly": panel.monthly_rows(cells).orderBy("constraint_id", "market", "period"),
              "coverage": panel.coverage_rows(coverage, start, end).orderBy("market", "period"),
              "unresolved": panel.unresolved(footprint)}

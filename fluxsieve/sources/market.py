@@ -145,23 +145,37 @@ def operating_plants(generators: DataFrame, plants: DataFrame, year: int) -> Dat
         "plant_id_eia", "plant_name", "lat", "lon", "ba", F.bround("mw", 3).alias("capacity_mw"), "n_generators")
 
 
-def line_features(spark: SparkSession, path: str) -> DataFrame:
+def line_features(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
     """Features of a GeoJSON collection in the shape of ``operators.filings``.
 
     Coordinates are parsed tolerantly: a malformed geometry gives null parts, which the
     classification counts as bad geometry.
+
+    ``separator``: the text every feature begins with as the file writes it, such as ``{"type":"Feature",``. Then a file is
+    cut into features by many tasks and no task holds a collection; otherwise a collection is one row. What does not parse
+    as a feature is no feature.
     """
-    schema = ("features array<struct<properties:map<string,string>, "
-              "geometry:struct<type:string,coordinates:string>>>")
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    each = raw.select(F.posexplode("features").alias("ord", "f")).select(
-        "ord", F.col("f.properties").alias("p"), F.col("f.geometry.type").alias("shape"),
-        F.col("f.geometry.coordinates").alias("coordinates"))
+    if separator is None:
+        schema = ("features array<struct<properties:map<string,string>, "
+                  "geometry:struct<type:string,coordinates:string>>>")
+        raw = spark.read.schema(schema).option("multiLine", True).json(path)
+        each = raw.select(F.posexplode("features").alias("ord", "f")).select(
+            "ord", F.col("f.properties").alias("p"), F.col("f.geometry.type").alias("shape"),
+            F.col("f.geometry.coordinates").alias("coordinates"))
+        wanted = lambda name: F.col("p")[name]
+    else:
+        cut_off = F.regexp_replace("value", r"(,\s*|\s*\][^\]}]*\}?\s*)$", "")  # what stands between features, or after the last
+        each = spark.read.option("lineSep", separator).text(path).select(
+            F.monotonically_increasing_id().alias("ord"),
+            F.try_parse_json(F.concat(F.lit("{" + separator[separator.index("{") + 1:]), cut_off)).alias("f")).where(
+            F.try_variant_get("f", "$.properties", "variant").isNotNull()).select(
+            "ord", "f", F.try_variant_get("f", "$.geometry.type", "string").alias("shape"),
+            F.try_variant_get("f", "$.geometry.coordinates", "string").alias("coordinates"))
+        wanted = lambda name: F.try_variant_get("f", f"$.properties.{name}", "string")
     return parse_geometry(each).select(
-        "ord", F.col("p")["ID"].alias("hid"), F.col("p")["VOLTAGE"].try_cast("double").alias("kv"),
-        F.col("p")["STATUS"].alias("status"), F.col("p")["TYPE"].alias("kind"), F.col("p")["OWNER"].alias("owner"),
-        F.col("p")["SUB_1"].alias("sub_1"), F.col("p")["SUB_2"].alias("sub_2"),
-        F.col("p")["INFERRED"].alias("inferred"), "parts")
+        "ord", wanted("ID").alias("hid"), wanted("VOLTAGE").try_cast("double").alias("kv"),
+        wanted("STATUS").alias("status"), wanted("TYPE").alias("kind"), wanted("OWNER").alias("owner"),
+        wanted("SUB_1").alias("sub_1"), wanted("SUB_2").alias("sub_2"), wanted("INFERRED").alias("inferred"), "parts")
 
 
 def parse_geometry(df: DataFrame) -> DataFrame:

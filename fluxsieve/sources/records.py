@@ -107,11 +107,18 @@ def headers(found: DataFrame, skip: int = 0) -> DataFrame:
     return top.where(F.col("n") == skip + 1).select("file", "block", "place", "record")
 
 
-def cells(record: str, width: int) -> Column:
-    """Array of the cells of a record, ``width`` of them; missing ones are null."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(F.col(record), F.lit(schema), CELLS)
-    return F.array(*[parsed[f"c{i}"] for i in range(width)])
+def cells(record: str, width: int, exactly: str | None = None) -> Column:
+    """Array of the cells of a record, ``width`` of them; blank and missing ones are null.
+
+    ``exactly``: what to say when a record has more or fewer cells; it is refused then.
+    """
+    schema = ", ".join(f"c{i} string" for i in range(width)) + ", _torn string"
+    parsed = F.from_csv(F.col(record), F.lit(schema), {**CELLS, "columnNameOfCorruptRecord": "_torn"})
+    out = F.array(*[parsed[f"c{i}"] for i in range(width)])
+    if exactly is None:
+        return out
+    return F.when(parsed["_torn"].isNull(), out).otherwise(F.raise_error(F.concat(
+        F.lit(f"{exactly}: a row has not {width} cells: "), F.substring(record, 1, 80))))
 
 
 def header_names(found: DataFrame, width: int) -> DataFrame:
@@ -143,19 +150,17 @@ def read_split(spark: SparkSession, paths: str | list[str], columns, what: str,
     held = F.array_remove("names", "")
     known = F.array(*map(F.lit, columns))
     faults = {"lacks": F.array_except(known, "names"), "others": F.array_except(held, known)}
-    bad = named.select("file", *[v.alias(k) for k, v in faults.items()], (F.size(held) != F.size(F.array_distinct(held))).alias("twice"))
-    broken = bad.where((F.size("lacks") > 0) | F.col("twice") | (F.lit(exactly) & (F.size("others") > 0))).first()
+    bad = named.select("file", *[v.alias(k) for k, v in faults.items()], (F.size(held) != F.size(F.array_distinct(held))).alias("twice"),
+                       F.size(held).alias("cells"))
+    blank = F.lit(exactly) & ((F.size("others") > 0) | (F.col("cells") != F.lit(widest)))
+    broken = bad.where((F.size("lacks") > 0) | F.col("twice") | blank).first()
     if broken:
         raise Refused(f"{what}: {broken['file']} lacks columns {broken['lacks']}"
                       + (f", holds others {broken['others']}" if exactly else "") + (", holds one twice" if broken["twice"] else ""))
-    map_of = named.select("file", F.struct("block", "place").alias("head"), F.size(held).alias("width"), *[
+    map_of = named.select("file", F.struct("block", "place").alias("head"), *[
         place(c).cast("int").alias(f"p{i}") for i, c in enumerate(wanted)])
-    width = widest + (1 if exactly else 0)  # one more shows rows with too many cells
-    body = found.join(map_of, "file").where(F.struct("block", "place") > F.col("head")).withColumn("cells", cells("record", width))
-    if exactly:
-        count = F.size(F.array_compact("cells"))
-        body = body.withColumn("cells", F.when(count == F.col("width"), F.col("cells")).otherwise(
-            F.raise_error(F.concat(F.lit(f"{what}: a row has not as many cells as the header: "), F.substring("record", 1, 80)))))
+    body = found.join(map_of, "file").where(F.struct("block", "place") > F.col("head")).withColumn(
+        "cells", cells("record", widest, what if exactly else None))
     out = [F.coalesce(F.get("cells", F.col(f"p{i}") - 1), F.lit("")).alias(c) if c in columns
            else F.when(F.col(f"p{i}") > 0, F.coalesce(F.get("cells", F.col(f"p{i}") - 1), F.lit(""))).alias(c)
            for i, c in enumerate(wanted)]

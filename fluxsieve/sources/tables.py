@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.operators.validation import Refused, require_none
+from fluxsieve.sources.digests import folder_digests
 from fluxsieve.sources.records import MARK, read_split
 
 STAMP = "source string, source_version string, retrieved_at string"
+STAMP_FIELDS = ("source", "source_version", "retrieved_at")
+TABLE_FIELDS = ("path", "sha256", "rows", "coverage", "note", "derived_from", "contributors", "column_sources")
 MANIFEST_SCHEMA = (
     "schema_version int, revision int, "
     f"tables map<string, struct<{STAMP.replace(' string', ':string')}, path:string, sha256:string, "
@@ -52,12 +53,6 @@ def read_footprint(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.trim(F.col(c)).alias(c) for c in df.columns])
 
 
-def file_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, bytes, sha256) of every file, hashed where it is read."""
-    return spark.read.format("binaryFile").load(paths).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-
-
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The snapshot manifest as one row of maps; other schema versions are refused."""
     manifest = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
@@ -88,6 +83,28 @@ def manifest_stamps(manifest: DataFrame) -> DataFrame:
         "retrieved_at", F.col("retrieved_at_text").try_cast("timestamp"))
 
 
+def manifest_fields(manifests: DataFrame) -> DataFrame:
+    """Fields of manifests that the fixed schema does not know: (manifest, table, role, column, field, value).
+
+    ``manifests``: manifest, value (JSON text). Table entries, their contributors' stamps and their columns' stamps are
+    taken apart as they are, so nothing is dropped because no schema names it. Texts that are no JSON have no fields.
+    """
+    known = ", ".join(f"'{n}'" for n in TABLE_FIELDS)
+    stamp = ", ".join(f"'{n}'" for n in STAMP_FIELDS)
+    return manifests.sparkSession.sql(f"""
+        WITH m AS (SELECT manifest, try_parse_json(value) AS v FROM {{manifests}}),
+        t AS (SELECT manifest, e.key AS table, e.value AS entry
+              FROM m, LATERAL variant_explode_outer(try_variant_get(v, '$.tables', 'variant')) AS e WHERE e.key IS NOT NULL),
+        part AS (SELECT manifest, table, 'table' AS role, CAST(NULL AS STRING) AS column, entry AS held FROM t
+                 UNION ALL SELECT manifest, table, 'contributor', CAST(NULL AS STRING), c.value
+                 FROM t, LATERAL variant_explode_outer(try_variant_get(entry, '$.contributors', 'variant')) AS c WHERE c.pos IS NOT NULL
+                 UNION ALL SELECT manifest, table, 'column', c.key, c.value
+                 FROM t, LATERAL variant_explode_outer(try_variant_get(entry, '$.column_sources', 'variant')) AS c WHERE c.key IS NOT NULL)
+        SELECT manifest, table, role, column, f.key AS field, to_json(f.value) AS value
+        FROM part, LATERAL variant_explode_outer(held) AS f
+        WHERE f.key IS NOT NULL AND NOT (f.key IN ({stamp}) OR (role = 'table' AND f.key IN ({known})))""", manifests=manifests)
+
+
 def manifest_raw(manifest: DataFrame) -> DataFrame:
     return manifest.select(F.explode("raw").alias("key", "r")).select("key", "r.*")
 
@@ -102,26 +119,14 @@ def missing_tables(tables: DataFrame, required=fixed.SNAPSHOT_TABLES) -> DataFra
     return wanted.join(tables.select("table"), "table", "left_anti")
 
 
-def folder_files(spark: SparkSession, root: str) -> DataFrame:
-    """(relative, path) of every file below a folder; contents are not read."""
-    inside = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/") + "/"
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    begin = F.locate(inside, F.col("path")) + len(inside)
-    return found.select(F.substring("path", begin, F.length("path")).alias("relative"), "path")
-
-
 def digest_failures(spark: SparkSession, root: str, entries: DataFrame, key: str) -> DataFrame:
     """Manifest entries whose file is missing (found is null) or does not hash to the recorded digest.
 
     ``entries``: key column, path (relative to root), sha256. Entries meet files by their whole relative path.
     """
     wanted = entries.select(key, F.col("path").alias("relative"), "sha256")
-    present = wanted.select("relative").distinct().join(folder_files(spark, root), "relative")
-    paths = [r["path"] for r in present.select("path").collect()]  # a manifest is a short list
-    if not paths:
-        return wanted.withColumn("found", F.lit(None).cast("string"))
-    found = present.join(file_digests(spark, paths).select("path", F.col("sha256").alias("found")), "path")
-    return wanted.join(found.select("relative", "found"), "relative", "left").where(
+    found = folder_digests(spark, root).select("relative", F.col("sha256").alias("found"))
+    return wanted.join(found, "relative", "left").where(
         ~F.col("sha256").eqNullSafe(F.col("found"))).select(key, "relative", "sha256", "found")
 
 

@@ -26,7 +26,7 @@ SIDES = ("chosen", "rejected")
 def neighbours(turns: DataFrame) -> DataFrame:
     """Pairs by id: conversation 2k is the chosen side of pair k, 2k + 1 the rejected one."""
     own = turns.where(F.col("conv_id").isNotNull())
-    return own.select((F.floor(F.col("conv_id") / 2)).alias("pair_id"), F.pmod("conv_id", F.lit(2)).cast("int").alias("side"),
+    return own.select(F.shiftright(F.col("conv_id").cast("long"), 1).alias("pair_id"), F.pmod("conv_id", F.lit(2)).cast("int").alias("side"),
                       "conv_id", "turn", "role", "text")
 
 

@@ -4,7 +4,8 @@ A Misra-Gries summary per partition finds the digests that hold a large share of
 merged by adding counters; of ``counters`` + 1 equal parts of the input, at most ``counters`` digests can
 exceed one part, which bounds the broadcast, and every digest that holds more than two parts is among them.
 Their exact winners (smallest id and count, combined on the map side) are broadcast and settle their rows
-where they stand. All other digests, none of which holds more than two parts, meet in an ordinary shuffle.
+where they stand. All other digests, none of which holds more than two parts, meet in an ordinary shuffle: counted on the
+map side, then joined, so that AQE can split what is still large.
 
 Defined results: null text counts as empty; null ids rank last; a null id never beats another; rows repeated
 with the same id and text all say ``kept`` in ``decisions`` and come out once in ``survivors``; an empty table
@@ -14,7 +15,7 @@ gives an empty result; columns of the input may have any names.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fluxsieve.llm.common import WHITE, identity, only
 from fluxsieve.session import cut
@@ -63,10 +64,10 @@ def decisions(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     keys = cut(digests(docs))
     winners = heavy(keys, counters)
     marked = keys.join(F.broadcast(winners), "digest", "left")
-    same = Window.partitionBy("digest")
-    rest = marked.where(F.col("group_size").isNull()).select(
-        "id", "text_key", "digest", F.min("id").over(same).alias("keep_id"),
-        F.count(F.lit(1)).over(same).alias("group_size"))
+    alone = marked.where(F.col("group_size").isNull()).select("id", "text_key", "digest")
+    rest = alone.join(alone.groupBy("digest").agg(
+        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "digest").select(
+        "id", "text_key", "digest", "keep_id", "group_size")
     hot = marked.where(F.col("group_size").isNotNull()).select(rest.columns)
     return hot.unionByName(rest).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
 

@@ -8,6 +8,8 @@ A run that no pattern found is added as ``markov`` if its log-likelihood ratio p
 
 The model is a table of (alphabet size) squared numbers whatever the input's size, so it travels as a constant.
 
+Work grows with a text's length: runs are cut into characters once, and positions come from sums by chunks.
+
 Defined results: null text counts as empty and has no spans; without labelled random strings every ratio is
 zero and no span is added; rows repeated each get their own result; an empty table gives an empty result.
 """
@@ -32,6 +34,8 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 RUN = "[A-Za-z0-9+/_-]{16,}"
 CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 LEAST_RATIO = 500
+#: Elements whose lengths are added up together on the way to positions.
+CHUNK = 256
 _SIZE = len(CHARACTERS)
 
 
@@ -44,19 +48,38 @@ def matches(text: Column, pattern: str, value: int = 0) -> Column:
                     found(0).alias("whole"), found(value).alias("value"))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(lengths: Column) -> Column:
+    """Sum of all earlier elements, for each element of an array: sums of whole chunks first, then within a chunk."""
+    total = lambda some: F.aggregate(some, F.lit(0), lambda a, b: a + b)
+    whole = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / CHUNK).cast("int")),
+                                  lambda c: total(F.slice(x, c * CHUNK + 1, CHUNK)))
+    before = lambda sums: F.transform(F.sequence(F.lit(0), F.size(sums) - 1), lambda c: total(F.slice(sums, F.lit(1), c)))
+
+    def within(x, heads):
+        return F.transform(x, lambda _, i: F.get(heads, F.floor(i / CHUNK).cast("int"))
+                           + total(F.slice(x, i - i % CHUNK + 1, i % CHUNK)))
+
+    return let(lengths, lambda x: let(let(whole(x), before), lambda heads: within(x, heads)))
+
+
 def positions(found: Column) -> Column:
     """Array of (start, end, text, value) in code points, from ``matches``."""
-    step = lambda state, i: F.struct(
-        (state["at"] + F.length(F.get(found["between"], i)) + F.length(F.get(found["whole"], i))).alias("at"),
-        F.concat(state["spans"], F.array(F.struct(
-            (state["at"] + F.length(F.get(found["between"], i))).alias("start"),
-            (state["at"] + F.length(F.get(found["between"], i)) + F.length(F.get(found["whole"], i))).alias("end"),
-            F.get(found["whole"], i).alias("text"), F.get(found["value"], i).alias("value")))).alias("spans"))
     kind = "array<struct<start:int,end:int,text:string,value:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    count = F.size(found["whole"])
-    walked = F.aggregate(F.sequence(F.lit(0), count - 1), start, step)["spans"]
-    return F.when(count > 0, walked).otherwise(F.array().cast(kind))
+
+    def placed(parts):
+        gap = let(parts["between"], lambda b: F.transform(F.slice(b, F.lit(1), F.size(parts["whole"])), lambda x: F.length(x)))
+        steps = F.zip_with(gap, parts["whole"], lambda g, w: g + F.length(w))
+        starts = F.zip_with(running(steps), gap, lambda at, g: at + g)
+        texts = F.arrays_zip(starts.alias("start"), parts["whole"].alias("text"), parts["value"].alias("value"))
+        return F.transform(texts, lambda m: F.struct(
+            m["start"].alias("start"), (m["start"] + F.length(m["text"])).alias("end"), m["text"].alias("text"), m["value"].alias("value")))
+
+    return F.when(F.size(found["whole"]) > 0, let(found, placed)).otherwise(F.array().cast(kind))
 
 
 def _long_enough(found: Column, least: int) -> Column:
@@ -86,8 +109,7 @@ def scan(docs: DataFrame) -> DataFrame:
 def ratios(scanned: DataFrame) -> list[int]:
     """Log-likelihood ratio of each transition in thousandths, row by row of the alphabet."""
     runs = scanned.select(F.explode("runs").alias("r")).select("r.labelled", "r.text")
-    pairs = runs.select("labelled", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substr("text", i, F.lit(2)))).alias("pair"))
+    pairs = runs.select("labelled", F.explode(neighbours(F.split("text", ""), lambda a, b: F.concat(a, b))).alias("pair"))
     counts: dict[tuple[bool, str], int] = {(r["labelled"], r["pair"]): r["n"] for r in pairs.groupBy(
         "labelled", "pair").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 2 * _SIZE ** 2 rows
     if not any(labelled for labelled, _ in counts):
@@ -97,12 +119,17 @@ def ratios(scanned: DataFrame) -> list[int]:
     return [round(1000 * math.log(chance(True, a, b) / chance(False, a, b))) for a in CHARACTERS for b in CHARACTERS]
 
 
+def neighbours(items: Column, joined) -> Column:
+    """``joined`` of each element and the next."""
+    return let(items, lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1), joined))
+
+
 def ratio(text: Column, model: list[int]) -> Column:
-    """Sum of the transitions' ratios over a run."""
-    table = F.lit(model)
-    place = lambda i: F.call_function("locate", F.substr(text, i, F.lit(1)), F.lit(CHARACTERS)) - 1
-    return F.aggregate(F.sequence(F.lit(1), F.length(text) - 1), F.lit(0).cast("long"), lambda total, i: (
-        total + F.get(table, place(i) * _SIZE + place(i + 1))))
+    """Sum of the transitions' ratios over a run, which is cut into characters once."""
+    table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<int>")  # folds into an array literal
+    places = F.transform(F.split(text, ""), lambda c: F.call_function("locate", c, F.lit(CHARACTERS)) - 1)
+    each = neighbours(places, lambda a, b: F.get(table, a * _SIZE + b).cast("long"))
+    return F.aggregate(each, F.lit(0).cast("long"), lambda total, x: total + x)
 
 
 def spans(docs: DataFrame) -> DataFrame:

@@ -239,32 +239,26 @@ def op10_cross_entropy_difference(spark, folder):
         F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")])
 
 
-def _sql_model(name: str, where: str) -> str:
-    return f"""
-{name}_pair AS (SELECT prev, sym, count(*) AS c FROM pair {where} GROUP BY ALL),
-{name}_one AS (SELECT sym, sum(c) AS one FROM {name}_pair GROUP BY 1),
-{name}_before AS (SELECT prev, sum(c) AS before FROM {name}_pair GROUP BY 1),
-{name} AS (SELECT a.prev, a.sym, CAST(-ln({lm_score.BIGRAM} * coalesce(before, 0) / (coalesce(before, 0) + {lm_score.ADDED}) * coalesce(c, 0)
-             / greatest(coalesce(before, 0), 1) + (1 - {lm_score.BIGRAM} * coalesce(before, 0) / (coalesce(before, 0) + {lm_score.ADDED}))
-             * (coalesce(one, 0) + {lm_score.ADDED}) / (SELECT coalesce(sum(one), 0) + {lm_score.ADDED} * ((SELECT count(*) FROM word) + 1) FROM {name}_one))
-             AS FLOAT) AS loss
-           FROM (SELECT DISTINCT prev, sym FROM pair) a LEFT JOIN {name}_pair USING (prev, sym)
-           LEFT JOIN {name}_one USING (sym) LEFT JOIN {name}_before USING (prev))"""
+def _sql_loss(prefix: str, good: str) -> str:
+    """Mean loss of a token: half that of its word, half that of its pair, each with added counts over all of its order."""
+    parts = [f"(ln({good}_total + {a} * {v}) - ln({c}.{good} + {a}))" for a, v, c in zip(lm_score.ADDED, ("words", "pairs"), ("w", "p"))]
+    return f"avg(({' + '.join(parts)}) / 2) AS {prefix}"
 
 
 OP10_SQL = rf"""
-WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
-each AS (SELECT doc_id, w[i] AS word, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-word AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) + 1 AS sym FROM each GROUP BY word
-         QUALIFY row_number() OVER (ORDER BY count(*) DESC, word) <= {lm_score.WORDS}),
-pair AS (SELECT doc_id, sym, coalesce(lag(sym) OVER (PARTITION BY doc_id ORDER BY i), 0) AS prev
-         FROM (SELECT doc_id, i, coalesce(sym, 1) AS sym FROM each LEFT JOIN word USING (word))),{_sql_model("background", "")},{_sql_model(
-    "target", "WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")},
-score AS (SELECT doc_id, count(*) AS n, avg(t.loss::DOUBLE) AS t, avg(b.loss::DOUBLE) AS b
-          FROM pair JOIN target t USING (prev, sym) JOIN background b USING (prev, sym) GROUP BY 1)
-SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(t, 0), 6) AS target_loss, round(coalesce(b, 0), 6) AS background_loss,
-       round(coalesce(t - b, 0), 6) AS score FROM d LEFT JOIN score USING (doc_id)
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS is_good,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+') AS t FROM documents),
+each AS (SELECT row, coalesce(is_good, false) AS is_good, t[i] AS word, CASE WHEN i > 1 THEN t[i - 1] END AS before
+         FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM d)),
+word AS (SELECT word, count(*) AS everything, count(*) FILTER (is_good) AS good FROM each GROUP BY 1),
+pair AS (SELECT before, word, count(*) AS everything, count(*) FILTER (is_good) AS good FROM each GROUP BY 1, 2),
+total AS (SELECT count(*) AS everything_total, count(*) FILTER (is_good) AS good_total, (SELECT count(*) FROM word) AS words,
+                 (SELECT count(*) FROM pair) AS pairs FROM each),
+score AS (SELECT row, count(*) AS n, {_sql_loss("tl", "good")}, {_sql_loss("bl", "everything")}
+          FROM each JOIN word w ON each.word = w.word JOIN pair p ON each.word = p.word AND each.before IS NOT DISTINCT FROM p.before, total GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(tl, 0), 6) AS target_loss, round(coalesce(bl, 0), 6) AS background_loss,
+       round(coalesce(tl - bl, 0), 6) AS score FROM d LEFT JOIN score USING (row)
 """
 
 

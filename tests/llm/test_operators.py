@@ -525,41 +525,38 @@ def test_similar_pairs_at_the_threshold(spark):
 
 # --- 10 scoring
 
-def test_scores_equal_brute_force(spark):
+@pytest.mark.parametrize("size,bucket", [(40, 300), (1 << 21, 1 << 25)])
+def test_scores_equal_brute_force(spark, size, bucket):
+    """Every word and every pair counts; blocks and buckets of any size give the same."""
     rng = random.Random(15)
     rows = [(i, " ".join(rng.choice(WORD_LIST[:12] if i % 3 else WORD_LIST[8:]) for _ in range(rng.randrange(40)))) for i in range(90)]
-    rows += [(100, None), (101, ""), (None, "alpha beta"), (5, rows[5][1]), (102, "zzz " * 5000)]
+    rows += [(100, None), (101, ""), (None, "alpha beta"), (5, rows[5][1]), (102, "zzz " * 5000), (103, prose(16, 1, 3000)[0])]
     labels = [(i, int(i % 3 == 0), 0) for i in range(90)] + [(0, 1, 0), (None, 1, 0)]
-    size = 10
-    got = Counter((r["id"], r["n_tokens"], round(r["score"], 4)) for r in lm_score.scores(
-        docs(spark, rows, extra=True).repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), size).collect())
+    got = Counter((r["id"], r["n_tokens"], round(r["score"], 6)) for r in lm_score.scores(
+        docs(spark, rows, extra=True).repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), size, bucket).collect())
     texts = [(t or "").lower().split() for _, t in rows]
-    words = [w for w, _ in sorted(Counter(w for t in texts for w in t).items(), key=lambda x: (-x[1], x[0]))[:size]]
-    place = {w: i + 2 for i, w in enumerate(words)}
-    coded = [[place.get(w, 1) for w in t] for t in texts]
     good = {i for i, q, _ in labels if q == 1 and i is not None}
+    grams = [lambda t: t, lambda t: list(zip([None, *t], t))]
+    known = [{g for t in texts for g in of(t)} for of in grams]
 
     def model(some):
-        pair, one, before = Counter(), Counter(), Counter()
-        for c in some:
-            for a, b in zip([0, *c], c):
-                pair[a, b] += 1
-                one[b] += 1
-                before[a] += 1
-        total = sum(one[s] + 1 for s in range(1, size + 2))
-
-        def loss(a, b):
-            weight = 0.7 * before[a] / (before[a] + 1)
-            return -math.log(weight * (pair[a, b] / before[a] if before[a] else 0) + (1 - weight) * (one[b] + 1) / total)
-        return loss
-
-    target = model([c for (i, _), c in zip(rows, coded) if i in good])
-    background = model(coded)
-    want = Counter()
-    for (i, _), c in zip(rows, coded):
-        score = sum(target(a, b) - background(a, b) for a, b in zip([0, *c], c)) / len(c) if c else 0.0
-        want[i, len(c), round(score, 4)] += 1
+        counts = [Counter(g for t in some for g in of(t)) for of in grams]
+        totals = [sum(c.values()) for c in counts]
+        return lambda t: sum(math.log(n + a * len(v)) - math.log(c[g] + a) for c, n, v, a, of in zip(
+            counts, totals, known, lm_score.ADDED, grams) for g in of(t)) / 2
+
+    target, background = model([t for (i, _), t in zip(rows, texts) if i in good]), model(texts)
+    want = Counter((i, len(t), round((target(t) - background(t)) / len(t) if t else 0.0, 6)) for (i, _), t in zip(rows, texts))
     near = lambda x: sorted((i if i is not None else -1, n, s) for i, n, s in x.elements())
-    for a, b in zip(near(got), near(want)):
-        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 2e-3
+    for a, b in zip(near(got), near(want), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 3e-6
     assert lm_score.scores(docs(spark, []), spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+
+
+def test_scores_tell_texts_that_occur_twice(spark):
+    """Words beyond the most frequent keep their identity, so a text the corpus holds twice is cheaper in the background."""
+    once, twice = prose(17, 120, 60), prose(18, 20, 60)
+    rows = list(enumerate(once)) + [(1000 + i, t) for i, t in enumerate(twice + twice)]
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    got = {r["id"]: r["background_loss"] for r in lm_score.scores(docs(spark, rows), none).collect()}
+    assert max(v for i, v in got.items() if i >= 1000) < min(v for i, v in got.items() if i < 1000)

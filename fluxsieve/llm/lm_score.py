@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from fluxsieve.llm.common import identity, stored
 
 #: Tokens after which a block ends, characters of text for each bucket, and good ids that may be broadcast.
-BLOCK, BUCKET, BROADCAST = 1 << 21, 1 << 25, 1_000_000
+BLOCK, BUCKET, BROADCAST = 1 << 20, 1 << 25, 1_000_000
 #: What is added to each count of a word and of a pair.
 ADDED = (1.0, 0.1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -71,8 +71,8 @@ def _small(values: np.ndarray) -> bytes:
     return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
 
 
-def _numbers(data: bytes, count: int) -> np.ndarray:
-    return np.frombuffer(data, f"u{len(data) // count}").astype(np.int64)
+def _numbers(data, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // count}").astype(np.int32)
 
 
 _PIECE = ("bucket long, block long, keys binary, owners binary, owner binary, n binary, good binary, "
@@ -96,7 +96,7 @@ def pieces(docs: DataFrame, bits: int, size: int = BLOCK) -> DataFrame:
             ids, text_keys, good = zip(*held)
             lengths = np.array(list(map(len, words)), np.int64)
             both = [ngrams(w) for w in words]
-            owner = np.tile(np.repeat(np.arange(len(words)), lengths), 2)
+            owner = np.tile(np.repeat(np.arange(len(words), dtype=np.int32), lengths), 2)
             flags = np.packbits(np.array(good, bool)).tobytes()
             empty = lambda kind: pa.array([None], kind)
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -147,36 +147,46 @@ def sums(found: DataFrame, kind: str) -> DataFrame:
     schema = _SUMS.format(kind=kind)
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["block", "keys", "owners", "owner", "n", "good"]).to_pylist() if table["bucket"][0].as_py() >= 0 else None
-        target_schema = pa.schema([("block", pa.int64()), ("background", pa.binary()), ("target", pa.binary()), ("distinct", pa.list_(pa.int64())),
-                                   ("tokens", table.schema.field("tokens").type), ("ids", table.schema.field("ids").type),
-                                   ("text_keys", table.schema.field("text_keys").type), ("good", pa.binary())])
-        if rows is None:
-            none = pa.nulls(table.num_rows)
-            return pa.table([table["block"], none.cast(pa.binary()), none.cast(pa.binary()), none.cast(pa.list_(pa.int64())),
-                             table["tokens"], table["ids"], table["text_keys"], table["good"]], schema=target_schema)
-        parts = []
-        for r in rows:
-            keys = np.frombuffer(r["keys"], np.uint64)
-            owners = _numbers(r["owners"], len(keys))
-            entries = int(owners.sum())
-            owner, n = _numbers(r["owner"], entries), _numbers(r["n"], entries)
-            good = np.unpackbits(np.frombuffer(r["good"], np.uint8))[owner]
+        same = [table.schema.field(c).type for c in ("tokens", "ids", "text_keys")]
+        out_schema = pa.schema(list(zip(["block", "background", "target", "distinct", "tokens", "ids", "text_keys", "good"], [
+            pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), *same, pa.binary()])))
+        count = table.num_rows
+        if table["bucket"][0].as_py() < 0:
+            empty = [pa.nulls(count, t) for t in (pa.binary(), pa.binary(), pa.list_(pa.int64()))]
+            return pa.table([table["block"], *empty, *[table[c] for c in ("tokens", "ids", "text_keys", "good")]], schema=out_schema)
+        held = lambda c, i: table[c][i].as_buffer()
+        keys = [np.frombuffer(held("keys", i), np.uint64) for i in range(count)]
+
+        def entries(i):
+            """Owners of each key, and the documents and counts of all of them, of one block."""
+            owners = _numbers(held("owners", i), len(keys[i]))
+            size = int(owners.sum())
+            return owners, _numbers(held("owner", i), size), _numbers(held("n", i), size)
+
+        totals = [[], []]
+        for i in range(count):
+            owners, owner, n = entries(i)
             starts = np.cumsum(owners) - owners
-            parts.append((keys, owners, owner, n, np.add.reduceat(n, starts), np.add.reduceat(n * good, starts)))
-        distinct, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        order = (distinct & np.uint64(1)).astype(np.int64)
+            good = np.unpackbits(np.frombuffer(held("good", i), np.uint8))[owner]
+            totals[0].append(np.add.reduceat(n, starts))
+            totals[1].append(np.add.reduceat(n * good, starts))
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        at = at.astype(np.int32)
+        order = (distinct & np.uint64(1)).astype(np.int8)
+        sizes = [[int((order == 0).sum()), int((order == 1).sum())]] + [[0, 0]] * (count - 1)  # once for the bucket
         added = np.array(ADDED)[order]
-        logs = [np.log(np.bincount(at, np.concatenate([p[k] for p in parts]), len(distinct)) + added) for k in (4, 5)]
+        del distinct, order
+        logs = [np.log(np.bincount(at, np.concatenate(t), len(added)) + added) for t in totals]
+        del totals, added
         out, a = [], 0
-        for r, (keys, owners, owner, n, _, _) in zip(rows, parts):
-            own = np.repeat(at[a:a + len(keys)], owners)
-            a += len(keys)
+        for i in range(count):
+            owners, owner, n = entries(i)
+            own = np.repeat(at[a:a + len(owners)], owners)
+            a += len(owners)
             out.append([np.bincount(owner, n * log[own]).tobytes() for log in logs])
-        sizes = [[int((order == 0).sum()), int((order == 1).sum())]] + [[0, 0]] * (len(rows) - 1)  # once for the bucket
-        null = [None] * len(rows)
-        return pa.table([[r["block"] for r in rows], [o[0] for o in out], [o[1] for o in out], sizes, null, null, null, null],
-                        schema=target_schema)
+        nothing = [pa.nulls(count, t) for t in (*same, pa.binary())]
+        return pa.table([table["block"], pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary()),
+                         pa.array(sizes, pa.list_(pa.int64())), *nothing], schema=out_schema)
 
     return found.groupBy("bucket").applyInArrow(run, schema)
 

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from functools import lru_cache
 from itertools import chain
@@ -35,9 +34,11 @@ from pyspark.sql import DataFrame, functions as F
 from fluxsieve.llm.common import stored
 
 #: Links after which a block ends, characters that are encoded at once, and units whose tokens a worker holds.
-LINKS, PORTION, UNITS = 1 << 19, 1 << 19, 1 << 19
+LINKS, PORTION, UNITS = 1 << 19, 1 << 19, 1 << 18
 #: Tokens of the first block that is compared.
 PROBE = 4
+# Fixed value: how the byte-level vocabulary cuts a text before it merges.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Where units begin.
 UNIT = re.compile(r"(?<=\S)(?= \S)")
 #: An id pair is one long: the A id above, the B id below this many bits.
@@ -59,15 +60,17 @@ class Pair:
     """
 
     def __init__(self, bpe: str, pieces: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task uses one core
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
         symbol = byte_of_symbol()
-        self.a = Tokenizer.from_file(bpe)
-        self.a.encode_special_tokens = True
-        vocabulary = json.load(open(bpe, encoding="utf-8"))["model"]["vocab"]
+        with open(bpe, encoding="utf-8") as file:
+            published = json.load(file)
+        vocabulary, special = published["model"]["vocab"], {t["id"] for t in published.get("added_tokens", [])}
         a_bytes = {i: bytes(map(symbol.__getitem__, t)) for t, i in vocabulary.items() if set(t) <= symbol.keys()}
+        # ids of this vocabulary are the ranks of its merges
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={},
+                                   mergeable_ranks={t: i for i, t in a_bytes.items() if i not in special})
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.spelled = [[a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)],
                         [self._piece(i) for i in range(self.b.get_piece_size())]]
@@ -92,8 +95,7 @@ class Pair:
         new = [u for u in dict.fromkeys(units) if u not in self.unit]
         if not new:
             return
-        fast = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        sides = [[x.ids for x in fast(new, add_special_tokens=False)], self.b.encode([u[1:] for u in new], num_threads=1)]
+        sides = [list(map(self.a.encode_ordinary, new)), self.b.encode([u[1:] for u in new], num_threads=1)]
         spells = np.ones(len(new), bool)
         for k, (found, spelled) in enumerate(zip(sides, self.spelled)):
             spells &= [all(parts := [spelled[i] for i in ids]) and b"".join(parts) == u.encode() for ids, u in zip(found, new)]
@@ -228,6 +230,7 @@ def blocks(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFra
                     codes.clear()
         if held:
             yield block()
+        both.clear()  # the worker lives on
 
     return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(
         run, f"block long, docs array<{_DOC.format(kind=kind)}>, pairs array<long>, counts array<long>, at binary")

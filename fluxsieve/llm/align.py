@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from fluxsieve.llm.common import stored
 
 #: Links after which a block ends, characters that are encoded at once, and units whose tokens a worker holds.
-LINKS, PORTION, UNITS = 1 << 19, 1 << 19, 1 << 18
+LINKS, PORTION, UNITS = 1 << 17, 1 << 19, 1 << 18
 #: Tokens of the first block that is compared.
 PROBE = 4
 # Fixed value: how the byte-level vocabulary cuts a text before it merges.

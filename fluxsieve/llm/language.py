@@ -4,16 +4,20 @@ For each label a bounded sample of labelled texts is turned into a suffix automa
 into longest phrases that occur in the sample; the number of phrases times log2 of the sample's length, per
 character, estimates how many bits the text costs given that language. The cheapest language wins.
 
-The model is fitted on at most ``SAMPLE_ROWS`` distinct texts, of each at most ``SAMPLE_CHARS`` characters, for each
-of the ``LANGUAGES`` most frequent labels, cut so that all automata together have at most ``CELLS`` transitions;
-that bounds the driver's work and the broadcast. Prediction covers whole texts: they are case-folded, runs of
-anything but letters count as one blank, and they are parsed in segments of ``SEGMENT`` characters that start
-afresh (at most one phrase more in each), which lets a task parse many segments in step.
+The model is fitted on at most ``SAMPLE_ROWS`` distinct texts and ``SAMPLE_CHARS`` characters of each label, and on
+``SAMPLE_TOTAL`` characters in all, which labels share evenly. So do the texts of a label, where short texts leave their
+rest to long ones; a long text is read from a place its hash picks. That bounds the driver's work and the broadcast.
+Every learned label can be predicted. Transitions are kept sparsely, in one hashed table.
+
+Prediction covers whole texts: they are case-folded, and runs of anything but letters count as one blank. A task
+parses many segments of ``SEGMENT`` characters in step. A segment first starts afresh; then it is run again from the
+state in which its predecessor ended, next to its first run, until both are in the same state, and so on until
+no segment's entry changes. The number of phrases is that of one parse from the text's start to its end.
 
 Defined results: text that is null or has no letters is ``und`` with score 0; so is every text when there are
 no labelled rows; equally cheap languages go to the first in order; a row with null doc_id is not held out
 and not learned from; repeated texts count once in the sample. Score is 1 - best / second best (1 if there is
-only one language).
+only one language). Predictions read the columns doc_id, text and lang only; others may have any name.
 """
 
 from __future__ import annotations
@@ -27,12 +31,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fluxsieve.llm.common import as_row
 
-LANGUAGES, SAMPLE_ROWS, SAMPLE_CHARS = 64, 24, 10_000
-ALPHABET, CELLS, SEGMENT = 254, 1 << 23, 1024
+SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_TOTAL = 24, 1 << 14, 1 << 20
+SEGMENT = 1024
+#: Pairs of a language and a segment that are parsed in step at a time.
+IN_STEP = 1 << 16
 #: A text whose phrases are shorter than 1 / REJECT letters on average is in none of the languages.
 REJECT = 0.75
 UNKNOWN = "und"
-_INDEX = (1 << 29) - 1
+#: A table entry is a key above and the next state in this many bits (states are at most twice the sample).
+STATE_BITS = 23
+_STATE = (1 << STATE_BITS) - 1
+#: Multiplier of the hashed table (2**64 / golden ratio).
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -40,28 +50,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def shares(lengths: list[int], total: int) -> list[int]:
+    """``total`` divided evenly; who needs less leaves the rest to the others."""
+    out, left = [0] * len(lengths), total
+    for rank, i in enumerate(sorted(range(len(lengths)), key=lengths.__getitem__)):
+        out[i] = min(lengths[i], left // (len(lengths) - rank))
+        left -= out[i]
+    return out
+
+
 def sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
-    """(label, texts) of the most frequent labels; texts are picked by the order of their hashes."""
+    """(label, texts) of all labels; texts are picked by the order of their hashes."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = F.broadcast(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "lang").limit(LANGUAGES).select("lang"))
-    cut = rows.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    labels = rows.agg(F.countDistinct("lang")).first()[0]
+    size = max(1, min(SAMPLE_CHARS, SAMPLE_TOTAL // max(1, labels)))
+    h = F.xxhash64("text")
+    start = F.pmod(h, F.greatest(F.length("text") - size, F.lit(0)) + 1) + 1
+    cut = rows.select("lang", h.alias("h"), F.col("text").substr(start.cast("int"), F.lit(size)).alias("text"))
     order = Window.partitionBy("lang").orderBy("h")
-    picked = cut.select("lang", "h").distinct().join(top, "lang").withColumn(
+    picked = cut.select("lang", "h").distinct().withColumn(
         "place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_ROWS)
-    texts = cut.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    texts = cut.join(picked, ["lang", "h"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
     for row in texts.orderBy("lang", "place").collect():
         out.setdefault(row["lang"], []).append(row["text"])
-    return sorted(out.items())
+    return [(name, [t[:n] for t, n in zip(found, shares(list(map(len, found)), size))])
+            for name, found in sorted(out.items())]
 
 
 def letter_classes(texts: list[str]) -> np.ndarray:
-    """Class of every code point: 0 no letter, 1 letter outside the alphabet, from 2 the frequent letters."""
-    counts = Counter(c.lower()[0] for text in texts for c in text if c.isalpha())
-    place = {c: i + 2 for i, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET - 2])}
+    """Class of every code point: 0 no letter, 1 letter that no sample holds, from 2 the letters of the samples."""
+    seen = sorted({c.lower()[0] for text in texts for c in text if c.isalpha()})
+    place = {c: i + 2 for i, c in enumerate(seen)}
     return np.fromiter((place.get(c.lower()[0], 1) if (c := chr(i)).isalpha() else 0 for i in range(0x110000)),
-                       np.uint8, 0x110000)
+                       np.int32, 0x110000)
 
 
 def letters(text: str, classes: np.ndarray) -> np.ndarray:
@@ -98,57 +120,130 @@ def suffix_automaton(symbols) -> list[dict[int, int]]:
 
 
 class Model:
-    """Automata of all languages in one table; an entry is the next row and the phrases the step began or ended."""
+    """Automata of all languages in one hashed table from (state, symbol) to state.
+
+    The symbols that can begin a phrase stand in ``begin``: next state and, above it, the phrases such a step ends.
+    """
 
     def __init__(self, texts: list[tuple[str, list[str]]]):
         self.names = [name for name, _ in texts]
         self.classes = letter_classes([t for _, own in texts for t in own])
-        width = self.width = int(self.classes.max()) + 1
-        chars = CELLS // (2 * width * max(1, len(texts)))
-        tables, self.roots, self.bits, at = [], [], [], 0
+        self.width = int(self.classes.max()) + 1
+        keys, states, roots, self.bits, at = [], [], [], [], 0
         for _, own in texts:
-            symbols = np.concatenate([np.append(letters(t, self.classes), 0) for t in own])[:chars]
+            symbols = np.concatenate([np.append(letters(t, self.classes), 0) for t in own])
             moves = suffix_automaton(symbols.tolist())
-            table = np.full((len(moves), width), -1, np.int64)
-            for state, out in enumerate(moves):
-                for symbol, to in out.items():
-                    table[state, symbol] = to
-            start, known = table[0].copy(), table >= 0
-            fresh = np.where(start >= 0, start, 0)
-            ended = np.where(start >= 0, 1, 2)
-            to = np.where(known, table, fresh[None, :]) * width + at
-            steps = np.where(known, 0, ended[None, :])
-            steps[0] = np.where(known[0], 0, 1)
-            tables.append((to | (steps << 29)).astype(np.int32).ravel())
-            self.roots.append(at)
+            count = sum(map(len, moves))
+            keys.append(np.fromiter(((at + i) * self.width + c for i, out in enumerate(moves) for c in out), np.int64, count))
+            states.append(np.fromiter((at + to for out in moves for to in out.values()), np.int64, count))
+            roots.append(at)
             self.bits.append(math.log2(max(2, len(symbols))))
-            at += len(moves) * width
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+            at += len(moves)
+        self.roots = np.array(roots, np.int64)
+        self._fill(np.concatenate([*keys, np.zeros(0, np.int64)]), np.concatenate([*states, np.zeros(0, np.int64)]))
+        own = np.repeat(self.roots, self.width)
+        to = self._move(own, np.tile(np.arange(self.width), len(roots)))
+        self.begin = np.where(to < 0, own | 1 << STATE_BITS, to)
+
+    def _fill(self, keys: np.ndarray, states: np.ndarray) -> None:
+        """Open addressing with at least three of four slots free."""
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.table = np.full(1 << bits, -1, np.int64)
+        entries, slot = keys << STATE_BITS | states, self._slot(keys)
+        while len(entries):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = entries[free]  # of several that want a slot the last one gets it
+            left = self.table[slot] != entries
+            entries, slot = entries[left], (slot[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _SPREAD) >> self.shift).view(np.int64)
+
+    def _move(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Next states, -1 where there is none."""
+        wanted = state * self.width + symbol
+        slot = self._slot(wanted)
+        found = self.table[slot]
+        rest = np.flatnonzero((found >> STATE_BITS != wanted) & (found >= 0))
+        while len(rest):
+            slot[rest] += 1
+            slot[rest] &= self.mask
+            found[rest] = other = self.table[slot[rest]]
+            rest = rest[(other >> STATE_BITS != wanted[rest]) & (other >= 0)]
+        return np.where(found >= 0, found & _STATE, -1)
+
+    def _step(self, state: np.ndarray, number: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states in the languages ``number``, and the number of phrases each step ended.
+
+        A symbol that no sample of the language holds is a phrase of its own.
+        """
+        to, steps = self._move(state, symbol), np.zeros(len(state), np.int64)
+        stuck = np.flatnonzero(to < 0)
+        own = number[stuck]
+        fresh = self.begin[own * self.width + symbol[stuck]]
+        steps[stuck] = (state[stuck] != self.roots[own]) + (fresh >> STATE_BITS)
+        to[stuck] = fresh & _STATE
+        return to, steps
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each text in each language: (languages, texts)."""
+        out = np.zeros((len(self.roots), len(texts)), np.int64)
         sizes = np.array([len(t) for t in texts], np.int64)
-        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        symbols = np.concatenate([*texts, np.zeros(0, np.int32)])
+        first = np.cumsum(sizes) - sizes
+        pieces = -(-sizes // SEGMENT)
+        roots = self.roots
+        group = np.cumsum(pieces) // max(1, IN_STEP // max(1, len(roots)))
+        for g in np.unique(group):
+            own = np.flatnonzero(group == g)
+            several = max(1, IN_STEP // max(1, int(pieces[own].sum())))
+            for k in range(0, len(roots), several):
+                out[k:k + several, own] = self._parse(symbols, first[own], sizes[own], np.arange(len(roots))[k:k + several])
+        return out
+
+    def _parse(self, symbols: np.ndarray, first: np.ndarray, sizes: np.ndarray, languages: np.ndarray) -> np.ndarray:
+        """Number of phrases of the texts that begin at ``first``, for each of the languages."""
         pieces = -(-sizes // SEGMENT)
-        owner = np.repeat(np.arange(len(texts)), pieces)
+        owner = np.repeat(np.arange(len(sizes)), pieces)
         inner = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = first[owner] + inner * SEGMENT
-        length = np.minimum(SEGMENT, sizes[owner] - inner * SEGMENT)
+        many, n = len(languages), len(owner)
+        start = np.tile(first[owner] + inner * SEGMENT, many)
+        length = np.tile(np.minimum(SEGMENT, sizes[owner] - inner * SEGMENT), many)
+        follows, number = np.tile(inner > 0, many), np.repeat(languages, n)
+        root = self.roots[number]
+        count, ended, entry = np.zeros(many * n, np.int64), root.copy(), root.copy()
         order = np.argsort(-length, kind="stable")
-        start, longest = start[order], length[order]
-        symbols = np.concatenate(texts).astype(np.int32)
-        root = np.array(self.roots, np.int32)[:, None]
-        state, count = np.repeat(root, len(start), 1), np.zeros((len(root), len(start)), np.int32)
+        begin, longest, own, state = start[order], length[order], number[order], root[order]
+        phrases = np.zeros(many * n, np.int64)
         active = np.searchsorted(-longest, -np.arange(SEGMENT), side="left")  # segments longer than the step
-        for step in range(int(longest[0]) if len(longest) else 0):
+        for step in range(int(longest[0]) if many * n else 0):
             k = active[step]
-            entry = self.table[state[:, :k] + symbols[start[:k] + step]]
-            count[:, :k] += entry >> 29
-            state[:, :k] = entry & _INDEX
-        count += state != root
-        out = np.zeros((len(root), len(texts)), np.int64)
-        np.add.at(out.T, owner[order], count.T)
-        return out
+            state[:k], ends = self._step(state[:k], own[:k], symbols[begin[:k] + step])
+            phrases[:k] += ends
+        count[order], ended[order] = phrases, state
+        before = np.roll(ended, 1)
+        while len(again := np.flatnonzero(follows & (before != entry))):
+            old, new = entry[again], before[again]
+            entry[again] = new
+            step, live = 0, np.arange(len(again))
+            while len(live):  # until both runs meet, or to the segment's end
+                at = again[live]
+                symbol = symbols[start[at] + step]
+                old[live], less = self._step(old[live], number[at], symbol)
+                new[live], more = self._step(new[live], number[at], symbol)
+                count[at] += more - less
+                step += 1
+                over = length[at] == step
+                apart = old[live] != new[live]
+                ended[at[over & apart]] = new[live[over & apart]]
+                live = live[apart & ~over]
+            before = np.roll(ended, 1)
+        last = np.tile(np.append(inner[1:] == 0, True)[:n], many)
+        count += last & (ended != root)  # a phrase that is open at the text's end
+        out = np.zeros((len(sizes), many), np.int64)
+        np.add.at(out, (np.tile(owner, many), np.repeat(np.arange(many), n)), count)
+        return out.T
 
     def predict(self, texts) -> pd.DataFrame:
         """lang, score, rate (phrases per letter) of each text."""

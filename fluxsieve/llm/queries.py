@@ -180,21 +180,22 @@ t{i + 1} AS (SELECT host, template, labelled, blocked, merged,
              FROM g{i} WINDOW w AS (PARTITION BY host, merged, branch IS NULL))"""
 
 
+#: The comparison grows trees this deep: more than any path of the tables has segments.
+SQL_LEVELS = 6
 OP7_SQL = f"""
 WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 v AS (SELECT *, {_sql_rule("rule")} AS rule, {_sql_rule("verdict")} AS ruling, list_filter(string_split(path, '/'), lambda x: x <> '') AS own FROM u),
-p AS (SELECT page_id, host, path, rule, ruling, list_concat(list_transform(own[1:{url_filter.DEPTH}],
-        lambda x: CASE WHEN regexp_matches(x, '{url_filter.VARIABLE}') THEN '*' ELSE x END),
-        CASE WHEN len(own) > {url_filter.DEPTH} THEN ['**'] ELSE [] END) AS template FROM v),
+p AS (SELECT page_id, host, path, rule, ruling, list_transform(own,
+        lambda x: CASE WHEN regexp_matches(x, '{url_filter.VARIABLE}') THEN '*' ELSE x END) AS template FROM v),
 leaves AS (SELECT host, template, count(ruling) AS labelled, count(*) FILTER (ruling = 'block') AS blocked FROM p GROUP BY ALL),
 prior AS (SELECT coalesce(sum(blocked) / nullif(sum(labelled), 0), 0) AS prior FROM leaves),
 t0 AS (SELECT host, template, labelled, blocked, []::VARCHAR[] AS merged,
          (sum(blocked) OVER w + {url_filter.SMOOTHING} * prior) / (sum(labelled) OVER w + {url_filter.SMOOTHING}) AS share
-       FROM leaves, prior WINDOW w AS (PARTITION BY host)),{",".join(_sql_level(i) for i in range(url_filter.DEPTH + 1))}
+       FROM leaves, prior WINDOW w AS (PARTITION BY host)),{",".join(_sql_level(i) for i in range(SQL_LEVELS))}
 SELECT page_id, p.host, path, rule, coalesce(ruling, CASE WHEN share >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
        '/' || array_to_string(merged, '/') AS template, round(share, 9) AS share
-FROM p LEFT JOIN t{url_filter.DEPTH + 1} t ON p.host = t.host AND p.template = t.template
+FROM p LEFT JOIN t{SQL_LEVELS} t ON p.host = t.host AND p.template = t.template
 """
 
 

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -108,25 +109,59 @@ def test_language_is_learned_and_odd_texts_are_undetermined(spark):
     assert {r["lang_pred"] for r in language.predictions(frame.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_phrases_equal_a_plain_greedy_parse():
+def greedy(symbols, body):
+    """Phrases of one parse from start to end; ``body`` holds one character per symbol."""
+    rest, count = "".join(map(chr, symbols)), 0
+    while rest:
+        n = 1
+        while n < len(rest) and rest[:n + 1] in body:
+            n += 1
+        rest, count = rest[n:], count + 1
+    return count
+
+
+@pytest.mark.parametrize("in_step", [1, 8, 1 << 16])
+def test_phrases_equal_one_greedy_parse_of_the_whole_text(monkeypatch, in_step):
+    monkeypatch.setattr(language, "SEGMENT", 16)
+    monkeypatch.setattr(language, "IN_STEP", in_step)
     rng = random.Random(4)
-    samples = [("x", ["".join(rng.choice("abc ") for _ in range(400))]), ("y", ["".join(rng.choice("bcd ") for _ in range(300))])]
+    samples = [("x", ["".join(rng.choice("abc ") for _ in range(400))]), ("y", ["".join(rng.choice("bcd ") for _ in range(300))]),
+               ("z", ["ab" * 100])]
     model = language.Model(samples)
-    texts = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (1, 5, 60, 1024, 2500)]
+    texts = ["".join(rng.choice("abcd\u00e9 ") for _ in range(n)) for n in (1, 5, 16, 60, 1024, 2500)] + ["ab" * 90, samples[0][1][0]]
     parsed = [language.letters(t, model.classes) for t in texts]
     got = model.phrases(parsed)
     for k, (_, own) in enumerate(samples):
-        body = bytes([*language.letters(own[0], model.classes), 0])
-        for j, symbols in enumerate(parsed):
-            count = 0
-            for start in range(0, len(symbols), language.SEGMENT):
-                rest = bytes(symbols[start:start + language.SEGMENT])
-                while rest:
-                    n = 1
-                    while n < len(rest) and rest[:n + 1] in body:
-                        n += 1
-                    rest, count = rest[n:], count + 1
-            assert got[k][j] == count
+        body = "".join(map(chr, [*language.letters(own[0], model.classes), 0]))
+        assert [greedy(p, body) for p in parsed] == got[k].tolist()
+    assert got[0][-1] == 1 and model.phrases([]).shape == (3, 0)
+
+
+def test_every_label_is_learned_and_predicted(spark):
+    rng = random.Random(9)
+    rows, scripts = [], [chr(0x4E00 + i) for i in range(2000)]
+    for k in range(200):
+        own = [rng.choice(scripts) for _ in range(10)]
+        rows += [(3 * k + i, " ".join("".join(rng.choice(own) for _ in range(4)) for _ in range(25)), f"l{k:03}") for i in range(3)]
+    rows += [(5000, rows[0][1], "l000"), (5001, rows[0][1], "l000"), (5002, rows[0][1] * 400, None)]
+    frame = spark.createDataFrame(rows, DOCS)
+    for name in ("p", "h", "place", "row", "score"):
+        frame = frame.withColumn(name, F.lit("own"))
+    learned = {lang for i, _, lang in rows if lang and zlib.crc32(str(i).encode()) % 4 != 2}
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predictions(frame).collect()}
+    known = [(i, lang) for i, _, lang in rows if lang in learned]
+    assert len(learned) > 180 and sum(got[i] == lang for i, lang in known) >= 0.97 * len(known)
+    assert got[5002] == "l000"
+    assert language.identified(frame).columns == frame.columns
+
+
+def test_shares_are_even_and_leave_nothing():
+    assert language.shares([10, 1, 10], 12) == [5, 1, 6] and language.shares([3, 4], 100) == [3, 4]
+
+
+def test_equally_cheap_languages_go_to_the_first(spark):
+    model = language.Model([("a", ["same words"]), ("b", ["same words"])])
+    assert model.predict(["same words", None]).values.tolist()[0][:2] == ["a", 0.0]
 
 
 def test_held_out_accuracy(spark):
@@ -280,8 +315,7 @@ def brute_urls(rows):
 
     def template(path):
         own = [s for s in path.split("/") if s]
-        seen = ["*" if re.search(url_filter.VARIABLE, s) else s for s in own[:url_filter.DEPTH]]
-        return tuple(seen + ["**"] * (len(own) > url_filter.DEPTH))
+        return tuple("*" if re.search(url_filter.VARIABLE, s) else s for s in own)
 
     found = [(i, *split(u), *rule(*split(u))) for i, u in rows]
     leaves = {}
@@ -293,7 +327,7 @@ def brute_urls(rows):
     for host in {h for h, _ in leaves}:
         n, b = map(sum, zip(*[v for (h, _), v in leaves.items() if h == host]))
         state |= {k: ((), (b + m * prior) / (n + m)) for k in leaves if k[0] == host}
-    for level in range(url_filter.DEPTH + 1):
+    for level in range(max((len(t) for _, t in leaves), default=0)):
         live = [k for k in leaves if len(k[1]) > level]
         count = lambda keys: tuple(map(sum, zip(*[leaves[k] for k in keys])))
         named = {}
@@ -320,7 +354,7 @@ def test_urls_equal_brute_force(spark):
     rng = random.Random(7)
     hosts = ["a.example.com", "B.example.com", "example.org", "x.example.org", "c.net", "spam.com", "com", "notorg"]
     rows = [(i, f"http://{rng.choice(hosts)}/{rng.choice(['de', 'fr', 'en', 'es', 'shop', 'x'])}/"
-                f"{rng.choice(['1', '27.html', 'about', 'a1b2c3', 'deadbeef01'])}{rng.choice(['', '?q=1', '#t', '/p/q/r/s/t'])}") for i in range(400)]
+                f"{rng.choice(['1', '27.html', 'about', 'a1b2c3', 'deadbeef01'])}{rng.choice(['', '?q=1', '#t', '/p/q/r/s/t', '/p/q/r/s/t/u/v/w', '/p/q/r/s/z'])}") for i in range(400)]
     rows += [(900, None), (901, "no scheme"), (902, "http://"), (903, "http://EXAMPLE.ORG"), (904, "x://org/://com/de/"), (900, None),
              (905, "http://example.org/es/" + "s/" * 5000), (None, "http://example.org?x")]
     frame = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("own")).withColumn("share", F.lit(1))

@@ -1,6 +1,7 @@
 """The ten operators against brute force, and their defined results for odd input."""
 
 import base64
+import gzip
 import hashlib
 import math
 import random
@@ -198,6 +199,39 @@ def test_archives_round_trip_and_resolve(spark, tmp_path):
     assert warc.read(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    sizes = [0, 1, 100, 101, 1616, 1617, 3000, 30_000, 5 << 20]
+    rows = [(10 * k + i, f"http://h/{k}/{i}", chr(97 + i % 26) * n + str(k % 2)) for i, n in enumerate(sizes) for k in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write(frame.coalesce(1), str(tmp_path / "a"), file_records=100, file_bytes=10_000)
+    held = {}
+    for file in (tmp_path / "a").rglob("part-*"):
+        found = [len(p) for h, p in warc._parse(warc._unpacked(file.read_bytes())) if h["WARC-Type"] == "response"]
+        held[str(file)] = found
+        assert sum(found) <= 10_000 + 100 or len(found) == 1
+    assert sum(map(len, held.values())) == 2 * len(sizes)
+    found = warc.read(spark, str(tmp_path / "a"))
+    got = {r["page_id"]: r for r in warc.resolve(found).collect()}
+    assert len(got) == len(rows)
+    for i, _, html in rows:
+        last = max(j for j, _, other in rows if other == html)
+        assert got[i]["payload_bytes"] == len(html) and got[i]["refers_to"] == (None if last == i else last)
+
+
+def test_archives_come_in_any_portions_and_members(monkeypatch):
+    block = "HTTP/1.1 200 OK\r\n\r\n"
+    one = lambda i, body: (f"WARC/1.1\r\nWARC-Record-ID: {i}\r\nContent-Length: {len(block) + len(body)}\r\n\r\n{block}{body}\r\n\r\n").encode()
+    bodies = ["", "x" * 300, "a\r\n\r\nWARC/1.1\r\n", "y"]
+    plain = [one(i, b) for i, b in enumerate(bodies)]
+    for portion in (1, 7, 1 << 20):
+        monkeypatch.setattr(warc, "PORTION", portion)
+        for content in (b"".join(plain), gzip.compress(b"".join(plain)), b"".join(map(gzip.compress, plain))):
+            assert [p.decode() for _, p in warc._parse(warc._unpacked(content))] == bodies
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc._parse(iter([plain[1][:-100]])))
+    assert list(warc._parse(warc._unpacked(b""))) == []
+
+
 # --- 4 SentencePiece
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,8 @@ character, estimates how many bits the text costs given that language. The cheap
 The model is fitted on at most ``SAMPLE_ROWS`` distinct texts and ``SAMPLE_CHARS`` characters of each label, and on
 ``SAMPLE_TOTAL`` characters in all, which labels share evenly. So do the texts of a label, where short texts leave their
 rest to long ones; a long text is read from a place its hash picks. That bounds the driver's work and the broadcast.
-Every learned label can be predicted. Transitions are kept sparsely, in one hashed table.
+Every learned label can be predicted. Transitions are kept sparsely, in one hashed table,
+or, while they are few, with every step written out; both give the same steps.
 
 Prediction covers whole texts: they are case-folded, and runs of anything but letters count as one blank. A task
 parses many segments of ``SEGMENT`` characters in step. A segment first starts afresh; then it is run again from the
@@ -40,6 +41,8 @@ REJECT = 0.75
 UNKNOWN = "und"
 #: A table entry is a key above and the next state in this many bits (states are at most twice the sample).
 STATE_BITS = 23
+#: Up to this many pairs of a state and a symbol every step is written out, which is faster; beyond, the table is hashed.
+CELLS = 1 << 23
 _STATE = (1 << STATE_BITS) - 1
 #: Multiplier of the hashed table (2**64 / golden ratio).
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -144,6 +147,17 @@ class Model:
         own = np.repeat(self.roots, self.width)
         to = self._move(own, np.tile(np.arange(self.width), len(roots)))
         self.begin = np.where(to < 0, own | 1 << STATE_BITS, to)
+        self.steps = None
+        if 0 < at * self.width <= CELLS:
+            language = np.repeat(np.arange(len(roots)), np.diff([*roots, at]))
+            self.steps = np.concatenate([self._written(np.arange(i, min(i + 4096, at)), language) for i in range(0, at, 4096)])
+            self.table = None  # every step is written out
+
+    def _written(self, states: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """Next state and, above it, ended phrases of every symbol in each of the states."""
+        own = np.repeat(states, self.width)
+        to, ended = self._step(own, language[own], np.tile(np.arange(self.width), len(states)))
+        return (to | ended << STATE_BITS).astype(np.int32)
 
     def _fill(self, keys: np.ndarray, states: np.ndarray) -> None:
         """Open addressing with at least three of four slots free."""
@@ -178,6 +192,9 @@ class Model:
 
         A symbol that no sample of the language holds is a phrase of its own.
         """
+        if self.steps is not None:
+            entry = self.steps[state * self.width + symbol]
+            return entry & _STATE, entry >> STATE_BITS
         to, steps = self._move(state, symbol), np.zeros(len(state), np.int64)
         stuck = np.flatnonzero(to < 0)
         own = number[stuck]

@@ -121,8 +121,9 @@ def greedy(symbols, body):
     return count
 
 
-@pytest.mark.parametrize("in_step", [1, 8, 1 << 16])
-def test_phrases_equal_one_greedy_parse_of_the_whole_text(monkeypatch, in_step):
+@pytest.mark.parametrize("in_step, cells", [(1, 0), (8, 0), (1 << 16, 0), (1 << 16, 1 << 23)])
+def test_phrases_equal_one_greedy_parse_of_the_whole_text(monkeypatch, in_step, cells):
+    monkeypatch.setattr(language, "CELLS", cells)
     monkeypatch.setattr(language, "SEGMENT", 16)
     monkeypatch.setattr(language, "IN_STEP", in_step)
     rng = random.Random(4)

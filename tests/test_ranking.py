@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from fluxsieve.operators import selection
 from fluxsieve.operators.ranking import exact_percentiles, most_frequent, ordered_position
 
 
@@ -39,3 +40,20 @@ def test_percentiles_equal_linear_interpolation(spark):
 def test_most_frequent_takes_the_smallest_on_a_tie(spark):
     df = spark.createDataFrame([("k", "b"), ("k", "a"), ("k", "b"), ("k", "a"), ("k", "c")], "k string, v string")
     assert most_frequent(df, ["k"], "v").first()["v"] == "a"
+
+
+def test_kth_rows_equal_sorting(spark, monkeypatch):
+    monkeypatch.setattr(selection, "CLASSES", 4)
+    monkeypatch.setattr(selection, "FEW", 5)
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v), f"i{i:04}") for i, v in enumerate(rng.lognormal(sigma=4, size=400))]
+    rows += [("hot", 0.0, f"z{i:04}") for i in range(300)] + [("wide", v, f"w{i}") for i, v in enumerate((-1.7e308, 1.7e308, 0.0, 1.0, 1.0))]
+    rows += [("one", 7.0, "a"), ("one", None, "b")]
+    df = spark.createDataFrame(rows, "g string, v double, id string")
+    places = (1, 2, 20, 390, 401, 650, 5000)
+    wanted = spark.createDataFrame([(g, k) for g in ("hot", "wide", "one", "none") for k in places], "g string, k int")
+    got = {(r["g"], r["k"]): (r["v"], r["id"]) for r in selection.kth_rows(df, "v", "id", wanted, ["g"]).collect()}
+    assert len(got) == 3 * len(places)
+    for (g, k), found in got.items():
+        order = sorted((r[1:] for r in rows if r[0] == g and r[1] is not None), key=lambda r: (-r[0], r[1]))
+        assert found == order[min(k, len(order)) - 1]

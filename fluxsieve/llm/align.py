@@ -5,12 +5,13 @@ each is an array of byte ends. From a common boundary the arrays are compared at
 4, 8, 16, ... tokens: while blocks are equal the tokens stand one to one and are jumped over; the block that differs
 is halved down to the first difference. There the smaller end moves on, side by side, until both ends meet: an
 irregular group, after which the index shift is another. Groups are what lies between common boundaries. Within a
-group ends differ, so each end of the union marks exactly one overlap: a link of an A and a B token. Texts are aligned
-whole; only the encoding looks at units.
+group ends differ, so each end of the union marks exactly one overlap: a link of an A and a B token. A unit (see
+``Pair``) begins a token of both, so no group crosses its start: a long text is encoded and aligned in portions that
+begin with a unit, with the groups of the whole text.
 
 Pair counts cover the whole corpus. A task gathers documents into blocks of ``LINKS`` links, and a block's distinct
 id pairs with their counts are its only rows that are shuffled by pair. The counts come back to the block by its
-number, at the places of its own pair list, and are added up there for each of its documents. A block ends with the
+number, in chunks of ``CHUNK`` places of its own pair list, and are added up there for each of its documents. A block ends with the
 text that brings it to ``LINKS`` links, so a row is bounded by that and one text.
 
 Defined results: texts that are null, empty, or that the tokens of A or B do not spell byte for byte have no tokens,
@@ -34,7 +35,9 @@ from pyspark.sql import DataFrame, functions as F
 from fluxsieve.llm.common import stored
 
 #: Links after which a block ends, characters that are encoded at once, and units whose tokens a worker holds.
-LINKS, PORTION, UNITS = 1 << 17, 1 << 19, 1 << 18
+LINKS, PORTION, UNITS = 1 << 17, 1 << 18, 1 << 18
+#: Places of a block's pair list whose counts are gathered at once.
+CHUNK = 1 << 10
 #: Tokens of the first block that is compared.
 PROBE = 4
 # Fixed value: how the byte-level vocabulary cuts a text before it merges.
@@ -43,6 +46,8 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 UNIT = re.compile(r"(?<=\S)(?= \S)")
 #: An id pair is one long: the A id above, the B id below this many bits.
 SHIFT = 32
+#: What follows an id within a side, after the A side, and after a group.
+MARKS = ",|;"
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -72,12 +77,13 @@ class Pair:
         self.a = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={},
                                    mergeable_ranks={t: i for i, t in a_bytes.items() if i not in special})
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        self.spelled = [[a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)],
+        # an id without bytes gets one that no text holds
+        self.spelled = [[a_bytes.get(i, b"\xff") for i in range(max(a_bytes) + 1)],
                         [self._piece(i) for i in range(self.b.get_piece_size())]]
         self.length = [np.array(list(map(len, side)), np.int64) for side in self.spelled]
-        self.name = [str(i) for i in range(max(map(len, self.spelled)))]
-        apart = not any(b" " in x.lstrip(b" ") for x in self.spelled[1])
-        self.split = UNIT.split if apart else lambda text: [text]
+        self.ids_above = max(map(len, self.spelled))
+        self.name = [f"{i}{mark}" for mark in MARKS for i in range(self.ids_above)]
+        self.apart = not any(b" " in x.lstrip(b" ") for x in self.spelled[1])
         self.clear()
 
     def _piece(self, i: int) -> bytes:
@@ -98,17 +104,36 @@ class Pair:
         sides = [list(map(self.a.encode_ordinary, new)), self.b.encode([u[1:] for u in new], num_threads=1)]
         spells = np.ones(len(new), bool)
         for k, (found, spelled) in enumerate(zip(sides, self.spelled)):
-            spells &= [all(parts := [spelled[i] for i in ids]) and b"".join(parts) == u.encode() for ids, u in zip(found, new)]
+            spells &= [b"".join([spelled[i] for i in ids]) == u.encode() for ids, u in zip(found, new)]
             self.ids[k] = np.concatenate([self.ids[k], np.fromiter(chain.from_iterable(found), np.int32)])
             self.first[k] = np.concatenate([self.first[k], self.first[k][-1] + np.cumsum(list(map(len, found)))])
         self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new))))
         self.whole = np.concatenate([self.whole, spells])
 
+    def portions(self, text: str):
+        """The text in portions of about ``PORTION`` characters that begin with a unit, without its blank."""
+        start = 0
+        while self.apart and len(text) - start > PORTION and (unit := UNIT.search(text, start + PORTION)):
+            yield text[start:unit.start()]
+            start = unit.start() + 1
+        yield text[start:]
+
+    def written(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> str:
+        """``a1,a2|b1;a3|b2,b3`` of all groups: ids, and the token numbers at which groups end."""
+        of_a, of_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+        place_a = np.arange(len(a)) + np.repeat(end_b - of_b, of_a)
+        place_b = np.arange(len(b)) + np.repeat(end_a, of_b)
+        name = np.empty(len(a) + len(b), np.int64)
+        name[place_a], name[place_b] = a, b
+        name[place_a[end_a - 1]] += self.ids_above
+        name[place_b[end_b - 1]] += 2 * self.ids_above
+        return "".join(map(self.name.__getitem__, name.tolist()))[:-1]
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Ids and byte ends of A, then of B, for each text; all empty if either does not spell the text."""
         if len(self.unit) > UNITS or max(map(len, self.ids)) > 4 * UNITS:
             self.clear()
-        split = [self.split(" " + t) if t else [] for t in texts]
+        split = [(UNIT.split(" " + t) if self.apart else [" " + t]) if t else [] for t in texts]
         units = list(chain.from_iterable(split))
         self.learn(units)
         at = np.fromiter(map(self.unit.__getitem__, units), np.int64, len(units))
@@ -164,30 +189,67 @@ def runs(a: list[int], b: list[int]) -> list[tuple[int, int, int, int, bool]]:
     return out
 
 
+def group_ends(found: list[tuple[int, int, int, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """A and B token numbers at which groups end: all of a stretch that is one to one, else its last."""
+    from_a, to_a, from_b, to_b, plain = np.array(found, np.int64).reshape(-1, 5).T
+    n = np.where(plain, to_a - from_a, 1)
+    left = np.repeat(np.cumsum(n), n) - np.arange(1, n.sum() + 1)
+    return np.repeat(to_a, n) - left, np.repeat(to_b, n) - left
+
+
 def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A and B token numbers of all overlaps: ends within a group differ, so each end of the union marks one."""
-    ends = np.union1d(a, b)
-    return np.searchsorted(a, ends), np.searchsorted(b, ends)
+    at_a, at_b = np.zeros((2, (a[-1] if len(a) else 0) + 1), bool)
+    at_a[a] = at_b[b] = True
+    ends = np.flatnonzero(at_a | at_b)
+    return tuple(np.cumsum(at[ends]) - at[ends] for at in (at_a, at_b))
 
 
-def written(a: list[str], b: list[str], found: list[tuple[int, int, int, int, bool]]) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of all groups."""
-    return ";".join([";".join(map("|".join, zip(a[i:p], b[j:q]))) if plain else ",".join(a[i:p]) + "|" + ",".join(b[j:q])
-                     for i, p, j, q, plain in found])
+_DOC = "struct<id:{kind},n_a:long,n_b:long,n_groups:long,n_links:long,groups_sha256:string>"
 
 
-_DOC = "struct<id:{kind},n_a:long,n_b:long,n_groups:long,n_links:long,groups_sha256:string>"
+def together(rows: list[tuple], most: int):
+    """The rows (row number, portion, whether its last) in lists of about ``most`` characters."""
+    out, held = [], 0
+    for row in rows:
+        out.append(row)
+        held += len(row[1])
+        if held >= most:
+            yield out
+            out, held = [], 0
+    yield out
+
+
+class Document:
+    """What is known of a text after some of its portions."""
+
+    def __init__(self):
+        self.spelled, self.sums, self.digest, self.codes = True, np.zeros(4, np.int64), hashlib.sha256(), []
+
+    def add(self, both: Pair, a_ids: np.ndarray, a: np.ndarray, b_ids: np.ndarray, b: np.ndarray) -> None:
+        if not (self.spelled and len(a)):
+            self.spelled, self.codes = False, []
+            return
+        end_a, end_b = group_ends(runs(a.tolist(), b.tolist()))
+        of_a, of_b = links(a, b)
+        self.digest.update((";" if self.sums[0] else "").encode() + both.written(a_ids, b_ids, end_a, end_b).encode())
+        self.codes.append(a_ids[of_a].astype(np.int64) << SHIFT | b_ids[of_b])
+        self.sums += [len(a), len(b), len(end_a), len(of_a)]
+
+    def row(self) -> tuple:
+        return (*map(int, self.sums), self.digest.hexdigest()) if self.spelled else (0, 0, 0, 0, "")
 
 
-def portions(texts: list[str]):
-    """The texts in lists of about ``PORTION`` characters, or of one longer text."""
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= PORTION:
-            yield texts[start:i + 1]
-            start, held = i + 1, 0
-    yield texts[start:]
+def documents(both: Pair, texts):
+    """A document of each text, in order."""
+    doc, at = Document(), 0
+    for some in together(((k, part) for k, text in enumerate(texts) for part in both.portions(text)), PORTION):
+        for (k, _), sides in zip(some, both.encode([part for _, part in some])):
+            if k > at:
+                yield doc
+                doc, at = Document(), k
+            doc.add(both, *sides)
+    yield doc
 
 
 def blocks(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFrame:
@@ -211,18 +273,10 @@ def blocks(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFra
         for batch in batches:
             id_type = batch.column("id").type
             ids = batch.column("id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i, (a_ids, a, b_ids, b) in zip(ids, chain.from_iterable(map(both.encode, portions(texts)))):
-                if not len(a):
-                    held.append((i, 0, 0, 0, 0, ""))
-                    continue
-                found = runs(a.tolist(), b.tolist())
-                of_a, of_b = links(a, b)
-                codes.append(a_ids[of_a].astype(np.int64) << SHIFT | b_ids[of_b])
-                names = [list(map(both.name.__getitem__, side.tolist())) for side in (a_ids, b_ids)]
-                held.append((i, len(a), len(b), sum(p - k if plain else 1 for k, p, _, _, plain in found), len(of_a),
-                             hashlib.sha256(written(*names, found).encode()).hexdigest()))
-                total += len(of_a)
+            for i, doc in zip(ids, documents(both, (t.as_py() or "" for t in batch.column("text")))):
+                held.append((i, *doc.row()))
+                codes += doc.codes
+                total += int(doc.sums[3]) if doc.spelled else 0
                 if total >= size:
                     yield block()
                     number, total = number + 1, 0
@@ -250,8 +304,13 @@ def aligned(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFr
     kind = dict(docs.dtypes)["doc_id"]
     found = stored(blocks(docs, bpe, pieces, size), "alignment")
     asked = found.select("block", F.posexplode("pairs").alias("place", "pair"))
-    back = asked.join(pair_counts(found), "pair").groupBy("block").agg(
-        F.array_sort(F.collect_list(F.struct("place", "n", "best"))).alias("known"))
+    # twice the count, plus one if it is the best; chunks keep what a task gathers small
+    known = asked.join(pair_counts(found), "pair").select(
+        "block", "place", (F.col("n") * 2 + F.col("best").cast("long")).alias("known"))
+    chunks = known.repartition("block").groupBy("block", F.floor(F.col("place") / CHUNK).alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "known"))).alias("known"))
+    back = chunks.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("chunk", F.col("known.known").alias("known")))).alias("known")).select(
+        "block", F.flatten("known.known").alias("known"))
     fields = [f"{c} long" for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
 
     def run(batches):
@@ -260,10 +319,9 @@ def aligned(docs: DataFrame, bpe: str, pieces: str, size: int = LINKS) -> DataFr
                 own = batch.column("docs")[row].values
                 at = np.frombuffer(batch.column("at")[row].as_py(), np.int32)
                 known = batch.column("known")[row].values
-                n = np.zeros(0, np.int64) if known is None else known.field("n").to_numpy()
-                best = np.zeros(0, bool) if known is None else known.field("best").to_numpy(zero_copy_only=False)
+                known = np.zeros(0, np.int64) if known is None else known.to_numpy()
                 stop = np.cumsum(own.field("n_links").to_numpy())
-                sums = [np.concatenate([[0], np.cumsum(x[at].astype(np.int64))]) for x in (best, n)]
+                sums = [np.concatenate([[0], np.cumsum(x[at])]) for x in (known & 1, known >> 1)]
                 totals = [np.diff(s[np.concatenate([[0], stop])]) for s in sums]
                 yield pa.RecordBatch.from_arrays(
                     [*[own.field(c) for c in ("id", "n_a", "n_b", "n_groups", "n_links")], *map(pa.array, totals),

@@ -148,6 +148,19 @@ def test_units_encode_like_whole_texts(monkeypatch):
             assert a.tolist() == encode_a(text) and b.tolist() == both.b.encode(text)
 
 
+def test_portions_align_like_whole_texts(monkeypatch):
+    both = align.Pair(queries.BYTE_BPE, queries.PIECE_MODEL)
+    texts = [*ODD_TEXTS, "the Donau échaux  x1b\n don't — antidisestablishment ß " * 300, "spelled <0x0A> " * 40 + "\x00 b ﬁ " + "tail " * 40, ""]
+    found = []
+    for size in (1 << 20, 7, 200):
+        monkeypatch.setattr(align, "PORTION", size)
+        docs = list(align.documents(both, texts))
+        found.append([(d.row(), np.concatenate([*d.codes, np.zeros(0, np.int64)]).tolist()) for d in docs])
+        assert all(not d.codes for d in docs if not d.spelled)
+        assert size > 200 or max(len(list(both.portions(t))) for t in texts) > 40
+    assert found[0] == found[1] == found[2] and any(row == (0, 0, 0, 0, "") for row, _ in found[0][1:-1])
+
+
 def test_runs_skip_and_regroup():
     rng = random.Random(3)
     for _ in range(300):
@@ -157,6 +170,7 @@ def test_runs_skip_and_regroup():
             b = sorted({*a, *b}) if rng.random() < 0.5 else list(a)
         found = align.runs(a, b)
         stops = [x for i, p, j, q, plain in found for x in (zip(range(i + 1, p + 1), range(j + 1, q + 1)) if plain else [(p, q)])]
+        assert stops == list(zip(*(ends.tolist() for ends in align.group_ends(found))))
         assert stops == [(a.index(e) + 1, b.index(e) + 1) for e in sorted(set(a) & set(b))]
         assert sum(plain for *_, plain in found) <= 1 + sum(not plain for *_, plain in found)
 

@@ -38,6 +38,8 @@ from fluxsieve.llm.common import stored
 LINKS, PORTION, UNITS = 1 << 17, 1 << 18, 1 << 18
 #: Places of a block's pair list whose counts are gathered at once.
 CHUNK = 1 << 10
+#: Units that are encoded in one call.
+GROUP = 64
 #: Tokens of the first block that is compared.
 PROBE = 4
 # Fixed value: how the byte-level vocabulary cuts a text before it merges.
@@ -97,18 +99,38 @@ class Pair:
         self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
 
     def learn(self, units: list[str]) -> None:
-        """Encode the units that are not held yet. A unit begins with the blank that B adds."""
+        """Encode the units that are not held yet. A unit begins with the blank that B adds.
+
+        Units without more white space at their ends stand in any text as they do in the next one, so they are
+        encoded ``GROUP`` at a time and cut at their bytes; those of a group that is not spelled follow singly.
+        """
         new = [u for u in dict.fromkeys(units) if u not in self.unit]
-        if not new:
-            return
-        sides = [list(map(self.a.encode_ordinary, new)), self.b.encode([u[1:] for u in new], num_threads=1)]
-        spells = np.ones(len(new), bool)
-        for k, (found, spelled) in enumerate(zip(sides, self.spelled)):
-            spells &= [b"".join([spelled[i] for i in ids]) == u.encode() for ids, u in zip(found, new)]
-            self.ids[k] = np.concatenate([self.ids[k], np.fromiter(chain.from_iterable(found), np.int32)])
-            self.first[k] = np.concatenate([self.first[k], self.first[k][-1] + np.cumsum(list(map(len, found)))])
-        self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new))))
-        self.whole = np.concatenate([self.whole, spells])
+        joins = [u for u in new if self.apart and u[1:] == u[1:].strip()]
+        missed = self.hold([joins[i:i + GROUP] for i in range(0, len(joins), GROUP)])
+        alone = dict.fromkeys(new).keys() - self.unit.keys() if missed or len(joins) < len(new) else ()
+        left = [u for [u] in self.hold([[u] for u in new if u in alone])]
+        self.unit.update(zip(left, range(len(self.unit), len(self.unit) + len(left))))
+        self.whole = np.concatenate([self.whole, np.zeros(len(left), bool)])
+        self.first = [np.append(first, np.full(len(left), first[-1])) for first in self.first]
+
+    def hold(self, groups: list[list[str]]) -> list[list[str]]:
+        """Keep the tokens of the groups that both sides spell, and return the others."""
+        if not groups:
+            return []
+        texts = list(map("".join, groups))
+        raw = list(map(str.encode, texts))
+        sides = [list(map(self.a.encode_ordinary, texts)), self.b.encode([t[1:] for t in texts], num_threads=1)]
+        same = [all(b"".join([x[i] for i in ids]) == r for x, ids in zip(self.spelled, both)) for r, *both in zip(raw, *sides)]
+        kept = list(chain.from_iterable(g for g, good in zip(groups, same) if good))
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, kept)), np.int64, len(kept)))
+        for k, found in enumerate(sides):
+            ids = np.fromiter(chain.from_iterable(ids for ids, good in zip(found, same) if good), np.int32)
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+            after = np.searchsorted(np.cumsum(self.length[k][ids]), ends) + 1
+            self.first[k] = np.concatenate([self.first[k], self.first[k][-1] + after])
+        self.unit.update(zip(kept, range(len(self.unit), len(self.unit) + len(kept))))
+        self.whole = np.concatenate([self.whole, np.ones(len(kept), bool)])
+        return [g for g, good in zip(groups, same) if not good]
 
     def portions(self, text: str):
         """The text in portions of about ``PORTION`` characters that begin with a unit, without its blank."""

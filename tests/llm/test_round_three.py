@@ -148,6 +148,20 @@ def test_units_encode_like_whole_texts(monkeypatch):
             assert a.tolist() == encode_a(text) and b.tolist() == both.b.encode(text)
 
 
+def test_groups_of_units_encode_like_whole_texts():
+    both, encode_a = align.Pair(queries.BYTE_BPE, queries.PIECE_MODEL), published()
+    rng = random.Random(8)
+    words = ["the", "Donau", "échaux", "ﬁ", "don't", "—", "x\ny", "日本", "½", "a\u0301", "\u0301b", "12", "\x1cq", "a▁q"]
+    texts = [" ".join(rng.choice(words[:k]) + rng.choice(["", "", str(i)]) for _ in range(40)) for i, k in enumerate([3, 5, 14] * 20)]
+    spelled = 0
+    for text, (a, _, b, _) in zip(texts + ODD_TEXTS, both.encode(texts + ODD_TEXTS)):
+        wanted = encode_a(text), both.b.encode(text)
+        whole = all(b"".join(x[i] for i in ids) == (" " + text).encode() for x, ids in zip(both.spelled, wanted))
+        assert (a.tolist(), b.tolist()) == (wanted if whole and text else ([], []))
+        spelled += whole and text in texts
+    assert 40 <= spelled < len(texts)
+
+
 def test_portions_align_like_whole_texts(monkeypatch):
     both = align.Pair(queries.BYTE_BPE, queries.PIECE_MODEL)
     texts = [*ODD_TEXTS, "the Donau échaux  x1b\n don't — antidisestablishment ß " * 300, "spelled <0x0A> " * 40 + "\x00 b ﬁ " + "tail " * 40, ""]

@@ -112,7 +112,7 @@ SELECT constraint_id, plan, CASE plan WHEN 'ITP' THEN 'spp_itp' ELSE 'spp_fca' E
 
 def _signals(spark, folder):
     """Signals where some flowgates are off the map, off the congestion table or off the plans."""
-    flow = view(spark, folder, "v_flowgates")
+    flow = cut(view(spark, folder, "v_flowgates"))  # five inputs are taken from it: hours are rolled up once
     constraints = flow.select(
         "constraint_id", "ctype", "ord", "radial", F.when(F.pmod("ord", F.lit(5)) > 0, F.concat(F.lit("L"), F.pmod("ord", F.lit(200)).cast("string"))).alias("monitored_line"),
         F.lit(None).cast("string").alias("contingency_line"), "monitored_facility", "contingency_facility",

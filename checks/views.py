@@ -43,10 +43,7 @@ def definitions(d: Dialect) -> dict[str, tuple[tuple[str, ...], str]]:
     """name -> (views it needs, SQL)."""
     utc = d.plus_hours("l_shipdate", "l_linenumber")
     brand = "UPPER(REPLACE(p_brand, '#', ''))"
-    return {
-        # hourly binding rows: a part is a constraint, its supplier decides the contingency
-        "v_hours": ((), f"""
-            SELECT 'C' || CAST(l_partkey AS STRING)
+    hours = f"""'C' || CAST(l_partkey AS STRING)
                      || CASE WHEN l_partkey % 37 = 0 THEN 'PHSHFT' ELSE '' END AS name,
                    CASE WHEN l_suppkey % 5 = 0 THEN 'BASE'
                         ELSE 'K' || CAST(l_suppkey % 3 AS STRING) END AS contingency,
@@ -67,12 +64,21 @@ def definitions(d: Dialect) -> dict[str, tuple[tuple[str, ...], str]]:
                    {utc} AS utc, {d.month(d.plus_hours(utc, '-1'))} AS month,
                    ((l_orderkey * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)) * 1000
                      + CAST(ROUND(l_tax * 100) AS BIGINT) * 10 + l_linenumber AS ord
-            FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey"""),
+            FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey"""
+    return {
+        # hourly binding rows: a part is a constraint, its supplier decides the contingency
+        "v_hours": ((), f"""
+            SELECT {hours}"""),
         # monthly dollars, posted negative; some months positive, a third of the months repeated
         "v_dollars_once": (("v_hours",), """
             SELECT month, name, contingency, MIN(monitored) AS monitored,
                    CAST(SUM(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) * -1 AS amount, MIN(ord) AS ord
             FROM v_hours GROUP BY month, name, contingency"""),
+        "v_part_dollars_once": (("v_part_hours",), """
+            SELECT month, name, contingency, monitored, CAST(total AS DOUBLE) * -1 AS amount, ord
+            FROM (SELECT part, month, contingency, MIN(name) AS name, MIN(monitored) AS monitored,
+                         SUM(CAST(price AS DECIMAL(20, 4))) AS total, MIN(ord) AS ord
+                  FROM v_part_hours GROUP BY part, month, contingency)"""),
         "v_dollars": (("v_dollars_once",), """
             SELECT month, name, contingency,
                    CASE WHEN ord % 11 = 0 THEN 'LN RECYCLED - ID' ELSE monitored END AS monitored, amount, ord
@@ -80,6 +86,11 @@ def definitions(d: Dialect) -> dict[str, tuple[tuple[str, ...], str]]:
             UNION ALL
             SELECT month, name, contingency, monitored, amount, ord + 1 FROM v_dollars_once
             WHERE EXTRACT(MONTH FROM month) % 3 = 0"""),
+        "v_each_dollars": (("v_dollars_once",), """
+            SELECT month, name, contingency,
+                   CASE WHEN again = 0 AND ord % 11 = 0 THEN 'LN RECYCLED - ID' ELSE monitored END AS monitored, amount, ord + again AS ord
+            FROM v_dollars_once
+            LATERAL VIEW EXPLODE(CASE WHEN EXTRACT(MONTH FROM month) % 3 = 0 THEN ARRAY(0, 1) ELSE ARRAY(0) END) t AS again"""),
         "v_settled": ((), f"""
             SELECT {d.month('o_orderdate')} AS month, o_totalprice * 0.2 AS collected FROM {{orders}}"""),
         # monthly rent of one flowgate and calendar month, for the backtest
@@ -263,6 +274,25 @@ def definitions(d: Dialect) -> dict[str, tuple[tuple[str, ...], str]]:
                    CASE WHEN MIN(ord) % 7 = 0 THEN TRUE WHEN MIN(ord) % 7 = 1 THEN NULL ELSE FALSE END AS radial,
                    MIN(ord) AS ord
             FROM v_hours GROUP BY name, contingency"""),
+        # the same rows for Spark: a name belongs to one part, so rows are grouped where the join has put them, and each
+        # hour of a flowgate is met once, so that neither distinct count expands rows
+        "v_part_hours": ((), f"SELECT l_partkey AS part, {hours}"),
+        "v_part_flowgates": (("v_part_hours",), """
+            SELECT name || '|' || contingency AS constraint_id, name, contingency,
+                   CASE WHEN monitored LIKE 'LN %' THEN 'thermal' WHEN monitored LIKE 'XFMR%' THEN 'transformer'
+                        WHEN monitored LIKE 'ZONE%' THEN 'loopflow' ELSE 'interface' END AS ctype,
+                   monitored AS monitored_facility, contingent AS contingency_facility, CAST(hours AS DOUBLE) AS hours_binding,
+                   CAST(breached AS DOUBLE) AS breached_hours, CAST(BIT_COUNT(months) AS INT) AS months_binding,
+                   CASE WHEN ord % 10 = 0 THEN NULL ELSE CAST(FLOOR(total) AS DOUBLE) / 100000 END AS rent_musd,
+                   CASE WHEN ord % 10 < 2 THEN NULL ELSE CAST(FLOOR(top) AS DOUBLE) / 100000 END AS max_month_cost_musd,
+                   CASE WHEN ord % 7 = 0 THEN TRUE WHEN ord % 7 = 1 THEN NULL ELSE FALSE END AS radial, ord
+            FROM (SELECT part, contingency, MIN(name) AS name, MIN(monitored) AS monitored, MIN(contingent) AS contingent,
+                         COUNT(utc) AS hours, SUM(breached) AS breached, BIT_OR(COALESCE(SHIFTLEFT(1, CAST(EXTRACT(MONTH FROM month) AS INT)), 0)) AS months,
+                         SUM(total) AS total, MAX(top) AS top, MIN(ord) AS ord
+                  FROM (SELECT part, contingency, utc, month, MIN(name) AS name, MIN(monitored) AS monitored, MIN(contingent) AS contingent,
+                               SUM(CASE WHEN state = 'BREACHED' THEN 1 ELSE 0 END) AS breached,
+                               SUM(CAST(ABS(price) AS DECIMAL(20, 4))) AS total, MAX(CAST(ABS(price) AS DECIMAL(20, 4))) AS top, MIN(ord) AS ord
+                        FROM v_part_hours GROUP BY part, contingency, utc, month) GROUP BY part, contingency)"""),
         "v_props": ((), f"""
             SELECT event_id, event_type, CAST({d.json_text('props', 'k')} AS BIGINT) AS k, value FROM {{events}}"""),
     }
@@ -282,9 +312,14 @@ def _order(names, table) -> list[str]:
     return out
 
 
-def with_views(names, d: Dialect = DUCK) -> str:
-    """``WITH`` clause that defines the named views and what they need."""
+#: Views that Spark groups by part, where the join has put the rows: the same rows with fewer shuffles.
+BY_PART = {"v_flowgates": "v_part_flowgates", "v_dollars_once": "v_part_dollars_once", "v_dollars": "v_each_dollars"}
+
+
+def with_views(names, d: Dialect = DUCK, instead=()) -> str:
+    """``WITH`` clause that defines the named views and what they need; ``instead`` names other definitions for some."""
     table = definitions(d)
+    table |= {name: table[other] for name, other in dict(instead).items()}
     return "WITH " + ",\n".join(f"{n} AS ({table[n][1]})" for n in _order(names, table))
 
 
@@ -300,6 +335,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A view as a DataFrame over the parquet tables of ``folder``."""
-    text = with_views([name], SPARK) + f" SELECT * FROM {name}"
+    text = with_views([name], SPARK, BY_PART) + f" SELECT * FROM {name}"
     used = {t: table(spark, folder, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)

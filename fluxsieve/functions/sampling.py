@@ -6,6 +6,10 @@ without any join, any task can recompute it, and a lost executor changes nothing
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from fluxsieve import fixed
@@ -13,6 +17,7 @@ from fluxsieve import fixed
 TWO_53 = float(1 << 53)
 TWO_40 = float(1 << 40)
 PER_DIGEST = 3  # three 40-bit uniforms fit in one md5
+CHUNK = 64  # draws whose uniforms travel as one array
 
 
 def uniform(*keys: Column) -> Column:
@@ -33,6 +38,48 @@ def portable_uniform(digest: Column, slot: int = 0) -> Column:
     )
 
 
+def portable_uniforms(seed: int, draws: int, blocks: int, first: Column, *keys: Column) -> Column:
+    """Array of the uniforms of ``CHUNK`` draws from draw ``first`` on (not beyond ``draws``), ``blocks`` digests a draw.
+
+    Uniform ``i`` of a draw stands at ``uniform_at`` and equals slot ``i % PER_DIGEST`` of the portable digest of seed, draw,
+    keys and ``i // PER_DIGEST``. Keys travel once per chunk of draws, and the bytes of all digests become numbers at once.
+    """
+    ends = [f":{b}".encode() for b in range(blocks)]
+
+    def run(starts: pa.Array, tails: pa.Array) -> pa.Array:
+        made, sizes = [], [0]
+        for start, tail in zip(starts.to_pylist(), tails.cast(pa.binary()).to_pylist()):
+            closing = [tail + end for end in ends]
+            for draw in range(start, min(start + CHUNK, draws + 1)):
+                head = b"%d:%d" % (seed, draw)
+                made += [hashlib.md5(head + c, usedforsecurity=False).digest() for c in closing]
+            sizes.append(len(made) * PER_DIGEST)
+        halves = np.frombuffer(b"".join(made), ">u8").reshape(-1, 2).astype(np.uint64)
+        high, low = halves[:, 0], halves[:, 1]
+        slots = (high >> np.uint64(24), (high & np.uint64((1 << 24) - 1)) << np.uint64(16) | low >> np.uint64(48),
+                 low >> np.uint64(8) & np.uint64((1 << 40) - 1))
+        values = np.stack(slots, axis=1).ravel().astype(np.float64) / TWO_40
+        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values))
+
+    # a null key is left out of a digest's text
+    return F.arrow_udf(run, "array<double>")(first, F.concat_ws(":", F.lit(""), *[k.cast("string") for k in keys]))
+
+
+def uniform_at(uniforms: Column, blocks: int, draw: Column, first: Column, i: int) -> Column:
+    """Uniform ``i`` of a draw in the array of its chunk."""
+    return F.get(uniforms, (draw - first) * (PER_DIGEST * blocks) + i)
+
+
+def chunk_starts(draws: int) -> Column:
+    """Array of the first draws of all chunks."""
+    return F.sequence(F.lit(1), F.lit(draws), F.lit(CHUNK))
+
+
+def chunk_draws(first: Column, draws: int) -> Column:
+    """Array of the draws of a chunk."""
+    return F.sequence(first, F.least(first + (CHUNK - 1), F.lit(draws)))
+
+
 def triangular(u: Column, lo: Column, mode: Column, hi: Column) -> Column:
     """Inverse CDF of the triangular distribution; a point when lo = hi."""
     width, left, right = hi - lo, mode - lo, hi - mode

@@ -34,10 +34,11 @@ def spread_for_draws(flowgates: DataFrame) -> DataFrame:
     """Flowgates hashed over a fixed number of partitions before draws multiply their rows.
 
     The count is explicit because AQE would fold these few rows into one partition, and each
-    of them is about to become thousands. A later aggregation per flowgate needs no exchange.
+    of them is about to become thousands. It is not the shuffles' own count, or rows that a join has left hashed by
+    the id would stay where they are, and be folded. A later aggregation per flowgate needs no exchange.
     """
-    parts = max(int(flowgates.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                flowgates.sparkSession.sparkContext.defaultParallelism)
+    parts = 2 * max(int(flowgates.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                    flowgates.sparkSession.sparkContext.defaultParallelism)
     return flowgates.repartition(parts, "constraint_id")
 
 
@@ -52,16 +53,20 @@ def composite_draws(signals: DataFrame, *, weights: dict[str, float] | None = No
     weights = weights or fixed.DEFAULT_WEIGHTS
     names = list(weights)
     rows = spread_for_draws(signals.select("constraint_id", *[f"sig_{n}" for n in names]))
-    rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    blocks = (len(names) + sampling.PER_DIGEST - 1) // sampling.PER_DIGEST
     if portable:
-        blocks = (len(names) + sampling.PER_DIGEST - 1) // sampling.PER_DIGEST
-        for i in range(blocks):
-            rows = rows.withColumn(f"_h{i}", sampling.portable_digest(
-                F.lit(seed), F.col("draw"), F.col("constraint_id"), F.lit(i)))
+        rows = rows.withColumn("_first", F.explode(sampling.chunk_starts(draws)))
+        rows = rows.withColumn("_u", sampling.portable_uniforms(seed, draws, blocks, F.col("_first"), F.col("constraint_id")))
+        rows = rows.withColumn("draw", F.explode(sampling.chunk_draws(F.col("_first"), draws)))
+        # one number a signal, so that no expression is worked out again in each branch of its distribution
+        rows = rows.select("constraint_id", "draw", *[f"sig_{n}" for n in names], *[
+            sampling.uniform_at(F.col("_u"), blocks, F.col("draw"), F.col("_first"), i).alias(f"_u{i}") for i in range(len(names))])
+    else:
+        rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
 
     def u(i, name):
         if portable:
-            return sampling.portable_uniform(F.col(f"_h{i // sampling.PER_DIGEST}"), i % sampling.PER_DIGEST)
+            return F.col(f"_u{i}")
         return sampling.uniform(F.lit(seed), F.col("draw"), F.col("constraint_id"), F.lit(name))
 
     total = None

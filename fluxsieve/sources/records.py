@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fluxsieve.operators.validation import Refused
+from fluxsieve.session import cut
 
 QUOTE = '"'
 #: Reader options under which a cell is the text that was written: doubled quotes, no nulls but missing cells.
@@ -34,10 +35,18 @@ def quotes_in(value: Column) -> Column:
 
 
 def block_parity(lines: DataFrame) -> DataFrame:
-    """file, block, parity (of all quotes of the file before the split): one row for each split."""
+    """file, block, parity (of all quotes of the file before the split), after (parity at its end): one row for each split."""
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     counted = lines.groupBy("file", "block").agg(F.sum(quotes_in(F.col("value"))).alias("quotes"))
-    return counted.select("file", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).cast("int").alias("parity"))
+    sums = counted.withColumn("_before", F.coalesce(F.sum("quotes").over(before), F.lit(0)))
+    return sums.select("file", "block", (F.col("_before") % 2).cast("int").alias("parity"),
+                       ((F.col("_before") + F.col("quotes")) % 2).cast("int").alias("after"))
+
+
+def split_parities(lines: DataFrame) -> tuple[dict[tuple[str, int], int], bool]:
+    """Parity at the start of each (file, block), and whether any split ends inside a record."""
+    rows = list(block_parity(lines).toLocalIterator())
+    return {(r["file"], r["block"]): r["parity"] for r in rows}, any(r["after"] for r in rows)
 
 
 def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -46,27 +55,38 @@ def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     (block, place) orders the records of a file. Lines that are empty outside quotes are no records.
     """
     lines = text_lines(spark, paths)
-    at_start = {(r["file"], r["block"]): r["parity"] for r in block_parity(lines).toLocalIterator()}
-    known = spark.sparkContext.broadcast(at_start)
+    return records_of(lines, *split_parities(lines))
+
+
+def records_of(lines: DataFrame, at_start: dict[tuple[str, int], int], torn: bool, first: int | None = None) -> DataFrame:
+    """The records of ``lines``; unless any is ``torn`` by a split's edge, one pass over them is enough.
+
+    ``first``: only so many records from each split's beginning, and none that the split's end cuts.
+    """
+    known = lines.sparkSession.sparkContext.broadcast(at_start)
 
     def run(batches):
-        here, odd, held, whole, place = None, 0, [], True, 0  # split, open quote, lines of the record, begun here, number
+        # split, open quote, lines of the record, begun here, number, records that count
+        here, odd, held, whole, place, met = None, 0, [], True, 0, 0
         out = []
 
         def flush(ends: bool):
-            nonlocal held, place
+            nonlocal held, place, met
             if held:
-                out.append((*here, place, "\n".join(held), whole, ends))
-                held, place = [], place + 1
+                record = "\n".join(held)
+                out.append((*here, place, record, whole, ends))
+                held, place, met = [], place + 1, met + (record.removesuffix("\r") != "")
 
         for batch in batches:
             for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value"))):
                 if (file, block) != here:
                     if here:
                         flush(not odd)
-                    here, place = (file, block), 0
+                    here, place, met = (file, block), 0, 0
                     odd = known.value[here]
                     whole = not odd
+                if met == first:
+                    continue
                 held.append(value)
                 if value.count(QUOTE) % 2:
                     odd = 1 - odd
@@ -88,6 +108,8 @@ def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     pieces = lines.mapInArrow(run, "file string, block long, place long, record string, begins boolean, ends boolean")
     inside = pieces.where("begins AND ends").select("file", "block", "place", "record")
+    if first is not None or not torn:
+        return _bare(inside)
     # the pieces of one record: a beginning and all that follow up to the next beginning
     order = Window.partitionBy("file").orderBy("block", "place")
     edge = pieces.where("NOT (begins AND ends)").withColumn("n", F.sum(F.col("begins").cast("int")).over(order))
@@ -96,8 +118,12 @@ def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("block", "place", "record"))).alias("parts"))
     joined = across.select("file", "at.block", "at.place", F.array_join(
         F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
-    bare = F.regexp_replace("record", "\r$", "")
-    return inside.unionByName(joined).withColumn("record", bare).where(F.col("record") != "")
+    return _bare(inside.unionByName(joined))
+
+
+def _bare(found: DataFrame) -> DataFrame:
+    """Records without the carriage return at their end; empty ones are left out."""
+    return found.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.col("record") != "")
 
 
 def headers(found: DataFrame, skip: int = 0) -> DataFrame:
@@ -137,8 +163,13 @@ def read_split(spark: SparkSession, paths: str | list[str], columns, what: str,
     each row as many cells; otherwise rows are cut or filled. ``skip`` records stand before the header. A file whose
     header lacks a column or holds one twice is refused. Cells are empty text where blank, as they were otherwise.
     """
-    found = records(spark, paths)
-    head = headers(found, skip)
+    lines = text_lines(spark, paths)
+    at_start, torn = split_parities(lines)
+    found = records_of(lines, at_start, torn)
+    # headers stand in the first splits; only where one of them goes on beyond its split are all records looked through
+    head = cut(headers(records_of(lines.where("block = 0"), at_start, torn, skip + 1), skip))
+    if head.count() < len({file for file, _ in at_start}):
+        head = cut(headers(found, skip))
     widest = head.agg(F.max(F.length("record") - F.length(F.replace("record", F.lit(","), F.lit(""))) + 1)).first()[0]
     if widest is None:
         raise Refused(f"{what} has no header line")

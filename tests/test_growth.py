@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import scoring, views
 from fluxsieve.functions import sampling
 from fluxsieve.plans.scoring import spread_for_draws
+from fluxsieve.sources import records
 
 
 def test_uniforms_of_chunks_equal_those_of_digests(spark):
@@ -67,3 +68,30 @@ def test_hours_are_not_expanded_for_distinct_counts(spark, tmp_path):
 def test_signals_read_the_hours_once(spark):
     plan = scoring._signals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "l_partkey" not in plan
+
+
+def test_headers_do_not_read_all_records(spark, tmp_path, monkeypatch):
+    """Without a record across an edge, the body is the only pass over all records."""
+    passes = []
+    made = records.records_of
+    monkeypatch.setattr(records, "records_of", lambda lines, start, torn, first=None: passes.append((torn, first)) or made(lines, start, torn, first))
+    (tmp_path / "a.csv").write_text('\n"pre\namble"\n\r\nx,y\n1,"2\n3"\n4,5\n')
+    (tmp_path / "b.csv").write_text('pre\ny,x\n7,6\n')
+    (tmp_path / "c.csv").write_text('pre\nx,y\n8,"open\n')
+    whole = records.read_split(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")], ("x", "y"), "t", skip=1)
+    assert sorted(tuple(r)[:2] for r in whole.collect()) == [("1", "2\n3"), ("4", "5"), ("6", "7")]
+    assert passes == [(False, None), (False, 2)]
+    assert whole._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    torn = records.read_split(spark, str(tmp_path / "c.csv"), ("x", "y"), "t", skip=1)
+    assert [r["x"] for r in torn.collect()] == ["8"]
+
+
+def test_header_that_its_split_cuts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('pre\nx,y,"z' + "\n" * 300 + '"\n1,2,3\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100)
+    try:
+        got = records.read_split(spark, str(tmp_path / "a.csv"), ("x", "y"), "t", skip=1).select("x", "y").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [tuple(r) for r in got] == [("1", "2")]

@@ -11,7 +11,7 @@ from fluxsieve import fixed
 from fluxsieve.functions import numeric
 from fluxsieve.operators import filings, lineage, rollups, validation
 from fluxsieve.plans import corridors
-from fluxsieve.session import cut, shared_folder
+from fluxsieve.session import cut, shared_folder, shelve
 from fluxsieve.sinks import exports
 from fluxsieve.sources import market, records, tables
 from fluxsieve.sources.digests import folder_digests
@@ -293,7 +293,7 @@ WHERE report_year = (SELECT MAX(report_year) FROM v_filings) AND utility_id IN (
 def _exported(spark, folder, root):
     rows = scoring._export(spark, folder).select(
         "rank", F.concat(F.lit("="), "constraint_id").alias("constraint_id"), "physical_corridor", "p_top_k", "ev_mean_musd", "monitored_facility")
-    line = cut(rows)
+    line = shelve(rows)
     owned = line.groupBy("physical_corridor").agg(F.min("rank").alias("corridor_rank"))
     members = line.select("physical_corridor", F.col("rank").alias("position"), "constraint_id")
     exports.export_scores(line, owned, members, root)

@@ -9,7 +9,7 @@ from fluxsieve import fixed
 from fluxsieve.functions import sampling
 from fluxsieve.operators import remedies, validation
 from fluxsieve.plans import backtest, corridors, decision, report, scoring, signals
-from fluxsieve.session import cut
+from fluxsieve.session import shelve
 
 FLOW = ["v_flowgates"]
 SEED, DRAWS = 7, 40
@@ -112,7 +112,7 @@ SELECT constraint_id, plan, CASE plan WHEN 'ITP' THEN 'spp_itp' ELSE 'spp_fca' E
 
 def _signals(spark, folder):
     """Signals where some flowgates are off the map, off the congestion table or off the plans."""
-    flow = cut(view(spark, folder, "v_flowgates"))  # five inputs are taken from it: hours are rolled up once
+    flow = shelve(view(spark, folder, "v_flowgates"))  # five inputs are taken from it: hours are rolled up once
     constraints = flow.select(
         "constraint_id", "ctype", "ord", "radial", F.when(F.pmod("ord", F.lit(5)) > 0, F.concat(F.lit("L"), F.pmod("ord", F.lit(200)).cast("string"))).alias("monitored_line"),
         F.lit(None).cast("string").alias("contingency_line"), "monitored_facility", "contingency_facility",
@@ -447,15 +447,27 @@ MEANS = QUANTILES.replace("SELECT predictor, p, ROUND(CAST(printf", "SELECT pred
 
 # --- ranks, corridors, reports ------------------------------------------------------------------
 
-def _ranked(spark, folder):
-    """Flowgates ranked by exact decision value with the composite's expectation as stability."""
-    judged = cut(_judged(spark, folder))
+SCORED = ("composite_lo", "composite_expected", "composite_hi", "p_top_k", "ev_mean")
+#: Columns that ``export_rows`` cannot do without, and those of a corridor's row.
+LISTED = ("constraint_id", "corridor", "recommended_get", "remedies", "monitored_facility", "rent", "hours", "p_top_k", "composite_expected",
+          "ev_mean", *[f"{c}_{n}" for c in ("sig", "cov") for n in fixed.SIGNALS])
+ROLLED = ("constraint_id", "corridor", "recommended_get", "provenance", "ev_get", *SCORED)
+
+
+def _ranked(spark, folder, *kept):
+    """Flowgates ranked by exact decision value with the composite's expectation as stability.
+
+    ``kept``: the columns that the query goes on with, all if there are none; ranks are given to rows without the others.
+    """
+    judged = shelve(_judged(spark, folder))
     value = decision.decide(_elements(judged), PRIORS, FORWARD).drop(
         "element", "evidence", "rent", "months_binding", "q0", "q1", "q2", "mu1", "mu2", "mu3", "mu4")
     total = sum((F.lit(w) * F.col(f"sig_{n}.expected") for n, w in fixed.DEFAULT_WEIGHTS.items()), F.lit(0.0))
     scored = judged.join(value, "constraint_id", "left").withColumn("composite_expected", F.round(total, 9)).withColumn(
         "composite_lo", F.col("composite_expected") * 0.9).withColumn("composite_hi", F.col("composite_expected") * 1.1).withColumn(
         "p_top_k", F.round(F.least(F.lit(1.0), F.col("composite_expected")), 1)).withColumn("ev_mean", F.round("ev_mean", 9))
+    if kept:
+        scored = scored.select(*dict.fromkeys([*kept, "ev_mean", "p_top_k", "composite_expected", "ord"]))
     return scoring.with_rank(scored, by_value=True)
 
 
@@ -468,11 +480,11 @@ RANKED = VALUED + f""", rk AS (
 
 
 def rank_flowgates(spark, folder):
-    return _ranked(spark, folder).select("rank", "constraint_id", "p_top_k", "composite_expected", "ev_mean")
+    return _ranked(spark, folder, "constraint_id").select("rank", "constraint_id", "p_top_k", "composite_expected", "ev_mean")
 
 
 def corridor_rollup(spark, folder):
-    c = corridors.corridor_rollup(_ranked(spark, folder))
+    c = corridors.corridor_rollup(_ranked(spark, folder, *ROLLED))
     return c.select("corridor_rank", "physical_corridor", "representative_flowgate", "n_flowgates", "p_top_k", "composite_expected",
                     F.round("expected_topk_slots", 6).alias("expected_topk_slots"), "recommended_get",
                     "sum_composite_expected", "ev_mean",
@@ -489,7 +501,7 @@ FROM c JOIN rk k ON c.best = k.rank""")
 
 
 def corridor_members(spark, folder):
-    return corridors.corridor_members(_ranked(spark, folder))
+    return corridors.corridor_members(_ranked(spark, folder, "constraint_id", "corridor"))
 
 
 MEMBERS = duck(SIG_VIEWS, RANKED + """
@@ -497,11 +509,11 @@ SELECT corridor AS physical_corridor, row_number() OVER (PARTITION BY corridor O
 
 
 def _export(spark, folder):
-    return corridors.export_rows(_ranked(spark, folder))
+    return corridors.export_rows(_ranked(spark, folder, *LISTED))
 
 
 def export_rows(spark, folder):
-    return _export(spark, folder).select(
+    return corridors.export_rows(_ranked(spark, folder)).select(
         "rank", "constraint_id", "physical_corridor", "p_top_k", "composite_expected", "recommended_get", "get_shown", "get_resolved",
         "get_set", "screen_status", "monitored_facility", "sig_rent", "sig_loading", "cov_rent", "cov_planning", "rent_musd",
         "hours_binding", "breached_hours", "months_binding", "ev_mean_musd", "caution", "get_evidence", "p_best_none")
@@ -529,7 +541,7 @@ def filter_rows(spark, folder):
 
 
 def corridor_segments(spark, folder):
-    ranked = cut(_ranked(spark, folder))
+    ranked = _ranked(spark, folder, *ROLLED)
     buses = view(spark, folder, "v_points").select((F.col("id") * 2).alias("bus_id"), "lat", "lon")
     seg = corridors.corridor_segments(corridors.corridor_rollup(ranked), view(spark, folder, "v_lines"), buses)
     return seg.select("physical_corridor", "representative_flowgate", "from_lat", "from_lon", "to_lat", "to_lon", "has_geometry")
@@ -544,7 +556,7 @@ SELECT corridor AS physical_corridor, constraint_id AS representative_flowgate,
 
 
 def corridor_detail(spark, folder):
-    ranked = cut(_ranked(spark, folder))
+    ranked = shelve(_ranked(spark, folder))
     d = corridors.corridor_detail(corridors.corridor_rollup(ranked), corridors.export_rows(ranked))
     return d.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("value").cast("decimal(28,6)")).cast("double"), 3).alias("total"))
 

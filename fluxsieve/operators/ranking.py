@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fluxsieve.session import cut
+from fluxsieve.session import shelve
 
 
 def ordered_position(df: DataFrame, order: list[Column], group: list[str] = (),
@@ -23,7 +23,7 @@ def ordered_position(df: DataFrame, order: list[Column], group: list[str] = (),
     keys = [F.col(g) for g in group] + list(order)
     laid = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     # the upper bits of this id are the partition, the lower 33 its row number in order
-    laid = cut(laid.withColumn("_seq", F.monotonically_increasing_id()))
+    laid = shelve(laid.withColumn("_seq", F.monotonically_increasing_id()))
     laid = laid.withColumn("_part", F.shiftright("_seq", 33))
     size = F.sum(weight) if weight else F.count(F.lit(1))
     blocks = laid.groupBy("_part", *group).agg(size.alias("_n"), F.min("_seq").alias("_first"))

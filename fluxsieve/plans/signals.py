@@ -83,17 +83,20 @@ def build_signals(constraints: DataFrame, congestion: DataFrame, loading: DataFr
 
     ``near``: line_id, mw. Adds sig_<name> (range), cov_<name> and why_<name>. An
     unobserved signal is a zero range that says so; a flowgate missing from a covered table
-    is an observed zero with a small band.
+    is an observed zero with a small band. Lines are joined first, while rows are narrow; all other
+    joins share one key.
     """
     refs = {**fixed.DEFAULT_REFERENCES, **(references or {})}
     coverage = table_coverage or {}
     joined = (
         constraints
-        .join(congestion.withColumn("has_congestion", F.lit(True)), "constraint_id", "left")
-        .join(loading, "constraint_id", "left")
         .join(near.select(F.col("line_id").alias("monitored_line"), F.col("mw").alias("queue_mw")),
               "monitored_line", "left")
+        .join(congestion.withColumn("has_congestion", F.lit(True)), "constraint_id", "left")
+        .join(loading, "constraint_id", "left")
         .join(planning.select("constraint_id", "plan", "plan_cost"), "constraint_id", "left"))
+    last = ["queue_mw", "plan", "plan_cost"]
+    joined = joined.select(*[c for c in joined.columns if c not in last], *last)
     has = F.coalesce("has_congestion", F.lit(False))
     nothing = numeric.range_of(F.lit(0.0), F.lit(0.0), F.lit(0.0))
     absent = numeric.spread(F.lit(0.0))

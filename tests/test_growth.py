@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from checks import scoring, views
 from fluxsieve.functions import sampling
+from fluxsieve.plans import corridors
 from fluxsieve.plans.scoring import spread_for_draws
+from fluxsieve.session import shelve
 from fluxsieve.sources import records
 
 
@@ -95,3 +97,45 @@ def test_header_that_its_split_cuts(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [tuple(r) for r in got] == [("1", "2")]
+
+
+def test_ranks_are_given_to_rows_of_the_columns_in_use(spark, tmp_path):
+    _tables(spark, tmp_path)
+    rank = scoring.rank_flowgates(spark, tmp_path)
+    plan = rank._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_basis" not in plan and "sig_loading" not in plan and "monitored_facility" not in plan
+    whole = scoring._ranked(spark, tmp_path)
+    assert "get_basis" in whole.columns
+    assert sorted(map(tuple, rank.collect())) == sorted(map(tuple, whole.select(rank.columns).collect()))
+    for made, names in ((scoring._export(spark, tmp_path), scoring.LISTED), (scoring._ranked(spark, tmp_path, *scoring.ROLLED), scoring.ROLLED)):
+        assert made.count() == whole.count() > 3 and set(names) <= set(whole.columns)
+    lines = ["rank", "constraint_id", "physical_corridor", "p_top_k", "composite_expected", "rent_musd", "get_shown", "get_set", "ev_mean_musd"]
+    export = corridors.export_rows(whole).select(lines)
+    assert export.exceptAll(scoring._export(spark, tmp_path).select(lines)).isEmpty()
+
+
+def test_shelved_rows_are_columns_on_disk(spark):
+    rows = spark.range(1000).select("id", F.struct(F.lit(None).cast("double").alias("x")).alias("s"), F.lit("t" * 100).alias("t"))
+    shelved = shelve(rows)
+    assert shelved.dtypes == rows.dtypes and shelved.exceptAll(rows).isEmpty() and shelved.count() == 1000
+    # the pruned scan says so: t is not read
+    assert "t#" not in shelved.select("id")._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+    assert shelve(rows.where("id < 0")).dtypes == rows.dtypes
+
+
+def _broadcasts_off(spark, made):
+    """Operators of the plan of ``made()`` when Spark broadcasts nothing by itself."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        return made()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_lines_are_joined_before_rows_are_wide(spark, tmp_path):
+    """The six tables are shuffled by the flowgate once, and only flowgates by their line."""
+    _tables(spark, tmp_path)
+    plan = _broadcasts_off(spark, lambda: scoring._signals(spark, tmp_path))
+    assert plan.count("hashpartitioning(constraint_id") == 4 and plan.count("hashpartitioning(monitored_line") + plan.count("hashpartitioning(line_id") <= 2

@@ -14,7 +14,8 @@ CLASSES, FEW = 1024, 10_000
 def kth_rows(df: DataFrame, value: str, tie: str, wanted: DataFrame, group: list[str]) -> DataFrame:
     """group, k, value, tie of the row at place k in the order (value descending, tie ascending) of its group.
 
-    ``wanted`` has the group's columns and k, a few rows a group; where a group has fewer than k rows its last row is
+    ``wanted`` has the group's columns and k, a few rows a group and few groups (settings bound them, so ranges are
+    broadcast and the rows stay where they are); where a group has fewer than k rows its last row is
     returned, and groups without rows are left out. Null values take no part. Each round divides the range
     that holds place k into ``CLASSES`` equal classes and counts rows per class; counts are combined on the
     map side, so no round shuffles rows. A round puts the least and the greatest value of a range into
@@ -52,7 +53,7 @@ def kth_rows(df: DataFrame, value: str, tie: str, wanted: DataFrame, group: list
 
 def within(rows: DataFrame, ranges: DataFrame, group: list[str]) -> DataFrame:
     """The rows whose value lies in a range of their group; a row may lie in the ranges of several places."""
-    return rows.join(ranges, group).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    return rows.join(F.broadcast(ranges), group).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
 def leads(value: Column, tie: Column, last_value: Column, last_tie: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import scoring, views
 from fluxsieve.functions import sampling
-from fluxsieve.plans import corridors
+from fluxsieve.operators.selection import within
+from fluxsieve.plans import corridors, decision
 from fluxsieve.plans.scoring import spread_for_draws
 from fluxsieve.session import shelve
 from fluxsieve.sources import records
@@ -134,8 +135,28 @@ def _broadcasts_off(spark, made):
         spark.conf.set(key, before)
 
 
+def test_rows_stay_where_ranges_of_few_groups_are_looked_up(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("_v"))
+    ranges = spark.createDataFrame([(0, 1.0, 9.0)], "g long, _lo double, _hi double")
+    plan = _broadcasts_off(spark, lambda: within(rows, ranges, ["g"]))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted(r["_v"] for r in within(rows, ranges, ["g"]).collect()) == [3.0, 6.0, 9.0]
+
+
 def test_lines_are_joined_before_rows_are_wide(spark, tmp_path):
     """The six tables are shuffled by the flowgate once, and only flowgates by their line."""
     _tables(spark, tmp_path)
     plan = _broadcasts_off(spark, lambda: scoring._signals(spark, tmp_path))
     assert plan.count("hashpartitioning(constraint_id") == 4 and plan.count("hashpartitioning(monitored_line") + plan.count("hashpartitioning(line_id") <= 2
+
+
+def test_sweep_keeps_its_rows_as_columns(spark, monkeypatch):
+    """Rows of all scenarios are shelved and never cut."""
+    kept = []
+    monkeypatch.setattr(decision, "shelve", lambda df: kept.append(df.columns) or shelve(df))
+    monkeypatch.setattr(decision, "cut", lambda df: kept.append("cut " + " ".join(df.columns)) or df)
+    rng = F.struct(F.col("id").cast("double").alias("lo"), F.col("id").cast("double").alias("expected"), F.col("id").cast("double").alias("hi"))
+    flow = spark.range(60).select(F.col("id").cast("string").alias("constraint_id"), F.lit("line_n1").alias("evidence"), rng.alias("rent"), F.lit(3).alias("months_binding"))
+    swept = decision.sensitivity_sweep(flow, scoring.PRIORS, scoring.FORWARD)
+    assert swept.where("scenario = 'baseline' AND kept_top10 = 10 AND kept_top20 = 20").count() == 1
+    assert ["constraint_id", "scenario", "ev_mean"] in kept and not any("ev_mean" in k for k in kept if isinstance(k, str))

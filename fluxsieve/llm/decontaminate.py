@@ -65,15 +65,15 @@ def winnow(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def bloom(hashes: DataFrame) -> np.ndarray:
-    """Fixed-size filter over column ``h`` as bytes; Spark gathers the bits, at most BLOOM_BITS / 8 rows."""
+    """Fixed-size filter over column ``h`` as bytes; Spark gathers the bits in words, at most BLOOM_BITS / 64 rows."""
     bits = hashes.select(F.explode(F.array(
         F.col("h").bitwiseAND(F.lit(BLOOM_BITS - 1)),
         F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(BLOOM_BITS - 1)))).alias("bit"))
-    one = F.call_function("shiftleft", F.lit(1), F.col("bit").bitwiseAND(F.lit(7)).cast("int"))
-    held = bits.groupBy(F.shiftright("bit", 3).alias("byte")).agg(F.bit_or(one).alias("bits")).toArrow()
-    out = np.zeros(BLOOM_BITS // 8, np.uint8)
-    out[held["byte"].to_numpy()] = held["bits"].to_numpy()
-    return out
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))
+    held = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, "<i8")
+    out[held["word"].to_numpy()] = held["bits"].to_numpy()
+    return out.view(np.uint8)
 
 
 def may_hold(filter_bytes: np.ndarray, hashes: np.ndarray) -> np.ndarray:

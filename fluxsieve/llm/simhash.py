@@ -280,14 +280,18 @@ def _alike(docs: DataFrame, points: DataFrame, pairs: DataFrame, size: int, simi
 
 
 def _links(docs: DataFrame, points: DataFrame, pairs: DataFrame, known: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``known`` links and those among candidate pairs; only pairs that join two components are compared by their sets."""
+    """Edges whose components are those of the ``known`` links and of those among candidate pairs.
+
+    Only pairs that join two components are compared by their sets. Found components come back as stars, so that later
+    calls contract few edges in few rounds.
+    """
     near = cut(_near(points, pairs))
-    links = cut(known.unionByName(near.where("sure").select("a", "b")))
-    label = component_labels(links)
+    label = component_labels(known.unionByName(near.where("sure").select("a", "b")))
     side = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}"))
     open_pairs = cut(near.where("NOT sure").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
         F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
-    return cut(links.unionByName(_alike(docs, points, open_pairs, size, similarity)))
+    stars = label.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return cut(stars.unionByName(_alike(docs, points, open_pairs, size, similarity)))
 
 
 def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:

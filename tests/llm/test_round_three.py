@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fluxsieve.llm import align, centroids, chat, common, licenses, queries, secrets
+from fluxsieve.llm import align, centroids, chat, common, decontaminate, licenses, queries, secrets, simhash
 
 DOCS = "doc_id long, text string, lang string"
 
@@ -273,3 +273,27 @@ def test_conversations_beyond_doubles_pair_rightly(spark):
     frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
     got = {(r["pair_id"], r["chosen_id"], r["rejected_id"], r["n_shared"]) for r in chat.preferences(chat.neighbours(frame)).collect()}
     assert got == {((base >> 1) + k, base + 2 * k, base + 2 * k + 1, 1) for k in range(3)}
+
+
+def test_filter_bits_are_gathered_in_words(spark):
+    hashes = [0, 63, 64, (7 << 32) | 5, (1 << 62) + 12345, -1]
+    rows = spark.createDataFrame([(h,) for h in hashes], "h long")
+    made = decontaminate.bloom(rows)
+    assert made.dtype == np.uint8 and len(made) == decontaminate.BLOOM_BITS // 8
+    wanted = np.zeros(decontaminate.BLOOM_BITS, bool)
+    for h in hashes:
+        wanted[[h & (decontaminate.BLOOM_BITS - 1), (h % (1 << 64) >> 32) & (decontaminate.BLOOM_BITS - 1)]] = True
+    assert (np.unpackbits(made, bitorder="little").astype(bool) == wanted).all()
+    assert decontaminate.may_hold(made, np.array(hashes, np.int64).view(np.uint64)).all()
+
+
+def test_found_components_come_back_as_stars(spark):
+    """Links in a chain and all their pairs leave one edge a node, so that later contractions have few edges."""
+    n = 12
+    points = spark.range(n).select(F.col("id").alias("node"), F.lit(100).alias("shingles"), F.col("id").alias("text_key"), *[
+        F.lit(0).cast("long").alias(c) for c in simhash.NAMES])
+    pairs = spark.createDataFrame([(a, b) for a in range(n) for b in range(a + 1, n)], "a long, b long")
+    docs = spark.createDataFrame([("t",)], "text string")
+    none = spark.createDataFrame([], "a long, b long")
+    found = simhash._links(docs, points, pairs, none, 5, 0.8)
+    assert sorted(map(tuple, found.collect())) == [(0, b) for b in range(1, n)]

@@ -2,37 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from fluxsieve.operators.ranking import ordered_position
 from fluxsieve.session import cut
 
 
+#: Up to so many edges are contracted in one partition, without an exchange in any round; more are dealt out by their nodes.
+FEW_EDGES = 1 << 16
+
+
+def _held(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` (u, v) materialized, few of them in one partition, and a mark of the set, taken while it is written."""
+    seen = Observation()
+    held = cut(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+    mark = seen.get
+    return held.coalesce(1) if mark["n"] <= FEW_EDGES else held, (mark["n"], mark["h"])
+
+
+def _with_least(rows: DataFrame, key: str, value: str, few: bool) -> DataFrame:
+    """``rows`` with ``m``, the smallest value of their key; only few rows may be a window's group."""
+    if few:
+        return rows.withColumn("m", F.min(value).over(Window.partitionBy(key)))
+    return rows.join(rows.groupBy(key).agg(F.min(value).alias("m")), key)
+
+
 def component_labels(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from every node that has an edge: (node, label).
 
     Alternates the two star contractions of Kiveris et al. (2014) until nothing changes.
     A node with very many edges is only ever the key of a join against one row per node or
-    of a min(), so a hub is split by AQE or combined before the shuffle.
+    of a min(), so a hub is split by AQE or combined before the shuffle. A contraction makes
+    at most two edges of one, so edges are made distinct once a round.
     """
     pair = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    stars = cut(pair.where("u <> v").distinct())
-    mark = None
+    stars, mark = _held(pair.where("u <> v").distinct())
     while True:
-        both = stars.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
-            stars.select(F.col("v").alias("x"), F.col("u").alias("y")))
-        lowest = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
-        large = both.where("y > x").join(lowest, "x").select(
-            F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))).distinct()
-        stars = cut(small)
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        few = mark[0] <= FEW_EDGES
+        both = stars.select(F.explode(F.array(
+            F.struct(F.col("u").alias("x"), F.col("v").alias("y")),
+            F.struct(F.col("v").alias("x"), F.col("u").alias("y")))).alias("e")).select("e.*")
+        large = _with_least(both, "x", "y", few).where("y > x").select(F.col("y").alias("u"), F.least("m", "x").alias("v"))
+        small = _with_least(large, "u", "v", few).select(F.explode(F.array(
+            F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select(
+            "e.*").where("u <> v").distinct()
+        before = mark
+        stars, mark = _held(small)
+        if mark == before:
             break
-        mark = now
     roots = stars.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
 

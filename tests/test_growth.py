@@ -1,6 +1,7 @@
 """Work that must not be repeated per draw, per input or per pass."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from fluxsieve.functions import sampling
 from fluxsieve.operators.selection import within
 from fluxsieve.plans import corridors, decision
 from fluxsieve.plans.scoring import spread_for_draws
-from fluxsieve.session import shelve
+from fluxsieve.session import cut, shelve
 from fluxsieve.sources import records
 
 
@@ -160,3 +161,22 @@ def test_sweep_keeps_its_rows_as_columns(spark, monkeypatch):
     swept = decision.sensitivity_sweep(flow, scoring.PRIORS, scoring.FORWARD)
     assert swept.where("scenario = 'baseline' AND kept_top10 = 10 AND kept_top20 = 20").count() == 1
     assert ["constraint_id", "scenario", "ev_mean"] in kept and not any("ev_mean" in k for k in kept if isinstance(k, str))
+
+
+def test_shuffle_files_go_with_their_execution(spark):
+    """What a finished execution has shuffled does not wait for the driver's garbage collection."""
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {f for f in files.split() if f.endswith(".data") and "shuffle_" in f}
+
+    def wait(done):
+        until = time.time() + 20
+        while not done() and time.time() < until:
+            time.sleep(0.1)
+        return done()
+
+    before = held()
+    grouped = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    kept = cut(grouped)
+    assert wait(lambda: held() <= before)
+    assert kept.count() == 7 and len(grouped.collect()) == len(grouped.collect()) == 7

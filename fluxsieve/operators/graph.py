@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from fluxsieve.operators.ranking import ordered_position
 from fluxsieve.session import cut
 
 
-#: Up to so many edges are contracted in one partition, without an exchange in any round; more are dealt out by their nodes.
+#: Up to so many edges are contracted in one partition, and nothing is shuffled in any round; more are dealt out by their nodes.
 FEW_EDGES = 1 << 16
 
 
@@ -21,10 +21,9 @@ def _held(edges: DataFrame) -> tuple[DataFrame, tuple]:
 
 
 def _with_least(rows: DataFrame, key: str, value: str, few: bool) -> DataFrame:
-    """``rows`` with ``m``, the smallest value of their key; only few rows may be a window's group."""
-    if few:
-        return rows.withColumn("m", F.min(value).over(Window.partitionBy(key)))
-    return rows.join(rows.groupBy(key).agg(F.min(value).alias("m")), key)
+    """``rows`` with ``m``, the smallest value of their key; a few rows stay where they are, as their minima are broadcast."""
+    least = rows.groupBy(key).agg(F.min(value).alias("m"))
+    return rows.join(F.broadcast(least) if few else least, key)
 
 
 def component_labels(edges: DataFrame) -> DataFrame:

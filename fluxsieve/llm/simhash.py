@@ -16,9 +16,14 @@ of all bits, so no whole byte is guaranteed to survive and two bits are far too
 every document ``SEEDS`` fingerprints of its distinct shingles from differently mixed hashes and keeps the index by
 ``KEYS`` triples of positional bytes, drawn from the bytes of all fingerprints. A posting list is first counted, with
 its smallest and largest member, on the map side; these pairs give components. Only lists of three members and more
-are made again, behind a filter of fixed size, and every pair of a list whose components differ is made. A list with
-more than ``LIST`` members outside its largest component is divided first by further positional bytes, again and again.
-So no failed check drops another pair, and a group of near copies stays linear.
+are made again, behind a filter of fixed size, and every pair of a list of up to ``CROWD`` members whose components
+differ is made. No failed check drops another pair.
+
+A large group of versions of one text, many of them too far apart for a link, would fill longer lists with pairs that
+are none. Members of those lists meet as the family of the list's largest component instead, once, however many lists
+they share. Each is compared with up to ``REFS`` documents of the component. Others are found by their rarest shingles:
+of two sets ordered alike, as similar as asked for, the first few members of both have one in common. Rare is what few
+of these documents hold, so that versions meet over words they share with each other, not over the words of all.
 
 A candidate pair's shared positional bytes are tallied: it stays if it reaches ``SHARED``, the least number that a similar
 pair has but for 3 deviations, and if few enough bits differ. Pairs far on the similar side are links; of the others
@@ -30,6 +35,7 @@ its ids are null; rows repeated with one id and text come out once; an empty tab
 
 from __future__ import annotations
 
+import math
 from functools import partial, reduce
 
 import numpy as np
@@ -47,6 +53,12 @@ LIST = 24
 #: Fingerprints of a document in ``similar``, triples of their bytes in the index, jobs the index is made in, further
 #: bytes that divide a long list, and how often.
 SEEDS, KEYS, ROUNDS, FURTHER, LEVELS = 8, 315, 5, 16, 3
+#: Members up to which a list of ``similar`` is paired outright; documents of a component a family is compared with, and
+#: the factor between the sizes of sets that are looked up together.
+CROWD, REFS, BAND = 8, 32, 1.02
+#: Larger sets are no references.
+REF_SIZE = 1 << 14
+PARITIES = [f"x{i}" for i in range(8)]
 #: Shared positional bytes a pair of ``similar`` must reach. At a similarity of 0.8 the mean is 17 of 64, the deviation 3.6.
 SHARED = 6
 #: Pairs of ``similar`` stay for the comparison of their sets up to this share of differing bits. At a similarity of 0.8
@@ -250,17 +262,106 @@ def _near(points: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.where((tally >= SHARED) & (differing <= int(BITS * 64 * SEEDS))).select("a", "b", sure.alias("sure"))
 
 
-def _alike(docs: DataFrame, points: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose documents' shingle sets have at least that Jaccard similarity.
-
-    Sets travel as sorted 32-bit hashes.
-    """
+def _sets(docs: DataFrame, points: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """node, own: the shingle sets of these nodes' documents, as sorted 32-bit hashes."""
 
     def sets_of(batches):
         for batch in batches:
             sets = [np.unique(shingles(t.as_py(), size).astype(np.uint32)).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "own"])
 
+    nodes = nodes.join(points.select("node", "text_key"), "node")
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(nodes, "text_key").mapInArrow(
+        sets_of, "node long, own binary")
+    return cut(texts.groupBy("node").agg(F.first("own").alias("own")))
+
+
+def first_shingles(own: np.ndarray, refs: list[np.ndarray], bands: list[tuple[int, int, int, int]], similarity: float) -> np.ndarray:
+    """Keys of a set: its band, the other set's band and a shingle, for all shingles that may be the first in common.
+
+    Shingles of few of the ``refs`` come first. ``bands``: number, least and largest size of the sets there are, and how many.
+    Sets of n and m members that are similar enough share s / (1 + s) * (n + m), so the first they share is not among the
+    last of both. A band of few sets is looked up whole, without a shingle.
+    """
+    count, band = len(own), _band(len(own))
+    order = np.lexsort((own, sum((np.isin(own, r, assume_unique=True).astype(np.int8) for r in refs), np.zeros(count, np.int8))))
+    here = next(held for number, _, _, held in bands if number == band)
+    keys = [np.empty(0, np.int64)]
+    for other, least, most, held in bands:
+        if similarity * count <= most and similarity * least <= count:
+            common = math.ceil(similarity / (1 + similarity) * (count + max(least, similarity * count)) - 1e-6)
+            first = np.zeros(1, np.int64) if min(here, held) <= CROWD else own[order[:max(0, count - common + 1)]].astype(np.int64)
+            keys.append(band << 43 | other << 32 | first)
+    return np.concatenate(keys)
+
+
+def _mirrored(key: Column) -> Column:
+    """The key under which the sets of the other band are found."""
+    band = lambda shift: F.shiftright(key, shift).bitwiseAND(F.lit(0x7FF))
+    return F.shiftleft(band(32), 43).bitwiseOR(F.shiftleft(band(43), 32)).bitwiseOR(key.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the shingles dealt to it: two sets differ by at least as many shingles as bits."""
+    bits = np.bincount((_mixed(own.astype(np.uint64)) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _band(size: int) -> int:
+    return int(math.log(max(size, 1)) / math.log(BAND))
+
+
+def _families(docs: DataFrame, points: DataFrame, family: DataFrame, size: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Links to a family's references, and pairs (a, b) of a family's members, whose labels differ, that may be similar.
+
+    ``family``: top, the label the family is named by, and node, label of its members. No similar pair is left out.
+    """
+
+    def sized(batches):
+        for batch in batches:
+            sizes = [len(o.as_py()) // 4 for o in batch.column("own")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(map(_band, sizes), pa.int64())],
+                                             [*batch.schema.names, "size", "band"])
+
+    def described(batches):
+        for batch in batches:
+            links, keys, bits = [], [], np.empty((batch.num_rows, len(PARITIES)), np.int64)
+            for row, (own, refs, bands) in enumerate(zip(*(batch.column(c) for c in ("own", "refs", "bands")))):
+                own, refs = np.frombuffer(own.as_py(), np.uint32), refs.as_py() or []
+                sets = [np.frombuffer(r["own"], np.uint32) for r in refs]
+                common = [len(np.intersect1d(own, r, assume_unique=True)) for r in sets]
+                links.append(next((r["node"] for r, s, c in zip(refs, sets, common) if c >= similarity * (len(own) + len(s) - c)), None))
+                keys.append(first_shingles(own, sets, [tuple(b.values()) for b in bands.as_py()], similarity))
+                bits[row] = parities(own)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("top", "node", "label", "size")), pa.array(links, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64())), *map(pa.array, bits.T.copy())], ["top", "node", "label", "size", "ref", "keys", *PARITIES])
+
+    sets = _sets(docs, points, family.select("node").distinct(), size).mapInArrow(
+        sized, "node long, own binary, size long, band long")
+    rows = cut(family.join(sets, "node"))
+    some = rows.where((F.col("label") == F.col("top")) & (F.col("size") <= REF_SIZE)).groupBy("top", F.pmod(F.xxhash64("node"), F.lit(REFS)).alias("part")).agg(
+        F.min(F.struct("node", "own")).alias("r"))
+    refs = some.groupBy("top").agg(F.collect_list("r").alias("refs"))
+    bands = rows.groupBy("top", "band").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.count(F.lit(1)).alias("held")).groupBy(
+        "top").agg(F.collect_list(F.struct("band", "least", "most", "held")).alias("bands"))
+    found = cut(rows.join(bands.join(refs, "top", "left"), "top").select("top", "node", "label", "size", "own", "refs", "bands").mapInArrow(
+        described, "top long, node long, label long, size long, ref long, keys array<long>, " + ", ".join(f"{n} long" for n in PARITIES)))
+    links = found.where("label <> top AND ref IS NOT NULL").select(F.col("ref").alias("a"), F.col("node").alias("b"))
+    label = F.when(F.col("ref").isNotNull(), F.col("top")).otherwise(F.col("label")).alias("label")
+    asked = cut(found.select("top", F.explode("keys").alias("key"), "node", label, "size", *PARITIES))
+    outside = asked.where("label <> top").select("top", _mirrored(F.col("key")).alias("key"), F.col("node").alias("b"), F.col("label").alias("other"), F.col(
+        "size").alias("b_size"), *[F.col(n).alias(f"b_{n}") for n in PARITIES])
+    differing = sum((F.bit_count(F.col(n).bitwiseXOR(F.col(f"b_{n}"))) for n in PARITIES), F.lit(0))
+    allowed = (F.col("size") + F.col("b_size")) * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-6)
+    pairs = asked.join(outside, ["top", "key"]).where("label <> other AND (label = top OR node < b)").where(differing <= allowed).select(
+        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    return links, pairs
+
+
+def _alike(docs: DataFrame, points: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes whose documents' shingle sets have at least that Jaccard similarity."""
+
     def compare(batches):
         for batch in batches:
             alike = []
@@ -270,10 +371,7 @@ def _alike(docs: DataFrame, points: DataFrame, pairs: DataFrame, size: int, simi
                 alike.append(common >= similarity * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(points.select("node", "text_key"), "node")
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(nodes, "text_key").mapInArrow(
-        sets_of, "node long, own binary")
-    sets = cut(texts.groupBy("node").agg(F.first("own").alias("own")))
+    sets = _sets(docs, points, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), size)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
@@ -317,7 +415,15 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFram
     asked = docs.sparkSession.sparkContext.broadcast(bloom(_hashed(keys)))
     members = cut(_index(points, range(KEYS), asked).join(keys, "key").join(label, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label")))
-    links = _links(docs, points, cut(_across(points, members)), links, size, similarity)
+    lists = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+        F.max_by("label", F.struct("c", "label")).alias("top"), F.sum("c").alias("n"), F.max("c").alias("most")).where("most < n")
+    held = cut(members.join(lists.select("key", "top", "n"), "key"))
+    pairs = _across(points, held.where(F.col("n") <= CROWD).select("key", "node", "label"))
+    family = cut(held.where(F.col("n") > CROWD).select("top", "node", "label").distinct())
+    if not family.isEmpty():
+        near, more = _families(docs, points, family, size, similarity)
+        links, pairs = links.unionByName(near), pairs.unionByName(more).distinct()
+    links = _links(docs, points, cut(pairs), links, size, similarity)
     labelled = points.join(component_labels(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     return found.join(labelled.join(least, "label").select(*NAMES, "component_id"), NAMES).select(

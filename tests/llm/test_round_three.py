@@ -297,3 +297,72 @@ def test_found_components_come_back_as_stars(spark):
     none = spark.createDataFrame([], "a long, b long")
     found = simhash._links(docs, points, pairs, none, 5, 0.8)
     assert sorted(map(tuple, found.collect())) == [(0, b) for b in range(1, n)]
+
+
+def _versions(rng, base, changes, tag):
+    """The words with that many of them, anywhere, replaced by new ones or by one of a few."""
+    out = list(base)
+    for k, at in enumerate(rng.sample(range(len(out)), changes)):
+        out[at] = rng.choice(["one", "two", f"{tag}n{k}"])
+    return " ".join(out)
+
+
+def _similar_parts(nodes, sets, joined, similarity=0.8):
+    """Components of all pairs that are joined already or similar enough, by comparing every pair."""
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in joined:
+        root[find(a)] = find(b)
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            common = len(sets[a] & sets[b])
+            if common >= similarity * (len(sets[a]) + len(sets[b]) - common):
+                root[find(a)] = find(b)
+    parts = {}
+    for n in nodes:
+        parts.setdefault(find(n), set()).add(n)
+    return sorted(map(sorted, parts.values()))
+
+
+def test_families_lose_no_similar_pair(spark):
+    """Versions of a text near the threshold, cut-off ones, pairs far from it, other texts and sizes: as all pairs compared."""
+    rng = random.Random(41)
+    word = lambda k: [f"w{rng.randrange(400)}" for _ in range(k)]
+    base = word(150)
+    texts = [_versions(rng, base, rng.choice([0, 1, 2]), f"t{i}") for i in range(60)]
+    texts += [_versions(rng, base, rng.choice([2, 3, 4, 6, 9]), f"o{i}") for i in range(150)]
+    texts += [_versions(rng, t.split(), 1, f"c{i}") for i, t in enumerate(texts[-40:])]
+    texts += [" ".join(base[:k]) for k in range(100, 150, 3)] + [" ".join(word(k)) for k in (1, 3, 20, 140, 160, 900)]
+    texts = list(dict.fromkeys(texts))
+    sets = {i: set(simhash.shingles(t, 5).astype(np.uint32).tolist()) for i, t in enumerate(texts)}
+    label = {i: 0 if i < 60 else i for i in sets}
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    points = rows.select("node", F.xxhash64("text").alias("text_key"))
+    family = spark.createDataFrame([(0, i, k) for i, k in label.items()], "top long, node long, label long")
+    links, pairs = (sorted({tuple(sorted(r)) for r in f.collect()}) for f in simhash._families(docs, points, family, 5, 0.8))
+    known = [(i, k) for i, k in label.items()]
+    similar = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in links)
+    wanted = _similar_parts(list(sets), sets, known)
+    assert _similar_parts(list(sets), {i: {-1 - i} for i in sets}, known + links + similar) == wanted
+    assert len(wanted) > 50 and len(pairs) < 4 * len(texts)
+
+
+def test_versions_too_far_apart_make_few_pairs(spark, monkeypatch):
+    """Versions of one text that are no near copies of each other were paired with the whole group, for every list they share."""
+    rng = random.Random(42)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    texts = [_versions(rng, base, 1, f"t{i}") for i in range(80)] + [_versions(rng, base, 4, f"o{i}") for i in range(120)]
+    sets = {i: set(simhash.shingles(t, 5).astype(np.uint32).tolist()) for i, t in enumerate(texts)}
+    made, links = [], simhash._links
+    monkeypatch.setattr(simhash, "_links", lambda docs, points, pairs, *more: made.append(pairs.count()) or links(docs, points, pairs, *more))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component_id"] for r in simhash.similar(docs).collect()}
+    assert {i: p[0] for p in _similar_parts(list(sets), sets, []) for i in p} == got
+    assert len(made) == 2 and made[1] < 25 * len(texts)

@@ -1,18 +1,48 @@
 """Hourly binding rows and monthly dollars rolled up to flowgates.
 
-Every step aggregates map-side before it shuffles, and no aggregate buffers a group, so a
+Rows are laid out by flowgate once, and no step shuffles them again. Those of a flowgate that is too
+large for one task are aggregated map-side before every shuffle; no aggregate buffers a group, so a
 flowgate that owns a third of all rows costs one partial row per task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fluxsieve import fixed
 from fluxsieve.functions import numeric, text
+from fluxsieve.session import shelve
 
 MONEY = "decimal(20,4)"
+FLOWGATE = ["name", "contingency"]
 HOUR_KEY = ["utc", "name", "monitored", "contingency"]
+HOUR_FIELDS = [*HOUR_KEY, "price", "state", "contingent", "kind", "month", "ord"]
+#: Hash classes in which the rows of flowgates are counted, and the rows of a class that are never too many for one task.
+CLASSES, FEW = 1 << 16, 100_000
+
+
+def by_flowgate(rows: DataFrame) -> list[DataFrame]:
+    """``rows`` in parts that share no flowgate, the first laid out by flowgate.
+
+    Groupings whose keys hold the flowgate find the first part's rows in place. Where one task would get more rows of
+    a flowgate than a whole partition should have, they are in a second part, which lies as ``rows`` did: there
+    every grouping combines rows before it shuffles them. ``rows`` are read twice.
+    """
+    number = F.pmod(F.xxhash64(*FLOWGATE), F.lit(CLASSES))
+    share = rows.count() // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(number.alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    # each holds more than a partition's share of the rows, so there are fewer of them than partitions
+    crowded = [r["class"] for r in counts.where(F.col("n") > max(FEW, share)).collect()]
+    if not crowded:
+        return [rows.repartition(*FLOWGATE)]
+    return [rows.where(~number.isin(crowded)).repartition(*FLOWGATE), rows.where(number.isin(crowded))]
+
+
+def united(parts: list[DataFrame]) -> DataFrame:
+    """Parts that share no flowgate as one."""
+    return reduce(DataFrame.unionByName, parts)
 
 
 def keep_first_hours(hours: DataFrame) -> DataFrame:
@@ -85,7 +115,8 @@ def exclusion_reason(element: Column, name: Column) -> Column:
 
 def flowgates(hours: DataFrame) -> DataFrame:
     """All flowgates with roll-up, element class, corridor key and exclusion reason."""
-    return flowgates_of(keep_first_hours(hours))
+    parts = by_flowgate(shelve(hours.select(*HOUR_FIELDS)))
+    return united([flowgates_of(keep_first_hours(p)) for p in parts])
 
 
 def flowgates_of(kept: DataFrame) -> DataFrame:
@@ -116,11 +147,16 @@ def exclusion_summary(rolled: DataFrame) -> DataFrame:
         (F.col("abs_price").cast("double") / total.cast("double")).alias("share"))
 
 
+def spellings(kept: DataFrame) -> DataFrame:
+    """Every monitored spelling of each flowgate once, with its count ``_n``."""
+    return kept.groupBy("name", "contingency", "monitored").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def spelling_summary(kept: DataFrame) -> DataFrame:
     """Flowgates with several monitored spellings, those that differ only in endpoint order,
     and those whose spellings fall in several element classes."""
     spelled = (
-        kept.groupBy("name", "contingency", "monitored").agg(F.count(F.lit(1)).alias("_n"))
+        spellings(kept)
         .withColumn("element", text.element_class(F.col("monitored")))
         .withColumn("key", text.element_key(F.col("monitored")))
     )

@@ -8,6 +8,7 @@ from checks.views import duck, view
 from fluxsieve import fixed
 from fluxsieve.functions import numeric, text
 from fluxsieve.operators import rollups
+from fluxsieve.session import shelve, shelved
 from fluxsieve.sources.market import binding_hours, dollar_fields, month_violations, operating_plants, settled_fields
 
 KEPT = """, kept AS (
@@ -270,9 +271,13 @@ UNION ALL SELECT 'joined_share_below_floor', NULL, 0.9""")
 
 
 def join_dollars(spark, folder):
-    kept = rollups.keep_first_hours(view(spark, folder, "v_hours"))
-    unique = rollups.unique_dollars(view(spark, folder, "v_dollars"))
-    return rollups.join_dollars(rollups.flowgates_of(kept), kept, unique).select(
+    with shelved(view(spark, folder, "v_hours").select(*rollups.HOUR_FIELDS)) as hours:  # gone before dollars are made
+        kept = [rollups.keep_first_hours(p) for p in rollups.by_flowgate(hours)]
+        rolled = shelve(rollups.united([rollups.flowgates_of(k) for k in kept]).select("name", "contingency", "constraint_id"))
+        spelled = shelve(rollups.united([rollups.spellings(k) for k in kept]))
+    dollars = shelve(view(spark, folder, "v_dollars"))
+    unique = rollups.united([rollups.unique_dollars(p) for p in rollups.by_flowgate(dollars)])
+    return rollups.join_dollars(rolled, spelled, unique).select(
         "constraint_id", "rent_musd", "max_month_cost_musd", "rent_basis", "flags")
 
 

@@ -189,9 +189,10 @@ def unique_dollars(dollars: DataFrame) -> DataFrame:
 
     ``dollars``: month, name, contingency, monitored, amount (posted negative), ord.
     """
-    return dollars.groupBy(*DOLLAR_KEY).agg(
-        F.min_by("monitored", "ord").alias("monitored"), F.min_by("amount", "ord").alias("amount")
-    ).withColumn("usd", -F.col("amount").cast(MONEY))
+    # one struct, so that all uses of the result shuffle the same columns, and share one shuffle
+    first = F.min_by(F.struct("monitored", "amount"), F.col("ord")).alias("_r")
+    return dollars.groupBy(*DOLLAR_KEY).agg(first).select(*DOLLAR_KEY, "_r.*").withColumn(
+        "usd", -F.col("amount").cast(MONEY))
 
 
 def flowgate_dollars(unique: DataFrame) -> DataFrame:
@@ -242,7 +243,10 @@ def reconcile_months(unique: DataFrame, settled: DataFrame, joined_share: Column
 
 def join_dollars(rolled: DataFrame, kept: DataFrame, unique: DataFrame) -> DataFrame:
     """Attach dollars to flowgates by name and contingency, refused where the monitored
-    element differs (a recycled id)."""
+    element differs (a recycled id).
+
+    Of ``kept`` only name, contingency and monitored are used, once each, so its ``spellings`` do as well.
+    """
     keys = ["name", "contingency"]
 
     def elements(df):

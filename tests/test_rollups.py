@@ -2,11 +2,14 @@
 
 import collections
 import datetime as dt
+import os
 import random
 
 import pytest
 
+from checks import hours as queries
 from fluxsieve.operators import rollups
+from fluxsieve.session import shelved
 
 HOURS = ("name string, contingency string, monitored string, contingent string, kind string, state string, price double, "
          "utc timestamp, month date, ord long")
@@ -76,3 +79,39 @@ def test_rows_are_shuffled_by_flowgate_alone(spark):
     made = _shuffles(rollups.flowgates(_hours(spark)))
     assert len({tuple(x.split("#")[0].strip() for x in s.split(", ")[:2]) for s in made}) == 1
     assert all(s.startswith("name#") and s.split(", ")[1].startswith("contingency#") and len(s.split(", ")) == 3 for s in made)
+
+
+def test_dollars_share_the_layout_of_flowgates(spark):
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1), "A", "BASE", "LN X - Y", -5.0, 2), (dt.date(2024, 1, 1), "A", "BASE", None, -7.0, 1)],
+                                 "month date, name string, contingency string, monitored string, amount double, ord long")
+    unique = rollups.united([rollups.unique_dollars(p) for p in rollups.by_flowgate(rows)])
+    assert [(r["monitored"], r["amount"], float(r["usd"])) for r in unique.collect()] == [(None, -7.0, 7.0)]
+    for made in (rollups.flowgate_dollars(unique), rollups.spellings(unique)):
+        assert [s.split("#")[0] for s in _shuffles(made)] == ["name"]
+
+
+def test_shelved_rows_go_with_their_block(spark):
+    with shelved(spark.range(10)) as rows:
+        folder = os.path.dirname(rows.inputFiles()[0].removeprefix("file://"))
+        assert rows.count() == 10 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_spellings_join_dollars_like_the_hours(spark):
+    kept = rollups.keep_first_hours(_hours(spark))
+    unique = rollups.unique_dollars(spark.createDataFrame(
+        [(dt.date(2024, m, 1), n, "BASE", e, -5.0 * m, m) for m in (1, 2) for n, e in (("A", "LN Y - X"), ("B", "XFMR"), ("HOT", "LN X - Y"))],
+        "month date, name string, contingency string, monitored string, amount double, ord long"))
+    rolled = rollups.flowgates_of(kept).select("name", "contingency", "constraint_id")
+    whole, short = (rollups.join_dollars(rolled, k, unique) for k in (kept, rollups.spellings(kept)))
+    assert whole.exceptAll(short).isEmpty() and short.exceptAll(whole).isEmpty()
+    assert {r["constraint_id"]: (r["rent_musd"], r["flags"]) for r in short.collect()}["B|BASE"] == (None, "cbc_monitored_mismatch")
+
+
+def test_hours_leave_the_shelf_before_dollars(spark, tmp_path):
+    """What stays of them is a row for each flowgate and spelling."""
+    from test_growth import _tables
+
+    _tables(spark, tmp_path)
+    plan = queries.join_dollars(spark, tmp_path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_partkey" not in plan and "price" not in plan and "state" not in plan

@@ -35,10 +35,14 @@ def kth_rows(df: DataFrame, value: str, tie: str, wanted: DataFrame, group: list
         # halves, so that the width of a range never overflows
         share = (F.col("_hi") / 2 - F.col("_v") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
         number = F.least(F.floor(share * CLASSES), F.lit(CLASSES - 1))
-        counted = within(rows, open_, group).groupBy(*spot, "_above", number.alias("_class")).agg(
-            F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+        # places whose ranges are still the same are counted once
+        span = [*group, "_lo", "_hi"]
+        counted = within(rows, open_.select(*span).distinct(), group).groupBy(*span, number.alias("_class")).agg(
+            F.min("_v").alias("_least"), F.max("_v").alias("_most"), F.count(F.lit(1)).alias("_many"))
         # at most CLASSES rows share a spot here
-        placed = counted.withColumn("_above", F.col("_above") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        split = open_.join(counted, span).select(
+            *spot, "_above", "_class", F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), F.col("_many").alias("_n"))
+        placed = split.withColumn("_above", F.col("_above") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
         holds = placed.join(sized, spot).where((F.col("_above") < place) & (place <= F.col("_above") + F.col("_n")))
         state = cut(state.where(~wide).unionByName(holds.select(*state.columns)))
     left = state.join(sized, spot).withColumn("_place", place - F.col("_above"))
